@@ -269,3 +269,90 @@ def q_preprocess_summary(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"), F.avg("feat1").alias("mean_feat1"),
         F.avg("feat3").alias("mean_feat3"),
         F.sum(F.when(F.col("feat4") == "Other", 1).otherwise(0)).cast("bigint").alias("n_other"))
+
+
+# ------------------------------------------------------------------ power transforms
+def _power_src(spark, sf_dir):
+    return V.clf(spark, sf_dir).withColumn("g", F.col("f1") - 25)
+
+
+_YJ_COLS = ["f1", "f3", "f4", "g"]
+_BC_COLS = ["f1", "f2"]
+_POWER_SRC_SQL = V.with_ctes(V.CLF_SQL, "src AS (SELECT *, f1 - 25 AS g FROM clf)")
+
+
+def _yj_sql(x: str, lam: str) -> str:
+    return (f"CASE WHEN {x} >= 0 THEN (CASE WHEN {lam} = 0 THEN LN({x} + 1) "
+            f"ELSE (POW({x} + 1, {lam}) - 1) / {lam} END) "
+            f"ELSE (CASE WHEN {lam} = 2 THEN -LN(1 - {x}) "
+            f"ELSE -(POW(1 - {x}, 2 - {lam}) - 1) / (2 - {lam}) END) END")
+
+
+def _bc_sql(x: str, lam: str) -> str:
+    return f"CASE WHEN {lam} = 0 THEN LN({x}) ELSE (POW({x}, {lam}) - 1) / {lam} END"
+
+
+def _fit_sql(cols: list[str], method: str) -> str:
+    long = " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({c} AS DOUBLE) AS x FROM src" for c in cols)
+    s_expr = "SUM(SIGN(x) * LN(1 + ABS(x)))" if method == "yj" else "SUM(LN(x))"
+    psi = _yj_sql("x", "l") if method == "yj" else _bc_sql("x", "l")
+    return _POWER_SRC_SQL.rstrip("\n") + f""",
+lam AS (SELECT (i - 40) / 10e0 AS l FROM range(81) t(i)),
+lng AS ({long}),
+s AS (SELECT c, COUNT(x) AS n, {s_expr} AS s FROM lng GROUP BY c),
+v AS (SELECT c, l, VAR_POP({psi}) AS v FROM lng, lam GROUP BY c, l),
+ll AS (SELECT v.c, l, -n / 2e0 * LN(v) + (l - 1) * s AS ll FROM v JOIN s ON v.c = s.c WHERE v > 0)
+SELECT c AS column_name, ROUND(arg_max(l, ll), 4) AS lambda FROM ll GROUP BY c"""
+
+
+def _lambdas_frame(spark, params):
+    return spark.createDataFrame(sorted(params["lambdas"].items()),
+                                 "column_name STRING, lambda DOUBLE")
+
+
+@register("power_yj_fixed", _POWER_SRC_SQL + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+          + ", ".join(f"ROUND({_yj_sql(c, '0.5e0')}, 4) AS {c}" for c in _YJ_COLS) + " FROM src")
+def q_power_yj_fixed(spark, sf_dir):
+    from tabforge.operators import power
+    d = _power_src(spark, sf_dir).select(*V.KEYS, *_YJ_COLS)
+    return power.apply_power(d, {"method": "yeo-johnson", "lambdas": {c: 0.5 for c in _YJ_COLS}})
+
+
+@register("power_bc_fixed", _POWER_SRC_SQL + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+          + ", ".join(f"ROUND({_bc_sql(c, '0.5e0')}, 4) AS {c}" for c in _BC_COLS) + " FROM src")
+def q_power_bc_fixed(spark, sf_dir):
+    from tabforge.operators import power
+    d = _power_src(spark, sf_dir).select(*V.KEYS, *_BC_COLS)
+    return power.apply_power(d, {"method": "box-cox", "lambdas": {c: 0.5 for c in _BC_COLS}})
+
+
+@register("power_yj_fit", _fit_sql(_YJ_COLS, "yj"))
+def q_power_yj_fit(spark, sf_dir):
+    """Yeo-Johnson lambda = argmax of the likelihood on the -4..4 / 0.1 grid (no zoom)."""
+    from tabforge.operators import power
+    p = power.fit_power(_power_src(spark, sf_dir), _YJ_COLS, "yeo-johnson", zoom_rounds=0)
+    return _lambdas_frame(spark, p)
+
+
+@register("power_bc_fit", _fit_sql(_BC_COLS, "bc"))
+def q_power_bc_fit(spark, sf_dir):
+    from tabforge.operators import power
+    p = power.fit_power(_power_src(spark, sf_dir), _BC_COLS, "box-cox", zoom_rounds=0)
+    return _lambdas_frame(spark, p)
+
+
+@register("power_yj_refined")
+def q_power_yj_refined(spark, sf_dir):
+    """Default fit: grid then four tenfold zoom rounds (lambda to 1e-5)."""
+    from tabforge.operators import power
+    p = power.fit_power(_power_src(spark, sf_dir), _YJ_COLS, "yeo-johnson")
+    return _lambdas_frame(spark, p)
+
+
+@register("preprocess_full")
+def q_preprocess_full(spark, sf_dir):
+    """T7 with every step on: clean, fill, encode, scale, Yeo-Johnson."""
+    out, _ = preprocess(V.dirty(spark, sf_dir), numeric=V.DIRTY_NUMERIC,
+                        categorical=V.DIRTY_CATEGORICAL, target="target", labels=V.DIRTY_LABELS,
+                        category_threshold=V.LUMP_THRESHOLD, encode_target=True, transform=True)
+    return out
