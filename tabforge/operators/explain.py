@@ -31,7 +31,8 @@ def tree_nodes(spark: SparkSession, model) -> DataFrame:
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.col("nodeData.split.leftCategoriesOrThreshold")[0].alias("threshold"))
+        F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1))
+        .alias("threshold"))
     weights = _tree_weights(spark, path, model)
     return nodes.join(F.broadcast(weights), "tree", "left")
 
@@ -65,3 +66,183 @@ def top_importance(nodes: DataFrame, features: list[str], k: int = 10,
     """The k most important features (ties: earlier position first)."""
     return importance(nodes, features, kind).orderBy(F.col(kind).desc(),
                                                      F.col("position").asc()).limit(k)
+
+
+# ---------------------------------------------------------------- SHAP
+
+def _extend(m: list, pz: float, po: float, pi: int) -> list:
+    m = [list(e) for e in m]                      # entries: [feature, zero, one, weight]
+    depth = len(m)
+    m.append([pi, pz, po, 1.0 if depth == 0 else 0.0])
+    for i in range(depth - 1, -1, -1):
+        m[i + 1][3] += po * m[i][3] * (i + 1) / (depth + 1)
+        m[i][3] = pz * m[i][3] * (depth - i) / (depth + 1)
+    return m
+
+
+def _unwind(m: list, i: int) -> list:
+    depth = len(m)
+    n = m[depth - 1][3]
+    out = [list(e) for e in m[:depth - 1]]
+    zi, oi = m[i][1], m[i][2]
+    for j in range(depth - 2, -1, -1):
+        if oi != 0:
+            t = out[j][3]
+            out[j][3] = n * depth / ((j + 1) * oi)
+            n = t - out[j][3] * zi * (depth - (j + 1)) / depth
+        else:
+            out[j][3] = out[j][3] * depth / (zi * (depth - (j + 1)))
+    for j in range(i, depth - 1):
+        out[j][0], out[j][1], out[j][2] = m[j + 1][0], m[j + 1][1], m[j + 1][2]
+    return out
+
+
+def tree_shap_row(x, tree: dict, phi, scale: float = 1.0) -> None:
+    """Path-dependent TreeSHAP of one row for one tree (published algorithm),
+    adding scale * contribution to ``phi``.  Covers are training row counts."""
+    left, right = tree["left"], tree["right"]
+    feat, thr, cover, value = tree["feature"], tree["threshold"], tree["cover"], tree["value"]
+
+    def recurse(j, m, pz, po, pi):
+        m = _extend(m, pz, po, pi)
+        if left[j] < 0:
+            for i in range(1, len(m)):
+                w = sum(e[3] for e in _unwind(m, i))
+                phi[m[i][0]] += scale * w * (m[i][2] - m[i][1]) * value[j]
+            return
+        d = feat[j]
+        hot, cold = (left[j], right[j]) if x[d] <= thr[j] else (right[j], left[j])
+        iz = io = 1.0
+        k = next((i for i in range(1, len(m)) if m[i][0] == d), None)
+        if k is not None:
+            iz, io = m[k][1], m[k][2]
+            m = _unwind(m, k)
+        rj = cover[j] if cover[j] > 0 else 1.0
+        recurse(hot, m, iz * cover[hot] / rj, io, d)
+        recurse(cold, m, iz * cover[cold] / rj, 0.0, d)
+
+    recurse(0, [], 1.0, 1.0, -1)
+
+
+def expected_value(tree: dict) -> float:
+    """Cover-weighted mean leaf value."""
+    import numpy as np
+    leaves = tree["left"] < 0
+    c = tree["cover"][leaves]
+    if c.sum() <= 0:
+        return float(np.mean(tree["value"][leaves]))
+    return float(np.sum(tree["value"][leaves] * c) / c.sum())
+
+
+def tree_shap(spark, model, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+    """Per row: keep columns, ``phi_<feature>``, ``expected_value``, ``margin``.
+
+    sum(phi) + expected_value = margin (Spark's raw score).  The node table is
+    broadcast (size-checked); rows stay in their partitions.
+    """
+    from pyspark.sql import types as T
+
+    from tabforge.functions.numeric import col
+    from tabforge.operators.boost import forest_arrays, tree_predict
+    forest = forest_arrays(spark, model)
+    base = sum(t["weight"] * expected_value(t) for t in forest["trees"])
+    bc = spark.sparkContext.broadcast(forest)
+    src = df.select(*[col(k) for k in keep],
+                    *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)])
+    xcols = [f"__x{i}" for i in range(len(features))]
+    kf = [f for f in src.schema.fields if f.name in keep]
+    schema = T.StructType(kf + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features]
+                          + [T.StructField("expected_value", T.DoubleType()),
+                             T.StructField("margin", T.DoubleType())])
+
+    def run(batches):
+        import numpy as np
+        trees = bc.value["trees"]
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = pdf[xcols].to_numpy(dtype=float)
+            phi = np.zeros((len(pdf), len(features)))
+            margin = np.zeros(len(pdf))
+            for t in trees:
+                margin += t["weight"] * tree_predict(X, t)
+                for r in range(len(pdf)):
+                    tree_shap_row(X[r], t, phi[r], t["weight"])
+            out = pdf[keep].copy()
+            for i, f in enumerate(features):
+                out[f"phi_{f}"] = phi[:, i]
+            out["expected_value"] = base
+            out["margin"] = margin
+            yield out
+
+    return src.mapInPandas(run, schema)
+
+
+def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[str],
+                 background: int = 100, samples: int = 20, seed: int = 0) -> DataFrame:
+    """Model-agnostic permutation-sampling SHAP on the margin scale.
+
+    The background set is ``background`` rows picked by a seeded hash order
+    (bounded, broadcast); each row's estimate averages ``samples`` random
+    (permutation, background row) pairs, evaluated in numpy inside its task.
+    """
+    import numpy as np
+    from pyspark.sql import types as T
+
+    from tabforge.functions.numeric import col
+    from tabforge.operators.boost import forest_arrays, tree_predict
+    forest = forest_arrays(spark, model)
+    bg_rows = (df.select(*[col(f).cast("double").alias(f) for f in features])
+               .withColumn("__h", F.xxhash64(*[col(f) for f in features], F.lit(seed)))
+               .orderBy("__h").limit(background).drop("__h").collect())
+    bg = np.array([[r[f] for f in features] for r in bg_rows], dtype=float)
+    bc = spark.sparkContext.broadcast({"forest": forest, "bg": bg})
+    src = df.select(*[col(k) for k in keep],
+                    *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)])
+    xcols = [f"__x{i}" for i in range(len(features))]
+    kf = [f for f in src.schema.fields if f.name in keep]
+    schema = T.StructType(kf + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features])
+    d = len(features)
+
+    def run(batches):
+        import numpy as np
+        b = bc.value
+        trees, B = b["forest"]["trees"], b["bg"]
+
+        def f(X):
+            m = np.zeros(X.shape[0])
+            for t in trees:
+                m += t["weight"] * tree_predict(X, t)
+            return m
+
+        for bi, pdf in enumerate(batches):
+            if pdf.empty:
+                continue
+            X = pdf[xcols].to_numpy(dtype=float)
+            n = len(pdf)
+            rng = np.random.default_rng(seed + bi)
+            phi = np.zeros((n, d))
+            for _ in range(samples):
+                perm = rng.permutation(d)
+                z = B[rng.integers(0, len(B), size=n)]
+                cur = z.copy()
+                prev = f(cur)
+                for j in perm:                      # add features one by one in perm order
+                    cur[:, j] = X[:, j]
+                    now = f(cur)
+                    phi[:, j] += now - prev
+                    prev = now
+            phi /= samples
+            out = pdf[keep].copy()
+            for i, name in enumerate(features):
+                out[f"phi_{name}"] = phi[:, i]
+            yield out
+
+    return src.mapInPandas(run, schema)
+
+
+def shap_summary(contrib: DataFrame, features: list[str]) -> DataFrame:
+    """Mean |contribution| per feature, largest first (the summary-plot order)."""
+    stack = ", ".join(f"'{f}', `phi_{f}`" for f in features)
+    long = contrib.selectExpr(f"stack({len(features)}, {stack}) AS (feature, phi)")
+    return long.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs_shap"))

@@ -1 +1,269 @@
-"""Registered queries (filled in as operators land)."""
+"""Registered queries: training, CV, search, evaluation of models, explanations
+(L4-L11, H1-H8, X1-X6, E13, the end-to-end experiment).
+
+Model queries train on the ``sig`` view (rows with l_orderkey % 10 < 7) and
+score the rest; model outputs have no SQL form and are checked by rows here and
+by invariants in ``tests/``.  The trials-table operators (best trial, resume,
+summary) run on a decision-threshold search over the ``scored`` view, which
+has an exact SQL twin.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tabforge.operators import boost, explain, folds, metrics, search
+from tabforge.plans import views as V
+from tabforge.plans.registry import register
+
+_F = V.FEATURES
+BASE_PARAMS = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3, "seed": 42}
+_MODELS: dict = {}
+
+
+def _train_test(spark, sf_dir):
+    d = V.sig(spark, sf_dir)
+    return d.where(F.col("l_orderkey") % 10 < 7), d.where(F.col("l_orderkey") % 10 >= 7)
+
+
+def _model(spark, sf_dir, params=None):
+    key = (id(spark), sf_dir, tuple(sorted((params or BASE_PARAMS).items())))
+    if key not in _MODELS:
+        train, _ = _train_test(spark, sf_dir)
+        _MODELS[key] = boost.train_boosted(train, _F, "label", params or BASE_PARAMS)
+    return _MODELS[key]
+
+
+@register("boost_train")
+def q_boost_train(spark, sf_dir):
+    _, test = _train_test(spark, sf_dir)
+    return boost.score(_model(spark, sf_dir), test, _F, V.KEYS + ["label"])
+
+
+@register("score")
+def q_score(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    m = _model(spark, sf_dir)
+    return (boost.score(m, train, _F, V.KEYS + ["label"]).withColumn("mode", F.lit("train"))
+            .unionByName(boost.score(m, test, _F, V.KEYS + ["label"])
+                         .withColumn("mode", F.lit("test"))))
+
+
+@register("boost_class_weight")
+def q_boost_class_weight(spark, sf_dir):
+    """L3 + L4: class 1 weighted by n0/n1 during training."""
+    train, test = _train_test(spark, sf_dir)
+    m = boost.train_boosted(train, _F, "label", BASE_PARAMS, class_weight=True)
+    return boost.score(m, test, _F, V.KEYS + ["label"])
+
+
+@register("staged_f1")
+def q_staged_f1(spark, sf_dir):
+    _, test = _train_test(spark, sf_dir)
+    return boost.staged_f1(spark, _model(spark, sf_dir), test, _F, "label")
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    _, curve = boost.cross_validate(train, _F, "label", BASE_PARAMS, k=3, rounds=10,
+                                    early_stopping=3)
+    return curve
+
+
+@register("cv_custom_metric")
+def q_cv_custom_metric(spark, sf_dir):
+    """A user metric (here: accuracy at 0.5) evaluated per round in CV."""
+    train, _ = _train_test(spark, sf_dir)
+
+    def accuracy(label, score):
+        return F.avg(((score > 0.5).cast("int") == label.cast("int")).cast("double"))
+    _, curve = boost.cross_validate(train, _F, "label", BASE_PARAMS, k=2, rounds=5,
+                                    early_stopping=None, metric=accuracy)
+    return curve
+
+
+@register("tree_nodes")
+def q_tree_nodes(spark, sf_dir):
+    return explain.tree_nodes(spark, _model(spark, sf_dir))
+
+
+for _kind in ("weight", "gain", "cover", "total_gain", "total_cover"):
+    def _imp(spark, sf_dir, kind=_kind):
+        return explain.importance(explain.tree_nodes(spark, _model(spark, sf_dir)), _F, kind)
+    register(f"importance_{_kind}")(_imp)
+
+
+@register("importance_top")
+def q_importance_top(spark, sf_dir):
+    return explain.top_importance(explain.tree_nodes(spark, _model(spark, sf_dir)), _F, 10)
+
+
+@register("tree_shap")
+def q_tree_shap(spark, sf_dir):
+    _, test = _train_test(spark, sf_dir)
+    return explain.tree_shap(spark, _model(spark, sf_dir), test, _F, V.KEYS + ["label"])
+
+
+@register("sampled_shap")
+def q_sampled_shap(spark, sf_dir):
+    _, test = _train_test(spark, sf_dir)
+    return explain.sampled_shap(spark, _model(spark, sf_dir), test, _F, V.KEYS, samples=10)
+
+
+@register("shap_summary")
+def q_shap_summary(spark, sf_dir):
+    _, test = _train_test(spark, sf_dir)
+    contrib = explain.tree_shap(spark, _model(spark, sf_dir), test, _F, V.KEYS)
+    return explain.shap_summary(contrib, _F)
+
+
+# ------------------------------------------------------------------ search
+SPACE = {
+    "max_depth": search.arange(2, 5, 1),
+    "learning_rate": search.uniform(0.1, 0.5),
+    "subsample": search.quniform(0.5, 1.0, 0.1),
+    "booster": search.choice("gbtree", "dart"),
+    "rate_drop": search.when("booster", "dart", search.uniform(0.0, 1.0)),
+    "min_child_weight": search.loguniform(1.0, 100.0),
+}
+CV_OPTS = {"k": 2, "rounds": 10, "early_stopping": 3}
+
+
+@register("search_candidates")
+def q_search_candidates(spark, sf_dir):
+    """H1/H2: 10,000 candidate draws per 1,000 sig rows (candidates scale with the data)."""
+    n = max(100, V.sig(spark, sf_dir).count() // 100)
+    c = search.candidates(spark, SPACE, n, seed=7)
+    return c.select("trial_id", *[F.col("params")[p].alias(p) for p in SPACE])
+
+
+@register("search_random")
+def q_search_random(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    t = search.search(train, _F, "label", SPACE, "random", n_trials=3, seed=1, cv=CV_OPTS)
+    return t.drop("train_time")
+
+
+@register("search_adaptive")
+def q_search_adaptive(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    t = search.search(train, _F, "label", SPACE, "adaptive", n_trials=4, n_startup=3, seed=1,
+                      cv=CV_OPTS)
+    return t.drop("train_time")
+
+
+@register("trials_log")
+def q_trials_log(spark, sf_dir):
+    """H5: trials appended one by one to a parquet table, read back."""
+    path = search.trials_path(spark, "log")
+    trials = search.threshold_trials(V.scored(spark, sf_dir), GRID, "grid")
+    for r in trials.collect():
+        search.append_trial(spark, path, {
+            "trial_id": r["trial_id"], "optim_type": r["optim_type"], "iteration": r["iteration"],
+            "params": {"threshold": repr(r["threshold"])}, "u": {}, "loss": r["loss"],
+            "variance": 0.0, "estimators": 0, "train_time": 0.0})
+    return search.read_trials(spark, path).select("trial_id", "optim_type", "iteration", "loss")
+
+
+@register("fit_best")
+def q_fit_best(spark, sf_dir):
+    """H6 + L9: best of a small random search, refit at learning rate 0.05, test scores."""
+    train, test = _train_test(spark, sf_dir)
+    t = search.search(train, _F, "label", SPACE, "random", n_trials=2, seed=3, cv=CV_OPTS)
+    b = search.best_trial(t).first().asDict(recursive=True)
+    best = {"params": search.parse_params(b["params"]), "n_estimators": b["estimators"]}
+    m = boost.fit_best(train, _F, "label", best)
+    return boost.score(m, test, _F, V.KEYS + ["label"])
+
+
+# fixed values: decision thresholds tried by the two threshold searches
+GRID = [round(0.05 * i, 2) for i in range(1, 20)]
+RANDOM = [round((i * 0.6180339887498949) % 1.0, 6) for i in range(1, 20)]
+
+
+def _threshold_sql(name: str, values: list[float], first_id: int) -> str:
+    rows = ", ".join(f"({first_id + i}, {i}, {v!r})" for i, v in enumerate(values))
+    return f"""SELECT th.trial_id, '{name}' AS optim_type, CAST(th.iteration AS INTEGER) AS iteration,
+       CAST(th.threshold AS DOUBLE) AS threshold,
+       1 - COALESCE(2e0 * SUM(CASE WHEN label = 1 AND score > th.threshold THEN 1 ELSE 0 END)
+           / NULLIF(2 * SUM(CASE WHEN label = 1 AND score > th.threshold THEN 1 ELSE 0 END)
+                    + SUM(CASE WHEN label = 0 AND score > th.threshold THEN 1 ELSE 0 END)
+                    + SUM(CASE WHEN label = 1 AND score <= th.threshold THEN 1 ELSE 0 END), 0), 0) AS loss
+FROM scored, (VALUES {rows}) th(trial_id, iteration, threshold)
+GROUP BY th.trial_id, th.iteration, th.threshold"""
+
+
+_TRIALS_SQL = V.with_ctes(V.SCORED_SQL, f"trials AS ({_threshold_sql('grid', GRID, 0)} "
+                          f"UNION ALL {_threshold_sql('random', RANDOM, 100)})")
+
+
+def _threshold_trials(spark, sf_dir):
+    s = V.scored(spark, sf_dir)
+    return (search.threshold_trials(s, GRID, "grid", 0)
+            .unionByName(search.threshold_trials(s, RANDOM, "random", 100)))
+
+
+@register("best_trial", _TRIALS_SQL + """
+SELECT trial_id, optim_type, iteration, ROUND(threshold, 4) AS threshold, ROUND(loss, 4) AS loss
+FROM trials ORDER BY loss, iteration, trial_id LIMIT 1""")
+def q_best_trial(spark, sf_dir):
+    return search.best_trial(_threshold_trials(spark, sf_dir))
+
+
+@register("summarize_runs", _TRIALS_SQL + """
+SELECT optim_type, ROUND(arg_min(threshold, (loss, iteration, trial_id)), 4) AS best_params,
+       ROUND(MIN(loss), 4) AS best_loss, CAST(COUNT(*) AS BIGINT) AS n_trials
+FROM trials GROUP BY optim_type""")
+def q_summarize_runs(spark, sf_dir):
+    return search.summarize_runs(_threshold_trials(spark, sf_dir), params_col="threshold")
+
+
+@register("resume_trials", V.with_ctes(V.SCORED_SQL) + _threshold_sql("grid", GRID, 0))
+def q_resume_trials(spark, sf_dir):
+    """H7: trials 0-9 are stored; the resumed run evaluates only the pending ones."""
+    s = V.scored(spark, sf_dir)
+    path = search.trials_path(spark, "resume")
+    search.threshold_trials(s, GRID[:10], "grid", 0).write.mode("overwrite").parquet(path)
+    done = spark.read.parquet(path)
+    cands = spark.range(len(GRID)).select(
+        F.col("id").alias("trial_id"), F.round(F.lit(0.05) * (F.col("id") + 1), 2).alias("threshold"))
+    todo = search.pending(cands, done).orderBy("trial_id").collect()   # <= candidate count
+    if todo:
+        first = todo[0]["trial_id"]
+        new = search.threshold_trials(s, [r["threshold"] for r in todo], "grid", first) \
+            .withColumn("iteration", F.col("trial_id").cast("int"))
+        new.write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------------ comparison, experiment
+PROFILES = {
+    "lgb": {"n_estimators": 10, "num_leaves": 16, "learning_rate": 0.3, "feature_fraction": 0.8,
+            "seed": 992},
+    "xgb": {"n_estimators": 10, "max_depth": 4, "eta": 0.3, "subsample": 0.9, "seed": 42},
+}
+
+
+@register("compare_models")
+def q_compare_models(spark, sf_dir):
+    """E12 + E13: each profile evaluated on train and test, pivoted to one row each."""
+    train, test = _train_test(spark, sf_dir)
+    res = []
+    for algo, p in PROFILES.items():
+        m = boost.train_boosted(train, _F, "label", p)
+        for mode, part in (("train", train), ("test", test)):
+            res.append(metrics.evaluate(boost.score(m, part, _F, ["label"]), algo, mode))
+    return metrics.compare(res)
+
+
+@register("run_experiment")
+def q_run_experiment(spark, sf_dir):
+    """S3 -> T7 -> L2 -> H3 -> L9 -> L8 -> E12 -> E13 on the sig view."""
+    from tabforge.plans.experiment import run_experiment
+    conf = {"label": "label", "features": _F, "labels": [0, 1], "algorithm": "xgb",
+            "optimization": "random_search", "n_trials": 2, "cv": CV_OPTS, "space": SPACE}
+    return run_experiment(spark, V.sig(spark, sf_dir).select(*_F, "label", "l_orderkey"), conf)
+
+
+__all__ = ["folds"]
