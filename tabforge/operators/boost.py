@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.functions.numeric import col
+from tabforge.functions.partitioning import spread
 from tabforge.operators.explain import MAX_BROADCAST_NODES, tree_nodes
 
 NOT_TRAINED = "Please train the models using train_models method before testing"
@@ -176,8 +177,8 @@ def staged_confusion(spark, model, df: DataFrame, features: list[str], label: st
     forest = forest_arrays(spark, model)
     bc = spark.sparkContext.broadcast(forest)
     n_rounds = len(forest["trees"])
-    src = df.select(col(label).cast("double").alias("__y"),
-                    *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)])
+    src = spread(df.select(col(label).cast("double").alias("__y"),
+                           *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
     xcols = [f"__x{i}" for i in range(len(features))]
 
     def run(batches):
@@ -221,8 +222,8 @@ def staged_scores(spark, model, df: DataFrame, features: list[str], keep: list[s
     bc = spark.sparkContext.broadcast(forest)
     n_rounds = len(forest["trees"])
     rounds = sorted(set(rounds or range(1, n_rounds + 1)))
-    src = df.select(*[col(k) for k in keep],
-                    *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)])
+    src = spread(df.select(*[col(k) for k in keep],
+                           *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
     xcols = [f"__x{i}" for i in range(len(features))]
     fields = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(fields + [T.StructField("round", T.IntegerType()),

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabforge.functions.partitioning import spread
 from tabforge.session import scratch_path
 
 MAX_BROADCAST_NODES = 5_000_000
@@ -147,8 +148,8 @@ def tree_shap(spark, model, df: DataFrame, features: list[str], keep: list[str])
     forest = forest_arrays(spark, model)
     base = sum(t["weight"] * expected_value(t) for t in forest["trees"])
     bc = spark.sparkContext.broadcast(forest)
-    src = df.select(*[col(k) for k in keep],
-                    *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)])
+    src = spread(df.select(*[col(k) for k in keep],
+                           *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
     xcols = [f"__x{i}" for i in range(len(features))]
     kf = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(kf + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features]
@@ -197,8 +198,8 @@ def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[st
                .orderBy("__h").limit(background).drop("__h").collect())
     bg = np.array([[r[f] for f in features] for r in bg_rows], dtype=float)
     bc = spark.sparkContext.broadcast({"forest": forest, "bg": bg})
-    src = df.select(*[col(k) for k in keep],
-                    *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)])
+    src = spread(df.select(*[col(k) for k in keep],
+                           *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
     xcols = [f"__x{i}" for i in range(len(features))]
     kf = [f for f in src.schema.fields if f.name in keep]
     schema = T.StructType(kf + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features])

@@ -328,16 +328,18 @@ def q_power_bc_fixed(spark, sf_dir):
 
 @register("power_yj_fit", _fit_sql(_YJ_COLS, "yj"))
 def q_power_yj_fit(spark, sf_dir):
-    """Yeo-Johnson lambda = argmax of the likelihood on the -4..4 / 0.1 grid (no zoom)."""
+    """Yeo-Johnson lambda = argmax of the likelihood on the fixed -4..4 / 0.1 grid."""
     from tabforge.operators import power
-    p = power.fit_power(_power_src(spark, sf_dir), _YJ_COLS, "yeo-johnson", zoom_rounds=0)
+    p = power.fit_power(_power_src(spark, sf_dir), _YJ_COLS, "yeo-johnson", zoom_rounds=0,
+                        max_moves=0)
     return _lambdas_frame(spark, p)
 
 
 @register("power_bc_fit", _fit_sql(_BC_COLS, "bc"))
 def q_power_bc_fit(spark, sf_dir):
     from tabforge.operators import power
-    p = power.fit_power(_power_src(spark, sf_dir), _BC_COLS, "box-cox", zoom_rounds=0)
+    p = power.fit_power(_power_src(spark, sf_dir), _BC_COLS, "box-cox", zoom_rounds=0,
+                        max_moves=0)
     return _lambdas_frame(spark, p)
 
 
