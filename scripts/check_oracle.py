@@ -43,6 +43,31 @@ def rows_of(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
 
 
+def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> str | None:
+    """None when Spark and DuckDB agree, else a short reason."""
+    sdf = fn(spark, sf_dir)
+    scols, srows = sdf.columns, [tuple(r) for r in sdf.collect()]
+    cur = con.execute(sql)
+    dcols, drows = [d[0] for d in cur.description], cur.fetchall()
+    if sorted(scols) != sorted(dcols):
+        return f"columns {sorted(scols)} vs {sorted(dcols)}"
+    a, b = rows_of(scols, srows), rows_of(dcols, drows)
+    if len(a) != len(b):
+        return f"rows {len(a)} vs {len(b)}"
+    if a != b:
+        return f"values differ, e.g. {[(x, y) for x, y in zip(a, b) if x != y][:2]}"
+    return None
+
+
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2].split(",")) if len(sys.argv) > 2 else None

@@ -23,7 +23,7 @@ LOCAL_LIMIT = 200_000
 
 def running_sum(df: DataFrame, order: list[Column], measures: list[str],
                 partition_by: list[str] | tuple = (), prefix: str = "cum_",
-                n_rows: int | None = None, local_limit: int = LOCAL_LIMIT,
+                n_rows: int | None = None, local_limit: int | None = None,
                 num_partitions: int | None = None) -> DataFrame:
     """Append ``prefix + m`` = inclusive running sum of each measure.
 
@@ -31,6 +31,8 @@ def running_sum(df: DataFrame, order: list[Column], measures: list[str],
     ``partition_by``.  ``partition_by``: independent groups (e.g. column name).
     """
     partition_by = list(partition_by)
+    if local_limit is None:
+        local_limit = LOCAL_LIMIT          # read at call time (tests lower it)
     if n_rows is None:
         n_rows = df.count()
     if n_rows <= local_limit:

@@ -152,3 +152,28 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, y,
 FROM clf""")
 def q_class_weight(spark, sf_dir):
     return folds.with_class_weight(V.clf(spark, sf_dir), "y").select(*V.KEYS, "y", "weight")
+
+
+_KT = {"f1": "l_quantity", "f3": "l_discount", "f4": "l_tax", "ln": "l_linenumber"}
+
+
+def _kendall_pair(a: str, b: str) -> str:
+    return f"""SELECT '{a}' AS feature_1, '{b}' AS feature_2, (
+  WITH cl AS (SELECT {_KT[a]} AS x, {_KT[b]} AS y, COUNT(*) AS c FROM lineitem
+              WHERE {_KT[a]} IS NOT NULL AND {_KT[b]} IS NOT NULL GROUP BY 1, 2),
+  t AS (SELECT CAST(SUM(c) AS DOUBLE) AS n, CAST(SUM(c * (c - 1) / 2) AS DOUBLE) AS n3 FROM cl),
+  tx AS (SELECT CAST(SUM(s * (s - 1) / 2) AS DOUBLE) AS n1 FROM (SELECT SUM(c) AS s FROM cl GROUP BY x)),
+  ty AS (SELECT CAST(SUM(s * (s - 1) / 2) AS DOUBLE) AS n2 FROM (SELECT SUM(c) AS s FROM cl GROUP BY y)),
+  d AS (SELECT CAST(COALESCE(SUM(p.c * q.c), 0) AS DOUBLE) AS nd FROM cl p JOIN cl q ON p.x < q.x AND p.y > q.y)
+  SELECT ROUND((n * (n - 1) / 2 - n1 - n2 + n3 - 2 * nd)
+               / SQRT((n * (n - 1) / 2 - n1) * (n * (n - 1) / 2 - n2)), 4) FROM t, tx, ty, d) AS r"""
+
+
+_KCOLS = list(_KT)
+
+
+@register("corr_kendall", " UNION ALL ".join(
+    _kendall_pair(a, b) for i, a in enumerate(_KCOLS) for b in _KCOLS[:i + 1]))
+def q_corr_kendall(spark, sf_dir):
+    li = V.table(spark, sf_dir, "lineitem").select(*[F.col(v).alias(k) for k, v in _KT.items()])
+    return profile.correlation(li, _KCOLS, "kendall")
