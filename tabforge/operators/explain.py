@@ -125,6 +125,76 @@ def tree_shap_row(x, tree: dict, phi, scale: float = 1.0) -> None:
     recurse(0, [], 1.0, 1.0, -1)
 
 
+def leaf_tables(tree: dict) -> list[dict]:
+    """Per leaf: its unique path features, the conditions a row must meet to
+    follow the path, and the TreeSHAP contributions for every pattern of met
+    conditions (2^k x k, k = unique features on the path; built once per model).
+
+    A repeated feature merges into one path element (zero fractions multiply,
+    one-indicators AND), as in the recursive algorithm.
+    """
+    import itertools
+
+    import numpy as np
+    left, right = tree["left"], tree["right"]
+    feat, thr, cover, value = tree["feature"], tree["threshold"], tree["cover"], tree["value"]
+    out = []
+
+    def walk(j, path):
+        if left[j] < 0:
+            order: list[int] = []
+            z: dict[int, float] = {}
+            conds: dict[int, list] = {}
+            for parent, child, go_left in path:
+                d = int(feat[parent])
+                if d in z:
+                    order.remove(d)
+                else:
+                    z[d] = 1.0
+                    conds[d] = []
+                order.append(d)
+                rj = cover[parent] if cover[parent] > 0 else 1.0
+                z[d] *= cover[child] / rj
+                conds[d].append((float(thr[parent]), go_left))
+            k = len(order)
+            table = np.zeros((1 << k, max(k, 1)))
+            for mask in range(1 << k):
+                ones = [(mask >> i) & 1 for i in range(k)]
+                m = _extend([], 1.0, 1.0, -1)
+                for i, d in enumerate(order):
+                    m = _extend(m, z[d], float(ones[i]), d)
+                for i in range(k):
+                    w = sum(e[3] for e in _unwind(m, i + 1))
+                    table[mask, i] = w * (ones[i] - z[order[i]]) * value[j]
+            out.append({"features": order, "conds": [conds[d] for d in order], "table": table})
+            return
+        walk(left[j], path + [(j, left[j], True)])
+        walk(right[j], path + [(j, right[j], False)])
+
+    walk(0, [])
+    del itertools
+    return out
+
+
+def shap_batch(X, trees: list[dict], tables: list[list[dict]], n_features: int):
+    """Contributions of every row of X (n x d) on the margin scale, vectorised."""
+    import numpy as np
+    phi = np.zeros((X.shape[0], n_features))
+    for t, leaves in zip(trees, tables):
+        wt = t["weight"]
+        for leaf in leaves:
+            mask = np.zeros(X.shape[0], dtype=np.int64)
+            for i, (d, conds) in enumerate(zip(leaf["features"], leaf["conds"])):
+                ok = np.ones(X.shape[0], dtype=bool)
+                for th, go_left in conds:
+                    ok &= (X[:, d] <= th) if go_left else (X[:, d] > th)
+                mask |= ok.astype(np.int64) << i
+            contrib = leaf["table"][mask]
+            for i, d in enumerate(leaf["features"]):
+                phi[:, d] += wt * contrib[:, i]
+    return phi
+
+
 def expected_value(tree: dict) -> float:
     """Cover-weighted mean leaf value."""
     import numpy as np
@@ -159,16 +229,15 @@ def tree_shap(spark, model, df: DataFrame, features: list[str], keep: list[str])
     def run(batches):
         import numpy as np
         trees = bc.value["trees"]
+        tables = [leaf_tables(t) for t in trees]          # once per task
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[xcols].to_numpy(dtype=float)
-            phi = np.zeros((len(pdf), len(features)))
             margin = np.zeros(len(pdf))
             for t in trees:
                 margin += t["weight"] * tree_predict(X, t)
-                for r in range(len(pdf)):
-                    tree_shap_row(X[r], t, phi[r], t["weight"])
+            phi = shap_batch(X, trees, tables, len(features))
             out = pdf[keep].copy()
             for i, f in enumerate(features):
                 out[f"phi_{f}"] = phi[:, i]

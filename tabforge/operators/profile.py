@@ -58,7 +58,8 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 20, by: str | None = N
     grid = rng.select(*keys, "__tot", "lo0", "hi0",
                       F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi0") - F.col("lo0")) / F.lit(float(bins))
-    return grid.join(counts, keys + ["bin"], "left").select(
+    # counts has at most one row per grid cell: same size bound as the grid
+    return grid.join(_maybe_broadcast(counts, n_rng * bins), keys + ["bin"], "left").select(
         *keys, "bin", (F.col("lo0") + F.col("bin") * width).alias("lo"),
         (F.col("lo0") + (F.col("bin") + 1) * width).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),

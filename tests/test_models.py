@@ -65,3 +65,17 @@ def test_importance_weight_counts_splits(spark, fitted):
     imp = explain.importance(nodes, FEATS, "weight")
     n_splits = nodes.where(F.col("left") >= 0).count()
     assert sum(r["weight"] for r in imp.collect()) == n_splits
+
+
+def test_vectorised_shap_equals_recursive(spark, fitted):
+    import numpy as np
+    m, test = fitted
+    forest = boost.forest_arrays(spark, m)
+    X = np.array([[r[f] for f in FEATS] for r in test.select(*FEATS).limit(200).collect()], float)
+    tables = [explain.leaf_tables(t) for t in forest["trees"]]
+    fast = explain.shap_batch(X, forest["trees"], tables, len(FEATS))
+    slow = np.zeros_like(fast)
+    for t in forest["trees"]:
+        for r in range(len(X)):
+            explain.tree_shap_row(X[r], t, slow[r], t["weight"])
+    assert np.abs(fast - slow).max() < 1e-12
