@@ -358,3 +358,26 @@ def q_preprocess_full(spark, sf_dir):
                         categorical=V.DIRTY_CATEGORICAL, target="target", labels=V.DIRTY_LABELS,
                         category_threshold=V.LUMP_THRESHOLD, encode_target=True, transform=True)
     return out
+
+
+# ------------------------------------------------------------------ CSV source
+def _region_csv(spark, sf_dir, header: bool) -> str:
+    """Write region as CSV below the shared checkpoint folder; return the path."""
+    from tabforge.session import scratch_path
+    path = scratch_path(spark, "region-csv")
+    io.read_table(spark, f"{sf_dir}/region.parquet").write.option("header", header).csv(path)
+    return path
+
+
+@register("src_csv", "SELECT r_regionkey, r_name FROM region")
+def q_src_csv(spark, sf_dir):
+    """CSV round trip, header inferred from the first line."""
+    path = _region_csv(spark, sf_dir, header=True)
+    return io.read_table(spark, path, "csv", header="infer")
+
+
+@register("src_csv_noheader", 'SELECT r_regionkey AS "0", r_name AS "1" FROM region')
+def q_src_csv_noheader(spark, sf_dir):
+    """CSV without a header: columns named by position."""
+    path = _region_csv(spark, sf_dir, header=False)
+    return io.read_table(spark, path, "csv", header=None)

@@ -191,3 +191,21 @@ def _agg_query(prim: str):
 
 for _p in synth.AGGREGATIONS:
     register(f"agg_{_p}", _agg_oracle(_p))(_agg_query(_p))
+
+
+@register("agg_events", """
+SELECT u.user_id, CAST(COUNT(e.event_id) AS BIGINT) AS count_rows,
+       ROUND(SUM(e.value), 4) AS sum_value, ROUND(AVG(e.value), 4) AS mean_value,
+       ROUND(STDDEV_SAMP(e.value), 4) AS std_value, ROUND(MAX(e.value), 4) AS max_value,
+       ROUND(MIN(e.value), 4) AS min_value,
+       ROUND(AVG(CASE WHEN e.event_type = 'purchase' THEN 1e0 ELSE 0e0 END), 4) AS percent_true_is_purchase
+FROM (SELECT DISTINCT user_id FROM events) u JOIN events e ON u.user_id = e.user_id
+GROUP BY u.user_id""")
+def q_agg_events(spark, sf_dir):
+    """D7 on the second relation: events grouped by user (the parent = distinct users)."""
+    ev = V.table(spark, sf_dir, "events").select(
+        "user_id", "value", (F.col("event_type") == "purchase").alias("is_purchase"))
+    users = ev.select("user_id").distinct()
+    return synth.aggregate_features(ev, users, "user_id", "user_id",
+                                    ["count", "sum", "mean", "std", "max", "min", "percent_true"],
+                                    numeric=["value"], boolean=["is_purchase"])
