@@ -18,25 +18,114 @@ from tabforge.functions.numeric import col
 from tabforge.functions.prefix import running_sum
 
 
+BAND_LIMIT = 1_000_000
+
+
+def _long(df: DataFrame, cols: list[str]) -> DataFrame:
+    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', CAST(`{c.replace('`', '``')}` AS DOUBLE)"
+                      for c in cols)
+    return df.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, value)") \
+             .where(F.col("value").isNotNull())
+
+
+def _interpolate(n: int, probs: list[float], at: dict[int, float]) -> list[float]:
+    out = []
+    for p in probs:
+        pos = (n - 1) * p
+        lo, hi = math.floor(pos), math.ceil(pos)
+        out.append(at[lo] + (pos - lo) * (at[hi] - at[lo]))
+    return out
+
+
 def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool = False,
               accuracy: int = 100_000) -> dict[str, list[float | None]]:
+    """Exact (default) or approximate quantiles of each column, linear interpolation.
+
+    Exact path: (1) a ``percentile_approx`` sketch gives, for each wanted rank,
+    a bracket [lo, hi] that must contain it (sketch rank error <= n/accuracy,
+    widened 2x); (2) one aggregation counts the values below each bracket and
+    groups the values inside it; (3) a running count over those few bracket
+    values finds the exact ones.  Only bracket-sized data reaches the driver;
+    a bracket that misses falls back to the full distributed running count.
+    """
     if not cols:
         return {}
     if approx:
         r = df.agg(*[F.percentile_approx(col(c), probs, accuracy).alias(c) for c in cols]).first()
         return {c: list(r[c]) if r[c] is not None else [None] * len(probs) for c in cols}
-    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', CAST(`{c.replace('`', '``')}` AS DOUBLE)"
-                      for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, value)")
-    counts = (long.where(F.col("value").isNotNull())
-              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = _long(df, cols)
+    n_by = {r["column_name"]: r["n"] for r in
+            long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    eps = 2.0 / accuracy
+    wanted = {}
+    for c, n in n_by.items():
+        ks = set()
+        for p in probs:
+            pos = (n - 1) * p
+            ks.update({math.floor(pos), math.ceil(pos)})
+        wanted[c] = sorted(ks)
+    brk_p = sorted({min(1.0, max(0.0, k / max(n_by[c] - 1, 1) + d))
+                    for c in wanted for k in wanted[c] for d in (-eps, eps)})
+    sk = df.agg(*[F.percentile_approx(col(c), brk_p, accuracy).alias(c) for c in n_by]).first()
+    brackets = {}
+    for c in n_by:
+        qv = dict(zip(brk_p, sk[c]))
+        n = n_by[c]
+        brackets[c] = [(k, qv[min(1.0, max(0.0, k / max(n - 1, 1) - eps))],
+                        qv[min(1.0, max(0.0, k / max(n - 1, 1) + eps))]) for k in wanted[c]]
+    below = []
+    inside = F.lit(False)
+    for c, bl in brackets.items():
+        for i, (k, lo, hi) in enumerate(bl):
+            below.append(F.sum(F.when((F.col("column_name") == c) & (F.col("value") < lo), 1)
+                               .otherwise(0)).alias(f"b_{len(below)}"))
+            inside = inside | ((F.col("column_name") == c) & (F.col("value") >= lo)
+                               & (F.col("value") <= hi))
+    nb = long.agg(*below).first()
+    band_df = (long.where(inside).groupBy("column_name", "value")
+               .agg(F.count(F.lit(1)).alias("n")).persist())
+    if band_df.count() > BAND_LIMIT:                  # too wide to gather: stay distributed
+        band_df.unpersist()
+        return _quantiles_running(long, cols, probs, n_by)
+    band = band_df.orderBy("column_name", "value").collect()
+    band_df.unpersist()
+    at: dict[tuple[str, int], float] = {}
+    idx = 0
+    ok = True
+    for c, bl in brackets.items():
+        vals = [(r["value"], r["n"]) for r in band if r["column_name"] == c]
+        for k, lo, hi in bl:
+            start = nb[f"b_{idx}"]
+            idx += 1
+            cum = start
+            found = None
+            for v, cnt in vals:
+                if v < lo or v > hi:
+                    continue
+                if cum <= k < cum + cnt:
+                    found = v
+                    break
+                cum += cnt
+            if found is None:
+                ok = False
+            else:
+                at[(c, k)] = found
+    if not ok:
+        return _quantiles_running(long, cols, probs, n_by)
+    return {c: (_interpolate(n_by[c], probs, {k: at[(c, k)] for k in wanted[c]})
+                if c in n_by else [None] * len(probs)) for c in cols}
+
+
+def _quantiles_running(long: DataFrame, cols: list[str], probs: list[float],
+                       n_by: dict[str, int]) -> dict[str, list[float | None]]:
+    """Fallback: distinct-value counts + distributed running count per column."""
+    counts = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
               .persist())
-    sizes = {r["column_name"]: (r["n"], r["d"]) for r in counts.groupBy("column_name").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).collect()}
+    d = counts.count()
     cum = running_sum(counts, [F.col("value").asc()], ["n"], partition_by=["column_name"],
-                      n_rows=sum(d for _, d in sizes.values()))
+                      n_rows=d)
     wanted: dict[str, set[int]] = {}
-    for c, (n, _) in sizes.items():
+    for c, n in n_by.items():
         ks = set()
         for p in probs:
             pos = (n - 1) * p
@@ -49,23 +138,10 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool =
                            & (F.col("cum_n") > k))
     picked = cum.where(cond).select("column_name", "value", "n", "cum_n").collect()
     counts.unpersist()
-    at: dict[tuple[str, int], float] = {}
+    at: dict[str, dict[int, float]] = {c: {} for c in n_by}
     for r in picked:
-        lo_rank = r["cum_n"] - r["n"]
         for k in wanted[r["column_name"]]:
-            if lo_rank <= k < r["cum_n"]:
-                at[(r["column_name"], k)] = r["value"]
-    out: dict[str, list[float | None]] = {}
-    for c in cols:
-        if c not in sizes:
-            out[c] = [None] * len(probs)
-            continue
-        n = sizes[c][0]
-        vals = []
-        for p in probs:
-            pos = (n - 1) * p
-            lo, hi = math.floor(pos), math.ceil(pos)
-            v_lo, v_hi = at[(c, lo)], at[(c, hi)]
-            vals.append(v_lo + (pos - lo) * (v_hi - v_lo))
-        out[c] = vals
-    return out
+            if r["cum_n"] - r["n"] <= k < r["cum_n"]:
+                at[r["column_name"]][k] = r["value"]
+    return {c: (_interpolate(n_by[c], probs, at[c]) if c in n_by else [None] * len(probs))
+            for c in cols}

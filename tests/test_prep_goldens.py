@@ -98,3 +98,17 @@ def test_chain_fit_apply_on_test_rows(spark):
     out, state = preprocess(df, NUM, "target", ["0", "1"], ["feat4"], transform=False)
     again = apply_preprocess(_df(spark), state)
     assert _sorted(out) == _sorted(again)
+
+
+def test_exact_quantiles_bracket_and_fallback(spark):
+    import numpy as np
+
+    from tabforge.functions import quantile
+    vals = [float((i * 7919) % 1000) / 7.0 for i in range(3000)] + [5.0] * 1000
+    df = spark.createDataFrame([(v, -v) for v in vals], ["a", "b"])
+    probs = [0.25, 0.5, 0.75, 0.9]
+    want = {"a": list(np.quantile(vals, probs)), "b": list(np.quantile([-v for v in vals], probs))}
+    for acc in (100_000, 3):                     # a coarse sketch exercises the fallback
+        got = quantile.quantiles(df, ["a", "b"], probs, accuracy=acc)
+        for c in ("a", "b"):
+            assert got[c] == pytest.approx(want[c], abs=1e-12)
