@@ -49,7 +49,10 @@ def _pred(score: str, threshold: float) -> Column:
 def confusion(df: DataFrame, threshold: float = 0.5, label: str = "label",
               score: str = "score") -> DataFrame:
     """(actual, predicted, n) for all four cells, absent cells 0; one pass."""
-    c = _cells(df, label, _pred(score, threshold))
+    return _confusion_from(_cells(df, label, _pred(score, threshold)))
+
+
+def _confusion_from(c: DataFrame) -> DataFrame:
     return c.selectExpr("stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) "
                         "AS (actual, predicted, n)").select(
         F.col("actual").cast("int"), F.col("predicted").cast("int"),
@@ -63,7 +66,11 @@ def _div(a: Column, b: Column) -> Column:
 def class_report(df: DataFrame, threshold: float = 0.5, label: str = "label",
                  score: str = "score") -> DataFrame:
     """Precision, recall, f1_score, support per class, accuracy, macro and weighted avg."""
-    c = _cells(df, label, _pred(score, threshold)).na.fill(0)
+    return _report_from(_cells(df, label, _pred(score, threshold)))
+
+
+def _report_from(c: DataFrame) -> DataFrame:
+    c = c.na.fill(0)
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
     p0, r0 = _div(tn, tn + fn), _div(tn, tn + fp)
@@ -152,7 +159,10 @@ def _drop_collinear(pts: DataFrame, d: int) -> DataFrame:
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """E5: area under the ROC curve (trapezoid = Mann-Whitney with tie halves)."""
-    cum, t = _curve(df, label, score)
+    return _roc_auc_from(*_curve(df, label, score))
+
+
+def _roc_auc_from(cum: DataFrame, t) -> DataFrame:
     P, Q = float(t["P"] or 0), float(t["Q"] or 0)
     # negatives at this score x (positives above it + half the positives at it)
     part = F.col("neg") * (F.col("tps") - F.col("pos") + F.col("pos") / 2.0)
@@ -186,7 +196,10 @@ def _pr_points(cum: DataFrame, P: float) -> DataFrame:
 
 def pr_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Trapezoid area under the PR curve over recall."""
-    cum, t = _curve(df, label, score)
+    return _pr_auc_from(*_curve(df, label, score))
+
+
+def _pr_auc_from(cum: DataFrame, t) -> DataFrame:
     pts = _pr_points(cum, float(t["P"] or 0))
     area = (F.col("recall") - F.col("prev_recall")) * (F.col("precision")
                                                        + F.col("prev_precision")) / 2.0
@@ -236,17 +249,21 @@ def evaluate(df: DataFrame, algo: str = "model", mode: str = "test", threshold:
     """(algo, mode, metric, value): confusion cells, report, ROC AUC, PR AUC."""
     df = df.select(F.col(label).alias("label"), F.col(score).alias("score")) \
            .persist(StorageLevel.MEMORY_AND_DISK)
-    conf = confusion(df, threshold).select(
+    cells = _cells(df, "label", _pred("score", threshold)).persist()   # one pass, 1 row
+    conf = _confusion_from(cells).select(
         F.concat(F.lit("confusion_"), F.col("actual").cast("string"), F.lit("_"),
                  F.col("predicted").cast("string")).alias("metric"),
         F.col("n").cast("double").alias("value"))
-    rep = class_report(df, threshold)
+    rep = _report_from(cells)
     rep_long = rep.selectExpr(
         "stack(4, concat('precision_', label), precision, concat('recall_', label), recall, "
         "concat('f1_', label), f1_score, concat('support_', label), CAST(support AS DOUBLE)) "
         "AS (metric, value)").where(F.col("value").isNotNull())
-    auc = roc_auc(df).select(F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value"))
-    pra = pr_auc(df).select(F.lit("pr_auc").alias("metric"), F.col("pr_auc").alias("value"))
+    cum, t = _curve(df, "label", "score")                                # one curve for both
+    auc = _roc_auc_from(cum, t).select(F.lit("roc_auc").alias("metric"),
+                                       F.col("roc_auc").alias("value"))
+    pra = _pr_auc_from(cum, t).select(F.lit("pr_auc").alias("metric"),
+                                      F.col("pr_auc").alias("value"))
     out = conf.unionByName(rep_long).unionByName(auc).unionByName(pra)
     return out.select(F.lit(algo).alias("algo"), F.lit(mode).alias("mode"), "metric", "value")
 
