@@ -132,7 +132,7 @@ CV_OPTS = {"k": 2, "rounds": 10, "early_stopping": 3}
 
 @register("search_candidates")
 def q_search_candidates(spark, sf_dir):
-    """H1/H2: 10,000 candidate draws per 1,000 sig rows (candidates scale with the data)."""
+    """H1/H2: one candidate draw per 100 sig rows (the candidate set scales with the data)."""
     n = max(100, V.sig(spark, sf_dir).count() // 100)
     c = search.candidates(spark, SPACE, n, seed=7)
     return c.select("trial_id", *[F.col("params")[p].alias(p) for p in SPACE])
@@ -267,3 +267,20 @@ def q_run_experiment(spark, sf_dir):
 
 
 __all__ = ["folds"]
+
+
+@register("doc_quality_eval")
+def q_doc_quality_eval(spark, sf_dir):
+    """Text primitives on documents joined to labels -> boosted model for the
+    (imbalanced) quality target -> held-out evaluation table."""
+    from tabforge.operators import synth
+    d = V.doc(spark, sf_dir).select("doc_id", "text", "n_chars", "quality")
+    fm = synth.synthesize(d, ["num_characters", "num_words"], 1, ["text"],
+                          passthrough=["doc_id", "n_chars", "quality"], keep_base=False)
+    feats = ["NUM_CHARACTERS(text)", "NUM_WORDS(text)", "n_chars"]
+    train = fm.where(F.col("doc_id") % 10 < 7)
+    test = fm.where(F.col("doc_id") % 10 >= 7)
+    m = boost.train_boosted(train, feats, "quality", {"n_estimators": 10, "max_depth": 3,
+                                                       "seed": 7}, class_weight=True)
+    scored = boost.score(m, test, feats, ["quality"]).withColumnRenamed("quality", "label")
+    return metrics.evaluate(scored, "gbt_text", "test")
