@@ -99,7 +99,8 @@ def train_boosted(df: DataFrame, features: list[str], label: str, params: dict |
     if class_weight and weight is None:
         df = with_class_weight(df, label, "__w")
         weight = "__w"
-    data = assemble(df, features, label, weight)
+    # training reads its input once per round: spread an under-partitioned input once
+    data = spread(assemble(df, features, label, weight))
     kwargs, _ = spark_params(params, None)
     if params and "min_child_weight" in params:
         kwargs, _ = spark_params(params, data.count())

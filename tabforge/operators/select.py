@@ -89,8 +89,9 @@ def _vector(df: DataFrame, features: list[str], label: str, scaled: bool) -> Dat
                     col(label).cast("double").alias("__label"))
     if scaled:
         src = minmax_frame(src, features)
-    return VectorAssembler(inputCols=features, outputCol="__features").transform(src) \
-        .select("__features", "__label").persist(StorageLevel.MEMORY_AND_DISK)
+    from tabforge.functions.partitioning import spread
+    return spread(VectorAssembler(inputCols=features, outputCol="__features").transform(src)
+                  .select("__features", "__label")).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _importance_table(spark, features: list[str], values: list[float]) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabforge.operators import boost, explain, folds, metrics, search
+from tabforge.operators import boost, explain, metrics, search
 from tabforge.plans import views as V
 from tabforge.plans.registry import register
 
@@ -266,8 +266,6 @@ def q_run_experiment(spark, sf_dir):
     return run_experiment(spark, V.sig(spark, sf_dir).select(*_F, "label", "l_orderkey"), conf)
 
 
-__all__ = ["folds"]
-
 
 @register("doc_quality_eval")
 def q_doc_quality_eval(spark, sf_dir):
