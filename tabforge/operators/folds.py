@@ -35,11 +35,15 @@ def split(df: DataFrame, test: float = 0.3, seed: int = 0, keys: list[str] | Non
     return df.where(~flag), df.where(flag)
 
 
-def split_exact(df: DataFrame, test: float = 0.3, order: list[Column] | None = None
-                ) -> tuple[DataFrame, DataFrame]:
-    """L1 (exact): the first round(test*n) rows in ``order`` form the test part."""
-    k = int(round(test * df.count()))
-    flagged = first_k_flag(df, k, order or [], out="__test")
+def split_exact(df: DataFrame, test: float = 0.3, order: list[Column] | None = None,
+                lead: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """L1 (exact): the first round(test*n) rows in ``order`` form the test part.
+
+    ``lead``: the numeric first sort key (ascending), which lets the cut be
+    found without positioning every row."""
+    n = df.count()
+    k = int(round(test * n))
+    flagged = first_k_flag(df, k, order or [], out="__test", lead=lead, n=n)
     return (flagged.where(~F.col("__test")).drop("__test"),
             flagged.where(F.col("__test")).drop("__test"))
 

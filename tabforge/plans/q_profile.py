@@ -122,7 +122,8 @@ QUALIFY ROW_NUMBER() OVER (ORDER BY {_ORDER_SQL}, {', '.join(_TIE)})
         <= (SELECT ROUND(0.3 * COUNT(*)) FROM clf)""")
 def q_split_exact(spark, sf_dir):
     _, test = folds.split_exact(V.clf(spark, sf_dir), 0.3,
-                                [_order_col().asc()] + [F.col(c).asc() for c in _TIE])
+                                [_order_col().asc()] + [F.col(c).asc() for c in _TIE],
+                                lead=_order_col())
     return test
 
 

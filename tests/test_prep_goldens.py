@@ -112,3 +112,18 @@ def test_exact_quantiles_bracket_and_fallback(spark):
         got = quantile.quantiles(df, ["a", "b"], probs, accuracy=acc)
         for c in ("a", "b"):
             assert got[c] == pytest.approx(want[c], abs=1e-12)
+
+
+def test_first_k_flag_ties_and_nulls(spark):
+    from tabforge.sources.io import first_k_flag
+    rows = [(i % 5 if i % 17 else None, i) for i in range(200)]   # heavy ties, some NULL leads
+    df = spark.createDataFrame(rows, "h INT, i INT")
+    for k in (0, 1, 37, 120, 199, 200):
+        got = first_k_flag(df, k, [F.col("h").asc(), F.col("i").asc()], lead=F.col("h"))
+        sel = sorted(r["i"] for r in got.where("_sel").collect())
+        want = sorted(r[1] for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))[:k])
+        assert sel == want and got.count() == 200
+    clean = spark.createDataFrame([(i % 5, i) for i in range(200)], "h INT, i INT")
+    got = first_k_flag(clean, 77, [F.col("h").asc(), F.col("i").asc()], lead=F.col("h"), n=200)
+    sel = sorted(r["i"] for r in got.where("_sel").collect())
+    assert sel == sorted(i for _, i in sorted([(i % 5, i) for i in range(200)])[:77])
