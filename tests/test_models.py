@@ -17,17 +17,18 @@ FEATS = V.FEATURES
 def fitted(spark):
     d = V.sig(spark, SF)
     train = d.where(F.col("l_orderkey") % 10 < 7)
-    test = d.where(F.col("l_orderkey") % 10 >= 7).cache()
+    test = d.where(F.col("l_orderkey") % 10 >= 7) \
+        .withColumn("rid", F.monotonically_increasing_id()).cache()   # keys not unique here
     m = boost.train_boosted(train, FEATS, "label", {"n_estimators": 6, "max_depth": 3, "seed": 1})
     return m, test
 
 
 def test_margins_and_shap(spark, fitted):
     m, test = fitted
-    sh = explain.tree_shap(spark, m, test, FEATS, V.KEYS + ["l_quantity"] if False else V.KEYS)
-    raw = m.transform(boost.assemble(test, FEATS, None, None, keep=V.KEYS + FEATS)).select(
-        *V.KEYS, vector_to_array("rawPrediction")[1].alias("raw"))
-    j = sh.join(raw, V.KEYS)
+    sh = explain.tree_shap(spark, m, test, FEATS, ["rid"])
+    raw = m.transform(boost.assemble(test, FEATS, None, None, keep=["rid"] + FEATS)).select(
+        "rid", vector_to_array("rawPrediction")[1].alias("raw"))
+    j = sh.join(raw, "rid")
     r = j.select(F.max(F.abs(F.col("margin") - F.col("raw"))).alias("a"),
                  F.max(F.abs(sum(F.col(f"phi_{f}") for f in FEATS) + F.col("expected_value")
                              - F.col("margin"))).alias("b")).first()
