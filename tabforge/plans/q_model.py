@@ -282,3 +282,18 @@ def q_doc_quality_eval(spark, sf_dir):
                                                        "seed": 7}, class_weight=True)
     scored = boost.score(m, test, feats, ["quality"]).withColumnRenamed("quality", "label")
     return metrics.evaluate(scored, "gbt_text", "test")
+
+
+@register("reference_spaces")
+def q_reference_spaces(spark, sf_dir):
+    """H1/H2: candidates from the nine reference spaces (engine x optimiser), one
+    draw per 1,000 sig rows each; params as JSON."""
+    from tabforge.operators import spaces
+    n = max(10, V.sig(spark, sf_dir).count() // 1000)
+    out = None
+    for (algo, optim), sp in spaces.SPACES.items():
+        c = search.candidates(spark, sp, n, seed=11).select(
+            F.lit(algo).alias("algorithm"), F.lit(optim).alias("optimiser"), "trial_id",
+            F.to_json("params").alias("params"))
+        out = c if out is None else out.unionByName(c)
+    return out
