@@ -52,7 +52,8 @@ def importance(nodes: DataFrame, features: list[str], kind: str = "weight") -> D
     kinds = {"weight": F.count(F.lit(1)), "gain": F.avg("gain"), "cover": F.avg("count"),
              "total_gain": F.sum("gain"), "total_cover": F.sum("count")}
     if kind not in kinds:
-        raise ValueError(f"kind must be one of {sorted(kinds)}")
+        raise ValueError("Importance Type not supported. Must be among: "
+                         "'gain', 'weight', 'cover', 'total_gain', 'total_cover'")
     splits = nodes.where(F.col("left") >= 0).groupBy("feature").agg(
         kinds[kind].cast("double").alias("value"))
     names = nodes.sparkSession.createDataFrame(list(enumerate(features)),
