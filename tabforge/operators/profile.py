@@ -85,83 +85,47 @@ def correlation(df: DataFrame, cols: list[str], method: str = "pearson") -> Data
     elif method == "kendall":
         return kendall(df, cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
+    prof = df.agg(*[(F.count(F.lit(1)) - F.count(col(c))).alias(f"z{i}") for i, c in enumerate(cols)],
+                  *[F.avg(col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    if not any(prof[f"z{i}"] for i in range(len(cols))):
+        if len(pairs) <= CENTRED_PAIR_LIMIT:
+            return _centred_pearson(df, cols, pairs, [prof[f"m{i}"] for i in range(len(cols))])
+        return _ml_pearson(df, cols, pairs)
+    # pairwise-complete correlation: one aggregate of all pairs (try_divide form)
     r = df.agg(*[safe_corr(col(cols[i]).cast("double"), col(cols[j]).cast("double"))
                  .alias(f"r{i}_{j}") for i, j in pairs])
     stack = ", ".join(f"'{cols[i]}', '{cols[j]}', `r{i}_{j}`" for i, j in pairs)
     return r.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_1, feature_2, r)")
 
 
-def _dense_ranks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, dict[str, int]]:
-    """Each column replaced by the dense rank (0-based) of its value; {column: distinct}."""
-    vals = _long(df, cols).groupBy("column_name", "value").agg(F.lit(1).alias("one")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["column_name"]: r["d"] for r in
-             vals.groupBy("column_name").agg(F.count(F.lit(1)).alias("d")).collect()}
-    cum = running_sum(vals, [F.col("value").asc()], ["one"], partition_by=["column_name"],
-                      n_rows=sum(sizes.values()))
-    ranks = cum.select("column_name", "value", (F.col("cum_one") - 1).alias("rank"))
-    out = df
-    for i, c in enumerate(cols):
-        side = ranks.where(F.col("column_name") == c).select(
-            F.col("value").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
-        side = _maybe_broadcast(side, sizes.get(c, 0))
-        out = out.join(side, col(c).cast("double") == F.col(f"__v{i}"), "left").drop(f"__v{i}")
-    return out.select(*[F.col(f"__r{i}").alias(c) for i, c in enumerate(cols)]), sizes
-
-
-def kendall(df: DataFrame, cols: list[str]) -> DataFrame:
-    """V6: Kendall tau-b for every pair (i >= j), exact, without emitting pairs.
-
-    tau_b = (n0 - n1 - n2 + n3 - 2 nd) / sqrt((n0 - n1)(n0 - n2)) over the rows
-    where both values are present (n0 all pairs, n1/n2 pairs tied in x/y, n3
-    tied in both).  nd = discordant pairs = sum over cells j of
-    c_j * #{i : rx_i < rx_j, ry_i > ry_j}: a 2D dominance count.  [0, rx_j) is
-    split into dyadic blocks (one per set bit of rx_j); every cell is a record in
-    its block at each level and a query against its left sibling block, and one
-    running sum over ry (descending, queries before records on ties),
-    partitioned by (pair, level, block), answers all queries.  Work is
-    O(K log K) over the distinct (x, y) cells, spread by range partitions.
-    """
-    ranked, sizes = _dense_ranks(df, cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
-    stack = ", ".join(f"{p}, `{cols[i]}`, `{cols[j]}`" for p, (i, j) in enumerate(pairs))
-    cells = (ranked.selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, rx, ry)")
-             .where(F.col("rx").isNotNull() & F.col("ry").isNotNull())
-             .groupBy("pair", "rx", "ry").agg(F.count(F.lit(1)).alias("c"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    # tie terms per pair
-    c2 = lambda t: t * (t - 1) / 2.0
-    n_all = cells.groupBy("pair").agg(F.sum("c").alias("n"), F.sum(c2(F.col("c"))).alias("n3"))
-    n_x = cells.groupBy("pair", "rx").agg(F.sum("c").alias("t")).groupBy("pair") \
-        .agg(F.sum(c2(F.col("t"))).alias("n1"))
-    n_y = cells.groupBy("pair", "ry").agg(F.sum("c").alias("t")).groupBy("pair") \
-        .agg(F.sum(c2(F.col("t"))).alias("n2"))
-    # dominance count
-    kx = max([sizes.get(cols[i], 1) for i, _ in pairs] + [1])
-    levels = max(1, (kx - 1).bit_length())
-    lv = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
-    rec = cells.select("pair", "rx", "ry", "c", lv).select(
-        "pair", "level", F.expr("shiftright(rx, level)").alias("block"), "ry",
-        F.lit(1).alias("kind"), F.col("c").alias("w"), F.lit(0).cast("long").alias("qc"))
-    qry = cells.select("pair", "rx", "ry", "c", lv).where(
-        F.expr("shiftright(rx, level) & 1") == 1).select(
-        "pair", "level", F.expr("shiftright(rx, level) - 1").alias("block"),
-        "ry", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("w"),
-        F.col("c").alias("qc"))
-    both = rec.unionByName(qry)
-    cum = running_sum(both, [F.col("ry").desc(), F.col("kind").asc()], ["w"],
-                      partition_by=["pair", "level", "block"])
-    nd = cum.where(F.col("kind") == 0).groupBy("pair").agg(
-        F.sum(F.col("qc") * F.col("cum_w")).cast("double").alias("nd"))
-    t = (n_all.join(n_x, "pair").join(n_y, "pair").join(nd, "pair", "left")
-         .withColumn("nd", F.coalesce(F.col("nd"), F.lit(0.0)))
-         .withColumn("n0", c2(F.col("n"))))
-    tau = F.try_divide(F.col("n0") - F.col("n1") - F.col("n2") + F.col("n3") - 2 * F.col("nd"),
-                       F.sqrt((F.col("n0") - F.col("n1")) * (F.col("n0") - F.col("n2"))))
-    names = df.sparkSession.createDataFrame(
-        [(p, cols[i], cols[j]) for p, (i, j) in enumerate(pairs)],
-        "pair INT, feature_1 STRING, feature_2 STRING")
-    return names.join(t.select("pair", tau.alias("r")), "pair", "left").drop("pair")
+CENTRED_PAIR_LIMIT = 90     # one sum per pair keeps the aggregate inside whole-stage codegen
+
+
+def _centred_pearson(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]],
+                     means: list[float]) -> DataFrame:
+    """No NULLs: one pass of centred cross-product sums (exact means from the
+    profiling pass), r = S_ij / sqrt(S_ii S_jj); a constant column gives NULL."""
+    xc = [col(c).cast("double") - F.lit(float(m)) for c, m in zip(cols, means)]
+    sums = df.agg(*[F.sum(xc[i] * xc[j]).alias(f"s{i}_{j}") for i, j in pairs])
+    stack = ", ".join(
+        f"'{cols[i]}', '{cols[j]}', try_divide(`s{i}_{j}`, sqrt(`s{i}_{i}` * `s{j}_{j}`))"
+        for i, j in pairs)
+    return sums.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_1, feature_2, r)")
+
+
+def _ml_pearson(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """No NULLs: Spark ML's distributed correlation (centred Gramian, BLAS, any width);
+    the d x d result is the only thing collected.  NaN (constant column) -> NULL."""
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    v = VectorAssembler(inputCols=list(cols), outputCol="__v").transform(
+        df.select(*[col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(v, "__v", "pearson").first()[0].toArray()
+    rows = [(cols[i], cols[j], None if math.isnan(m[i, j]) else float(m[i, j]))
+            for i, j in pairs]
+    return df.sparkSession.createDataFrame(rows, "feature_1 STRING, feature_2 STRING, r DOUBLE")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:

@@ -94,3 +94,27 @@ def test_aggregate_mode_and_unique(spark):
     out = {r["pk"]: (r["mode_c"], r["num_unique_c"]) for r in synth.aggregate_features(
         child, parent, "k", "pk", ["mode", "num_unique"], numeric=[], categorical=["c"]).collect()}
     assert out == {1: ("y", 2), 2: ("w", 2), 3: (None, None)}
+
+
+def test_correlation_paths_agree_with_numpy(spark):
+    import numpy as np
+
+    from tabforge.operators import profile
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(300, 15)) + np.arange(15) * 1000.0      # large offsets
+    X[:, 3] = X[:, 2] * 2 + 1
+    cols = [f"c{i}" for i in range(15)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], cols)
+    ref = np.corrcoef(X, rowvar=False)
+    for sub in (cols[:5], cols):                        # centred sums / Spark ML (105 pairs)
+        got = profile.correlation(df, sub).collect()
+        for r in got:
+            i, j = cols.index(r["feature_1"]), cols.index(r["feature_2"])
+            assert r["r"] == pytest.approx(ref[i, j], abs=1e-9)
+    # NULLs: pairwise-complete
+    rows = [(float(a), None if k % 4 == 0 else float(b)) for k, (a, b) in enumerate(X[:, :2])]
+    dn = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE")
+    keep = np.array([k % 4 != 0 for k in range(300)])
+    want = np.corrcoef(X[keep, 0], X[keep, 1])[0, 1]
+    got = {(r["feature_1"], r["feature_2"]): r["r"] for r in profile.correlation(dn, ["a", "b"]).collect()}
+    assert got[("b", "a")] == pytest.approx(want, abs=1e-9)
