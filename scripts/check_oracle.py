@@ -43,9 +43,30 @@ def rows_of(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
 
 
+_DUCK_NAMES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
+               "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "FloatType": "FLOAT",
+               "ShortType": "SMALLINT", "TimestampNTZType": "TIMESTAMP",
+               "TimestampType": "TIMESTAMP WITH TIME ZONE", "DateType": "DATE"}
+
+
+def type_mismatches(sdf, con, sql: str) -> dict:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    rel = con.sql(sql)
+    duck_t = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = {}
+    for f in sdf.schema.fields:
+        want = _DUCK_NAMES.get(type(f.dataType).__name__, str(f.dataType))
+        if duck_t.get(f.name) != want:
+            out[f.name] = (want, duck_t.get(f.name))
+    return out
+
+
 def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> str | None:
     """None when Spark and DuckDB agree, else a short reason."""
     sdf = fn(spark, sf_dir)
+    bad_types = type_mismatches(sdf, con, sql)
+    if bad_types:
+        return f"types {bad_types}"
     scols, srows = sdf.columns, [tuple(r) for r in sdf.collect()]
     cur = con.execute(sql)
     dcols, drows = [d[0] for d in cur.description], cur.fetchall()
@@ -107,6 +128,11 @@ def main():
             print(f"FAIL {name}: columns {sorted(scols)} vs {sorted(dcols)}")
             bad += 1
             continue
+        bad_types = type_mismatches(sdf, con, ors[name])
+        if bad_types:
+            print(f"FAIL {name}: types {bad_types}")
+            bad += 1
+            continue
         a, b = rows_of(scols, srows), rows_of(dcols, drows)
         if len(a) != len(b):
             print(f"FAIL {name}: rows {len(a)} vs {len(b)}")

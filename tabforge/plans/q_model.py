@@ -184,7 +184,7 @@ RANDOM = [round((i * 0.6180339887498949) % 1.0, 6) for i in range(1, 20)]
 
 def _threshold_sql(name: str, values: list[float], first_id: int) -> str:
     rows = ", ".join(f"({first_id + i}, {i}, {v!r})" for i, v in enumerate(values))
-    return f"""SELECT th.trial_id, '{name}' AS optim_type, CAST(th.iteration AS INTEGER) AS iteration,
+    return f"""SELECT CAST(th.trial_id AS BIGINT) AS trial_id, '{name}' AS optim_type, CAST(th.iteration AS INTEGER) AS iteration,
        CAST(th.threshold AS DOUBLE) AS threshold,
        1 - COALESCE(2e0 * SUM(CASE WHEN label = 1 AND score > th.threshold THEN 1 ELSE 0 END)
            / NULLIF(2 * SUM(CASE WHEN label = 1 AND score > th.threshold THEN 1 ELSE 0 END)
