@@ -70,12 +70,14 @@ def round_half_away(c: Column, places: int = 4) -> Column:
     """Round half away from zero as ``round(x * 10^p) / 10^p`` in double arithmetic.
 
     Same arithmetic as DuckDB's ``round(DOUBLE, p)``, so equal doubles round
-    equally on both sides of the oracle comparison.
+    equally on both sides of the oracle comparison.  ``floor`` is exact below
+    the LONG range; above 9e14 every x * 10^4 is already an integral double,
+    so the rounding is the identity there (as ``round`` is on such values).
     """
     m = float(10 ** places)
-    t = F.abs(c) * F.lit(m) + F.lit(0.5)
-    # floor via t - (t mod 1): exact for t >= 0 and no LONG overflow on big values
-    return F.signum(c) * (t - F.pmod(t, F.lit(1.0))) / F.lit(m)
+    t = F.abs(c) * F.lit(m)
+    small = F.signum(c) * F.floor(t + F.lit(0.5)).cast("double") / F.lit(m)
+    return F.when(F.abs(c) < F.lit(9.0e14), small).otherwise(F.signum(c) * t / F.lit(m))
 
 
 def round_doubles(df: DataFrame, places: int = 4) -> DataFrame:

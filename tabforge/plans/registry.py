@@ -16,6 +16,7 @@ from tabforge.functions.numeric import round_doubles
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
+RAW: dict[str, QueryFn] = {}        # the same queries without the comparison rounding
 ORACLES: dict[str, str] = {}
 
 
@@ -31,6 +32,7 @@ def register(name: str, oracle: str | None = None, rounded: bool = True):
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        RAW[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -48,6 +50,12 @@ def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
 
+def raw_queries() -> dict[str, QueryFn]:
+    """Operator outputs at full precision (what the bench times)."""
+    load_all()
+    return dict(RAW)
+
+
 def oracle_sql() -> dict[str, str]:
     load_all()
     return dict(ORACLES)
