@@ -134,8 +134,6 @@ def leaf_tables(tree: dict) -> list[dict]:
     A repeated feature merges into one path element (zero fractions multiply,
     one-indicators AND), as in the recursive algorithm.
     """
-    import itertools
-
     import numpy as np
     left, right = tree["left"], tree["right"]
     feat, thr, cover, value = tree["feature"], tree["threshold"], tree["cover"], tree["value"]
@@ -173,7 +171,6 @@ def leaf_tables(tree: dict) -> list[dict]:
         walk(right[j], path + [(j, right[j], False)])
 
     walk(0, [])
-    del itertools
     return out
 
 

@@ -276,7 +276,6 @@ def aggregate_features(child: DataFrame, parent: DataFrame, child_key: str, pare
             for c in boolean:
                 aggs.append(F.avg(col(c).cast("double")).alias(f"percent_true_{c}"))
     out = child.groupBy(k.alias("__key")).agg(*aggs) if aggs else None
-    discrete = categorical + numeric
     if "num_unique" in prims or "mode" in prims:
         # (key, value) counts first: both primitives then reduce one row per value
         for c in (categorical if categorical else numeric):
@@ -290,7 +289,6 @@ def aggregate_features(child: DataFrame, parent: DataFrame, child_key: str, pare
                            .alias(f"mode_{c}"))
             t = vc.groupBy("__key").agg(*per)
             out = t if out is None else out.join(t, "__key", "full")
-    del discrete
     res = parent.join(out, col(parent_key) == F.col("__key"), "left").drop("__key")
     if "count" in prims:
         res = res.withColumn("count_rows", F.coalesce(F.col("count_rows"), F.lit(0)))
