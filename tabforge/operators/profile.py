@@ -81,8 +81,16 @@ def correlation(df: DataFrame, cols: list[str], method: str = "pearson") -> Data
     if method not in ("pearson", "kendall", "spearman"):
         raise ValueError("method must be one of: pearson, kendall, spearman")
     if method == "spearman":
-        df = rank_columns(df, cols)
-    elif method == "kendall":
+        # two passes read the ranks (profile, centred sums): rank once, keep them
+        ranked = rank_columns(df.select(*[col(c) for c in cols]), cols) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = correlation(ranked, cols, "pearson").collect()     # d x d numbers
+        finally:
+            ranked.unpersist()
+        return df.sparkSession.createDataFrame(
+            rows, "feature_1 STRING, feature_2 STRING, r DOUBLE")
+    if method == "kendall":
         return kendall(df, cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
     prof = df.agg(*[(F.count(F.lit(1)) - F.count(col(c))).alias(f"z{i}") for i, c in enumerate(cols)],
