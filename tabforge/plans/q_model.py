@@ -27,7 +27,8 @@ def _train_test(spark, sf_dir):
 
 
 def _model(spark, sf_dir, params=None):
-    key = (id(spark), sf_dir, tuple(sorted((params or BASE_PARAMS).items())))
+    key = (spark.sparkContext.applicationId, sf_dir,
+           tuple(sorted((params or BASE_PARAMS).items())))
     if key not in _MODELS:
         train, _ = _train_test(spark, sf_dir)
         _MODELS[key] = boost.train_boosted(train, _F, "label", params or BASE_PARAMS)
