@@ -54,64 +54,77 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool =
         r = df.agg(*[F.percentile_approx(col(c), probs, accuracy).alias(c) for c in cols]).first()
         return {c: list(r[c]) if r[c] is not None else [None] * len(probs) for c in cols}
     long = _long(df, cols)
-    n_by = {r["column_name"]: r["n"] for r in
-            long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
     eps = 2.0 / accuracy
-    wanted = {}
-    for c, n in n_by.items():
-        ks = set()
+    # pass 1: counts and sketch brackets together (ranks derived from n after)
+    brk_p = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 * eps, 2 * eps)})
+    sk = df.agg(*[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                *[F.percentile_approx(col(c), brk_p, accuracy).alias(f"q{i}")
+                  for i, c in enumerate(cols)]).first()
+    n_by = {c: sk[f"n{i}"] for i, c in enumerate(cols) if sk[f"n{i}"]}
+    wanted, brackets = {}, {}
+    for i, c in enumerate(cols):
+        if c not in n_by:
+            continue
+        n = n_by[c]
+        qv = dict(zip(brk_p, sk[f"q{i}"]))
+        ks, bl = set(), []
         for p in probs:
             pos = (n - 1) * p
-            ks.update({math.floor(pos), math.ceil(pos)})
-        wanted[c] = sorted(ks)
-    brk_p = sorted({min(1.0, max(0.0, k / max(n_by[c] - 1, 1) + d))
-                    for c in wanted for k in wanted[c] for d in (-eps, eps)})
-    sk = df.agg(*[F.percentile_approx(col(c), brk_p, accuracy).alias(c) for c in n_by]).first()
-    brackets = {}
-    for c in n_by:
-        qv = dict(zip(brk_p, sk[c]))
-        n = n_by[c]
-        brackets[c] = [(k, qv[min(1.0, max(0.0, k / max(n - 1, 1) - eps))],
-                        qv[min(1.0, max(0.0, k / max(n - 1, 1) + eps))]) for k in wanted[c]]
-    below = []
-    inside = F.lit(False)
+            for k in {math.floor(pos), math.ceil(pos)}:
+                if k not in ks:
+                    ks.add(k)
+                    bl.append((k, qv[min(1.0, max(0.0, p - 2 * eps))],
+                               qv[min(1.0, max(0.0, p + 2 * eps))]))
+        wanted[c], brackets[c] = sorted(ks), bl
+    # pass 2: one aggregation: the distinct values inside each (merged) bracket,
+    # and for values outside, only a count per gap between brackets
+    merged: dict[str, list[list[float]]] = {}
     for c, bl in brackets.items():
-        for i, (k, lo, hi) in enumerate(bl):
-            below.append(F.sum(F.when((F.col("column_name") == c) & (F.col("value") < lo), 1)
-                               .otherwise(0)).alias(f"b_{len(below)}"))
-            inside = inside | ((F.col("column_name") == c) & (F.col("value") >= lo)
-                               & (F.col("value") <= hi))
-    nb = long.agg(*below).first()
-    band_df = (long.where(inside).groupBy("column_name", "value")
+        iv = sorted([lo, hi] for _, lo, hi in bl)
+        out = [iv[0]]
+        for lo, hi in iv[1:]:
+            if lo <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], hi)
+            else:
+                out.append([lo, hi])
+        merged[c] = out
+    v = F.col("value")
+    in_band = F.lit(False)
+    gap = F.lit(None).cast("int")
+    for c, iv in merged.items():
+        is_c = F.col("column_name") == c
+        inside = F.lit(False)
+        for lo, hi in iv:
+            inside = inside | ((v >= F.lit(lo)) & (v <= F.lit(hi)))
+        above = sum((F.when(v > F.lit(hi), 1).otherwise(0) for _, hi in iv), F.lit(0))
+        in_band = in_band | (is_c & inside)
+        gap = F.when(is_c & ~inside, above).otherwise(gap)
+    band_df = (long.groupBy("column_name", F.when(in_band, v).alias("_v"),
+                            F.when(~in_band, gap).alias("_g"))
                .agg(F.count(F.lit(1)).alias("n")).persist())
     if band_df.count() > BAND_LIMIT:                  # too wide to gather: stay distributed
         band_df.unpersist()
         return _quantiles_running(long, cols, probs, n_by)
-    band = band_df.orderBy("column_name", "value").collect()
+    rows = band_df.collect()
     band_df.unpersist()
     at: dict[tuple[str, int], float] = {}
-    idx = 0
-    ok = True
-    for c, bl in brackets.items():
-        vals = [(r["value"], r["n"]) for r in band if r["column_name"] == c]
-        for k, lo, hi in bl:
-            start = nb[f"b_{idx}"]
-            idx += 1
-            cum = start
-            found = None
-            for v, cnt in vals:
-                if v < lo or v > hi:
-                    continue
-                if cum <= k < cum + cnt:
-                    found = v
-                    break
+    for c, iv in merged.items():
+        gaps = {r["_g"]: r["n"] for r in rows if r["column_name"] == c and r["_g"] is not None}
+        vals = sorted((r["_v"], r["n"]) for r in rows
+                      if r["column_name"] == c and r["_v"] is not None)
+        ks = sorted(wanted[c])
+        j, cum, vi = 0, 0, 0
+        for g, (lo, hi) in enumerate(iv):
+            cum += gaps.get(g, 0)                      # values between the previous bracket and this
+            while vi < len(vals) and vals[vi][0] <= hi:
+                value, cnt = vals[vi]
+                while j < len(ks) and cum <= ks[j] < cum + cnt:
+                    at[(c, ks[j])] = value
+                    j += 1
                 cum += cnt
-            if found is None:
-                ok = False
-            else:
-                at[(c, k)] = found
-    if not ok:
-        return _quantiles_running(long, cols, probs, n_by)
+                vi += 1
+        if j < len(ks):
+            return _quantiles_running(long, cols, probs, n_by)
     return {c: (_interpolate(n_by[c], probs, {k: at[(c, k)] for k in wanted[c]})
                 if c in n_by else [None] * len(probs)) for c in cols}
 
