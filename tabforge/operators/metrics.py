@@ -206,9 +206,10 @@ def _pr_auc_from(cum: DataFrame, t) -> DataFrame:
     return pts.agg(F.sum(area).alias("pr_auc"))
 
 
-def fpr_fnr(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def fpr_fnr(df: DataFrame, label: str = "label", score: str = "score",
+            drop_intermediate: bool = False) -> DataFrame:
     """(threshold, fpr, fnr) along the ROC thresholds."""
-    return roc_curve(df, label, score).select(
+    return roc_curve(df, label, score, drop_intermediate).select(
         "threshold", "fpr", (F.lit(1.0) - F.col("tpr")).alias("fnr"))
 
 

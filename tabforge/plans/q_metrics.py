@@ -90,7 +90,7 @@ d AS (SELECT score, pos, neg, tps, fps, ROW_NUMBER() OVER (ORDER BY score DESC)
              LEAD(neg) OVER (ORDER BY score DESC) AS nneg FROM c)
 SELECT ROUND(score, 4) AS threshold, ROUND(fps * 1e0 / Q, 4) AS fpr, ROUND(tps * 1e0 / P, 4) AS tpr
 FROM d, t WHERE i = 1 OR i = nn OR npos <> pos OR nneg <> neg
-UNION ALL SELECT ROUND(mx + 1, 4), 0e0, 0e0 FROM t""".replace(_CURVE, "", 0))
+UNION ALL SELECT ROUND(mx + 1, 4), 0e0, 0e0 FROM t""")
 def q_roc_curve_dropped(spark, sf_dir):
     return M.roc_curve(_scored(spark, sf_dir), drop_intermediate=True)
 
@@ -154,3 +154,15 @@ ev AS (
 SELECT 'price' AS algo, 'test' AS mode, metric, ROUND(value, 4) AS value FROM ev""")
 def q_evaluate(spark, sf_dir):
     return M.evaluate(_scored(spark, sf_dir), algo="price", mode="test")
+
+
+@register("fpr_fnr_dropped", _CURVE + """,
+d AS (SELECT score, pos, neg, tps, fps, ROW_NUMBER() OVER (ORDER BY score DESC) AS i,
+             COUNT(*) OVER () AS nn, LEAD(pos) OVER (ORDER BY score DESC) AS npos,
+             LEAD(neg) OVER (ORDER BY score DESC) AS nneg FROM c)
+SELECT ROUND(score, 4) AS threshold, ROUND(fps * 1e0 / Q, 4) AS fpr, ROUND(1 - tps * 1e0 / P, 4) AS fnr
+FROM d, t WHERE i = 1 OR i = nn OR npos <> pos OR nneg <> neg
+UNION ALL SELECT ROUND(mx + 1, 4), 0e0, 1e0 FROM t""")
+def q_fpr_fnr_dropped(spark, sf_dir):
+    """E8 on the ROC points the common library keeps by default (collinear points dropped)."""
+    return M.fpr_fnr(_scored(spark, sf_dir), drop_intermediate=True)
