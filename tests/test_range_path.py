@@ -17,7 +17,7 @@ from tabforge.operators import profile  # noqa: E402
 from tabforge.plans import registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-RANGE_QUERIES = ["roc_curve", "roc_curve_dropped", "roc_auc", "pr_curve", "pr_auc", "fpr_fnr",
+RANGE_QUERIES = ["roc_curve", "roc_curve_dropped", "fpr_fnr_dropped", "roc_auc", "pr_curve", "pr_auc", "fpr_fnr",
                  "scale_robust", "corr_spearman", "corr_kendall", "sample_exact", "split_exact",
                  "stratified_folds"]
 
