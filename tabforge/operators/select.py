@@ -107,6 +107,7 @@ def select_logistic(df: DataFrame, label: str, k: int, features: list[str]) -> D
     n = v.count()
     m = LogisticRegression(featuresCol="__features", labelCol="__label", regParam=1.0 / n,
                            elasticNetParam=0.0, standardization=False, maxIter=100).fit(v)
+    v.unpersist()
     return above_mean(_importance_table(df.sparkSession, features,
                                         [abs(c) for c in m.coefficients.toArray()]), k)
 
@@ -119,6 +120,7 @@ def select_forest(df: DataFrame, label: str, k: int, features: list[str],
     v = _vector(df, features, label, scaled=False)
     m = RandomForestClassifier(featuresCol="__features", labelCol="__label",
                                numTrees=num_trees, seed=seed).fit(v)
+    v.unpersist()
     return above_mean(_importance_table(df.sparkSession, features,
                                         m.featureImportances.toArray()), k)
 
@@ -135,6 +137,7 @@ def select_boosted(df: DataFrame, label: str, k: int, features: list[str],
     m = GBTClassifier(featuresCol="__features", labelCol="__label", maxIter=rounds,
                       stepSize=0.05, maxDepth=5, featureSubsetStrategy="0.2",
                       minInfoGain=0.01, minInstancesPerNode=40, seed=seed).fit(v)
+    v.unpersist()
     imp = importance(tree_nodes(df.sparkSession, m), features, "weight")
     return above_mean(imp.select("feature", "position", F.col("weight").alias("score")), k)
 
@@ -149,6 +152,7 @@ def select_extra(df: DataFrame, label: str, k: int, features: list[str],
     m = RandomForestClassifier(featuresCol="__features", labelCol="__label", numTrees=num_trees,
                                bootstrap=False, featureSubsetStrategy="sqrt", maxBins=8,
                                seed=seed).fit(v)
+    v.unpersist()
     return above_mean(_importance_table(df.sparkSession, features,
                                         m.featureImportances.toArray()), k)
 
