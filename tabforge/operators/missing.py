@@ -144,6 +144,8 @@ def rare_from_counts(counts: DataFrame, threshold: int,
                       .select("value").collect()]
         else:
             out[c] = rare.where(F.col("column_name") == c).select("value")
+    if all(isinstance(v, list) for v in out.values()):
+        rare.unpersist()                         # nothing lazy refers to it any more
     return out
 
 
@@ -225,6 +227,8 @@ def fit_missing(df: DataFrame, numeric: list[str], categorical: list[str] | None
         bump = {c: (state["modes"][c], miss[c]) for c in categorical
                 if c in state["modes"] and miss[c]}
         state["rare"] = rare_from_counts(counts, category_threshold, bump)
+        if all(isinstance(v, list) for v in state["rare"].values()):
+            counts.unpersist()
     return state
 
 
