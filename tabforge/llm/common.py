@@ -49,6 +49,7 @@ def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     texts = pc.fill_null(texts, "")
     if texts.type == pa.string():
         texts = texts.cast(pa.large_string())
+    texts = texts.take(pa.array(np.arange(len(texts))))      # the ASCII kernels misread the offsets of a slice
     lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
     flat, lengths = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     full = pc.greater(pc.binary_length(flat), 0)
