@@ -40,8 +40,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of texts with A-Z lower-cased, dictionary coded.
+def ascii_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of texts, with A-Z lower-cased if ``lower``, dictionary coded.
 
     Returns (code of each word, distinct words, offsets by text); null and
     white-space-only texts have no words.
@@ -50,7 +50,7 @@ def ascii_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     if texts.type == pa.string():
         texts = texts.cast(pa.large_string())
     texts = texts.take(pa.array(np.arange(len(texts))))      # the ASCII kernels misread the offsets of a slice
-    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts) if lower else texts))
     flat, lengths = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     full = pc.greater(pc.binary_length(flat), 0)
     if flat and not pc.all(full).as_py():
