@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import bisect
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.llm.common import materialize, unsigned_crc32
@@ -55,15 +55,15 @@ def _between(low: Key, high: Key, n: int) -> list[Key]:
     return [low[:level] + (v,) + (_LOW,) * (2 - level) for v in values]
 
 
-def find_cuts(keyed: DataFrame, targets: list[tuple[int, float, float]], low: Key, high: Key, totals: tuple[int, int],
-              probes: int = 4096) -> dict[Key, tuple[int, int]]:
-    """A cut for each target (0: bytes or 1: rows, amount below, tolerance), with the exact (bytes, rows) below it."""
-    seen: dict[Key, tuple[int, int]] = {}
-    out: dict[Key, tuple[int, int]] = {}
+def find_cuts(keyed: DataFrame, targets: list[tuple[int, float, float]], low: Key, high: Key,
+              probes: int = 4096) -> list[tuple[int, Key, tuple[int, int]]]:
+    """For each target (0: bytes or 1: rows, amount below, tolerance): what it measures, a cut and the exact (bytes, rows) below."""
+    out: list[tuple[int, Key, tuple[int, int]]] = []
     brackets: dict[tuple[Key, Key], list] = {(low, high): list(targets)} if low != high else {}
+    edges: set[Key] = set()                  # cuts around the brackets, kept so that a bin never reaches past its bracket
     while brackets:
         each = max(2, probes // len(brackets))
-        cuts = sorted({p for a, b in brackets for p in _between(a, b, each)})
+        cuts = sorted(edges.union(*(_between(a, b, each) for a, b in brackets)))
         bins = {r["bin"]: r for r in keyed.groupBy(_bin(cuts).alias("bin")).agg(
             F.sum("size").alias("b"), F.count("*").alias("n"),
             F.min(F.struct("h", "d", "r")).alias("lo"), F.max(F.struct("h", "d", "r")).alias("hi")).collect()}
@@ -72,18 +72,21 @@ def find_cuts(keyed: DataFrame, targets: list[tuple[int, float, float]], low: Ke
             if i in bins:
                 at = (at[0] + bins[i]["b"], at[1] + bins[i]["n"])
             below.append(at)
-        seen.update(zip(cuts, below))
+        amounts = [[x[m] for x in below] for m in (0, 1)]
         nxt: dict[tuple[Key, Key], list] = {}
+        edges = set()
         for target in (t for ts in brackets.values() for t in ts):
             measure, want, tol = target
-            i = bisect.bisect_right([x[measure] for x in below], want)     # the bin that holds the target
-            near = min((j for j in (i - 1, i) if 0 <= j < len(cuts)), key=lambda j: abs(below[j][measure] - want))
+            i = bisect.bisect_right(amounts[measure], want)                # the bin that holds the target
+            around = [j for j in (i - 1, i) if 0 <= j < len(cuts)]
+            near = min(around, key=lambda j: abs(amounts[measure][j] - want))
             row = bins.get(i)
             lo, hi = (tuple(row["lo"]), tuple(row["hi"])) if row else (low, low)
-            if abs(below[near][measure] - want) <= tol or lo == hi:
-                out[cuts[near]] = below[near]
+            if abs(amounts[measure][near] - want) <= tol or lo == hi:
+                out.append((measure, cuts[near], below[near]))
             else:
                 nxt.setdefault((lo, hi), []).append(target)
+                edges.update(cuts[j] for j in around)
         brackets = nxt
     return out
 
@@ -109,26 +112,22 @@ def shard_by_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                   F.max(F.struct("h", "d", "r")).alias("hi")).first()
     total, n = t["b"] or 0, t["n"]
     cells = cells or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_bytes: dict[Key, tuple[int, int]] = {}
-    by_rows: dict[Key, tuple[int, int]] = {}
+    found = []
     if n:
-        lo, hi = tuple(t["lo"]), tuple(t["hi"])
-        by_bytes = find_cuts(keyed, [(0, total * j / shards, tolerance * total / shards) for j in range(1, shards)],
-                             lo, hi, (total, n), probes)
         cells = min(cells, n)
-        by_rows = find_cuts(keyed, [(1, n * j / cells, n / cells / 2) for j in range(1, cells)], lo, hi, (total, n),
-                            max(probes, 4 * cells))
-    splitters = sorted(by_bytes)
-    known = {**by_rows, **by_bytes}
+        targets = [(0, total * j / shards, tolerance * total / shards) for j in range(1, shards)]
+        targets += [(1, n * j / cells, n / cells / 2) for j in range(1, cells)]
+        found = find_cuts(keyed, targets, tuple(t["lo"]), tuple(t["hi"]), max(probes, 4 * cells))
+    splitters = sorted(cut for measure, cut, _ in found if measure == 0)       # equal ones leave a shard between them empty
+    known = {cut: below for _, cut, below in found}
     cuts = sorted(known)
     shard_of, offset_of, start = [], [], 0
     for i in range(len(cuts) + 1):
         rows_before = known[cuts[i - 1]][1] if i else 0
-        if i and cuts[i - 1] in by_bytes:
+        if i and cuts[i - 1] in splitters:
             start = rows_before
         shard_of.append(bisect.bisect_right(splitters, cuts[i - 1]) if i else 0)
         offset_of.append(rows_before - start)
-    from pyspark.sql import Window
     placed = keyed.withColumn("cell", _bin(cuts))
     w = Window.partitionBy("cell").orderBy("h", "d", "r")
     return (placed.withColumn("slot", F.row_number().over(w) - 1 + F.get(_array(offset_of), F.col("cell")))

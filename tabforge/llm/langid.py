@@ -215,7 +215,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     counts[list(df)] = list(df.values())
     idf = np.log((1 + n) / (1 + counts)) + 1
     sizes = rows.groupBy("_lang").agg(F.count("*").alias("c"))
-    drawn = (rows.join(sizes, "_lang").withColumn("_key", F.xxhash64("_text") & F.lit((1 << 62) - 1))
+    drawn = (rows.join(sizes, "_lang").withColumn("_key", F.shiftrightunsigned(F.xxhash64("_text"), 2))
              .where(F.col("_key") / F.lit(float(1 << 62)) * F.col("c") < per_language)
              .dropDuplicates(["_key", "_lang"]))
     fitted = (drawn.select("_text", "_lang", "_key").mapInArrow(_sample_features, "lang string, key bigint, f array<int>, tf array<double>")

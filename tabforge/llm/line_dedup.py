@@ -57,13 +57,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_th"))
     d = drops.select(F.col("_id").alias("_did"), F.col("_th").alias("_dth"), "_drop")
     j = own.join(d, F.col("_id").eqNullSafe(F.col("_did")) & (F.col("_th") == F.col("_dth")), "left")
-    text = F.coalesce(F.col("_row").getField(text_col), F.lit(""))
-    lines_ = lines_of(text)
+    j = j.withColumn("_own", F.coalesce(F.col("_row").getField(text_col), F.lit("")))
+    # _lines is used twice above, so that it is computed once for a text and not inside the lambda
+    j = j.withColumn("_lines", lines_of(F.col("_own")))
     # hash-based difference, so that a text of very many lines stays linear
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines_) - 1), F.col("_drop"))
-    kept = F.when(F.col("_drop").isNull(), text).otherwise(
-        F.array_join(F.transform(places, lambda i: F.get(lines_, i)), "\n"))
-    info = F.struct((F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("n_lines"),
+    places = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
+    kept = F.when(F.col("_drop").isNull(), F.col("_own")).otherwise(
+        F.array_join(F.transform(places, lambda i: F.get(F.col("_lines"), i)), "\n"))
+    info = F.struct(F.size("_lines").cast("bigint").alias("n_lines"),
                     F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint").alias("n_dropped"), kept.alias("kept"))
     return j.select("_row.*", info.alias(info_col))
 

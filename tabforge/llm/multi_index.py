@@ -162,7 +162,7 @@ def neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str =
         return spark.createDataFrame([], schema)
     table = materialize(good.where(F.size("v") == top["s"]).withColumn("n", F.monotonically_increasing_id()), "mi-vectors")
     total = top["c"]
-    drawn = table.where((F.xxhash64("id", "v") & F.lit((1 << 62) - 1)) / F.lit(float(1 << 62)) * total < sample)
+    drawn = table.where(F.shiftrightunsigned(F.xxhash64("id", "v"), 2) / F.lit(float(1 << 62)) * total < sample)
     fitted = drawn.select("v").repartition(1).mapInArrow(_fitter(centroids), "books binary").collect()
     if not fitted:                                          # a tiny draw can be empty
         fitted = table.limit(sample).select("v").repartition(1).mapInArrow(_fitter(centroids), "books binary").collect()

@@ -206,7 +206,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, id_col: str
                        F.xxhash64(text_col).alias("_h"), F.monotonically_increasing_id().alias("_n"))
     ordered = rows.repartitionByRange("_id", "_h", "_n").sortWithinPartitions("_id", "_h", "_n")
     files = ordered.select("_id", "_text").mapInArrow(
-        _writer(qualified(spark, folder), tokenizer_path, end_id), "part int, path string, docs bigint, tokens bigint")
+        _writer(qualified(spark, folder), tokenizer_path, end_id), "part bigint, path string, docs bigint, tokens bigint")
     out, start = [], 0
     for r in sorted(files.collect(), key=lambda r: r["part"]):        # one row per file
         out.append({**r.asDict(), "start": start})
@@ -238,7 +238,7 @@ def read_tokens(spark: SparkSession, files: list[dict], digest: bool = False) ->
     """(doc_id, start, n_tokens, ids), or ids_crc32 instead of ids, of every document in ``files``."""
     if not files:
         return spark.createDataFrame([], "doc_id bigint, start bigint, n_tokens bigint, " + ("ids_crc32 bigint" if digest else "ids array<int>"))
-    listing = spark.createDataFrame([(f["part"], f["path"], f["start"]) for f in files], "part int, path string, start bigint")
+    listing = spark.createDataFrame([(f["part"], f["path"], f["start"]) for f in files], "part bigint, path string, start bigint")
     listing = listing.repartitionByRange(len(files), "part")
     return listing.select("path", "start").mapInArrow(
         _reader(digest), "doc_id bigint, start bigint, n_tokens bigint, " + ("ids_crc32 bigint" if digest else "ids array<int>"))
