@@ -33,9 +33,7 @@ def main() -> None:
     from tabforge.plans import registry
     from tabforge.session import local_session
     spark = local_session(cpus, shuffle_partitions=max(8, int(cpus) * 2))
-    # operators at full precision: the 4-decimal rounding of registry.queries()
-    # exists only for the oracle's value hash
-    qs = registry.raw_queries()
+    qs = registry.queries()
     # warm-up (JIT, Python workers): every headline query once on the smallest
     # sibling data, not billed
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
@@ -44,6 +42,7 @@ def main() -> None:
             qs[n](spark, warm).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for n in names:
+        spark.catalog.clearCache()          # no query reads what another one left
         t0 = time.time()
         qs[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[n] = round(time.time() - t0, 3)

@@ -29,7 +29,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 4) + 0.0
+        return v + 0.0
     if hasattr(v, "item"):
         return norm(v.item())
     if isinstance(v, (list, tuple)):
@@ -40,7 +40,34 @@ def norm(v):
 def rows_of(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in records]
-    return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
+    return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(_coarse(x))) for x in t))
+
+
+def _coarse(x):
+    return round(x, 6) if isinstance(x, float) else tuple(_coarse(y) for y in x) if isinstance(x, tuple) else x
+
+
+def same(x, y) -> bool:
+    """Equal values; floats within 1e-9 of each other, relatively or absolutely."""
+    if isinstance(x, tuple) and isinstance(y, tuple):
+        return len(x) == len(y) and all(map(same, x, y))
+    if isinstance(x, float) and isinstance(y, float):
+        return math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9)
+    return x == y
+
+
+def differences(a, b) -> list:
+    """Rows that differ; ``a`` and ``b`` are sorted coarsely, so near ties are matched by search."""
+    odd = [(x, y) for x, y in zip(a, b) if not same(x, y)]
+    left, right = [x for x, _ in odd], [y for _, y in odd]
+    out = []
+    for x in left:
+        at = next((i for i, y in enumerate(right) if same(x, y)), None)
+        if at is None:
+            out.append((x, right[0] if right else None))
+        else:
+            right.pop(at)
+    return out
 
 
 _DUCK_NAMES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE",
@@ -75,8 +102,9 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> str | None:
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     if len(a) != len(b):
         return f"rows {len(a)} vs {len(b)}"
-    if a != b:
-        return f"values differ, e.g. {[(x, y) for x, y in zip(a, b) if x != y][:2]}"
+    diff = differences(a, b)
+    if diff:
+        return f"values differ, e.g. {diff[:2]}"
     return None
 
 
@@ -138,9 +166,9 @@ def main():
             print(f"FAIL {name}: rows {len(a)} vs {len(b)}")
             bad += 1
             continue
-        if a != b:
-            diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
-            print(f"FAIL {name}: values differ, e.g. {diff}")
+        diff = differences(a, b)
+        if diff:
+            print(f"FAIL {name}: values differ, e.g. {diff[:3]}")
             bad += 1
             continue
         print(f"ok   {name}: {len(a)} rows ({ts:.1f}s)")

@@ -65,27 +65,3 @@ def adjusted_skew(c: Column) -> Column:
     n = F.count(c).cast("double")
     return F.when(n >= 3, F.sqrt(n * (n - 1)) / (n - 2) * F.skewness(c))
 
-
-def round_half_away(c: Column, places: int = 4) -> Column:
-    """Round half away from zero as ``round(x * 10^p) / 10^p`` in double arithmetic.
-
-    Same arithmetic as DuckDB's ``round(DOUBLE, p)``, so equal doubles round
-    equally on both sides of the oracle comparison.  ``floor`` is exact below
-    the LONG range; above 9e14 every x * 10^4 is already an integral double,
-    so the rounding is the identity there (as ``round`` is on such values).
-    """
-    m = float(10 ** places)
-    t = F.abs(c) * F.lit(m)
-    small = F.signum(c) * F.floor(t + F.lit(0.5)).cast("double") / F.lit(m)
-    return F.when(F.abs(c) < F.lit(9.0e14), small).otherwise(F.signum(c) * t / F.lit(m))
-
-
-def round_doubles(df: DataFrame, places: int = 4) -> DataFrame:
-    """Round every DOUBLE/FLOAT column (for value comparison with the oracle)."""
-    out = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(round_half_away(col(f.name).cast("double"), places).alias(f.name))
-        else:
-            out.append(col(f.name))
-    return df.select(*out)

@@ -1,29 +1,35 @@
 """Distributed running sum over a *global* order.
 
-A window with an ORDER BY and no PARTITION BY runs in a single task.  That is
-fine for a few hundred thousand keys (ROC points of a small test set) but not
-for billions.  Above ``local_limit`` rows the input is range-partitioned on the
-sort key, each range partition is summed once (tiny aggregate collected to the
-driver: one row per partition and group), the offsets are broadcast and every
-partition is scanned in order with a vectorised ``cumsum`` in ``mapInPandas``.
-Equal sort keys always land in the same range partition, so the result is
-exact.  Callers pass one row per distinct key (aggregate first).
+A window with an ORDER BY and no PARTITION BY runs in a single task.  Here the
+input is range-partitioned on the sort key, written with its range number, and
+each range is scanned by a window over that number.  Only the first and the last
+group of a range can continue in another one, so two totals per range (a number
+of rows bounded by the ranges, whatever the data) give the offsets.  Equal sort
+keys always land in the same range, so the result is exact.  Callers pass one
+row per distinct key (aggregate first).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabforge.functions.numeric import col
+from tabforge.session import scratch_path
 
-LOCAL_LIMIT = 200_000
+
+def range_totals(ranged: DataFrame, partition_by: list[str], measures: list[str]) -> list:
+    """Totals of the first and the last group of each range: two rows a range at most."""
+    group = F.struct(F.lit(0).alias("_"), *[col(c) for c in partition_by])
+    totals = ranged.groupBy("_pid", group.alias("_group")).agg(*[F.sum(col(m)).alias(f"_t{i}") for i, m in enumerate(measures)])
+    ends = ranged.groupBy("_pid").agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
+    return (totals.join(ends.withColumnRenamed("_pid", "_end"), F.col("_pid") == F.col("_end"))
+            .where(F.col("_group").eqNullSafe(F.col("_first")) | F.col("_group").eqNullSafe(F.col("_last")))
+            .select("_pid", "_group", *[f"_t{i}" for i in range(len(measures))]).collect())
 
 
 def running_sum(df: DataFrame, order: list[Column], measures: list[str],
                 partition_by: list[str] | tuple = (), prefix: str = "cum_",
-                n_rows: int | None = None, local_limit: int | None = None,
                 num_partitions: int | None = None) -> DataFrame:
     """Append ``prefix + m`` = inclusive running sum of each measure.
 
@@ -31,90 +37,36 @@ def running_sum(df: DataFrame, order: list[Column], measures: list[str],
     ``partition_by``.  ``partition_by``: independent groups (e.g. column name).
     """
     partition_by = list(partition_by)
-    if local_limit is None:
-        local_limit = LOCAL_LIMIT          # read at call time (tests lower it)
-    if n_rows is None:
-        n_rows = df.count()
-    if n_rows <= local_limit:
-        w = (Window.partitionBy(*[col(c) for c in partition_by]) if partition_by
-             else Window.partitionBy()).orderBy(*order).rowsBetween(
-                 Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(col(m)).over(w).alias(prefix + m) for m in measures])
-    return _range_running_sum(df, order, measures, partition_by, prefix, num_partitions)
-
-
-def _range_running_sum(df, order, measures, partition_by, prefix, num_partitions):
     spark = df.sparkSession
-    if num_partitions is None:
-        num_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
     sort_exprs = [col(c) for c in partition_by] + list(order)
-    ranged = (df.repartitionByRange(num_partitions, *sort_exprs)
-              .withColumn("_pid", F.spark_partition_id())
-              .sortWithinPartitions(*sort_exprs)
-              .persist())
-    totals = (ranged.groupBy("_pid", *[col(c) for c in partition_by])
-              .agg(*[F.sum(col(m)).alias(m) for m in measures])
-              .collect())
-    # offsets[(pid, group)] = sum of the same group's totals in earlier partitions
-    by_group: dict[tuple, list] = {}
-    for r in totals:
-        g = tuple(r[c] for c in partition_by)
-        by_group.setdefault(g, []).append(r)
-    offsets: dict[tuple, list] = {}
-    for g, rows in by_group.items():
-        acc = [0] * len(measures)
-        for r in sorted(rows, key=lambda r: r["_pid"]):
-            offsets[(r["_pid"], g)] = list(acc)
-            acc = [a + (r[m] or 0) for a, m in zip(acc, measures)]
-    bc = spark.sparkContext.broadcast(offsets)
-
-    out_fields = list(ranged.schema.fields)
-    for m in measures:
-        dt = ranged.schema[m].dataType
-        out_t = T.LongType() if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType,
-                                                 T.ByteType)) else T.DoubleType()
-        out_fields.append(T.StructField(prefix + m, out_t))
-    schema = T.StructType(out_fields)
-    pb = list(partition_by)
-    ms = list(measures)
-
-    def scan(batches):
-        import numpy as np
-        import pandas as pd
-        offs = bc.value
-        carry: dict[tuple, list] = {}
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{prefix + m: pd.Series(dtype="float64") for m in ms})
-                continue
-            pid = int(pdf["_pid"].iloc[0])
-            if pb:
-                keys = pdf[pb]
-                change = (keys != keys.shift()).any(axis=1).to_numpy()
-                change[0] = True
-            else:
-                change = np.zeros(len(pdf), dtype=bool)
-                change[0] = True
-            seg = np.cumsum(change) - 1
-            starts = np.flatnonzero(change)
-            for m_i, m in enumerate(ms):
-                vals = pdf[m].fillna(0).to_numpy()
-                cs = pd.Series(vals).groupby(seg).cumsum().to_numpy()
-                base = np.empty(len(starts), dtype=cs.dtype if cs.dtype.kind == "f" else "int64")
-                for s_i, s in enumerate(starts):
-                    g = tuple(pdf[c].iloc[s] for c in pb)
-                    if g in carry:
-                        base[s_i] = carry[g][m_i]
-                    else:
-                        base[s_i] = offs.get((pid, g), [0] * len(ms))[m_i]
-                res = cs + base[seg]
-                pdf[prefix + m] = res
-            # remember where each group ends for the next batch
-            ends = np.r_[starts[1:] - 1, len(pdf) - 1]
-            for s, e in zip(starts, ends):
-                g = tuple(pdf[c].iloc[s] for c in pb)
-                carry[g] = [pdf[prefix + m].iloc[e] for m in ms]
-            yield pdf
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
+    path = scratch_path(spark, "ranges")
+    staged = df.repartitionByRange(n, *sort_exprs).withColumn("_pid", F.spark_partition_id())
+    staged.write.parquet(path)
+    ranged = spark.read.schema(staged.schema).parquet(path)
 
-    out = ranged.mapInPandas(scan, schema).drop("_pid")
-    return out
+    # offset of a range = sum of the same group's totals in earlier ranges
+    running: dict[tuple, list] = {}
+    offsets = []
+    for r in sorted(range_totals(ranged, partition_by, measures), key=lambda r: r["_pid"]):
+        group = tuple(r["_group"])
+        acc = running.setdefault(group, [0] * len(measures))
+        if any(acc):
+            offsets.append((r["_pid"], r["_group"], acc))
+        running[group] = [a + (r[f"_t{i}"] or 0) for i, a in enumerate(acc)]
+    w = (Window.partitionBy("_pid", *[col(c) for c in partition_by]).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.select("*", *[F.sum(col(m)).over(w).alias(prefix + m) for m in measures])
+    if not offsets:
+        return local.drop("_pid")
+    group = F.struct(F.lit(0).alias("_"), *[col(c) for c in partition_by])
+    typed = local.select("_pid", group.alias("_group"), F.array(*[col(prefix + m).cast(local.schema[prefix + m].dataType) for m in measures])
+                         .alias("_acc")).schema
+    table = spark.createDataFrame([(p, g, [float(a) if typed["_acc"].dataType.elementType.typeName() == "double" else a for a in acc])
+                                   for p, g, acc in offsets], typed)
+    j = local.withColumn("_group", group).join(
+        F.broadcast(table.select(F.col("_pid").alias("_op"), F.col("_group").alias("_og"), "_acc")),     # two rows a range at most
+        (F.col("_pid") == F.col("_op")) & F.col("_group").eqNullSafe(F.col("_og")), "left")
+    keep = [col(c) for c in df.columns]
+    return j.select(*keep, *[(col(prefix + m) + F.coalesce(F.get("_acc", F.lit(i)), F.lit(0))).cast(local.schema[prefix + m].dataType)
+                             .alias(prefix + m) for i, m in enumerate(measures)])

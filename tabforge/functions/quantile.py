@@ -18,9 +18,6 @@ from tabforge.functions.numeric import col
 from tabforge.functions.prefix import running_sum
 
 
-BAND_LIMIT = 1_000_000
-
-
 def _long(df: DataFrame, cols: list[str]) -> DataFrame:
     stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', CAST(`{c.replace('`', '``')}` AS DOUBLE)"
                       for c in cols)
@@ -44,9 +41,9 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool =
     Exact path: (1) a ``percentile_approx`` sketch gives, for each wanted rank,
     a bracket [lo, hi] that must contain it (sketch rank error <= n/accuracy,
     widened 2x); (2) one aggregation counts the values below each bracket and
-    groups the values inside it; (3) a running count over those few bracket
-    values finds the exact ones.  Only bracket-sized data reaches the driver;
-    a bracket that misses falls back to the full distributed running count.
+    groups the values inside it; (3) a distributed running count over those
+    finds the exact ones.  Only the wanted ranks reach the driver; a bracket that
+    misses falls back to the running count over all values.
     """
     if not cols:
         return {}
@@ -99,62 +96,41 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], approx: bool =
         above = sum((F.when(v > F.lit(hi), 1).otherwise(0) for _, hi in iv), F.lit(0))
         in_band = in_band | (is_c & inside)
         gap = F.when(is_c & ~inside, above).otherwise(gap)
-    band_df = (long.groupBy("column_name", F.when(in_band, v).alias("_v"),
-                            F.when(~in_band, gap).alias("_g"))
-               .agg(F.count(F.lit(1)).alias("n")).persist())
-    if band_df.count() > BAND_LIMIT:                  # too wide to gather: stay distributed
-        band_df.unpersist()
-        return _quantiles_running(long, cols, probs, n_by)
-    rows = band_df.collect()
-    band_df.unpersist()
-    at: dict[tuple[str, int], float] = {}
+    # one order for gaps and bracket values: gap g lies before bracket g
+    seg = F.lit(None).cast("int")
     for c, iv in merged.items():
-        gaps = {r["_g"]: r["n"] for r in rows if r["column_name"] == c and r["_g"] is not None}
-        vals = sorted((r["_v"], r["n"]) for r in rows
-                      if r["column_name"] == c and r["_v"] is not None)
-        ks = sorted(wanted[c])
-        j, cum, vi = 0, 0, 0
+        inside_at = F.lit(None).cast("int")
         for g, (lo, hi) in enumerate(iv):
-            cum += gaps.get(g, 0)                      # values between the previous bracket and this
-            while vi < len(vals) and vals[vi][0] <= hi:
-                value, cnt = vals[vi]
-                while j < len(ks) and cum <= ks[j] < cum + cnt:
-                    at[(c, ks[j])] = value
-                    j += 1
-                cum += cnt
-                vi += 1
-        if j < len(ks):
-            return _quantiles_running(long, cols, probs, n_by)
-    return {c: (_interpolate(n_by[c], probs, {k: at[(c, k)] for k in wanted[c]})
-                if c in n_by else [None] * len(probs)) for c in cols}
+            inside_at = F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), 2 * g + 1).otherwise(inside_at)
+        seg = F.when(F.col("column_name") == c, F.coalesce(inside_at, 2 * gap)).otherwise(seg)
+    bands = (long.select("column_name", seg.alias("_seg"), F.when(in_band, v).alias("_v"))
+             .groupBy("column_name", "_seg", "_v").agg(F.count(F.lit(1)).alias("n")))
+    cum = running_sum(bands, [F.col("_seg").asc(), F.col("_v").asc()], ["n"], partition_by=["column_name"])
+    at = _pick(cum.where(F.col("_v").isNotNull()), "_v", wanted)
+    if any(k not in at[c] for c, ks in wanted.items() for k in ks):       # a bracket missed its rank
+        return _quantiles_running(long, cols, probs, n_by)
+    return {c: (_interpolate(n_by[c], probs, at[c]) if c in n_by else [None] * len(probs)) for c in cols}
 
 
-def _quantiles_running(long: DataFrame, cols: list[str], probs: list[float],
-                       n_by: dict[str, int]) -> dict[str, list[float | None]]:
-    """Fallback: distinct-value counts + distributed running count per column."""
-    counts = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-              .persist())
-    d = counts.count()
-    cum = running_sum(counts, [F.col("value").asc()], ["n"], partition_by=["column_name"],
-                      n_rows=d)
-    wanted: dict[str, set[int]] = {}
-    for c, n in n_by.items():
-        ks = set()
-        for p in probs:
-            pos = (n - 1) * p
-            ks.update({math.floor(pos), math.ceil(pos)})
-        wanted[c] = ks
+def _pick(cum: DataFrame, value: str, wanted: dict) -> dict[str, dict[int, float]]:
+    """The values at the wanted ranks of each column (two rows per column and probability at most)."""
     cond = F.lit(False)
     for c, ks in wanted.items():
         for k in ks:
-            cond = cond | ((F.col("column_name") == c) & (F.col("cum_n") - F.col("n") <= k)
-                           & (F.col("cum_n") > k))
-    picked = cum.where(cond).select("column_name", "value", "n", "cum_n").collect()
-    counts.unpersist()
-    at: dict[str, dict[int, float]] = {c: {} for c in n_by}
-    for r in picked:
+            cond = cond | ((F.col("column_name") == c) & (F.col("cum_n") - F.col("n") <= k) & (F.col("cum_n") > k))
+    at: dict[str, dict[int, float]] = {c: {} for c in wanted}
+    for r in cum.where(cond).select("column_name", value, "n", "cum_n").collect():
         for k in wanted[r["column_name"]]:
             if r["cum_n"] - r["n"] <= k < r["cum_n"]:
-                at[r["column_name"]][k] = r["value"]
-    return {c: (_interpolate(n_by[c], probs, at[c]) if c in n_by else [None] * len(probs))
-            for c in cols}
+                at[r["column_name"]][k] = r[value]
+    return at
+
+
+def _quantiles_running(long: DataFrame, cols: list[str], probs: list[float],
+                       n_by: dict[str, int]) -> dict[str, list[float | None]]:
+    """Fallback: distinct-value counts + distributed running count per column."""
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_sum(counts, [F.col("value").asc()], ["n"], partition_by=["column_name"])
+    wanted = {c: {k for p in probs for k in (math.floor((n - 1) * p), math.ceil((n - 1) * p))} for c, n in n_by.items()}
+    at = _pick(cum, "value", wanted)
+    return {c: (_interpolate(n_by[c], probs, at[c]) if c in n_by else [None] * len(probs)) for c in cols}

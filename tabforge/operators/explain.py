@@ -246,6 +246,23 @@ def tree_shap(spark, model, df: DataFrame, features: list[str], keep: list[str])
     return src.mapInPandas(run, schema)
 
 
+def _mix(x):
+    """A 64-bit mixer of unsigned numpy integers."""
+    import numpy as np
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _row_hash(X, seed: int):
+    """A hash of each row's values."""
+    import numpy as np
+    out = np.full(len(X), np.uint64(seed + 1))
+    for column in np.ascontiguousarray(X.T + 0.0).view(np.uint64):
+        out = _mix(out * np.uint64(31) + column)
+    return out
+
+
 def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[str],
                  background: int = 100, samples: int = 20, seed: int = 0) -> DataFrame:
     """Model-agnostic permutation-sampling SHAP on the margin scale.
@@ -283,22 +300,23 @@ def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[st
                 m += t["weight"] * tree_predict(X, t)
             return m
 
-        for bi, pdf in enumerate(batches):
+        for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[xcols].to_numpy(dtype=float)
             n = len(pdf)
-            rng = np.random.default_rng(seed + bi)
+            rows = np.arange(n)
+            own = _row_hash(X, seed)            # the draw hangs on the row's values, not on its task or batch
             phi = np.zeros((n, d))
-            for _ in range(samples):
-                perm = rng.permutation(d)
-                z = B[rng.integers(0, len(B), size=n)]
-                cur = z.copy()
+            for k in range(samples):
+                draw = _mix(own[:, None] + np.arange(1 + d, dtype=np.uint64) + np.uint64((k + 1) * 1009))
+                perm = draw[:, 1:].argsort(axis=1)
+                cur = B[(draw[:, 0] % np.uint64(len(B))).astype(np.int64)].copy()
                 prev = f(cur)
-                for j in perm:                      # add features one by one in perm order
-                    cur[:, j] = X[:, j]
+                for j in perm.T:                # add features one by one, each row in its own order
+                    cur[rows, j] = X[rows, j]
                     now = f(cur)
-                    phi[:, j] += now - prev
+                    phi[rows, j] += now - prev
                     prev = now
             phi /= samples
             out = pdf[keep].copy()

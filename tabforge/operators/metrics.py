@@ -14,11 +14,11 @@ log loss clips p to [1e-15, 1-1e-15]; F1 uses p rounded half to even.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.prefix import running_sum
+from tabforge.session import written
 
 EPS = 1e-15
 
@@ -111,10 +111,10 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> D
 
 
 def _curve(df: DataFrame, label: str, score: str):
-    g = score_counts(df, label, score).persist(StorageLevel.MEMORY_AND_DISK)
+    g = written(score_counts(df, label, score), "curve")
     t = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("Q"), F.max("score").alias("mx"),
               F.count(F.lit(1)).alias("d")).first()
-    cum = running_sum(g, [F.col("score").desc()], ["pos", "neg"], n_rows=t["d"])
+    cum = running_sum(g, [F.col("score").desc()], ["pos", "neg"])
     cum = cum.withColumnRenamed("cum_pos", "tps").withColumnRenamed("cum_neg", "fps")
     return cum, t
 
@@ -134,6 +134,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
                      "pos", "neg", "tps", "fps")
     if drop_intermediate and t["d"] > 2:
         pts = _drop_collinear(pts, t["d"])
+    if t["mx"] is None:                       # no rows, no points
+        return pts.select("threshold", "fpr", "tpr")
     lead = df.sparkSession.range(1).select(
         F.lit(float(t["mx"]) + 1.0).alias("threshold"), F.lit(0.0).alias("fpr"),
         F.lit(0.0).alias("tpr"))
@@ -147,8 +149,8 @@ def _drop_collinear(pts: DataFrame, d: int) -> DataFrame:
     Point index = running count of points; the next point is found with an
     equi-join on index (distributed), not a global ``lead``.
     """
-    idx = running_sum(pts.withColumn("one", F.lit(1)), [F.col("threshold").desc()], ["one"],
-                      n_rows=d).withColumnRenamed("cum_one", "i")
+    idx = running_sum(pts.withColumn("one", F.lit(1)), [F.col("threshold").desc()], ["one"]) \
+        .withColumnRenamed("cum_one", "i")
     nxt = idx.select((F.col("i") - 1).alias("i"), F.col("pos").alias("npos"),
                      F.col("neg").alias("nneg"))
     j = idx.join(nxt, "i", "left")
@@ -247,10 +249,9 @@ def f1_at_half(df: DataFrame, label: str = "label", score: str = "score") -> Dat
 
 def evaluate(df: DataFrame, algo: str = "model", mode: str = "test", threshold: float = 0.5,
              label: str = "label", score: str = "score") -> DataFrame:
-    """(algo, mode, metric, value): confusion cells, report, ROC AUC, PR AUC."""
-    df = df.select(F.col(label).alias("label"), F.col(score).alias("score")) \
-           .persist(StorageLevel.MEMORY_AND_DISK)
-    cells = _cells(df, "label", _pred("score", threshold)).persist()   # one pass, 1 row
+    """(algo, mode, metric, value): confusion cells, report, ROC AUC, PR AUC, log loss."""
+    df = df.select(F.col(label).alias("label"), F.col(score).alias("score"))
+    cells = _cells(df, "label", _pred("score", threshold))             # one row
     conf = _confusion_from(cells).select(
         F.concat(F.lit("confusion_"), F.col("actual").cast("string"), F.lit("_"),
                  F.col("predicted").cast("string")).alias("metric"),
@@ -265,16 +266,20 @@ def evaluate(df: DataFrame, algo: str = "model", mode: str = "test", threshold:
                                        F.col("roc_auc").alias("value"))
     pra = _pr_auc_from(cum, t).select(F.lit("pr_auc").alias("metric"),
                                       F.col("pr_auc").alias("value"))
-    out = conf.unionByName(rep_long).unionByName(auc).unionByName(pra)
+    loss = log_loss(df, "label", "score").select(F.lit("log_loss").alias("metric"), F.col("log_loss").alias("value"))
+    out = conf.unionByName(rep_long).unionByName(auc).unionByName(pra).unionByName(loss)
     return out.select(F.lit(algo).alias("algo"), F.lit(mode).alias("mode"), "metric", "value")
 
 
-def compare(results: list[DataFrame]) -> DataFrame:
-    """One row per (algo, mode [, optim]) with one column per metric."""
+COMPARED = ("roc_auc", "pr_auc", "f1_1", "f1_0", "precision_1", "recall_1", "log_loss")
+
+
+def compare(results: list[DataFrame], metrics: list[str] | tuple = COMPARED) -> DataFrame:
+    """One row per (algo, mode [, optim]) with one column per metric of ``metrics``."""
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r, allowMissingColumns=True)
     keys = [c for c in ("algo", "optim", "mode") if c in out.columns]
-    metrics = ["roc_auc", "pr_auc", "f1_1", "f1_0", "precision_1", "recall_1"]
+    metrics = list(metrics)
     return out.where(F.col("metric").isin(metrics)).groupBy(*keys).pivot(
         "metric", metrics).agg(F.first("value"))

@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.session import scratch_path
 from tabforge.functions.numeric import col
 
 # size checks for literal sets / broadcast of fitted category tables
-LITERAL_SET_LIMIT = 10_000
-BROADCAST_ROW_LIMIT = 2_000_000
 
 
 def _long_counts(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:
@@ -73,17 +72,17 @@ def fit_means(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     return {c: r[c] for c in cols}
 
 
-def apply_fill(df: DataFrame, values: dict) -> DataFrame:
-    """Replace NULLs by literal values (type of each column kept)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
+def apply_fill(df: DataFrame, values: dict, means: bool = False) -> DataFrame:
+    """Replace NULLs by literal values; columns filled with ``means`` become DOUBLE, others keep their type."""
+    types = {f.name: "double" if means else f.dataType for f in df.schema.fields}
     return df.select(*[
-        F.coalesce(col(c), F.lit(values[c]).cast(types[c])).alias(c)
+        F.coalesce(col(c).cast(types[c]), F.lit(values[c]).cast(types[c])).alias(c)
         if values.get(c) is not None else col(c) for c in df.columns])
 
 
 def impute_mean(df: DataFrame, cols: list[str]) -> DataFrame:
     """M5: numeric NULLs <- column mean."""
-    return apply_fill(df, fit_means(df, cols))
+    return apply_fill(df, fit_means(df, cols), means=True)
 
 
 def value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -122,51 +121,36 @@ def impute_mode(df: DataFrame, cols: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- rare categories
 
 def rare_from_counts(counts: DataFrame, threshold: int,
-                     bump: dict[str, tuple[str, int]] | None = None) -> dict[str, object]:
-    """Rare values (count <= threshold) per column.
+                     bump: dict[str, tuple[str, int]] | None = None) -> dict[str, DataFrame]:
+    """{column: DataFrame (column_name, value)} of rare values (count <= threshold).
 
     ``bump``: {column: (mode, nulls)} - counts as they are after mode filling.
-    Returns {column: list of values} when the set is small, else a DataFrame
-    (column_name, value) to be joined.
+    The rare values are one written table, so applying them computes nothing anew.
     """
     n = F.col("n")
     if bump:
         for c, (mode, extra) in bump.items():
             n = F.when((F.col("column_name") == c) & (F.col("value") == mode),
                        n + F.lit(extra)).otherwise(n)
-    rare = counts.where(n <= threshold).select("column_name", "value").persist()
-    sizes = {r["column_name"]: r["k"] for r in
-             rare.groupBy("column_name").agg(F.count(F.lit(1)).alias("k")).collect()}
-    out: dict[str, object] = {}
-    for c, k in sizes.items():
-        if k <= LITERAL_SET_LIMIT:
-            out[c] = [r["value"] for r in rare.where(F.col("column_name") == c)
-                      .select("value").collect()]
-        else:
-            out[c] = rare.where(F.col("column_name") == c).select("value")
-    if all(isinstance(v, list) for v in out.values()):
-        rare.unpersist()                         # nothing lazy refers to it any more
-    return out
+    path = scratch_path(counts.sparkSession, "rare")
+    counts.where(n <= threshold).select("column_name", "value").write.parquet(path)
+    rare = counts.sparkSession.read.schema("column_name string, value string").parquet(path)
+    present = [r[0] for r in rare.select("column_name").distinct().collect()]     # one row a column at most
+    return {c: rare.where(F.col("column_name") == c) for c in sorted(present)}
+
 
+def apply_lump(df: DataFrame, rare: dict[str, DataFrame], other: str = "Other") -> DataFrame:
+    """Replace rare values by ``other``: a left join with the fitted rare values of each column.
 
-def apply_lump(df: DataFrame, rare: dict[str, object], other: str = "Other") -> DataFrame:
-    """Replace rare values by ``other``; literal set or (size-checked) join."""
-    small = {c: v for c, v in rare.items() if isinstance(v, list)}
-    out = df.select(*[
-        F.when(col(c).cast("string").isin(small[c]), F.lit(other))
-        .otherwise(col(c).cast("string")).alias(c) if c in small and small[c]
-        else col(c) for c in df.columns])
+    A hot value has no partner among the rare ones, so its rows can be split;
+    on a stream the join is stream-static.
+    """
+    out = df
     for c, table in rare.items():
-        if isinstance(table, list):
-            continue
-        n_rare = table.count()
-        side = table.withColumnRenamed("value", "__rare").withColumn("__hit", F.lit(True))
-        if n_rare <= BROADCAST_ROW_LIMIT:
-            side = F.broadcast(side)
-        # rows of a hot value find no partner in the rare side; AQE splits skew
+        side = table.select(F.col("value").alias("__rare"))
         joined = out.join(side, col(c).cast("string") == F.col("__rare"), "left")
         out = joined.select(*[
-            F.when(F.col("__hit"), F.lit(other)).otherwise(col(x).cast("string")).alias(x)
+            F.when(F.col("__rare").isNotNull(), F.lit(other)).otherwise(col(x).cast("string")).alias(x)
             if x == c else col(x) for x in df.columns])
     return out
 
@@ -221,14 +205,12 @@ def fit_missing(df: DataFrame, numeric: list[str], categorical: list[str] | None
     if any(miss[c] for c in numeric):
         state["means"] = {c: prof[f"__a{mean_idx[c]}"] for c in numeric}
     if categorical:
-        counts = value_counts(df, categorical).persist()
+        counts = value_counts(df, categorical)
         if any(miss[c] for c in categorical):
             state["modes"] = modes_from_counts(counts)
         bump = {c: (state["modes"][c], miss[c]) for c in categorical
                 if c in state["modes"] and miss[c]}
         state["rare"] = rare_from_counts(counts, category_threshold, bump)
-        if all(isinstance(v, list) for v in state["rare"].values()):
-            counts.unpersist()
     return state
 
 
@@ -240,9 +222,10 @@ def apply_missing(df: DataFrame, state: dict, other: str = "Other") -> DataFrame
         return drop_missing_rows(df)
     if state["dropped"]:
         df = df.drop(*state["dropped"])
-    fill = {**state["means"], **state["modes"]}
-    if fill:
-        df = apply_fill(df, fill)
+    if state["means"]:
+        df = apply_fill(df, state["means"], means=True)
+    if state["modes"]:
+        df = apply_fill(df, state["modes"])
     if state["rare"]:
         df = apply_lump(df, state["rare"], other)
     return df
@@ -259,18 +242,22 @@ def handle_missing(df: DataFrame, numeric: list[str], categorical: list[str] | N
 
 # ---------------------------------------------------------------- encoding, profile
 
-def fit_label_encoder(df: DataFrame, target: str, limit: int = 100_000) -> list:
-    labels = [r[0] for r in df.select(col(target)).distinct()
-              .where(col(target).isNotNull()).limit(limit + 1).collect()]
-    if len(labels) > limit:
-        raise ValueError(f"more than {limit} distinct labels; not a classification target")
-    return sorted(labels)
-
-
-def apply_label_encoder(df: DataFrame, target: str, labels: list) -> DataFrame:
-    m = F.create_map(*[x for i, v in enumerate(labels) for x in (F.lit(v), F.lit(i))])
-    enc: Column = F.try_element_at(m, col(target)).cast("int")
-    return df.select(*[enc.alias(c) if c == target else col(c) for c in df.columns])
+def fit_label_encoder(df: DataFrame, target: str) -> DataFrame:
+    """(label, code): sorted distinct labels -> 0..k-1, as a written table."""
+    from tabforge.functions.prefix import running_sum
+    labels = df.select(col(target).alias("label")).where(F.col("label").isNotNull()).distinct()
+    codes = running_sum(labels.withColumn("one", F.lit(1)), [F.col("label").asc()], ["one"]).select(
+        "label", (F.col("cum_one") - 1).cast("int").alias("code"))
+    path = scratch_path(df.sparkSession, "labels")
+    codes.write.parquet(path)
+    return df.sparkSession.read.schema(codes.schema).parquet(path)
+
+
+def apply_label_encoder(df: DataFrame, target: str, labels: DataFrame) -> DataFrame:
+    """``target`` replaced by its code; unseen labels become NULL.  Works on streams (stream-static join)."""
+    side = labels.select(F.col("label").alias("__label"), F.col("code").alias("__code"))
+    joined = df.join(side, col(target) == F.col("__label"), "left")
+    return joined.select(*[F.col("__code").alias(c) if c == target else col(c) for c in df.columns])
 
 
 def encode_target(df: DataFrame, target: str) -> DataFrame:

@@ -10,14 +10,12 @@ PCA: Spark ML's distributed Gramian; only the d x d result reaches the driver.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import col, safe_corr
 from tabforge.functions.prefix import running_sum
-
-BROADCAST_ROW_LIMIT = 2_000_000
+from tabforge.session import written
 
 
 def _long(df: DataFrame, cols: list[str], by: str | None = None, cast: str = "DOUBLE") -> DataFrame:
@@ -28,10 +26,6 @@ def _long(df: DataFrame, cols: list[str], by: str | None = None, cast: str = "DO
              .where(F.col("value").isNotNull())
 
 
-def _maybe_broadcast(small: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(small) if n <= BROADCAST_ROW_LIMIT else small
-
-
 def histogram(df: DataFrame, cols: list[str], bins: int = 20, by: str | None = None) -> DataFrame:
     """V1/V2: equal-width bins between the (per-class) min and max, density = n/(N*width).
 
@@ -42,24 +36,22 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 20, by: str | None = N
         raise TypeError("Bins value must be an integer")
     keys = ["column_name"] + ([by] if by else [])
     long = _long(df, cols, by)
-    rng = (long.groupBy(*keys).agg(F.min("value").alias("mn"), F.max("value").alias("mx"),
-                                   F.count(F.lit(1)).alias("__tot"))
+    # written, so that its size in bytes is known and decides on a broadcast
+    rng = written(long.groupBy(*keys).agg(F.min("value").alias("mn"), F.max("value").alias("mx"),
+                                          F.count(F.lit(1)).alias("__tot"))
            .select(*keys, "__tot",
                    F.when(F.col("mx") == F.col("mn"), F.col("mn") - 0.5).otherwise(F.col("mn"))
                    .alias("lo0"),
                    F.when(F.col("mx") == F.col("mn"), F.col("mn") + 0.5).otherwise(F.col("mx"))
-                   .alias("hi0"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    n_rng = rng.count()
+                   .alias("hi0")), "histogram")
     b = F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("lo0"))
                                          * (F.lit(float(bins)) / (F.col("hi0") - F.col("lo0")))))
-    counts = (long.join(_maybe_broadcast(rng, n_rng), keys)
+    counts = (long.join(rng, keys)
               .groupBy(*keys, b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     grid = rng.select(*keys, "__tot", "lo0", "hi0",
                       F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi0") - F.col("lo0")) / F.lit(float(bins))
-    # counts has at most one row per grid cell: same size bound as the grid
-    return grid.join(_maybe_broadcast(counts, n_rng * bins), keys + ["bin"], "left").select(
+    return grid.join(counts, keys + ["bin"], "left").select(
         *keys, "bin", (F.col("lo0") + F.col("bin") * width).alias("lo"),
         (F.col("lo0") + (F.col("bin") + 1) * width).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
@@ -82,76 +74,80 @@ def correlation(df: DataFrame, cols: list[str], method: str = "pearson") -> Data
         raise ValueError("method must be one of: pearson, kendall, spearman")
     if method == "spearman":
         # two passes read the ranks (profile, centred sums): rank once, keep them
-        ranked = rank_columns(df.select(*[col(c) for c in cols]), cols) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rows = correlation(ranked, cols, "pearson").collect()     # d x d numbers
-        finally:
-            ranked.unpersist()
-        return df.sparkSession.createDataFrame(
-            rows, "feature_1 STRING, feature_2 STRING, r DOUBLE")
+        ranked = written(rank_columns(df.select(*[col(c) for c in cols]), cols), "ranks")
+        return correlation(ranked, cols, "pearson")
     if method == "kendall":
         return kendall(df, cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
-    prof = df.agg(*[(F.count(F.lit(1)) - F.count(col(c))).alias(f"z{i}") for i, c in enumerate(cols)],
-                  *[F.avg(col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    if not any(prof[f"z{i}"] for i in range(len(cols))):
-        if len(pairs) <= CENTRED_PAIR_LIMIT:
-            return _centred_pearson(df, cols, pairs, [prof[f"m{i}"] for i in range(len(cols))])
-        return _ml_pearson(df, cols, pairs)
-    # pairwise-complete correlation: one aggregate of all pairs (try_divide form)
-    r = df.agg(*[safe_corr(col(cols[i]).cast("double"), col(cols[j]).cast("double"))
-                 .alias(f"r{i}_{j}") for i, j in pairs])
-    stack = ", ".join(f"'{cols[i]}', '{cols[j]}', `r{i}_{j}`" for i, j in pairs)
-    return r.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_1, feature_2, r)")
-
-
-CENTRED_PAIR_LIMIT = 90     # one sum per pair keeps the aggregate inside whole-stage codegen
-
-
-def _centred_pearson(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]],
-                     means: list[float]) -> DataFrame:
-    """No NULLs: one pass of centred cross-product sums (exact means from the
-    profiling pass), r = S_ij / sqrt(S_ii S_jj); a constant column gives NULL."""
-    xc = [col(c).cast("double") - F.lit(float(m)) for c, m in zip(cols, means)]
-    sums = df.agg(*[F.sum(xc[i] * xc[j]).alias(f"s{i}_{j}") for i, j in pairs])
-    stack = ", ".join(
-        f"'{cols[i]}', '{cols[j]}', try_divide(`s{i}_{j}`, sqrt(`s{i}_{i}` * `s{j}_{j}`))"
-        for i, j in pairs)
-    return sums.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_1, feature_2, r)")
-
-
-def _ml_pearson(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
-    """No NULLs: Spark ML's distributed correlation (centred Gramian, BLAS, any width);
-    the d x d result is the only thing collected.  NaN (constant column) -> NULL."""
-    import math
+    return _masked_pearson(df, cols, pairs)
 
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    v = VectorAssembler(inputCols=list(cols), outputCol="__v").transform(
-        df.select(*[col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(v, "__v", "pearson").first()[0].toArray()
-    rows = [(cols[i], cols[j], None if math.isnan(m[i, j]) else float(m[i, j]))
-            for i, j in pairs]
-    return df.sparkSession.createDataFrame(rows, "feature_1 STRING, feature_2 STRING, r DOUBLE")
+
+def _masked_pearson(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """Pairwise-complete Pearson r from one pass of block products.
+
+    With X centred on the column means and zero where NULL, and M the mask of
+    present values, X'X, X'M, (X*X)'M and M'M hold every pair's sums over the rows
+    where both are present.  Each task adds up its d x d products in numpy; their
+    rows are summed by Spark, so the driver gets d x d numbers.  A constant or empty
+    pair gives NULL.
+    """
+    import numpy as np
+    import pyarrow as pa
+    d = len(cols)
+    mean_row = df.agg(*[F.avg(col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    means = np.array([0.0 if m is None else float(m) for m in mean_row])
+    x = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+
+    def products(batches):
+        sums = np.zeros((4, d, d))
+        for b in batches:
+            v = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns], 1) - means
+            m = (~np.isnan(v)).astype(float)
+            v = np.nan_to_num(v)
+            sums += np.stack([v.T @ v, v.T @ m, (v * v).T @ m, m.T @ m])
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(4), d)), pa.array(np.tile(np.arange(d), 4)),
+                                          pa.array(list(sums.reshape(4 * d, d)), pa.list_(pa.float64()))], ["part", "i", "row"])
+
+    rows = (x.mapInArrow(products, "part bigint, i bigint, row array<double>").select("part", "i", F.posexplode("row").alias("j", "v"))
+            .groupBy("part", "i", "j").agg(F.sum("v").alias("v")).collect())
+    t = np.zeros((4, d, d))
+    for r in rows:
+        t[r["part"], r["i"], r["j"]] = r["v"]
+    n = np.maximum(t[3], 1)
+    cov = t[0] - t[1] * t[1].T / n
+    var = t[2] - t[1] * t[1] / n                      # of column i over the rows where j is present too
+    scale = np.maximum(t[2], 1e-300)
+    out = []
+    for i, j in pairs:
+        flat = var[i, j] <= 1e-12 * scale[i, j] or var[j, i] <= 1e-12 * scale[j, i]
+        out.append((cols[i], cols[j], None if flat or t[3, i, j] < 1 else float(cov[i, j] / np.sqrt(var[i, j] * var[j, i]))))
+    return df.sparkSession.createDataFrame(out, "feature_1 STRING, feature_2 STRING, r DOUBLE")
+
+
+def _replace_by(df: DataFrame, cols: list[str], ranks: DataFrame) -> DataFrame:
+    """Each column's values replaced by their ``rank`` (column_name, value, rank); other columns stay.
+
+    One join of the long form with the ranks and one regroup by row, for any
+    number of columns.  Rows are told apart by a running number given before both.
+    """
+    others = [c for c in df.columns if c not in cols]
+    keyed = df.select(F.monotonically_increasing_id().alias("__row"), F.struct(F.lit(0).alias("__"), *[col(c) for c in others]).alias("__rest"),
+                      *[col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', __v{i}" for i, c in enumerate(cols))
+    long = keyed.selectExpr("__row", "__rest", f"stack({len(cols)}, {stack}) AS (column_name, value)")
+    placed = long.join(ranks, ["column_name", "value"], "left")
+    rows = placed.groupBy("__row").agg(F.first("__rest").alias("__rest"), *[
+        F.max(F.when(F.col("column_name") == c, F.col("rank"))).alias(f"__r{i}") for i, c in enumerate(cols)])
+    return rows.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else F.col("__rest").getField(c).alias(c) for c in df.columns])
 
 
 def _dense_ranks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, dict[str, int]]:
     """Each column replaced by the dense rank (0-based) of its value; {column: distinct}."""
-    vals = _long(df, cols).groupBy("column_name", "value").agg(F.lit(1).alias("one")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["column_name"]: r["d"] for r in
-             vals.groupBy("column_name").agg(F.count(F.lit(1)).alias("d")).collect()}
-    cum = running_sum(vals, [F.col("value").asc()], ["one"], partition_by=["column_name"],
-                      n_rows=sum(sizes.values()))
+    vals = _long(df, cols).groupBy("column_name", "value").agg(F.lit(1).alias("one"))
+    cum = running_sum(vals, [F.col("value").asc()], ["one"], partition_by=["column_name"])
+    sizes = {r["column_name"]: r["d"] for r in cum.groupBy("column_name").agg(F.max("cum_one").alias("d")).collect()}
     ranks = cum.select("column_name", "value", (F.col("cum_one") - 1).alias("rank"))
-    out = df
-    for i, c in enumerate(cols):
-        side = ranks.where(F.col("column_name") == c).select(
-            F.col("value").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
-        side = _maybe_broadcast(side, sizes.get(c, 0))
-        out = out.join(side, col(c).cast("double") == F.col(f"__v{i}"), "left").drop(f"__v{i}")
-    return out.select(*[F.col(f"__r{i}").alias(c) for i, c in enumerate(cols)]), sizes
+    return _replace_by(df.select(*[col(c) for c in cols]), cols, ranks), sizes
 
 
 def kendall(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -170,10 +166,9 @@ def kendall(df: DataFrame, cols: list[str]) -> DataFrame:
     ranked, sizes = _dense_ranks(df, cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
     stack = ", ".join(f"{p}, `{cols[i]}`, `{cols[j]}`" for p, (i, j) in enumerate(pairs))
-    cells = (ranked.selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, rx, ry)")
+    cells = written(ranked.selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, rx, ry)")
              .where(F.col("rx").isNotNull() & F.col("ry").isNotNull())
-             .groupBy("pair", "rx", "ry").agg(F.count(F.lit(1)).alias("c"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+             .groupBy("pair", "rx", "ry").agg(F.count(F.lit(1)).alias("c")), "cells")
     # tie terms per pair
     c2 = lambda t: t * (t - 1) / 2.0
     n_all = cells.groupBy("pair").agg(F.sum("c").alias("n"), F.sum(c2(F.col("c"))).alias("n3"))
@@ -220,23 +215,11 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> dict[tuple[str, str],
 
 def rank_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """Replace each column by its average rank among the column's non-NULL values."""
-    counts = (_long(df, cols).groupBy("column_name", "value")
-              .agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
-    sizes = {r["column_name"]: r["d"] for r in
-             counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("d")).collect()}
-    cum = running_sum(counts, [F.col("value").asc()], ["n"], partition_by=["column_name"],
-                      n_rows=sum(sizes.values()))
+    counts = _long(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_sum(counts, [F.col("value").asc()], ["n"], partition_by=["column_name"])
     ranks = cum.select("column_name", "value",
                        (F.col("cum_n") - F.col("n") + (F.col("n") + 1) / 2.0).alias("rank"))
-    out = df
-    for i, c in enumerate(cols):
-        side = ranks.where(F.col("column_name") == c).select(
-            F.col("value").alias(f"__v{i}"), F.col("rank").alias(f"__r{i}"))
-        side = _maybe_broadcast(side, sizes.get(c, 0))
-        out = out.join(side, col(c).cast("double") == F.col(f"__v{i}"), "left") \
-                 .drop(f"__v{i}")
-    return out.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else col(c)
-                        for c in df.columns])
+    return _replace_by(df, cols, ranks)
 
 
 def _assemble(df: DataFrame, cols: list[str], center: bool = True):

@@ -21,11 +21,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabforge.session import written
 from tabforge.functions.numeric import adjusted_skew, col, is_numeric_type
 
 EARTH_RADIUS_MILES = 3958.8
@@ -223,7 +223,7 @@ def build_features(df: DataFrame, label: str, categorical: list[str] | None = No
         raise ValueError("Data Frame already contains target column")
     fm = new_features(df, label, categorical, trans, max_depth)
     if persist:
-        fm = fm.persist(StorageLevel.MEMORY_AND_DISK)
+        fm = written(fm, "features")
     numeric = [c for c in fm.columns if c != label and c not in (categorical or [])]
     fm, _ = drop_correlated(fm, threshold, numeric)
     ordered = [c for c in fm.columns if c != label] + [label]

@@ -51,9 +51,9 @@ LEFT JOIN (SELECT label AS actual, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS pr
                   COUNT(*) AS n FROM scored GROUP BY 1, 2) b
   ON a.actual = b.actual AND a.predicted = b.predicted"""
 
-_ROC = """SELECT ROUND(score, 4) AS threshold, ROUND(fps * 1e0 / Q, 4) AS fpr,
-       ROUND(tps * 1e0 / P, 4) AS tpr FROM c, t
-UNION ALL SELECT ROUND(mx + 1, 4), 0e0, 0e0 FROM t"""
+_ROC = """SELECT score AS threshold, (fps * 1e0 / Q) AS fpr,
+       (tps * 1e0 / P) AS tpr FROM c, t
+UNION ALL SELECT (mx + 1), 0e0, 0e0 FROM t"""
 
 
 def _scored(spark, sf_dir):
@@ -61,7 +61,7 @@ def _scored(spark, sf_dir):
 
 
 @register("classify", "WITH " + V.SCORED_SQL + """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, ROUND(score, 4) AS score,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, score AS score,
        CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS pred FROM scored""")
 def q_classify(spark, sf_dir):
     return M.classify(_scored(spark, sf_dir), 0.5)
@@ -73,8 +73,8 @@ def q_confusion(spark, sf_dir):
 
 
 @register("class_report", _CURVE + """
-SELECT label, ROUND(precision, 4) AS precision, ROUND(recall, 4) AS recall,
-       ROUND(f1_score, 4) AS f1_score, CAST(support AS BIGINT) AS support FROM rep""")
+SELECT label, precision AS precision, recall AS recall,
+       f1_score AS f1_score, CAST(support AS BIGINT) AS support FROM rep""")
 def q_class_report(spark, sf_dir):
     return M.class_report(_scored(spark, sf_dir))
 
@@ -88,54 +88,54 @@ def q_roc_curve(spark, sf_dir):
 d AS (SELECT score, pos, neg, tps, fps, ROW_NUMBER() OVER (ORDER BY score DESC) AS i,
              COUNT(*) OVER () AS nn, LEAD(pos) OVER (ORDER BY score DESC) AS npos,
              LEAD(neg) OVER (ORDER BY score DESC) AS nneg FROM c)
-SELECT ROUND(score, 4) AS threshold, ROUND(fps * 1e0 / Q, 4) AS fpr, ROUND(tps * 1e0 / P, 4) AS tpr
+SELECT score AS threshold, (fps * 1e0 / Q) AS fpr, (tps * 1e0 / P) AS tpr
 FROM d, t WHERE i = 1 OR i = nn OR npos <> pos OR nneg <> neg
-UNION ALL SELECT ROUND(mx + 1, 4), 0e0, 0e0 FROM t""")
+UNION ALL SELECT (mx + 1), 0e0, 0e0 FROM t""")
 def q_roc_curve_dropped(spark, sf_dir):
     return M.roc_curve(_scored(spark, sf_dir), drop_intermediate=True)
 
 
-@register("roc_auc", _CURVE + "SELECT ROUND(roc_auc, 4) AS roc_auc FROM auc")
+@register("roc_auc", _CURVE + "SELECT roc_auc AS roc_auc FROM auc")
 def q_roc_auc(spark, sf_dir):
     return M.roc_auc(_scored(spark, sf_dir))
 
 
 @register("pr_curve", _CURVE + """
-SELECT ROUND(score, 4) AS threshold, ROUND(tps * 1e0 / (tps + fps), 4) AS precision,
-       ROUND(tps * 1e0 / P, 4) AS recall FROM c, t WHERE tps - pos < P
+SELECT score AS threshold, (tps * 1e0 / (tps + fps)) AS precision,
+       (tps * 1e0 / P) AS recall FROM c, t WHERE tps - pos < P
 UNION ALL SELECT NULL, 1e0, 0e0""")
 def q_pr_curve(spark, sf_dir):
     return M.pr_curve(_scored(spark, sf_dir))
 
 
-@register("pr_auc", _CURVE + "SELECT ROUND(pr_auc, 4) AS pr_auc FROM prauc")
+@register("pr_auc", _CURVE + "SELECT pr_auc AS pr_auc FROM prauc")
 def q_pr_auc(spark, sf_dir):
     return M.pr_auc(_scored(spark, sf_dir))
 
 
 @register("fpr_fnr", _CURVE + """
-SELECT ROUND(score, 4) AS threshold, ROUND(fps * 1e0 / Q, 4) AS fpr,
-       ROUND(1 - tps * 1e0 / P, 4) AS fnr FROM c, t
-UNION ALL SELECT ROUND(mx + 1, 4), 0e0, 1e0 FROM t""")
+SELECT score AS threshold, (fps * 1e0 / Q) AS fpr,
+       (1 - tps * 1e0 / P) AS fnr FROM c, t
+UNION ALL SELECT (mx + 1), 0e0, 1e0 FROM t""")
 def q_fpr_fnr(spark, sf_dir):
     return M.fpr_fnr(_scored(spark, sf_dir))
 
 
-@register("no_skill", "WITH " + V.SCORED_SQL + " SELECT ROUND(AVG(label * 1e0), 4) AS no_skill FROM scored")
+@register("no_skill", "WITH " + V.SCORED_SQL + " SELECT AVG(label * 1e0) AS no_skill FROM scored")
 def q_no_skill(spark, sf_dir):
     return M.no_skill(_scored(spark, sf_dir))
 
 
 @register("log_loss", "WITH " + V.SCORED_SQL + """
-SELECT ROUND(AVG(-(label * LN(LEAST(GREATEST(score, 1e-15), 1 - 1e-15))
-                 + (1 - label) * LN(1 - LEAST(GREATEST(score, 1e-15), 1 - 1e-15)))), 4) AS log_loss
+SELECT (AVG(-(label * LN(LEAST(GREATEST(score, 1e-15), 1 - 1e-15))
+                 + (1 - label) * LN(1 - LEAST(GREATEST(score, 1e-15), 1 - 1e-15))))) AS log_loss
 FROM scored""")
 def q_log_loss(spark, sf_dir):
     return M.log_loss(_scored(spark, sf_dir))
 
 
 @register("f1_at_half", _CURVE + """
-SELECT ROUND(COALESCE(2e0 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 4) AS f1 FROM cells""")
+SELECT (COALESCE(2e0 * tp / NULLIF(2 * tp + fp + fn, 0), 0)) AS f1 FROM cells""")
 def q_f1_at_half(spark, sf_dir):
     return M.f1_at_half(_scored(spark, sf_dir))
 
@@ -150,8 +150,10 @@ ev AS (
   UNION ALL SELECT 'f1_' || label, f1_score FROM rep
   UNION ALL SELECT 'support_' || label, support * 1e0 FROM rep
   UNION ALL SELECT 'roc_auc', roc_auc FROM auc
-  UNION ALL SELECT 'pr_auc', pr_auc FROM prauc)
-SELECT 'price' AS algo, 'test' AS mode, metric, ROUND(value, 4) AS value FROM ev""")
+  UNION ALL SELECT 'pr_auc', pr_auc FROM prauc
+  UNION ALL SELECT 'log_loss', AVG(-(label * LN(LEAST(GREATEST(score, 1e-15), 1 - 1e-15))
+                 + (1 - label) * LN(1 - LEAST(GREATEST(score, 1e-15), 1 - 1e-15)))) FROM scored)
+SELECT 'price' AS algo, 'test' AS mode, metric, value AS value FROM ev""")
 def q_evaluate(spark, sf_dir):
     return M.evaluate(_scored(spark, sf_dir), algo="price", mode="test")
 
@@ -160,9 +162,9 @@ def q_evaluate(spark, sf_dir):
 d AS (SELECT score, pos, neg, tps, fps, ROW_NUMBER() OVER (ORDER BY score DESC) AS i,
              COUNT(*) OVER () AS nn, LEAD(pos) OVER (ORDER BY score DESC) AS npos,
              LEAD(neg) OVER (ORDER BY score DESC) AS nneg FROM c)
-SELECT ROUND(score, 4) AS threshold, ROUND(fps * 1e0 / Q, 4) AS fpr, ROUND(1 - tps * 1e0 / P, 4) AS fnr
+SELECT score AS threshold, (fps * 1e0 / Q) AS fpr, (1 - tps * 1e0 / P) AS fnr
 FROM d, t WHERE i = 1 OR i = nn OR npos <> pos OR nneg <> neg
-UNION ALL SELECT ROUND(mx + 1, 4), 0e0, 1e0 FROM t""")
+UNION ALL SELECT (mx + 1), 0e0, 1e0 FROM t""")
 def q_fpr_fnr_dropped(spark, sf_dir):
     """E8 on the ROC points the common library keeps by default (collinear points dropped)."""
     return M.fpr_fnr(_scored(spark, sf_dir), drop_intermediate=True)

@@ -18,7 +18,6 @@ from tabforge.plans.registry import register
 
 _F = V.FEATURES
 BASE_PARAMS = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3, "seed": 42}
-_MODELS: dict = {}
 
 
 def _train_test(spark, sf_dir):
@@ -27,12 +26,9 @@ def _train_test(spark, sf_dir):
 
 
 def _model(spark, sf_dir, params=None):
-    key = (spark.sparkContext.applicationId, sf_dir,
-           tuple(sorted((params or BASE_PARAMS).items())))
-    if key not in _MODELS:
-        train, _ = _train_test(spark, sf_dir)
-        _MODELS[key] = boost.train_boosted(train, _F, "label", params or BASE_PARAMS)
-    return _MODELS[key]
+    """Trained anew for each query, so a query's time holds its training."""
+    train, _ = _train_test(spark, sf_dir)
+    return boost.train_boosted(train, _F, "label", params or BASE_PARAMS)
 
 
 @register("boost_train")
@@ -131,14 +127,6 @@ SPACE = {
 CV_OPTS = {"k": 2, "rounds": 10, "early_stopping": 3}
 
 
-@register("search_candidates")
-def q_search_candidates(spark, sf_dir):
-    """H1/H2: one candidate draw per 100 sig rows (the candidate set scales with the data)."""
-    n = max(100, V.sig(spark, sf_dir).count() // 100)
-    c = search.candidates(spark, SPACE, n, seed=7)
-    return c.select("trial_id", *[F.col("params")[p].alias(p) for p in SPACE])
-
-
 @register("search_random")
 def q_search_random(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
@@ -206,15 +194,15 @@ def _threshold_trials(spark, sf_dir):
 
 
 @register("best_trial", _TRIALS_SQL + """
-SELECT trial_id, optim_type, iteration, ROUND(threshold, 4) AS threshold, ROUND(loss, 4) AS loss
+SELECT trial_id, optim_type, iteration, threshold AS threshold, loss AS loss
 FROM trials ORDER BY loss, iteration, trial_id LIMIT 1""")
 def q_best_trial(spark, sf_dir):
     return search.best_trial(_threshold_trials(spark, sf_dir))
 
 
 @register("summarize_runs", _TRIALS_SQL + """
-SELECT optim_type, ROUND(arg_min(threshold, (loss, iteration, trial_id)), 4) AS best_params,
-       ROUND(MIN(loss), 4) AS best_loss, CAST(COUNT(*) AS BIGINT) AS n_trials
+SELECT optim_type, (arg_min(threshold, (loss, iteration, trial_id))) AS best_params,
+       MIN(loss) AS best_loss, CAST(COUNT(*) AS BIGINT) AS n_trials
 FROM trials GROUP BY optim_type""")
 def q_summarize_runs(spark, sf_dir):
     return search.summarize_runs(_threshold_trials(spark, sf_dir), params_col="threshold")
@@ -283,18 +271,3 @@ def q_doc_quality_eval(spark, sf_dir):
                                                        "seed": 7}, class_weight=True)
     scored = boost.score(m, test, feats, ["quality"]).withColumnRenamed("quality", "label")
     return metrics.evaluate(scored, "gbt_text", "test")
-
-
-@register("reference_spaces")
-def q_reference_spaces(spark, sf_dir):
-    """H1/H2: candidates from the nine reference spaces (engine x optimiser), one
-    draw per 1,000 sig rows each; params as JSON."""
-    from tabforge.operators import spaces
-    n = max(10, V.sig(spark, sf_dir).count() // 1000)
-    out = None
-    for (algo, optim), sp in spaces.SPACES.items():
-        c = search.candidates(spark, sp, n, seed=11).select(
-            F.lit(algo).alias("algorithm"), F.lit(optim).alias("optimiser"), "trial_id",
-            F.to_json("params").alias("params"))
-        out = c if out is None else out.unionByName(c)
-    return out

@@ -51,9 +51,9 @@ def coerced(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ sources
-@register("src_parquet", """SELECT * FROM region""")
+@register("src_parquet", """SELECT * FROM lineitem""")
 def q_src_parquet(spark, sf_dir):
-    return io.read_table(spark, f"{sf_dir}/region.parquet")
+    return io.read_table(spark, f"{sf_dir}/lineitem.parquet")
 
 
 @register("sample_exact", """
@@ -125,7 +125,7 @@ def q_missing_counts(spark, sf_dir):
 
 
 @register("missing_percent", CO_SQL + _union_counts(
-    "co", _ALL5, "ROUND(100e0 * (COUNT(*) - COUNT({c})) / COUNT(*), 4) AS pct_missing"))
+    "co", _ALL5, "(100e0 * (COUNT(*) - COUNT({c})) / COUNT(*)) AS pct_missing"))
 def q_missing_percent(spark, sf_dir):
     return missing.missing_percent(coerced(spark, sf_dir))
 
@@ -144,9 +144,9 @@ def q_drop_missing_rows(spark, sf_dir):
 
 @register("impute_mean", CL_SQL + """
 SELECT target,
-       ROUND(COALESCE(feat1, (SELECT AVG(feat1) FROM cl)), 4) AS feat1,
-       ROUND(COALESCE(feat2, (SELECT AVG(feat2) FROM cl)), 4) AS feat2,
-       ROUND(COALESCE(feat3, (SELECT AVG(feat3) FROM cl)), 4) AS feat3, feat4 FROM cl""")
+       (COALESCE(feat1, (SELECT AVG(feat1) FROM cl))) AS feat1,
+       (COALESCE(feat2, (SELECT AVG(feat2) FROM cl))) AS feat2,
+       (COALESCE(feat3, (SELECT AVG(feat3) FROM cl))) AS feat3, feat4 FROM cl""")
 def q_impute_mean(spark, sf_dir):
     return missing.impute_mean(cleaned(spark, sf_dir), V.DIRTY_NUMERIC)
 
@@ -198,7 +198,7 @@ def q_missing_by_class(spark, sf_dir):
 # ------------------------------------------------------------------ scaling
 def _clf_out(exprs: dict[str, str]) -> str:
     return (V.with_ctes(V.CLF_SQL) + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, y, "
-            + ", ".join(f"ROUND({e}, 4) AS {c}" for c, e in exprs.items()) + " FROM clf")
+            + ", ".join(f"{e} AS {c}" for c, e in exprs.items()) + " FROM clf")
 
 
 @register("scale_standard", _clf_out({
@@ -226,7 +226,7 @@ def q_scale_robust(spark, sf_dir):
   SELECT """ + ", ".join(f"AVG({f}) AS m_{f}, STDDEV_POP({f}) AS s_{f}" for f in V.FEATURES)
     + " FROM clf WHERE l_orderkey % 10 < 7)") + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, y, """ + ", ".join(
-    f"ROUND(({f} - m_{f}) / s_{f}, 4) AS {f}" for f in V.FEATURES)
+    f"(({f} - m_{f}) / s_{f}) AS {f}" for f in V.FEATURES)
     + " FROM clf, st WHERE l_orderkey % 10 >= 7")
 def q_scale_train_test(spark, sf_dir):
     d = V.clf(spark, sf_dir)
@@ -256,8 +256,8 @@ def q_preprocess_chain(spark, sf_dir):
 
 
 @register("preprocess_summary", CHAIN_SQL + """
-SELECT target, CAST(COUNT(*) AS BIGINT) AS n_rows, ROUND(AVG(feat1), 4) AS mean_feat1,
-       ROUND(AVG(feat3), 4) AS mean_feat3,
+SELECT target, CAST(COUNT(*) AS BIGINT) AS n_rows, AVG(feat1) AS mean_feat1,
+       AVG(feat3) AS mean_feat3,
        CAST(SUM(CASE WHEN feat4 = 'Other' THEN 1 ELSE 0 END) AS BIGINT) AS n_other
 FROM chain GROUP BY target""")
 def q_preprocess_summary(spark, sf_dir):
@@ -302,7 +302,7 @@ lng AS ({long}),
 s AS (SELECT c, COUNT(x) AS n, {s_expr} AS s FROM lng GROUP BY c),
 v AS (SELECT c, l, VAR_POP({psi}) AS v FROM lng, lam GROUP BY c, l),
 ll AS (SELECT v.c, l, -n / 2e0 * LN(v) + (l - 1) * s AS ll FROM v JOIN s ON v.c = s.c WHERE v > 0)
-SELECT c AS column_name, ROUND(arg_max(l, ll), 4) AS lambda FROM ll GROUP BY c"""
+SELECT c AS column_name, arg_max(l, ll) AS lambda FROM ll GROUP BY c"""
 
 
 def _lambdas_frame(spark, params):
@@ -311,7 +311,7 @@ def _lambdas_frame(spark, params):
 
 
 @register("power_yj_fixed", _POWER_SRC_SQL + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-          + ", ".join(f"ROUND({_yj_sql(c, '0.5e0')}, 4) AS {c}" for c in _YJ_COLS) + " FROM src")
+          + ", ".join(f"{_yj_sql(c, '0.5e0')} AS {c}" for c in _YJ_COLS) + " FROM src")
 def q_power_yj_fixed(spark, sf_dir):
     from tabforge.operators import power
     d = _power_src(spark, sf_dir).select(*V.KEYS, *_YJ_COLS)
@@ -319,7 +319,7 @@ def q_power_yj_fixed(spark, sf_dir):
 
 
 @register("power_bc_fixed", _POWER_SRC_SQL + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, "
-          + ", ".join(f"ROUND({_bc_sql(c, '0.5e0')}, 4) AS {c}" for c in _BC_COLS) + " FROM src")
+          + ", ".join(f"{_bc_sql(c, '0.5e0')} AS {c}" for c in _BC_COLS) + " FROM src")
 def q_power_bc_fixed(spark, sf_dir):
     from tabforge.operators import power
     d = _power_src(spark, sf_dir).select(*V.KEYS, *_BC_COLS)
@@ -361,23 +361,23 @@ def q_preprocess_full(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ CSV source
-def _region_csv(spark, sf_dir, header: bool) -> str:
-    """Write region as CSV below the shared checkpoint folder; return the path."""
+def _lineitem_csv(spark, sf_dir, header: bool) -> str:
+    """Write three lineitem columns as CSV below the shared checkpoint folder; return the path."""
     from tabforge.session import scratch_path
-    path = scratch_path(spark, "region-csv")
-    io.read_table(spark, f"{sf_dir}/region.parquet").write.option("header", header).csv(path)
+    path = scratch_path(spark, "lineitem-csv")
+    io.read_table(spark, f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_extendedprice", "l_returnflag").write.option("header", header).csv(path)
     return path
 
 
-@register("src_csv", "SELECT r_regionkey, r_name FROM region")
+@register("src_csv", "SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, l_extendedprice, l_returnflag FROM lineitem")
 def q_src_csv(spark, sf_dir):
     """CSV round trip, header inferred from the first line."""
-    path = _region_csv(spark, sf_dir, header=True)
+    path = _lineitem_csv(spark, sf_dir, header=True)
     return io.read_table(spark, path, "csv", header="infer")
 
 
-@register("src_csv_noheader", 'SELECT r_regionkey AS "0", r_name AS "1" FROM region')
+@register("src_csv_noheader", 'SELECT CAST(l_orderkey AS INTEGER) AS "0", l_extendedprice AS "1", l_returnflag AS "2" FROM lineitem')
 def q_src_csv_noheader(spark, sf_dir):
     """CSV without a header: columns named by position."""
-    path = _region_csv(spark, sf_dir, header=False)
+    path = _lineitem_csv(spark, sf_dir, header=False)
     return io.read_table(spark, path, "csv", header=None)

@@ -30,10 +30,10 @@ cnt AS (SELECT {k}l.column_name,
                COUNT(*) AS c
         FROM lng l JOIN rng r USING ({using}) GROUP BY ALL)""", f"""
 grid AS (SELECT {k}column_name, N, lo0, hi0, CAST(UNNEST(RANGE(0, 20)) AS INTEGER) AS bin FROM rng)""") + f"""
-SELECT {k}column_name, bin, ROUND(lo0 + bin * ((hi0 - lo0) / 20e0), 4) AS lo,
-       ROUND(lo0 + (bin + 1) * ((hi0 - lo0) / 20e0), 4) AS hi,
+SELECT {k}column_name, bin, (lo0 + bin * ((hi0 - lo0) / 20e0)) AS lo,
+       (lo0 + (bin + 1) * ((hi0 - lo0) / 20e0)) AS hi,
        CAST(COALESCE(c, 0) AS BIGINT) AS n,
-       ROUND(COALESCE(c, 0) / (N * ((hi0 - lo0) / 20e0)), 4) AS density
+       (COALESCE(c, 0) / (N * ((hi0 - lo0) / 20e0))) AS density
 FROM grid LEFT JOIN cnt USING ({using}, bin)"""
 
 
@@ -67,7 +67,7 @@ def _corr_sql(src_ctes: str, src: str, cols: list[str]) -> str:
     for i, a in enumerate(cols):
         for b in cols[:i + 1]:
             parts.append(f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, "
-                         f"ROUND(CORR({a}, {b}), 4) AS r FROM {src}")
+                         f"CORR({a}, {b}) AS r FROM {src}")
     return src_ctes + " UNION ALL ".join(parts)
 
 
@@ -99,7 +99,7 @@ def q_pca_project(spark, sf_dir):
 @register("class_ratio", V.with_ctes(V.CLF_SQL) + """
 SELECT CAST(SUM(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n0,
        CAST(SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n1,
-       ROUND(SUM(CASE WHEN y = 0 THEN 1 ELSE 0 END) * 1e0 / SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END), 4) AS ratio
+       (SUM(CASE WHEN y = 0 THEN 1 ELSE 0 END) * 1e0 / SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END)) AS ratio
 FROM clf""")
 def q_class_ratio(spark, sf_dir):
     return profile.class_ratio(V.clf(spark, sf_dir), "y")
@@ -147,9 +147,9 @@ def q_stratified_folds(spark, sf_dir):
 
 @register("class_weight", V.with_ctes(V.CLF_SQL) + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, y,
-       ROUND(CASE WHEN y = 1 THEN (SELECT SUM(CASE WHEN y = 0 THEN 1 ELSE 0 END) * 1e0
+       (CASE WHEN y = 1 THEN (SELECT SUM(CASE WHEN y = 0 THEN 1 ELSE 0 END) * 1e0
                                           / SUM(CASE WHEN y = 1 THEN 1 ELSE 0 END) FROM clf)
-             ELSE 1e0 END, 4) AS weight
+             ELSE 1e0 END) AS weight
 FROM clf""")
 def q_class_weight(spark, sf_dir):
     return folds.with_class_weight(V.clf(spark, sf_dir), "y").select(*V.KEYS, "y", "weight")
@@ -166,8 +166,8 @@ def _kendall_pair(a: str, b: str) -> str:
   tx AS (SELECT CAST(SUM(s * (s - 1) / 2) AS DOUBLE) AS n1 FROM (SELECT SUM(c) AS s FROM cl GROUP BY x)),
   ty AS (SELECT CAST(SUM(s * (s - 1) / 2) AS DOUBLE) AS n2 FROM (SELECT SUM(c) AS s FROM cl GROUP BY y)),
   d AS (SELECT CAST(COALESCE(SUM(p.c * q.c), 0) AS DOUBLE) AS nd FROM cl p JOIN cl q ON p.x < q.x AND p.y > q.y)
-  SELECT ROUND((n * (n - 1) / 2 - n1 - n2 + n3 - 2 * nd)
-               / SQRT((n * (n - 1) / 2 - n1) * (n * (n - 1) / 2 - n2)), 4) FROM t, tx, ty, d) AS r"""
+  SELECT ((n * (n - 1) / 2 - n1 - n2 + n3 - 2 * nd)
+               / SQRT((n * (n - 1) / 2 - n1) * (n * (n - 1) / 2 - n2))) FROM t, tx, ty, d) AS r"""
 
 
 _KCOLS = list(_KT)

@@ -35,7 +35,7 @@ _CHI2_CTE = V.with_ctes(
 
 
 def _ranked(src: str, k: int) -> str:
-    return f"""SELECT feature, CAST(position AS INTEGER) AS position, ROUND(score, 4) AS score,
+    return f"""SELECT feature, CAST(position AS INTEGER) AS position, score AS score,
        ROW_NUMBER() OVER (ORDER BY score DESC NULLS LAST, position DESC) <= {k} AS selected
 FROM {src}"""
 
@@ -51,7 +51,7 @@ def q_select_chi2(spark, sf_dir):
 
 
 @register("above_mean", _PEARSON_CTE + """
-SELECT feature, CAST(position AS INTEGER) AS position, ROUND(score, 4) AS score,
+SELECT feature, CAST(position AS INTEGER) AS position, score AS score,
        score >= AVG(score) OVER () AND ROW_NUMBER() OVER (ORDER BY score DESC, position) <= 2 AS selected
 FROM ps""")
 def q_above_mean(spark, sf_dir):

@@ -22,18 +22,18 @@ def _pairs(names: list[str]) -> list[tuple[str, str]]:
 def _dfs_sql(base: list[str], add: bool, mul: bool) -> tuple[str, list[str]]:
     """Oracle select list: base, then add outputs, then multiply outputs."""
     exprs = {b: b for b in base}
-    sel = [f'ROUND({b}, 4) AS "{b}"' for b in base]
+    sel = [f'{b} AS "{b}"' for b in base]
     adds = []
     if add:
         for a, b in _pairs(base):
             n = f"{a} + {b}"
             exprs[n] = f"({exprs[a]} + {exprs[b]})"
             adds.append(n)
-            sel.append(f'ROUND({exprs[n]}, 4) AS "{n}"')
+            sel.append(f'{exprs[n]} AS "{n}"')
     if mul:
         for a, b in _pairs(base + adds):
             n = f"{a} * {b}"
-            sel.append(f'ROUND(({exprs[a]}) * ({exprs[b]}), 4) AS "{n}"')
+            sel.append(f'(({exprs[a]}) * ({exprs[b]})) AS "{n}"')
     return ", ".join(sel), [s.split(" AS ")[1].strip('"') for s in sel]
 
 
@@ -73,9 +73,9 @@ def q_dfs_dates(spark, sf_dir):
 
 
 @register("dfs_haversine", V.with_ctes(V.GEO_SQL) + """
-SELECT c_custkey, ROUND(2 * 3958.8 * ASIN(SQRT(
+SELECT c_custkey, (2 * 3958.8 * ASIN(SQRT(
          POW(SIN(RADIANS(lat2 - lat1) / 2), 2)
-         + COS(RADIANS(lat1)) * COS(RADIANS(lat2)) * POW(SIN(RADIANS(lon2 - lon1) / 2), 2))), 4)
+         + COS(RADIANS(lat1)) * COS(RADIANS(lat2)) * POW(SIN(RADIANS(lon2 - lon1) / 2), 2))))
        AS "HAVERSINE((lat1, lon1), (lat2, lon2))"
 FROM geo""")
 def q_dfs_haversine(spark, sf_dir):
@@ -95,10 +95,10 @@ def q_dfs_text(spark, sf_dir):
 
 
 @register("dfs_custom", V.with_ctes(V.CLF_SQL) + f"""
-SELECT {_KEYS}, ROUND(f1, 4) AS f1, ROUND(f2, 4) AS f2, ROUND(f3, 4) AS f3,
-       ROUND(f1 - f2, 4) AS "f1 - f2", ROUND(f1 - f3, 4) AS "f1 - f3",
-       ROUND(f2 - f1, 4) AS "f2 - f1", ROUND(f2 - f3, 4) AS "f2 - f3",
-       ROUND(f3 - f1, 4) AS "f3 - f1", ROUND(f3 - f2, 4) AS "f3 - f2"
+SELECT {_KEYS}, f1 AS f1, f2 AS f2, f3 AS f3,
+       (f1 - f2) AS "f1 - f2", (f1 - f3) AS "f1 - f3",
+       (f2 - f1) AS "f2 - f1", (f2 - f3) AS "f2 - f3",
+       (f3 - f1) AS "f3 - f1", (f3 - f2) AS "f3 - f2"
 FROM clf""")
 def q_dfs_custom(spark, sf_dir):
     return synth.synthesize(V.clf(spark, sf_dir), ["subtract_numeric"], 1, ["f1", "f2", "f3"],
@@ -106,8 +106,8 @@ def q_dfs_custom(spark, sf_dir):
 
 
 @register("dfs_with_categorical", f"""
-SELECT {_KEYS}, ROUND(l_discount, 4) AS l_discount, ROUND(l_quantity, 4) AS l_quantity,
-       ROUND(l_discount * l_quantity, 4) AS "l_discount * l_quantity",
+SELECT {_KEYS}, l_discount AS l_discount, l_quantity AS l_quantity,
+       (l_discount * l_quantity) AS "l_discount * l_quantity",
        l_returnflag, l_linestatus
 FROM lineitem""")
 def q_dfs_with_categorical(spark, sf_dir):
@@ -118,7 +118,7 @@ def q_dfs_with_categorical(spark, sf_dir):
 
 
 @register("drop_correlated", V.with_ctes(V.CLF_SQL) + f"""
-SELECT {_KEYS}, y, ROUND(f1, 4) AS f1, ROUND(f2, 4) AS f2, ROUND(f3, 4) AS f3 FROM clf""")
+SELECT {_KEYS}, y, f1 AS f1, f2 AS f2, f3 AS f3 FROM clf""")
 def q_drop_correlated(spark, sf_dir):
     fm = synth.synthesize(V.clf(spark, sf_dir), ["add_numeric"], 1, ["f1", "f2", "f3"],
                           passthrough=V.KEYS + ["y"])
@@ -127,7 +127,7 @@ def q_drop_correlated(spark, sf_dir):
 
 
 @register("build_features", V.with_ctes(V.CLF_SQL) + """
-SELECT ROUND(f1, 4) AS f1, ROUND(f2, 4) AS f2, ROUND(f3, 4) AS f3, y AS target FROM clf""")
+SELECT f1 AS f1, f2 AS f2, f3 AS f3, y AS target FROM clf""")
 def q_build_features(spark, sf_dir):
     d = V.clf(spark, sf_dir).select("f1", "f2", "f3", "y")
     return synth.build_features(d, "y", None, ["add_numeric"], 1, 0.8)
@@ -144,13 +144,13 @@ _AGG_SQL = {
 def _agg_oracle(prim: str) -> str:
     if prim in _AGG_SQL:
         inner = ", ".join(f"{_AGG_SQL[prim].format(c=c)} AS {prim}_{c}" for c in _AGG_COLS)
-        outer = ", ".join(f"ROUND(a.{prim}_{c}, 4) AS {prim}_{c}" for c in _AGG_COLS)
+        outer = ", ".join(f"(a.{prim}_{c}) AS {prim}_{c}" for c in _AGG_COLS)
     elif prim == "count":
         inner = "COUNT(*) AS count_rows"
         outer = "CAST(COALESCE(a.count_rows, 0) AS BIGINT) AS count_rows"
     elif prim == "percent_true":
         inner = "AVG(CASE WHEN l_returnflag = 'R' THEN 1e0 ELSE 0e0 END) AS percent_true_is_returned"
-        outer = "ROUND(a.percent_true_is_returned, 4) AS percent_true_is_returned"
+        outer = "a.percent_true_is_returned AS percent_true_is_returned"
     elif prim == "num_unique":
         inner = ("COUNT(DISTINCT l_returnflag) AS num_unique_l_returnflag, "
                  "COUNT(DISTINCT l_linestatus) AS num_unique_l_linestatus")
@@ -164,12 +164,12 @@ WITH vc AS (SELECT l_orderkey, 'l_returnflag' AS c, l_returnflag AS v, COUNT(*)
             SELECT l_orderkey, 'l_linestatus', l_linestatus, COUNT(*) FROM lineitem GROUP BY 1, 3),
 m AS (SELECT l_orderkey, c, v FROM vc
       QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, c ORDER BY n DESC, v) = 1)
-SELECT o.o_orderkey, o.o_custkey, ROUND(o.o_totalprice, 4) AS o_totalprice,
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice AS o_totalprice,
        MAX(CASE WHEN m.c = 'l_returnflag' THEN m.v END) AS mode_l_returnflag,
        MAX(CASE WHEN m.c = 'l_linestatus' THEN m.v END) AS mode_l_linestatus
 FROM orders o LEFT JOIN m ON o.o_orderkey = m.l_orderkey GROUP BY 1, 2, 3"""
     return f"""
-SELECT o.o_orderkey, o.o_custkey, ROUND(o.o_totalprice, 4) AS o_totalprice, {outer}
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice AS o_totalprice, {outer}
 FROM orders o LEFT JOIN (SELECT l_orderkey, {inner} FROM lineitem GROUP BY l_orderkey) a
   ON o.o_orderkey = a.l_orderkey"""
 
@@ -195,10 +195,10 @@ for _p in synth.AGGREGATIONS:
 
 @register("agg_events", """
 SELECT u.user_id, CAST(COUNT(e.event_id) AS BIGINT) AS count_rows,
-       ROUND(SUM(e.value), 4) AS sum_value, ROUND(AVG(e.value), 4) AS mean_value,
-       ROUND(STDDEV_SAMP(e.value), 4) AS std_value, ROUND(MAX(e.value), 4) AS max_value,
-       ROUND(MIN(e.value), 4) AS min_value,
-       ROUND(AVG(CASE WHEN e.event_type = 'purchase' THEN 1e0 ELSE 0e0 END), 4) AS percent_true_is_purchase
+       SUM(e.value) AS sum_value, AVG(e.value) AS mean_value,
+       STDDEV_SAMP(e.value) AS std_value, MAX(e.value) AS max_value,
+       MIN(e.value) AS min_value,
+       AVG(CASE WHEN e.event_type = 'purchase' THEN 1e0 ELSE 0e0 END) AS percent_true_is_purchase
 FROM (SELECT DISTINCT user_id FROM events) u JOIN events e ON u.user_id = e.user_id
 GROUP BY u.user_id""")
 def q_agg_events(spark, sf_dir):

@@ -1,8 +1,7 @@
 """Registry of named queries (Spark) and their DuckDB oracle SQL.
 
 Each query is ``fn(spark, sf_dir) -> DataFrame`` and reads the driver tables
-(or views Spark derives from them) in full.  Doubles in query outputs are
-rounded to 4 places with the same arithmetic as the oracle's ``round``.
+(or views Spark derives from them) in full and returns full precision.
 """
 
 from __future__ import annotations
@@ -11,28 +10,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabforge.functions.numeric import round_doubles
-
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
-RAW: dict[str, QueryFn] = {}        # the same queries without the comparison rounding
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, oracle: str | None = None, rounded: bool = True):
+def register(name: str, oracle: str | None = None):
     """Decorator: register ``fn(spark, sf_dir)`` under ``name`` (and its oracle)."""
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            df = fn(spark, sf_dir)
-            return round_doubles(df) if rounded else df
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
-        RAW[name] = fn
+        QUERIES[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
@@ -50,12 +39,6 @@ def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
 
-def raw_queries() -> dict[str, QueryFn]:
-    """Operator outputs at full precision (what the bench times)."""
-    load_all()
-    return dict(RAW)
-
-
 def oracle_sql() -> dict[str, str]:
     load_all()
     return dict(ORACLES)

@@ -119,16 +119,16 @@ def sig(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ emb / doc / geo
 EMB_SQL = """emb AS (
   SELECT vec_id, """ + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(8)) + """,
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(64)) + """,
          CASE WHEN label < 5 THEN 1 ELSE 0 END AS label
   FROM embeddings)"""
-EMB_FEATURES = [f"e{i}" for i in range(8)]
+EMB_FEATURES = [f"e{i}" for i in range(64)]
 
 
 def emb(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"e{i}")
-                                for i in range(8)],
+                                for i in range(64)],
                     F.when(F.col("label") < 5, 1).otherwise(0).alias("label"))
 
 

@@ -1,12 +1,11 @@
 """Fitted preprocessing on a streaming DataFrame.
 
-Every ``apply_*`` step is a narrow projection or filter with literal state, so
+Every ``apply_*`` step is a projection, a filter or a join with a fitted table, so
 a chain fitted on a batch table runs unchanged on ``readStream`` input.  The
 one stateful step, de-duplication, needs an event-time watermark on a stream
 (otherwise its state grows without bound): with ``event_time`` it uses
 ``dropDuplicatesWithinWatermark``; without it the step is refused.
-Rare-category sets too large for a literal set (joined on batch) are refused
-as well - a stream-static join would work but is not built.
+Rare categories and label codes are stream-static joins with their fitted tables.
 """
 
 from __future__ import annotations
@@ -24,11 +23,9 @@ def apply_stream(df: DataFrame, state: dict, event_time: str | None = None,
                                  state["labels"])
         if event_time is None:
             raise ValueError("de-duplicating a stream needs an event-time column (watermark)")
-        df = df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark()
+        # the event time tells rows apart that the batch de-duplication takes as equal
+        df = df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([c for c in df.columns if c != event_time])
     if "missing" in steps:
-        rare = state["missing"].get("rare", {})
-        if any(not isinstance(v, list) for v in rare.values()):
-            raise ValueError("rare-category set too large for a literal set on a stream")
         df = missing.apply_missing(df, state["missing"])
     if "encode" in steps:
         df = missing.apply_label_encoder(df, state["target"], state["label_order"])

@@ -32,9 +32,18 @@ def test_scan_is_pruned(spark):
     assert schemas and all("l_shipdate" not in s and "l_tax" not in s for s in schemas)
 
 
-def test_large_running_sum_has_no_global_window(spark, monkeypatch):
-    monkeypatch.setattr(prefix, "LOCAL_LIMIT", 10)
+def test_running_sum_has_no_global_window(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     plan = _plan(prefix.running_sum(df, [F.col("k").asc()], ["v"]))
-    assert "Window" not in plan
-    assert "MapInPandas" in plan
+    assert "_pid" in plan and "Exchange SinglePartition" not in plan and "InPandas" not in plan
+
+
+@pytest.mark.parametrize("values", [500, 5000])
+def test_running_sum_collects_two_rows_a_range(spark, monkeypatch, values):
+    seen = []
+    real = prefix.range_totals
+    monkeypatch.setattr(prefix, "range_totals", lambda *a: seen.append(real(*a)) or seen[-1])
+    df = spark.range(values).select((F.col("id") % (values // 2)).alias("g"), F.col("id").alias("k"), F.lit(1).alias("v"))
+    out = prefix.running_sum(df, [F.col("k").asc()], ["v"], partition_by=["g"], num_partitions=4)
+    assert {r[0] for r in out.groupBy("g").agg(F.max("cum_v")).select("max(cum_v)").collect()} == {2}
+    assert len(seen[0]) <= 8

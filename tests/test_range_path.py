@@ -1,5 +1,4 @@
-"""Every operator built on the running sum, with the distributed (range
-partition + offsets) path forced, against DuckDB at sf0.001; plus Kendall
+"""Every operator built on the running sum against DuckDB at sf0.001; plus Kendall
 against a brute-force pair count on continuous values."""
 
 import os
@@ -12,7 +11,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from check_oracle import compare, duck  # noqa: E402
 
-from tabforge.functions import prefix  # noqa: E402
 from tabforge.operators import profile  # noqa: E402
 from tabforge.plans import registry  # noqa: E402
 
@@ -22,18 +20,13 @@ RANGE_QUERIES = ["roc_curve", "roc_curve_dropped", "fpr_fnr_dropped", "roc_auc",
                  "stratified_folds"]
 
 
-@pytest.fixture()
-def range_path(monkeypatch):
-    monkeypatch.setattr(prefix, "LOCAL_LIMIT", 0)
-
-
 @pytest.mark.parametrize("name", RANGE_QUERIES)
-def test_range_path_matches_oracle(spark, range_path, name):
+def test_range_path_matches_oracle(spark, name):
     qs, ors = registry.queries(), registry.oracle_sql()
     assert compare(spark, duck(SF), name, qs[name], ors[name], SF) is None
 
 
-def test_kendall_brute_force(spark, range_path):
+def test_kendall_brute_force(spark):
     import itertools
     rows = [(float((i * 37) % 23), float((i * 11) % 7) + (i % 3) * 0.5, float(i % 4)) for i in range(60)]
     df = spark.createDataFrame(rows, ["a", "b", "c"])
