@@ -97,7 +97,6 @@ class FrameWriter:
         self.sink.write(struct.pack("<II", INDEX_MAGIC, len(index)) + index)
         table = np.array(self.table, "<u4").tobytes() + struct.pack("<IBI", len(self.table), CHECKSUM_FLAG, FOOT_MAGIC)
         self.sink.write(struct.pack("<II", SEEK_MAGIC, len(table)) + table)
-        self.sink.write(struct.pack("<II", INDEX_MAGIC, 8) + struct.pack("<Q", len(index)))
 
 
 class FrameReader:
@@ -106,19 +105,17 @@ class FrameReader:
     def __init__(self, source) -> None:
         self.source = source
         size = source.size()
-        (index_bytes,) = struct.unpack("<Q", self._at(size - 8, 8))
-        foot = size - 16
-        frames, _, magic = struct.unpack("<IBI", self._at(foot - 9, 9))
+        frames, _, magic = struct.unpack("<IBI", self._at(size - 9, 9))
         if magic != FOOT_MAGIC:
             raise ValueError("not a seekable file: its seek table is missing")
-        table = self._at(foot - 9 - 12 * frames, 12 * frames)
-        self.table = np.frombuffer(table, "<u4").reshape(-1, 3).astype(np.int64)
-        index = self._at(foot - 9 - 12 * frames - 8 - index_bytes, index_bytes)
+        self.table = np.frombuffer(self._at(size - 9 - 12 * frames, 12 * frames), "<u4").reshape(-1, 3).astype(np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.table[:, 0])])
+        end = int(self.starts[-1])                          # the index follows the documents' frames
+        index = self._at(end + 8, struct.unpack("<II", self._at(end, 8))[1])
         (n,) = struct.unpack("<Q", index[:8])
         self.ids = np.frombuffer(index, "<i8", n, 8)
         self.nulls = np.frombuffer(index, "u1", n, 8 + 8 * n).astype(bool)
         self.frames = np.frombuffer(index, "<u4", n, 8 + 9 * n).astype(np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.table[:, 0])])
         self.first = np.concatenate([[0], np.cumsum(self.frames)])
         self.zstd = zstandard.ZstdDecompressor()
 
@@ -168,7 +165,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int | None):
         if first is None:
             return
         store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        with store.open_output_stream(own) as sink:
+        with store.open_output_stream(own, compression=None) as sink:
             out = FrameWriter(sink)
             for b in _chain(first, batches):
                 ids, off = encode(column(b, "_text"))
