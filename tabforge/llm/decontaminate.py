@@ -44,7 +44,7 @@ def spaced_seeds(h: np.ndarray, shorts: tuple[int, ...] = ()) -> list[tuple[int,
     out = []
     n = len(h) - SPAN + 1
     if n > 0:
-        weight = [_PRIME * np.uint64(2 * j + 3) for j in range(SPAN)]
+        weight = _PRIME * np.arange(3, 2 * SPAN + 3, 2, dtype=np.uint64)
         for k, mask in enumerate(MASKS):
             s = np.full(n, np.uint64(k + 1), np.uint64)
             for j in mask:
@@ -147,18 +147,23 @@ def _doc_regions(shared, bits: int, shorts: tuple[int, ...]):
     return run
 
 
-def overlap(a: np.ndarray, b: np.ndarray, shift: int) -> tuple[int, int]:
-    """Best ungapped segment of a[i + shift] against b[i]: (length, equal tokens), at least four fifths of them equal."""
+def overlap(a: np.ndarray, b: np.ndarray, shift: int, least: int = SPAN) -> tuple[int, int]:
+    """Best ungapped segment of a[i + shift] against b[i]: (length, equal tokens).
+
+    Segments have ``least`` tokens or more, four fifths of them equal; (0, 0) without one.
+    """
     lo, hi = max(0, -shift), min(len(b), len(a) - shift)
-    if hi <= lo:
+    if hi - lo < least:
         return 0, 0
     same = a[lo + shift:hi + shift] == b[lo:hi]
     total = np.concatenate([[0], np.cumsum(np.where(same, 1, -4))])
-    low = np.minimum.accumulate(total)
-    gain = total - low
+    low = np.minimum.accumulate(total[:len(total) - least])        # least total up to each possible start
+    gain = total[least:] - low
     end = int(gain.argmax())
-    start = int(np.flatnonzero(total[:end + 1] == low[end])[-1]) if gain[end] else end
-    return end - start, int(same[start:end].sum())
+    if gain[end] < 0:
+        return 0, 0
+    start = int(np.flatnonzero(total[:end + 1] == low[end])[0])
+    return end + least - start, int(same[start:end + least].sum())
 
 
 def _verify(batches):
@@ -166,8 +171,8 @@ def _verify(batches):
         rows = []
         for key, item, shift, region, tokens in zip(*(column(b, c).to_pylist() for c in ("rhash", "item", "shift", "region", "tokens"))):
             other = np.frombuffer(tokens, np.uint64)
-            length, equal = overlap(np.frombuffer(region, np.uint64), other, shift)
-            if length >= SPAN or (len(other) < SPAN and equal == len(other)):
+            length, equal = overlap(np.frombuffer(region, np.uint64), other, shift, min(SPAN, len(other)))
+            if length >= SPAN or (length and equal == len(other)):
                 rows.append((key, item, length, equal))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.binary(), pa.string(), pa.int32(), pa.int32()))],
