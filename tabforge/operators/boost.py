@@ -18,7 +18,6 @@ import math
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,13 +66,16 @@ def spark_params(params: dict | None, n_rows: int | None = None) -> tuple[dict,
     if "maxDepth" not in out:
         take(_LEAVES, "maxDepth", lambda v: max(1, min(30, math.ceil(math.log2(max(int(v), 2))))))
     take(_MIN_ROWS, "minInstancesPerNode", lambda v: max(1, int(v)))
-    take(_MIN_GAIN, "minInfoGain", lambda v: float(v) * 1e-3)   # other scale: variance gain
+    take(_MIN_GAIN, "minInfoGain", float)
     take(_COLS, "featureSubsetStrategy", lambda v: str(min(max(float(v), 1e-3), 1.0)))
     take(_SUBSAMPLE, "subsamplingRate", lambda v: min(max(float(v), 1e-3), 1.0))
     take(_BINS, "maxBins", lambda v: max(2, int(v)))
     take(_SEED, "seed", int)
     if "min_child_weight" in params and n_rows:
-        out["minWeightFractionPerNode"] = min(float(params["min_child_weight"]) / n_rows, 0.49)
+        share = float(params["min_child_weight"]) / n_rows
+        if share >= 0.5:
+            raise ValueError(f"min_child_weight {params['min_child_weight']} is half of the {n_rows} rows or more: no split is possible")
+        out["minWeightFractionPerNode"] = share
         used.add("min_child_weight")
     recorded = {k: v for k, v in params.items() if k not in used}
     return out, recorded
@@ -264,27 +266,34 @@ def early_stop_cut(curve: list[float], patience: int | None) -> int:
     return arg
 
 
+def fold_table(df: DataFrame, features: list[str], label: str, k: int = 5, order: list | None = None) -> DataFrame:
+    """Features, label and stratified ``fold``, written once."""
+    from tabforge.operators.folds import assign_folds
+    from tabforge.session import written
+    return written(assign_folds(df.select(*[col(f) for f in features], col(label)), label, k,
+                                order or [col(f).asc() for f in features]), "folds")
+
+
 def cross_validate(df: DataFrame, features: list[str], label: str, params: dict | None = None,
                    k: int = 5, rounds: int = 100, early_stopping: int | None = 10,
                    order: list | None = None, metric=None, class_weight: bool = False,
-                   parallel: int = 2) -> tuple[dict, DataFrame]:
+                   parallel: int = 2, folds: str | None = None) -> tuple[dict, DataFrame]:
     """Stratified k-fold CV; per-round mean and sd of the test metric over folds.
 
     Summary: best round by mean test F1 (within the early-stopping window),
     loss = 1 - best, n_estimators = best round, variance = min(sd)^2, seconds.
     ``metric``: optional ``fn(label_col, score_col) -> aggregate Column``, evaluated
     per round on per-row staged scores (costlier than the built-in F1 counts).
+    ``folds``: a column of ``df`` that holds the fold already (0 to k - 1), so that a
+    search deals its rows out once.  ``class_weight``: class 1 weighs n0/n1.
     """
-    from tabforge.operators.folds import assign_folds
     spark = df.sparkSession
     t0 = time.time()
     p = dict(params or {})
     for n in _ROUNDS:
         p.pop(n, None)
     p["n_estimators"] = rounds
-    data = assign_folds(df.select(*[col(f) for f in features], col(label)), label, k,
-                        order or [col(f).asc() for f in features]).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    data = df.withColumn("fold", col(folds)) if folds else fold_table(df, features, label, k, order)
 
     def one(f):
         train = data.where(F.col("fold") != f)
@@ -314,7 +323,6 @@ def cross_validate(df: DataFrame, features: list[str], label: str, params: dict
                "variance": min((r["test_std"] or 0.0) for r in kept) ** 2,
                "test_mean": best["test_mean"], "test_std": best["test_std"],
                "train_time": time.time() - t0}
-    data.unpersist()
     out = spark.createDataFrame([(r["round"], r["test_mean"], r["test_std"]) for r in rows],
                                 "round INT, test_mean DOUBLE, test_std DOUBLE")
     return summary, out

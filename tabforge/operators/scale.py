@@ -22,9 +22,9 @@ METHODS = ("standardscaler", "minmax", "robust")
 def fit_scale(df: DataFrame, cols: list[str], method: str = "standardscaler",
               feature_range: tuple[float, float] = (0, 1), approx: bool = False) -> dict:
     if feature_range[0] >= feature_range[1]:
-        raise ValueError("Lower limit must be less than upper limit for scaling.")
+        raise ValueError("the scaling range must ascend")
     if method not in METHODS:
-        raise ValueError("method must be one of: standardscaler, minmax, or robust")
+        raise ValueError(f"unknown scaling {method!r}; known: {', '.join(METHODS)}")
     params: dict = {"method": method, "range": tuple(feature_range), "cols": list(cols)}
     if not cols:
         params["stats"] = {}

@@ -250,7 +250,7 @@ def q_compare_models(spark, sf_dir):
 def q_run_experiment(spark, sf_dir):
     """S3 -> T7 -> L2 -> H3 -> L9 -> L8 -> E12 -> E13 on the sig view."""
     from tabforge.plans.experiment import run_experiment
-    conf = {"label": "label", "features": _F, "labels": [0, 1], "algorithm": "xgb",
+    conf = {"split_key": "l_orderkey", "label": "label", "features": _F, "labels": [0, 1], "algorithm": "xgb",
             "optimization": "random_search", "n_trials": 2, "cv": CV_OPTS, "space": SPACE}
     return run_experiment(spark, V.sig(spark, sf_dir).select(*_F, "label", "l_orderkey"), conf)
 

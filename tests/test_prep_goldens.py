@@ -82,7 +82,7 @@ def test_bad_arguments(spark):
         missing.fit_missing(df, NUM, ["feat4"], method="mean")
     with pytest.raises(TypeError, match="Threshold value must be an integer"):
         missing.fit_missing(df, NUM, ["feat4"], category_threshold=1.5)
-    with pytest.raises(ValueError, match="Lower limit must be less"):
+    with pytest.raises(ValueError, match="must ascend"):
         scale.fit_scale(df, [], "minmax", (1, 0))
 
 
