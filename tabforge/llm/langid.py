@@ -22,6 +22,7 @@ from tabforge.llm.common import column, small_batches
 
 BITS = 16
 ORDERS = 3
+MAX_LANGUAGES = 500  # bounds the model: 2^16 weights of four bytes each
 SCALE = 50.0         # makes the mean TF-IDF weight of order one
 _SPACE = 32
 
@@ -203,7 +204,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
 
     About ``per_language`` texts of each language, whole, are fitted (all of them
     where there are fewer); document frequencies come from every row.  No usable
-    row gives a model without languages.
+    row gives a model without languages; more than ``MAX_LANGUAGES`` are refused.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(text_col).alias("_text"), F.col(lang_col).cast("string").alias("_lang")).where(
@@ -214,9 +215,14 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     counts = np.zeros(1 << BITS)
     counts[list(df)] = list(df.values())
     idf = np.log((1 + n) / (1 + counts)) + 1
-    sizes = rows.groupBy("_lang").agg(F.count("*").alias("c"))
-    drawn = (rows.join(sizes, "_lang").withColumn("_key", F.shiftrightunsigned(F.xxhash64("_text"), 2))
-             .where(F.col("_key") / F.lit(float(1 << 62)) * F.col("c") < per_language)
+    sizes = rows.groupBy("_lang").agg(F.count("*").alias("c")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: {lang_col} is no language label")
+    part = F.lit(None).cast("double")               # the part of a language that is drawn; no text moves for it
+    for r in sizes:
+        part = F.when(F.col("_lang") == r["_lang"], min(1.0, per_language / r["c"])).otherwise(part)
+    drawn = (rows.withColumn("_key", F.shiftrightunsigned(F.xxhash64("_text"), 2))
+             .where(F.col("_key") / F.lit(float(1 << 62)) < part)
              .dropDuplicates(["_key", "_lang"]))
     fitted = (drawn.select("_text", "_lang", "_key").mapInArrow(_sample_features, "lang string, key bigint, f array<int>, tf array<double>")
               .repartition(1).mapInArrow(_fitter(idf, epochs, alpha, beta, l1, l2),
