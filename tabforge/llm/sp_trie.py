@@ -191,7 +191,8 @@ class PieceModel:
         pieces: list = [None] * len(words)
         for w, ids in zip(words, self.encode_sorted(words)):
             pieces[seen[w]] = ids
-        return spread(np.array(codes, np.int64), pieces, np.array(offsets), np.int32)
+        flat = np.concatenate(pieces) if pieces else np.empty(0, np.int32)
+        return spread(np.array(codes, np.int64), flat, np.array([len(x) for x in pieces], np.int64), np.array(offsets))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the mark that the model put before the text is taken away."""

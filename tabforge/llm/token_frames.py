@@ -37,39 +37,79 @@ FRAME_BYTES = 1 << 20        # raw bytes of a frame at most; a longer document h
 class WordEncoder:
     """Whole texts to ids, encoding each distinct word between ASCII white space once.
 
-    Right for tokenizers that drop white space and never join words across it; the
-    words' ids are remembered between batches, up to a fixed number of words.
+    Right for tokenizers that drop white space, split letters from punctuation, ignore
+    case and never join words across white space.  A word of letters with one mark
+    behind it is looked up as its letters and the mark.  Words are remembered in two
+    generations of bounded size, so frequent ones stay.
     """
 
-    def __init__(self, path: str, remembered: int = 200_000) -> None:
+    MARKS = ".,;:!?"
+
+    def __init__(self, path: str, remembered: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.known, self.limit = Tokenizer.from_file(path), {}, remembered
+        self.tokenizer, self.limit = Tokenizer.from_file(path), remembered
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = {m: x for m, x in zip(self.MARKS, self._encode(list(self.MARKS)))} | {"": b""}
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as unsigned 32-bit integers."""
+        out = []
+        for lo in range(0, len(words), 10_000):
+            out += [np.array(e.ids, "<u4").tobytes()
+                    for e in self.tokenizer.encode_batch_fast(words[lo:lo + 10_000], add_special_tokens=False)]
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Make ``known`` hold all of ``words``."""
+        if len(self.known) > self.limit // 2:
+            self.known, self.older = {}, self.known
+        new = []
+        for w in dict.fromkeys(words):
+            if w not in self.known:
+                ids = self.older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    self.known[w] = ids
+        self.known.update(zip(new, self._encode(new)))
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        """(what is looked up, the mark behind it)."""
+        base, mark = (word[:-1], word[-1]) if word[-1] in self.MARKS else (word, "")
+        if base.isascii():
+            return (base.lower(), mark) if base.isalpha() else (word, "")
+        return (base, mark) if base.isalpha() and base.lower().isalpha() else (word, "")
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets by text)."""
         codes, words, offsets = ascii_words(texts, lower=False)
-        words = words.to_pylist()
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known, new = {}, words
-        for lo in range(0, len(new), 10_000):
-            part = new[lo:lo + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, np.uint32)
-        pieces = [self.known[w] for w in words]
-        return spread(codes, pieces, offsets, np.uint32)
-
-
-def spread(codes: np.ndarray, pieces: list[np.ndarray], offsets: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
-    """Replace each code by its piece; (all values, offsets by text)."""
-    lengths = np.array([len(p) for p in pieces], np.int64)
-    flat = np.concatenate(pieces) if pieces else np.empty(0, dtype)
+        parts = [self._parts(w) for w in words.to_pylist()]
+        self._learn([base for base, _ in parts])
+        pieces = [self.known[base] + self.marks[mark] for base, mark in parts]
+        return spread(codes, np.frombuffer(b"".join(pieces), "<u4"), np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4, offsets)
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The encoder of this process (a worker keeps it between tasks; its memory is bounded)."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
+def spread(codes: np.ndarray, flat: np.ndarray, lengths: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Replace each code by its piece of ``flat`` (pieces of ``lengths`` in order); (all values, offsets by text)."""
+    if not len(codes):
+        return flat[:0], np.zeros(len(offsets), np.int64)
     first = np.cumsum(lengths) - lengths
-    each = lengths[codes] if len(codes) else np.empty(0, np.int64)
+    each = lengths[codes]
     ends = np.cumsum(each)
-    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - (ends - each), each) if len(codes) else np.empty(0, np.int64)
-    return flat[at].astype(dtype, copy=False), np.concatenate([[0], ends])[offsets]
+    at = np.arange(ends[-1]) + np.repeat(first[codes] - (ends - each), each)
+    return flat[at], np.concatenate([[0], ends])[offsets]
 
 
 class FrameWriter:
@@ -159,7 +199,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int | None):
         name = f"{folder}/part-{part.partitionId():06d}.zst"
         store, path = _store(name)
         own = f"{path}.{part.taskAttemptId()}.tmp"
-        encode, docs, tokens = WordEncoder(tokenizer_path), 0, 0
+        encode, docs, tokens = encoder(tokenizer_path), 0, 0
         batches = iter(small_batches(batches, rows=4096))
         first = next(batches, None)
         if first is None:
