@@ -1,20 +1,18 @@
 """Missing values and encoding.
 
 Fit functions run a bounded number of aggregations and return small state;
-apply functions are narrow projections (plus, for a very large rare-category
-set, one join).  Nothing row-sized ever reaches the driver.
+apply functions are projections and joins with fitted tables.  Nothing
+row-sized ever reaches the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.session import scratch_path
 from tabforge.functions.numeric import col
 
-# size checks for literal sets / broadcast of fitted category tables
-
 
 def _long_counts(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:
     """One aggregate row per (class) -> long table (column_name, n_rows, n_missing)."""

@@ -5,7 +5,6 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
