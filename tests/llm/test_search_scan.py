@@ -5,7 +5,6 @@ import re
 import string
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from tabforge.llm import decontaminate as D
 from tabforge.llm import license_scan as L
