@@ -1,8 +1,8 @@
 """SentencePiece encoding by a shared-prefix forward pass over a trie of marked words, and decoding.
 
 Text is normalised by the model and cut before each run of the space mark: no
-piece continues across such a cut.  The distinct marked words of a block are
-sorted, which is a depth-first walk of their trie, and the forward state of each
+piece continues across such a cut.  The distinct marked words of a block, but for
+those remembered from earlier blocks, are sorted, which is a depth-first walk of their trie, and the forward state of each
 prefix is kept on a stack, so words share the work of their common prefixes.
 
 The state of a prefix is the last piece of its encoding.  For a BPE model a
@@ -75,7 +75,7 @@ def _is_bpe(path: str) -> bool:
 class PieceModel:
     """Pieces and scores of a SentencePiece BPE model file."""
 
-    def __init__(self, path: str, remembered: int = 2_000_000) -> None:
+    def __init__(self, path: str, remembered: int = 2_000_000, words: int = 400_000) -> None:
         from sentencepiece import SentencePieceProcessor
         if not _is_bpe(path):
             raise ValueError(f"{path}: only BPE models are supported")
@@ -101,7 +101,9 @@ class PieceModel:
             self.out[self.unk] = " ⁇ ".encode()
         self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
-        self.remembered = remembered
+        self.remembered, self.words = remembered, words
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _name(self, s: str) -> int:
         """Id of a piece, or past the vocabulary the code point of a lone character that is no piece; -1 otherwise."""
@@ -144,7 +146,7 @@ class PieceModel:
     def encode_sorted(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each word of a sorted list of distinct marked words."""
         out, last, before = [], [0], ""
-        name, follows, longest = self._name, self.follows, self.longest
+        get, pairs, follows, longest, size = self.ids.get, self.pairs, self.follows, self.longest, self.size
         for w in words:
             shared, limit = 0, min(len(w), len(before))
             while shared < limit and w[shared] == before[shared]:
@@ -152,9 +154,20 @@ class PieceModel:
             del last[shared + 1:]
             for end in range(shared + 1, len(w) + 1):
                 state = -1
-                for start in range(max(0, end - longest), end):
-                    t = name(w[start:end])
-                    if t >= 0 and (follows(last[start], t) if start else self.starts(t)):
+                # one piece at most is compatible, so the order does not matter; most pieces are short
+                for start in range(end - 1, max(-1, end - longest - 1), -1):
+                    t = get(w[start:end])
+                    if t is None:
+                        if start < end - 1:
+                            continue
+                        t = size + ord(w[start])
+                    if start:
+                        ok = pairs.get(last[start] * 0x200000 + t)
+                        if ok is None:
+                            ok = follows(last[start], t)
+                    else:
+                        ok = self.starts(t)
+                    if ok:
                         state = t
                         break
                 last.append(state if state >= 0 else self.merge(w[:end])[-1])
@@ -162,7 +175,7 @@ class PieceModel:
             while end:
                 t = last[end]
                 ids.append(t)
-                end -= len(self.text[t]) if t < self.size else 1
+                end -= len(self.text[t]) if t < size else 1
             out.append(self._emit(ids[::-1]))
             before = w
         return out
@@ -187,12 +200,21 @@ class PieceModel:
             words = self.cut.findall(self.sp.normalize(t)) if t else []
             codes += [seen.setdefault(w, len(seen)) for w in words]
             offsets.append(len(codes))
-        words = sorted(seen)
-        pieces: list = [None] * len(words)
-        for w, ids in zip(words, self.encode_sorted(words)):
-            pieces[seen[w]] = ids
-        flat = np.concatenate(pieces) if pieces else np.empty(0, np.int32)
-        return spread(np.array(codes, np.int64), flat, np.array([len(x) for x in pieces], np.int64), np.array(offsets))
+        if len(self.known) > self.words // 2:             # two generations, so that frequent words stay
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for w in seen:
+            if w not in known:
+                ids = older.get(w)
+                if ids is None:
+                    new.append(w)
+                else:
+                    known[w] = ids
+        new.sort()
+        known.update(zip(new, [x.tobytes() for x in self.encode_sorted(new)]))
+        pieces = [known[w] for w in seen]
+        return spread(np.array(codes, np.int64), np.frombuffer(b"".join(pieces), np.int32),
+                      np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4, np.array(offsets))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the mark that the model put before the text is taken away."""
