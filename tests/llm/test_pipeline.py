@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
-from conftest import text_of  # noqa: E402
+from small_corpus import text_of  # noqa: E402
 from test_lines_shards import key  # noqa: E402
 from test_minhash import expected  # noqa: E402
 
