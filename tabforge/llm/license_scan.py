@@ -5,8 +5,8 @@ cut into overlapping pieces of at most 9 words and a text into windows of 16 wor
 every 8, so each piece of a copied template lies whole inside a window.  Each piece
 and each window has 40 universal hash minima, one to a band: a piece of s shingles
 inside a window of 15 shares a band with probability 1 - (1 - s/15)^40, which is
-0.99999 for the shortest pieces (4 shingles).  Windows without any template shingle
-cannot share a minimum and are left out beforehand.  A retrieved template is
+0.99999 for the shortest pieces (4 shingles).  Windows with fewer than two template
+shingles hold no piece and are left out beforehand.  A retrieved template is
 verified by exact containment: the part of its shingles found in the words around
 the window, as many on either side as the template has.
 """
@@ -88,6 +88,16 @@ def template_table(spark: SparkSession, templates: dict[str, list[str]]) -> Data
     return t.where(F.size("w") > 0).select("template", "licence", "w", F.array_distinct(shingles("w")).alias("wanted"), shingles("w").alias("sh"))
 
 
+def _windows() -> Column:
+    """Starts of the windows that hold two neighbouring ``hits`` (places of template shingles in ascending order)."""
+    def of(i, k):
+        nxt = F.get(F.col("hits"), k + 1)
+        first = (F.floor(i / STRIDE) * STRIDE).cast("int")
+        return F.filter(F.array(first, first - STRIDE), lambda s: (s >= 0) & (nxt <= s + WINDOW - 2))
+
+    return F.array_distinct(F.flatten(F.transform("hits", of)))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, list[str]] | None = None,
          threshold: float = 0.8) -> DataFrame:
     """One row per (row of ``docs``, licence) found: id, licence, containment, first_word, n_windows.
@@ -114,19 +124,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     key_values = [r["key"] for r in keys.select("key").distinct().collect()]
     longest = known.agg(F.max(F.size("w"))).first()[0] or 0
 
-    text = docs.select(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
-    hashed = text.where(F.size("w") > 0).select("n", "id", shingles("w").alias("sh"))
-    starts = F.sequence(F.lit(1), F.size("sh"), F.lit(STRIDE))
-    # places of template shingles first: most texts and windows end here
-    marked = hashed.where(F.exists("sh", lambda x: x.isin(single))).select("n", "id", "sh", F.explode(starts).alias("at"))
-    windows = (marked.withColumn("win", F.slice("sh", F.col("at"), WINDOW - 1)).where(F.exists("win", lambda x: x.isin(single)))
-               .withColumn("hit", F.filter(band_keys(F.col("win")), lambda k: k.isin(key_values))).where(F.size("hit") > 0))
     reach = longest + WINDOW
-    around = F.slice("sh", F.greatest(F.col("at") - reach, F.lit(1)), 2 * reach + WINDOW)
-    found = (windows.select("n", "id", "at", around.alias("around"), F.explode(F.array_distinct("hit")).alias("key"))
+    # arrays that a lambda reads are columns used twice, so that they are computed once for a text
+    text = docs.select(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
+    hashed = text.select("n", "id", shingles("w").alias("sh"))
+    marked = hashed.select("n", "id", "sh", F.filter(F.transform("sh", lambda x, i: F.when(x.isin(single), i)), lambda i: i.isNotNull()).alias("hits"))
+    starts = marked.select("n", "id", "sh", F.when(F.size("sh") == 1, F.array(F.lit(0))).otherwise(_windows()).alias("starts"))
+    retrieved = starts.select("n", "id", "sh", F.filter(F.transform("starts", lambda s: F.struct(
+        s.alias("at"), F.filter(band_keys(F.slice("sh", s + 1, WINDOW - 1)), lambda k: k.isin(key_values)).alias("hit"))),
+        lambda x: F.size(x["hit"]) > 0).alias("found"))
+    rows = retrieved.select("n", "id", F.explode(F.transform("found", lambda x: F.struct(
+        x["at"].alias("at"), F.array_distinct(x["hit"]).alias("hit"),
+        F.slice("sh", F.greatest(x["at"] + 1 - reach, F.lit(1)), 2 * reach + WINDOW).alias("around")))).alias("x"))
+    found = (rows.select("n", "id", "x.at", "x.around", F.explode("x.hit").alias("key"))
              .join(F.broadcast(keys), "key").select("n", "id", "at", "around", "template").dropDuplicates(["n", "at", "template"]))
     share = F.size(F.array_intersect("wanted", "around")) / F.size("wanted")
     sure = found.join(F.broadcast(known.select("template", "licence", "wanted")), "template").withColumn("share", share)
     return (sure.where(F.col("share") >= threshold).groupBy("n", "id", "licence")
-            .agg(F.max("share").alias("containment"), (F.min("at") - 1).cast("bigint").alias("first_word"), F.countDistinct("at").alias("n_windows"))
+            .agg(F.max("share").alias("containment"), F.min("at").cast("bigint").alias("first_word"), F.countDistinct("at").alias("n_windows"))
             .select(F.col("id").alias(id_col), "licence", "containment", "first_word", "n_windows"))
