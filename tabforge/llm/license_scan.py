@@ -135,9 +135,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         lambda x: F.size(x["hit"]) > 0).alias("found"))
     rows = retrieved.select("n", "id", F.explode(F.transform("found", lambda x: F.struct(
         x["at"].alias("at"), F.array_distinct(x["hit"]).alias("hit"),
-        F.slice("sh", F.greatest(x["at"] + 1 - reach, F.lit(1)), 2 * reach + WINDOW).alias("around")))).alias("x"))
-    found = (rows.select("n", "id", "x.at", "x.around", F.explode("x.hit").alias("key"))
-             .join(F.broadcast(keys), "key").select("n", "id", "at", "around", "template").dropDuplicates(["n", "at", "template"]))
+        # of the words around a window, only template shingles matter
+        F.filter(F.slice("sh", F.greatest(x["at"] + 1 - reach, F.lit(1)), 2 * reach + WINDOW), lambda y: y.isin(single)).alias("around")))).alias("x"))
+    found = rows.select("n", "id", "x.at", "x.around", F.explode("x.hit").alias("key")).join(F.broadcast(keys), "key")
     share = F.size(F.array_intersect("wanted", "around")) / F.size("wanted")
     sure = found.join(F.broadcast(known.select("template", "licence", "wanted")), "template").withColumn("share", share)
     return (sure.where(F.col("share") >= threshold).groupBy("n", "id", "licence")
