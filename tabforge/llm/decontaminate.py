@@ -1,17 +1,20 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Four fixed masks over 13 tokens each ignore every fourth position (each a
-different one), so one substitution anywhere in the window leaves a mask that
-still matches.  Test seeds fill a Bloom filter of fixed size; documents look their
-seeds up there, and the token runs around their hits ("regions") are collapsed by
-content, so a passage that many documents share is handled once.  The seeds of
-distinct regions are joined with the test seeds, and each (region, item, diagonal)
-is verified token by token, tolerating substitutions.
+Nineteen fixed masks over 13, 15, 20 and 25 tokens (``COVER``) each ignore other
+positions, so that every run that verification accepts (13 tokens or more, four
+fifths of them equal, wherever the others lie) leaves a mask that still matches.
+Test seeds and test tokens fill a Bloom filter of fixed size; documents look up
+their tokens there, then the seeds of the windows with enough known tokens, and
+the token runs around their hits ("regions") are collapsed by content, so a
+passage that many documents share is handled once.  The seeds of distinct regions
+are joined with the test seeds, and each (region, item, diagonal) is verified
+token by token, tolerating substitutions.
 """
 
 from __future__ import annotations
 
 import string
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,13 @@ from tabforge.llm.common import ascii_words, column, hash_strings, materialize,
 
 SPAN = 13
 PERIOD = 4
-MASKS = [[j for j in range(SPAN) if j % PERIOD != k] for k in range(PERIOD)]
+MASKS = [[j for j in range(SPAN) if j % PERIOD != k] for k in range(PERIOD)]      # one substitution only
+#: (tokens of a window, least equal ones, masks).  A run that is four fifths equal holds 13 tokens with two
+#: substitutions (any two residues mod 7 lie on one line of the Fano plane, which a mask drops), or else 15 with
+#: three of them at 2..12 (any three residues mod 5), or else 20 with four of them at 5..14 or 25 with five at 5..19.
+COVER = [(13, 11, [[j for j in range(13) if (j - k) % 7 not in (0, 1, 3)] for k in range(7)]),
+         (15, 12, [[j for j in range(15) if not 2 <= j <= 12 or j % 5 in pair] for pair in combinations(range(5), 2)]),
+         (20, 16, [[j for j in range(20) if not 5 <= j <= 14]]), (25, 20, [[j for j in range(25) if not 5 <= j <= 19]])]
 SHORTEST = 5         # items with fewer tokens are too common to decide anything
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -39,25 +48,64 @@ def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return h[codes][keep], np.concatenate([[0], np.cumsum(keep)])[offsets]
 
 
+_WEIGHT = _PRIME * np.arange(3, 2 * max(span for span, _, _ in COVER) + 3, 2, dtype=np.uint64)
+
+
+def mask_seeds(h: np.ndarray, at: np.ndarray, masks: list[list[int]], first: int) -> list[np.ndarray]:
+    """Seeds of the windows of ``h`` that start at ``at``, for each mask; ``first``: the number of the first mask."""
+    terms = {j: (h[at + j] ^ _WEIGHT[j]) * _WEIGHT[j] for j in sorted(set().union(*masks))}
+    out = []
+    for k, mask in enumerate(masks):
+        s = np.full(len(at), np.uint64(first + k), np.uint64)
+        for j in mask:
+            s += terms[j]
+        out.append(mix64(s))
+    return out
+
+
+def short_seeds(h: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Seeds of whole windows of ``length`` tokens that start at ``at``."""
+    s = np.full(len(at), np.uint64(1000 + length), np.uint64)
+    for j in range(length):
+        s = (s ^ h[at + j]) * _PRIME
+        s ^= s >> np.uint64(31)
+    return mix64(s)
+
+
+def token_seeds(h: np.ndarray) -> np.ndarray:
+    """Seeds of single tokens."""
+    return mix64(h ^ _PRIME)
+
+
 def spaced_seeds(h: np.ndarray, shorts: tuple[int, ...] = ()) -> list[tuple[int, np.ndarray]]:
     """(length, seeds by position) of one token sequence: the four masks, then whole windows of each short length."""
-    out = []
     n = len(h) - SPAN + 1
-    if n > 0:
-        weight = _PRIME * np.arange(3, 2 * SPAN + 3, 2, dtype=np.uint64)
-        for k, mask in enumerate(MASKS):
-            s = np.full(n, np.uint64(k + 1), np.uint64)
-            for j in mask:
-                s += (h[j:j + n] ^ weight[j]) * weight[j]
-            out.append((SPAN, mix64(s)))
+    out = [(SPAN, s) for s in mask_seeds(h, np.arange(n), MASKS, 1)] if n > 0 else []
+    return out + [(m, short_seeds(h, np.arange(len(h) - m + 1), m)) for m in shorts if len(h) >= m]
+
+
+def cover_seeds(h: np.ndarray, shorts: tuple[int, ...] = (), ends: np.ndarray | None = None, hit=None) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, starts, seeds) of the windows of ``COVER`` and of each short length.
+
+    ``ends``: end of the text of each token, if ``h`` holds several texts; ``hit``: only
+    windows with enough tokens that it accepts, as a run that is verified has them.
+    """
+    total = None if hit is None else np.concatenate([[0], np.cumsum(hit(token_seeds(h)))])
+    out, first = [], 101
+
+    def starts(length: int, least: int) -> np.ndarray:
+        at = np.arange(max(0, len(h) - length + 1))
+        if total is not None:
+            at = np.flatnonzero(total[length:] - total[:len(at)] >= least)
+        return at if ends is None else at[at + length <= ends[at]]
+
+    for span, least, masks in COVER:
+        at = starts(span, least)
+        out += [(span, at, s) for s in mask_seeds(h, at, masks, first)]
+        first += len(masks)
     for length in shorts:
-        n = len(h) - length + 1
-        if n > 0:
-            s = np.full(n, np.uint64(1000 + length), np.uint64)
-            for j in range(length):
-                s = (s ^ h[j:j + n]) * _PRIME
-                s ^= s >> np.uint64(31)
-            out.append((length, mix64(s)))
+        at = starts(length, length)
+        out.append((length, at, short_seeds(h, at, length)))
     return out
 
 
@@ -75,10 +123,10 @@ def _item_seeds(bits: int):
             for i, key in enumerate(column(b, "_item").to_pylist()):
                 own = h[off[i]:off[i + 1]]
                 shorts = (len(own),) if SHORTEST <= len(own) < SPAN else ()
-                for _, s in spaced_seeds(own, shorts):
+                for _, at, s in [*cover_seeds(own, shorts), (1, np.full(len(own), -1), token_seeds(own))]:
                     item += [key] * len(s)
                     seed.append(s)
-                    pos.append(np.arange(len(s)))
+                    pos.append(at)
             if not item:
                 continue
             s = np.concatenate(seed)
@@ -101,20 +149,9 @@ _REGION = pa.struct([("rhash", pa.binary()), ("tokens", pa.binary()), ("seeds",
 _REGION_SQL = "array<struct<rhash: binary, tokens: binary, seeds: array<bigint>, at: array<int>>>"
 
 
-def regions_of(h: np.ndarray, hit, shorts: tuple[int, ...]) -> list[dict]:
-    """Token runs covered by windows whose seeds ``hit`` accepts; runs less than a span apart are one."""
+def regions_of(h: np.ndarray, at: np.ndarray, seed: np.ndarray, length: np.ndarray) -> list[dict]:
+    """Token runs covered by the windows (start, seed, length; by start) of one text; runs less than a span apart are one."""
     import xxhash
-    at, seed, length = [], [], []
-    for n, s in spaced_seeds(h, shorts):
-        ok = np.flatnonzero(hit(s))
-        at.append(ok)
-        seed.append(s[ok])
-        length.append(np.full(len(ok), n))
-    if not at or not sum(map(len, at)):
-        return []
-    at, seed, length = np.concatenate(at), np.concatenate(seed), np.concatenate(length)
-    order = np.argsort(at, kind="stable")
-    at, seed, length = at[order], seed[order], length[order]
     reach = np.maximum.accumulate(at + length)
     cuts = np.flatnonzero(at[1:] > reach[:-1] + SPAN) + 1
     out = []
@@ -126,6 +163,21 @@ def regions_of(h: np.ndarray, hit, shorts: tuple[int, ...]) -> list[dict]:
     return out
 
 
+def batch_regions(h: np.ndarray, off: np.ndarray, hit, shorts: tuple[int, ...]) -> list[list[dict]]:
+    """Regions of each text around the windows whose seeds ``hit`` accepts."""
+    at, seed, length = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for n, where, s in cover_seeds(h, shorts, np.repeat(off[1:], np.diff(off)), hit):
+        ok = hit(s)
+        at.append(where[ok])
+        seed.append(s[ok])
+        length.append(np.full(int(ok.sum()), n))
+    at, seed, length = np.concatenate(at), np.concatenate(seed), np.concatenate(length)
+    order = np.argsort(at, kind="stable")
+    at, seed, length = at[order], seed[order], length[order]
+    edge = np.searchsorted(at, off)
+    return [regions_of(h, at[i:j], seed[i:j], length[i:j]) if i < j else [] for i, j in zip(edge[:-1], edge[1:])]
+
+
 def _doc_regions(shared, bits: int, shorts: tuple[int, ...]):
     def run(batches):
         filter_ = shared.value
@@ -141,7 +193,7 @@ def _doc_regions(shared, bits: int, shorts: tuple[int, ...]):
 
         for b in small_batches(batches):
             h, off = token_hashes(column(b, "_text"))
-            found = [regions_of(h[off[i]:off[i + 1]], hit, shorts) for i in range(b.num_rows)]
+            found = batch_regions(h, off, hit, shorts)
             yield pa.RecordBatch.from_arrays([column(b, "_n"), column(b, "_id"), column(b, "_th"), pa.array(found, pa.list_(_REGION))],
                                              ["_n", "_id", "_th", "regions"])
     return run
@@ -190,8 +242,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     longest), text_hash (xxhash64 of the text).
 
     A document is contaminated by an item if they share an ungapped run of 13 tokens
-    or more, four fifths of them equal, that holds a spaced-seed hit; an item of 5 to
-    12 tokens must occur whole.  Shorter items and null texts match nothing; repeated
+    or more, four fifths of them equal; an item of 5 to 12 tokens must occur whole.  Shorter items and null texts match nothing; repeated
     rows are judged each by itself; without items nothing is contaminated.
     Other columns are ignored.
     """
@@ -200,7 +251,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     sized = materialize(bench.select(F.coalesce("_item", F.lit("")).alias("_item"), "_text")
                         .mapInArrow(_item_tokens, "item string, tokens binary, length int"), "dc-items")
     shorts = tuple(sorted(r["length"] for r in sized.where(f"length BETWEEN {SHORTEST} AND {SPAN - 1}").select("length").distinct().collect()))
-    bits = bloom_bits(PERIOD * (sized.agg(F.sum("length")).first()[0] or 0))
+    bits = bloom_bits((1 + sum(len(masks) for _, _, masks in COVER)) * (sized.agg(F.sum("length")).first()[0] or 0))
     seeds = materialize(bench.select(F.coalesce("_item", F.lit("")).alias("_item"), "_text")
                         .mapInArrow(_item_seeds(bits), "item string, seed bigint, ipos int, probes array<bigint>"), "dc-seeds")
     words = (seeds.select(F.explode("probes").alias("p"))
@@ -217,7 +268,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     held = found.select("_n", F.explode("regions").alias("r"))
     distinct = materialize(held.groupBy("r.rhash").agg(F.first("r").alias("r")).select("rhash", "r.tokens", "r.seeds", "r.at"), "dc-distinct")
     hits = (distinct.select("rhash", F.explode(F.arrays_zip("seeds", "at")).alias("h")).select("rhash", "h.seeds", "h.at")
-            .join(seeds.select("seed", "item", "ipos"), F.col("seeds") == F.col("seed"))
+            .join(seeds.where("ipos >= 0").select("seed", "item", "ipos"), F.col("seeds") == F.col("seed"))
             .select("rhash", "item", (F.col("at") - F.col("ipos")).alias("shift")).distinct())
     pairs = (hits.join(distinct.select("rhash", F.col("tokens").alias("region")), "rhash")
              .join(sized.select("item", "tokens"), "item"))

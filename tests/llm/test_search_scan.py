@@ -1,5 +1,6 @@
 """Licence scan, decontamination and nearest neighbours against brute force."""
 
+import itertools
 import random
 import re
 import string
@@ -129,6 +130,44 @@ def test_each_substitution_leaves_a_mask():
         assert sum(int(a[1][0] == b[1][0]) for a, b in zip(D.spaced_seeds(h), D.spaced_seeds(other))) == 1
 
 
+def test_every_verified_run_leaves_a_mask():
+    """All places of the substitutions in all runs of 13 to 25 tokens, four fifths equal; a longer run holds one of them."""
+    drops = [(span, [sum(1 << j for j in m) for m in masks]) for span, _, masks in D.COVER]
+    for length in range(D.SPAN, 26):
+        for places in itertools.combinations(range(length), length // 5):
+            other = sum(1 << p for p in places)
+            assert any(not (other >> i) & m for span, masks in drops for i in range(length - span + 1) for m in masks), (length, places)
+
+
+def leaks(a, b):
+    """A run of 13 tokens or more on one diagonal, four fifths of them equal; judged by equal tokens alone."""
+    a, b = words(a), words(b)
+    for shift in range(-len(b), len(a)):
+        same = np.array([0 <= i + shift < len(a) and a[i + shift] == w for i, w in enumerate(b)], int)
+        lo, hi = max(0, -shift), min(len(b), len(a) - shift)
+        total = np.concatenate([[0], np.cumsum(same[lo:hi])])
+        if any(5 * (total[j] - total[i]) >= 4 * (j - i) for i in range(len(total)) for j in range(i + D.SPAN, len(total))):
+            return True
+    return False
+
+
+def test_leaks_with_random_substitutions(spark):
+    rng = random.Random(3)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randrange(400))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((13, 13, 14, 15, 15, 16, 18, 20, 20, 25, 30))]
+    rows = []
+    for d in range(330):
+        item = items[d % len(items)][1].split()
+        for p in rng.sample(range(len(item)), len(item) // 5 + (d % 7 == 6)):
+            item[p] = "changed"
+        rows.append((d, " ".join([word() for _ in range(d % 30)] + item + [word() for _ in range(d % 13)])))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], i) for r in D.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), bench).collect()
+           for i in r["item_ids"]}
+    want = {(d, str(i)) for d, t in rows for i, x in items if leaks(t, x)}
+    assert got == want and len(want) >= 280
+
+
 def test_overlap_segments():
     rng = np.random.default_rng(6)
     for _ in range(200):
