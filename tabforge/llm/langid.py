@@ -24,6 +24,7 @@ BITS = 16
 ORDERS = 3
 MAX_LANGUAGES = 500  # bounds the model: 2^16 weights of four bytes each
 SCALE = 50.0         # makes the mean TF-IDF weight of order one
+SIZE_ERROR = 0.02    # standard error of the estimated number of texts of a language
 _SPACE = 32
 
 
@@ -198,6 +199,25 @@ class LanguageModel:
     bias: np.ndarray
 
 
+def sample(rows: DataFrame, per_language: int) -> DataFrame:
+    """(_text, _lang, _key): about ``per_language`` different texts of each language of (_text, _lang), all where there are fewer.
+
+    Copies of a text are drawn or left together, and texts without a letter teach nothing, so
+    the rate comes from the different texts with a letter; their number is estimated, and taken
+    three standard errors low, so that a language of fewer texts keeps them all.
+    """
+    key = F.shiftrightunsigned(F.xxhash64("_text"), 2)
+    sizes = (rows.where(F.col("_text").rlike("\\p{L}")).groupBy("_lang").agg(F.approx_count_distinct(key, SIZE_ERROR).alias("c"))
+             .limit(MAX_LANGUAGES + 1).collect())
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: the column is no language label")
+    part = F.lit(None).cast("double")               # the part of a language that is drawn; no text moves for it
+    for r in sizes:
+        part = F.when(F.col("_lang") == r["_lang"], min(1.0, per_language / max(1.0, r["c"] * (1 - 3 * SIZE_ERROR)))).otherwise(part)
+    return (rows.withColumn("_key", key).where(F.col("_key") / F.lit(float(1 << 62)) < part)
+            .dropDuplicates(["_key", "_lang"]))
+
+
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = 1500,
           epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-3, l2: float = 1e-4) -> LanguageModel:
     """Fit on rows with a text and a language; rows with a null in either, or without a letter, teach nothing.
@@ -215,15 +235,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
     counts = np.zeros(1 << BITS)
     counts[list(df)] = list(df.values())
     idf = np.log((1 + n) / (1 + counts)) + 1
-    sizes = rows.groupBy("_lang").agg(F.count("*").alias("c")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: {lang_col} is no language label")
-    part = F.lit(None).cast("double")               # the part of a language that is drawn; no text moves for it
-    for r in sizes:
-        part = F.when(F.col("_lang") == r["_lang"], min(1.0, per_language / r["c"])).otherwise(part)
-    drawn = (rows.withColumn("_key", F.shiftrightunsigned(F.xxhash64("_text"), 2))
-             .where(F.col("_key") / F.lit(float(1 << 62)) < part)
-             .dropDuplicates(["_key", "_lang"]))
+    drawn = sample(rows, per_language)
     fitted = (drawn.select("_text", "_lang", "_key").mapInArrow(_sample_features, "lang string, key bigint, f array<int>, tf array<double>")
               .repartition(1).mapInArrow(_fitter(idf, epochs, alpha, beta, l1, l2),
                                          "langs array<string>, temperature double, weights binary").collect())
