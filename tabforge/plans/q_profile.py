@@ -155,7 +155,7 @@ def q_class_weight(spark, sf_dir):
     return folds.with_class_weight(V.clf(spark, sf_dir), "y").select(*V.KEYS, "y", "weight")
 
 
-_KT = {"f1": "l_quantity", "f3": "l_discount", "f4": "l_tax", "ln": "l_linenumber"}
+_KT = {"f1": "l_quantity", "f2": "l_extendedprice", "f3": "l_discount", "f4": "l_tax", "ln": "l_linenumber"}
 
 
 def _kendall_pair(a: str, b: str) -> str:

@@ -25,6 +25,13 @@ def test_range_path_matches_oracle(spark, name):
     assert compare(spark, duck(SF), name, qs[name], ors[name], SF) is None
 
 
+def test_kendall_query_holds_the_continuous_column(spark):
+    rows = {(r["feature_1"], r["feature_2"]): r["r"] for r in registry.queries()["corr_kendall"](spark, SF).collect()}
+    names = ["f1", "f2", "f3", "f4", "ln"]
+    assert {tuple(sorted(p)) for p in rows} >= {(a, b) for i, a in enumerate(names) for b in names[i:]}
+    assert rows[("f2", "f2")] == pytest.approx(1) and rows.get(("f2", "f1"), rows.get(("f1", "f2"))) == pytest.approx(-0.006527893556069719, abs=1e-9)
+
+
 def test_kendall_brute_force(spark):
     import itertools
     rows = [(float((i * 37) % 23), float((i * 11) % 7) + (i % 3) * 0.5, float(i % 4)) for i in range(60)]
