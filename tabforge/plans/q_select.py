@@ -85,8 +85,7 @@ def q_select_forest(spark, sf_dir):
 
 @register("select_boosted")
 def q_select_boosted(spark, sf_dir):
-    """Boosted-tree votes with 50 rounds (library default 500)."""
-    return S.select_boosted(_sig(spark, sf_dir), "label", 2, _F, rounds=50)
+    return S.select_boosted(_sig(spark, sf_dir), "label", 2, _F)
 
 
 @register("select_extra")
@@ -96,11 +95,10 @@ def q_select_extra(spark, sf_dir):
 
 @register("vote")
 def q_vote(spark, sf_dir):
-    return S.vote(_sig(spark, sf_dir), "label", 3, _F,
-                  LightGBM={"rounds": 50})
+    return S.vote(_sig(spark, sf_dir), "label", 3, _F)
 
 
 @register("select_features")
 def q_select_features(spark, sf_dir):
     d = _sig(spark, sf_dir).select(*_F, "label")
-    return S.select_features(d, "label", 2, _F, methods=["Pearson", "Chi-2", "Logistics"])
+    return S.select_features(d, "label", 2, _F)

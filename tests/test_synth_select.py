@@ -118,3 +118,21 @@ def test_correlation_paths_agree_with_numpy(spark):
     want = np.corrcoef(X[keep, 0], X[keep, 1])[0, 1]
     got = {(r["feature_1"], r["feature_2"]): r["r"] for r in profile.correlation(dn, ["a", "b"]).collect()}
     assert got[("b", "a")] == pytest.approx(want, abs=1e-9)
+
+
+def test_selection_queries_do_the_whole_job(monkeypatch):
+    """The registered queries leave rounds and methods at the operators' defaults: 500 rounds, six methods."""
+    from tabforge.operators import select
+    from tabforge.plans import q_select
+    seen = {}
+
+    class Table:
+        def select(self, *cols):
+            return self
+
+    monkeypatch.setattr(q_select, "_sig", lambda spark, sf_dir: Table())
+    for name in ("select_boosted", "vote", "select_features"):
+        monkeypatch.setattr(select, name, lambda d, *a, _n=name, **kw: seen.update({_n: (a, kw)}))
+    q_select.q_select_boosted(None, ""), q_select.q_vote(None, ""), q_select.q_select_features(None, "")
+    assert set(seen) == {"select_boosted", "vote", "select_features"}
+    assert all(len(a) == 3 and not kw for a, kw in seen.values())
