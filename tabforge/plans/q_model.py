@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabforge.operators import boost, explain, metrics, search
+from tabforge.operators import boost, explain, metrics, search, spaces
 from tabforge.plans import views as V
 from tabforge.plans.registry import register
 
 _F = V.FEATURES
+BUDGET = spaces.BUDGETS["xgb"]
+CV_OPTS = {k: BUDGET[k] for k in ("k", "rounds", "early_stopping")}
 BASE_PARAMS = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3, "seed": 42}
 
 
@@ -63,8 +65,7 @@ def q_staged_f1(spark, sf_dir):
 @register("cross_validate")
 def q_cross_validate(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    _, curve = boost.cross_validate(train, _F, "label", BASE_PARAMS, k=3, rounds=10,
-                                    early_stopping=3)
+    _, curve = boost.cross_validate(train, _F, "label", BASE_PARAMS, **CV_OPTS)
     return curve
 
 
@@ -75,8 +76,8 @@ def q_cv_custom_metric(spark, sf_dir):
 
     def accuracy(label, score):
         return F.avg(((score > 0.5).cast("int") == label.cast("int")).cast("double"))
-    _, curve = boost.cross_validate(train, _F, "label", BASE_PARAMS, k=2, rounds=5,
-                                    early_stopping=None, metric=accuracy)
+    _, curve = boost.cross_validate(train, _F, "label", BASE_PARAMS, **{**CV_OPTS, "early_stopping": None},
+                                    metric=accuracy)
     return curve
 
 
@@ -105,7 +106,7 @@ def q_tree_shap(spark, sf_dir):
 @register("sampled_shap")
 def q_sampled_shap(spark, sf_dir):
     _, test = _train_test(spark, sf_dir)
-    return explain.sampled_shap(spark, _model(spark, sf_dir), test, _F, V.KEYS, samples=10)
+    return explain.sampled_shap(spark, _model(spark, sf_dir), test, _F, V.KEYS)
 
 
 @register("shap_summary")
@@ -124,20 +125,19 @@ SPACE = {
     "rate_drop": search.when("booster", "dart", search.uniform(0.0, 1.0)),
     "min_child_weight": search.loguniform(1.0, 100.0),
 }
-CV_OPTS = {"k": 2, "rounds": 10, "early_stopping": 3}
 
 
 @register("search_random")
 def q_search_random(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    t = search.search(train, _F, "label", SPACE, "random", n_trials=3, seed=1, cv=CV_OPTS)
+    t = search.search(train, _F, "label", SPACE, "random", n_trials=BUDGET["n_trials"], seed=1, cv=CV_OPTS)
     return t.drop("train_time")
 
 
 @register("search_adaptive")
 def q_search_adaptive(spark, sf_dir):
     train, _ = _train_test(spark, sf_dir)
-    t = search.search(train, _F, "label", SPACE, "adaptive", n_trials=4, n_startup=3, seed=1,
+    t = search.search(train, _F, "label", SPACE, "adaptive", n_trials=BUDGET["n_trials"], n_startup=3, seed=1,
                       cv=CV_OPTS)
     return t.drop("train_time")
 
@@ -157,9 +157,9 @@ def q_trials_log(spark, sf_dir):
 
 @register("fit_best")
 def q_fit_best(spark, sf_dir):
-    """H6 + L9: best of a small random search, refit at learning rate 0.05, test scores."""
+    """H6 + L9: best of a random search, refit at learning rate 0.05, test scores."""
     train, test = _train_test(spark, sf_dir)
-    t = search.search(train, _F, "label", SPACE, "random", n_trials=2, seed=3, cv=CV_OPTS)
+    t = search.search(train, _F, "label", SPACE, "random", n_trials=BUDGET["n_trials"], seed=3, cv=CV_OPTS)
     b = search.best_trial(t).first().asDict(recursive=True)
     best = {"params": search.parse_params(b["params"]), "n_estimators": b["estimators"]}
     m = boost.fit_best(train, _F, "label", best)
@@ -251,7 +251,7 @@ def q_run_experiment(spark, sf_dir):
     """S3 -> T7 -> L2 -> H3 -> L9 -> L8 -> E12 -> E13 on the sig view."""
     from tabforge.plans.experiment import run_experiment
     conf = {"split_key": "l_orderkey", "label": "label", "features": _F, "labels": [0, 1], "algorithm": "xgb",
-            "optimization": "random_search", "n_trials": 2, "cv": CV_OPTS, "space": SPACE}
+            "optimization": "random_search", "n_trials": BUDGET["n_trials"], "cv": CV_OPTS, "space": SPACE}
     return run_experiment(spark, V.sig(spark, sf_dir).select(*_F, "label", "l_orderkey"), conf)
 
 

@@ -90,3 +90,45 @@ def test_sig_model_quality(spark):
     m = boost.train_boosted(train, FEATS, "label", {"n_estimators": 10, "max_depth": 4, "seed": 1})
     auc = metrics.roc_auc(boost.score(m, test, FEATS, ["label"])).first()[0]
     assert auc > 0.8
+
+
+def test_model_queries_run_the_whole_budget(monkeypatch):
+    """Searches and cross-validation take the xgb budget of the spaces, sampled SHAP the library's draws."""
+    import pytest
+    from tabforge.operators import boost, explain, search, spaces
+    from tabforge.plans import experiment, q_model
+    from tabforge.plans import views as V
+
+    class Seen(Exception):
+        pass
+
+    def stop(*args, **kw):
+        raise Seen(args, kw)
+
+    class Table:
+        def select(self, *cols):
+            return self
+
+    monkeypatch.setattr(q_model, "_train_test", lambda spark, sf_dir: (None, None))
+    monkeypatch.setattr(q_model, "_model", lambda spark, sf_dir: None)
+    monkeypatch.setattr(V, "sig", lambda spark, sf_dir: Table())
+    for module, name in ((search, "search"), (boost, "cross_validate"), (explain, "sampled_shap"), (experiment, "run_experiment")):
+        monkeypatch.setattr(module, name, stop)
+
+    def asked(query):
+        with pytest.raises(Seen) as e:
+            query(None, "")
+        return e.value.args
+
+    budget = spaces.BUDGETS["xgb"]
+    cv = {k: budget[k] for k in ("k", "rounds", "early_stopping")}
+    for query in (q_model.q_search_random, q_model.q_search_adaptive, q_model.q_fit_best):
+        kw = asked(query)[1]
+        assert kw["n_trials"] == budget["n_trials"] and kw["cv"] == cv
+    conf = asked(q_model.q_run_experiment)[0][2]
+    assert conf["n_trials"] == budget["n_trials"] and conf["cv"] == cv
+    for query in (q_model.q_cross_validate, q_model.q_cv_custom_metric):
+        kw = asked(query)[1]
+        assert (kw["k"], kw["rounds"]) == (budget["k"], budget["rounds"])
+    args, kw = asked(q_model.q_sampled_shap)
+    assert len(args) == 5 and not kw
