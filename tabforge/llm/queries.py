@@ -106,6 +106,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+@query("op11_lockstep_align")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over all documents."""
+    import public_tokenizers
+    from tabforge.llm.lockstep_align import align
+    out = align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over all documents."""
