@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.llm import line_dedup as lines
+from tabforge.llm import phrase_mining as mining
 from tabforge.llm.common import documents
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +117,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("groups", "groups_sha256")
 
 
+@query("op13_phrase_mining", mining.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of two and three words of each language in all documents."""
+    return mining.collocations(documents(spark, sf_dir), max_words=3, min_count=10, share=50, top=2000)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over all documents."""
