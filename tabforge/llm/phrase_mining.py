@@ -3,8 +3,8 @@
 1. Words are counted by language.  Only words of ``min_count`` occurrences can be part
    of a candidate, so a suffix ends before a rarer word (or at the end of its piece)
    and after ``max_words`` words at the latest.
-2. Word prefixes are grouped by a memory budget.  A prefix with more occurrences than
-   a quarter of the budget is heavy: the prefixes one word longer are counted for it,
+2. Word prefixes are grouped by a memory budget.  A prefix with more occurrences than a
+   32nd of the budget is heavy: the prefixes one word longer are counted for it,
    level by level, and its suffixes are grouped by those.  All suffixes below one
    prefix that is not heavy are in one group.
 3. Each group is built by itself: its suffixes, already merged within a block of text,
@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from tabforge.llm.common import column, materialize, mix64, small_batches
 
 BUDGET = 1 << 20           # suffixes of a group, about 40 MB while its subtree is built
+HEAVY = 32                 # a prefix with a 32nd of the budget is split, so that groups dealt by hash fill evenly
 BLOCK_BYTES = 8 << 20      # text merged before it is sent to groups
 MAX_BITS = 27              # bits of a bit table: 16 MB
 NO_LANG = "und"
@@ -322,9 +323,9 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("_lang"), F.col(text_col).alias("_text"))
     key, often, sizes = frequent_words(src, min_count)
     singles = materialize(often.select("lang", "h", "f").mapInArrow(_hash_column("h"), "h bigint, f bigint"), "pm-singles")
-    row = singles.agg(F.count("*").alias("n"), F.sum("f").alias("f"), F.count_if(F.col("f") > budget // 4).alias("heavy")).first()
+    row = singles.agg(F.count("*").alias("n"), F.sum("f").alias("f"), F.count_if(F.col("f") > budget // HEAVY).alias("heavy")).first()
     frequent = sc.broadcast(bits_of(singles, "h", row["n"]))
-    heavy = [bits_of(singles.where(F.col("f") > budget // 4), "h", row["heavy"])]
+    heavy = [bits_of(singles.where(F.col("f") > budget // HEAVY), "h", row["heavy"])]
     counted = []
     for depth in range(2, max_words):
         if not heavy[-1].words.any():
@@ -332,7 +333,7 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max
             continue
         known = materialize(src.mapInArrow(_count_prefixes(key, frequent, sc.broadcast(heavy), depth), "lang string, h bigint, words array<bigint>, f bigint")
                             .groupBy("lang", "h").agg(F.first("words").alias("words"), F.sum("f").alias("f")).where(F.col("f") >= min_count), "pm-prefixes")
-        big = known.where(F.col("f") > budget // 4)
+        big = known.where(F.col("f") > budget // HEAVY)
         marks = bits_of(big, "h", big.count())
         heavy.append(marks)
         counted.append(known.mapInArrow(_kept(sc.broadcast(marks)), "lang string, words array<bigint>, f bigint"))
