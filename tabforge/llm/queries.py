@@ -117,6 +117,18 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("groups", "groups_sha256")
 
 
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by their nearest labelled texts; two thirds of the labelled ones are the training set."""
+    from tabforge.llm import toxicity
+    from tabforge.llm.langid import held_out
+    docs = documents(spark, sf_dir).select("doc_id", "text", held_out(F.col("doc_id"), buckets=3, bucket=1).alias("held_out"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs.where("NOT held_out"), labels, docs)
+    out = toxicity.predict(docs, model, keep=["doc_id", "held_out"])
+    return out.select("row.doc_id", "row.held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), "nearest", "terms")
+
+
 @query("op13_phrase_mining", mining.ORACLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 collocations of two and three words of each language in all documents."""
