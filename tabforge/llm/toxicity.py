@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled texts: exact TF-IDF cosine over a block-max inverted index.
 
-Words that the labelled texts show to belong to label 1 (likelihood ratio, corrected for
-the number of words tested) are the terms; their document frequencies are counted over
+Words whose labelled texts mostly have label 1, more often than chance allows (likelihood
+ratio, corrected for the number of words tested), are the terms; their document frequencies are counted over
 all documents.  Labelled texts with such a term are the examples.  Postings are cut into
 blocks of examples; a query adds up the blocks' greatest weights to bounds, visits blocks
 in the order of their bounds and stops when no bound reaches the k-th cosine found, so the
@@ -26,6 +26,7 @@ from tabforge.llm.common import ascii_words, column, materialize, small_batches
 EXAMPLES = 8192        # labelled texts in the index at most (those of the least hash)
 MAX_TERMS = 1 << 15    # terms at most (those of the greatest likelihood ratio)
 LEVEL = 0.05           # chance that any word of no use becomes a term
+SHARE = 0.5            # texts of label 1 among a term's labelled texts at least
 K = 15                 # neighbours that vote
 BLOCK = 64             # examples of a block
 PRIOR = 0.25           # weight of the base rate beside the neighbours' votes
@@ -244,7 +245,7 @@ def train(learn: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str = "d
         return Model([], np.empty(0), base=rate, rate=rate)
     tested = counts.where("term IS NOT NULL AND n1 + n0 >= 2")
     ratio = _ratio_column(all1, all0)
-    chosen = (tested.where(F.col("n1") * all0 > F.col("n0") * all1).withColumn("g", ratio)
+    chosen = (tested.where((F.col("n1") * all0 > F.col("n0") * all1) & (F.col("n1") >= SHARE * (F.col("n1") + F.col("n0")))).withColumn("g", ratio)
               .where(F.col("g") >= needed_ratio(tested.count())).orderBy(F.col("g").desc(), "term").limit(MAX_TERMS).select("term").collect())
     terms = sorted(r["term"] for r in chosen)
     rate = all1 / (all1 + all0)

@@ -73,7 +73,7 @@ def test_model_equals_direct(spark):
             held.setdefault(w, [0, 0])[1 - y] += 1
     ratio = X.likelihood_ratio(np.array([c[0] for c in held.values()]), np.array([c[1] for c in held.values()]), n1, n0)
     need = X.needed_ratio(sum(sum(c) >= 2 for c in held.values()))
-    want = sorted(w for (w, c), g in zip(held.items(), ratio) if g >= need and sum(c) >= 2 and c[0] * n0 > c[1] * n1)
+    want = sorted(w for (w, c), g in zip(held.items(), ratio) if g >= need and sum(c) >= 2 and c[0] * n0 > c[1] * n1 and c[0] >= c[1])
     assert model.terms == want and {"bad0", "bad1", "bad2", "bad3"} <= set(want)
     n = len(rows)
     idf = [math.log1p(n / sum(w in terms_of(t) for _, t, _ in rows)) for w in want]
