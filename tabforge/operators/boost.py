@@ -4,27 +4,31 @@ Training is Spark ML's ``GBTClassifier`` (logistic loss, distributed).  The
 reference's three engines become parameter *profiles* mapped onto it; knobs
 with no Spark counterpart are accepted and recorded in the trial, no more.
 
-Per-round scores (for early stopping and CV curves) come from the model's own
-node table: it is small (trees x nodes, size-checked) and broadcast; each
-task walks its rows through every tree with numpy and emits only its
-confusion counts per round, so the output is partitions x rounds rows, never
-rows x rounds.  margin = sum of tree weight x leaf value; P(1) =
-1 / (1 + exp(-2 margin)), Spark's own link.
+Early stopping is Spark ML's own: held-out rows are marked by a validation
+column and training ends at the first round that does not lower their log loss
+(a patience of one round; the model keeps the rounds up to the best).
+
+Per-round scores (CV curves) come from the model's own node table, in blocks of
+trees of at most ``TREE_BLOCK`` nodes: a block is broadcast, each task walks its rows
+through its trees with numpy and emits only its confusion counts per round; where
+several blocks are needed, the rows' margins are written between them.  margin =
+sum of tree weight x leaf value; P(1) = 1 / (1 + exp(-2 margin)), Spark's own link.
 """
 
 from __future__ import annotations
 
 import math
 import time
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark import InheritableThread
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.functions.numeric import col
 from tabforge.functions.partitioning import spread
-from tabforge.operators.explain import MAX_BROADCAST_NODES, tree_nodes
+from tabforge.operators.explain import dropped, tree_nodes
 
 NOT_TRAINED = "Please train the models using train_models method before testing"
 
@@ -48,9 +52,31 @@ def _first(params: dict, names: tuple):
     return None
 
 
+def _within(name: str, lo: float, hi: float, open_low: bool = False):
+    """A conversion that refuses what Spark cannot take, instead of changing it."""
+    def conv(v):
+        f = float(v)
+        if not (lo < f if open_low else lo <= f) or f > hi:
+            raise ValueError(f"{name} {v} is outside of what the trainer takes ({lo} to {hi})")
+        return f
+    return conv
+
+
+def needs_rows(params: dict | None) -> bool:
+    """Whether a parameter is a bound on a sum over rows, which Spark takes for each row."""
+    return any((params or {}).get(n) is not None for n in (*_MIN_GAIN, "min_child_weight"))
+
+
 def spark_params(params: dict | None, n_rows: int | None = None) -> tuple[dict, dict]:
-    """(GBTClassifier keyword arguments, recorded-only parameters)."""
+    """(GBTClassifier keyword arguments, recorded-only parameters).
+
+    A minimum gain bounds a gain summed over all rows; Spark's ``minInfoGain`` bounds it
+    for each row, so it is divided by ``n_rows`` (as is ``min_child_weight``).  Values
+    outside of Spark's range are refused.
+    """
     params = dict(params or {})
+    if needs_rows(params) and not n_rows:
+        raise ValueError("minimum gain and child weight need the number of rows")
     out: dict = {}
     used: set = set()
 
@@ -62,16 +88,16 @@ def spark_params(params: dict | None, n_rows: int | None = None) -> tuple[dict,
 
     take(_ROUNDS, "maxIter", int)
     take(_RATE, "stepSize", float)
-    take(_DEPTH, "maxDepth", lambda v: max(1, min(int(v), 30)))
+    take(_DEPTH, "maxDepth", lambda v: int(_within("depth", 1, 30)(v)))
     if "maxDepth" not in out:
-        take(_LEAVES, "maxDepth", lambda v: max(1, min(30, math.ceil(math.log2(max(int(v), 2))))))
-    take(_MIN_ROWS, "minInstancesPerNode", lambda v: max(1, int(v)))
-    take(_MIN_GAIN, "minInfoGain", float)
-    take(_COLS, "featureSubsetStrategy", lambda v: str(min(max(float(v), 1e-3), 1.0)))
-    take(_SUBSAMPLE, "subsamplingRate", lambda v: min(max(float(v), 1e-3), 1.0))
-    take(_BINS, "maxBins", lambda v: max(2, int(v)))
+        take(_LEAVES, "maxDepth", lambda v: int(_within("depth of that many leaves", 1, 30)(math.ceil(math.log2(max(int(v), 2))))))
+    take(_MIN_ROWS, "minInstancesPerNode", lambda v: int(_within("rows of a leaf", 1, 2 ** 31 - 1)(v)))
+    take(_MIN_GAIN, "minInfoGain", lambda v: _within("minimum gain", 0, math.inf)(v) / n_rows)
+    take(_COLS, "featureSubsetStrategy", lambda v: str(_within("share of features", 0, 1, open_low=True)(v)))
+    take(_SUBSAMPLE, "subsamplingRate", _within("share of rows", 0, 1, open_low=True))
+    take(_BINS, "maxBins", lambda v: int(_within("bins", 2, 2 ** 31 - 1)(v)))
     take(_SEED, "seed", int)
-    if "min_child_weight" in params and n_rows:
+    if "min_child_weight" in params:
         share = float(params["min_child_weight"]) / n_rows
         if share >= 0.5:
             raise ValueError(f"min_child_weight {params['min_child_weight']} is half of the {n_rows} rows or more: no split is possible")
@@ -93,22 +119,34 @@ def assemble(df: DataFrame, features: list[str], label: str | None = None,
 
 
 def train_boosted(df: DataFrame, features: list[str], label: str, params: dict | None = None,
-                  class_weight: bool = False, weight: str | None = None):
-    """L4: fit GBTClassifier on (features, label[, weight]); returns the Spark model."""
+                  class_weight: bool = False, weight: str | None = None, validation: Column | None = None,
+                  n_rows: int | None = None):
+    """L4: fit GBTClassifier on (features, label[, weight]); returns the Spark model.
+
+    L5: with ``validation`` (a boolean expression on ``df``), training uses the other rows
+    and ends at the first round that does not lower the log loss on the marked ones; the
+    model holds the rounds up to the best.  ``n_rows``: training rows, if known.
+    """
     from pyspark.ml.classification import GBTClassifier
 
-    from tabforge.operators.folds import with_class_weight
+    from tabforge.operators.folds import class_weight_value, with_class_weight
+    learn = df if validation is None else df.where(~validation)
     if class_weight and weight is None:
-        df = with_class_weight(df, label, "__w")
+        df = with_class_weight(df, label, "__w", class_weight_value(learn, label))
         weight = "__w"
+    keep = []
+    if validation is not None:
+        df = df.withColumn("__held", validation)
+        keep = ["__held"]
     # training reads its input once per round: spread an under-partitioned input once
-    data = spread(assemble(df, features, label, weight))
-    kwargs, _ = spark_params(params, None)
-    if params and "min_child_weight" in params:
-        kwargs, _ = spark_params(params, data.count())
+    data = spread(assemble(df, features, label, weight, keep))
+    kwargs, _ = spark_params(params, (n_rows or learn.count()) if needs_rows(params) else None)
     clf = GBTClassifier(featuresCol="__features", labelCol="__label", **kwargs)
     if weight:
         clf = clf.setWeightCol("__weight")
+    if validation is not None:
+        clf = clf.setValidationIndicatorCol("__held")
+        clf = clf.copy({clf.validationTol: 0.0})
     return clf.fit(data)
 
 
@@ -125,38 +163,52 @@ def score(model, df: DataFrame, features: list[str], keep: list[str] | None = No
 
 # ---------------------------------------------------------------- node table -> numpy
 
-def forest_arrays(spark, model) -> dict:
-    """Collect the (size-checked) node table as per-tree numpy arrays indexed by node id."""
+#: Nodes of the trees that are broadcast at once (one tree at least): about 60 bytes each.
+TREE_BLOCK = 500_000
+
+
+def _tree_arrays(rs: list) -> dict:
+    """One tree's node rows as numpy arrays indexed by node id."""
     import numpy as np
-    nodes = tree_nodes(spark, model)
-    n = nodes.count()
-    if n > MAX_BROADCAST_NODES:
-        raise ValueError(f"{n} tree nodes exceed the broadcast limit {MAX_BROADCAST_NODES}")
-    rows = nodes.select("tree", "node", "feature", "threshold", "left", "right", "prediction",
-                        "count", "weight").collect()
-    trees: dict[int, list] = {}
-    for r in rows:
-        trees.setdefault(r["tree"], []).append(r)
-    out = []
-    for t in sorted(trees):
-        rs = trees[t]
-        size = max(r["node"] for r in rs) + 1
-        feat = np.zeros(size, dtype=np.int64)
-        thr = np.zeros(size)
-        left = -np.ones(size, dtype=np.int64)
-        right = -np.ones(size, dtype=np.int64)
-        pred = np.zeros(size)
-        cover = np.zeros(size)
-        for r in rs:
-            i = r["node"]
-            feat[i] = r["feature"] if r["feature"] is not None and r["left"] >= 0 else 0
-            thr[i] = r["threshold"] if r["threshold"] is not None else 0.0
-            left[i], right[i] = r["left"], r["right"]
-            pred[i] = r["prediction"]
-            cover[i] = r["count"] if r["count"] is not None else 0
-        out.append({"feature": feat, "threshold": thr, "left": left, "right": right,
-                    "value": pred, "cover": cover, "weight": float(rs[0]["weight"] or 1.0)})
-    return {"trees": out}
+    size = max(r["node"] for r in rs) + 1
+    feat, left, right = np.zeros(size, np.int64), -np.ones(size, np.int64), -np.ones(size, np.int64)
+    thr, pred, cover = np.zeros(size), np.zeros(size), np.zeros(size)
+    for r in rs:
+        i = r["node"]
+        feat[i] = r["feature"] if r["feature"] is not None and r["left"] >= 0 else 0
+        thr[i] = r["threshold"] if r["threshold"] is not None else 0.0
+        left[i], right[i] = r["left"], r["right"]
+        pred[i] = r["prediction"]
+        cover[i] = r["count"] if r["count"] is not None else 0
+    return {"feature": feat, "threshold": thr, "left": left, "right": right,
+            "value": pred, "cover": cover, "weight": float(rs[0]["weight"] or 1.0)}
+
+
+def forest_blocks(spark, model, limit: int | None = None) -> Iterator[list[dict]]:
+    """The model's trees in order, in lists of at most ``limit`` nodes (``TREE_BLOCK``), one tree at least.
+
+    Only one block is on the driver at a time.
+    """
+    limit = limit or TREE_BLOCK
+    with dropped(spark) as path:
+        nodes = tree_nodes(spark, model, path)
+        sizes = {r["tree"]: r["n"] for r in nodes.groupBy("tree").agg(F.count("*").alias("n")).collect()}   # a row for each tree
+        held: list[int] = []
+        for t in [*sorted(sizes), None]:
+            if held and (t is None or sum(sizes[x] for x in held) + sizes[t] > limit):
+                rows: dict[int, list] = {x: [] for x in held}
+                for r in (nodes.where(F.col("tree").between(held[0], held[-1]))
+                          .select("tree", "node", "feature", "threshold", "left", "right", "prediction", "count", "weight").collect()):
+                    rows[r["tree"]].append(r)
+                yield [_tree_arrays(rows[x]) for x in held]
+                held = []
+            if t is not None:
+                held.append(t)
+
+
+def forest_arrays(spark, model) -> dict:
+    """All trees at once, for a model that is known to be small."""
+    return {"trees": [t for block in forest_blocks(spark, model) for t in block]}
 
 
 def tree_predict(X, tree) -> "np.ndarray":
@@ -177,37 +229,62 @@ def tree_predict(X, tree) -> "np.ndarray":
 
 def staged_confusion(spark, model, df: DataFrame, features: list[str], label: str) -> DataFrame:
     """(round, tp, fp, fn, tn) after each boosting round (class 1 when P > 0.5)."""
-    forest = forest_arrays(spark, model)
-    bc = spark.sparkContext.broadcast(forest)
-    n_rounds = len(forest["trees"])
+    from tabforge.session import written
+    xcols = [f"__x{i}" for i in range(len(features))]
     src = spread(df.select(col(label).cast("double").alias("__y"),
                            *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
-    xcols = [f"__x{i}" for i in range(len(features))]
-
+    src = src.withColumn("__margin", F.lit(0.0))
+    counts, done = [], 0
+    blocks = list_ahead(forest_blocks(spark, model))
+    for trees, last in blocks:
+        bc = spark.sparkContext.broadcast(trees)
+        out = src.select(F.lit(None).cast("int").alias("round"), *[F.lit(None).cast("long").alias(c) for c in ("tp", "fp", "fn", "tn")],
+                         "*").mapInPandas(_confusion_of(bc, xcols, done, last), "round INT, tp LONG, fp LONG, fn LONG, tn LONG, __y DOUBLE, "
+                                          + ", ".join(f"{c} DOUBLE" for c in xcols) + ", __margin DOUBLE")
+        if not last:
+            out = written(out, "margins")
+            src = out.where("round IS NULL").select("__y", *xcols, "__margin")
+        counts.append(out.where("round IS NOT NULL").select("round", "tp", "fp", "fn", "tn"))
+        done += len(trees)
+    every = counts[0]
+    for c in counts[1:]:
+        every = every.unionByName(c)
+    return every.groupBy("round").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")])
+
+
+def list_ahead(items: Iterator) -> Iterator[tuple]:
+    """(item, whether it is the last)."""
+    items = iter(items)
+    held = next(items)
+    for x in items:
+        yield held, False
+        held = x
+    yield held, True
+
+
+def _confusion_of(bc, xcols: list[str], done: int, last: bool):
+    """Counts of a block's rounds for a task and, but for the last block, its rows with their margins."""
     def run(batches):
         import numpy as np
         import pandas as pd
-        trees = bc.value["trees"]
-        acc = np.zeros((n_rounds, 4), dtype=np.int64)
+        trees = bc.value
+        acc = np.zeros((len(trees), 4), dtype=np.int64)
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[xcols].to_numpy(dtype=float)
             y = pdf["__y"].to_numpy() == 1
-            margin = np.zeros(len(pdf))
+            margin = pdf["__margin"].to_numpy(dtype=float).copy()
             for r, t in enumerate(trees):
                 margin += t["weight"] * tree_predict(X, t)
                 p = margin > 0                     # P > 0.5  <=>  margin > 0
-                acc[r, 0] += int(np.sum(p & y))
-                acc[r, 1] += int(np.sum(p & ~y))
-                acc[r, 2] += int(np.sum(~p & y))
-                acc[r, 3] += int(np.sum(~p & ~y))
-        yield pd.DataFrame({"round": np.arange(1, n_rounds + 1, dtype=np.int32),
-                            "tp": acc[:, 0], "fp": acc[:, 1], "fn": acc[:, 2], "tn": acc[:, 3]})
-
-    schema = "round INT, tp LONG, fp LONG, fn LONG, tn LONG"
-    return (src.mapInPandas(run, schema).groupBy("round")
-            .agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]))
+                acc[r] += [int(np.sum(p & y)), int(np.sum(p & ~y)), int(np.sum(~p & y)), int(np.sum(~p & ~y))]
+            if not last:
+                yield pdf.assign(__margin=margin)
+        out = {"round": np.arange(done + 1, done + 1 + len(trees), dtype=np.int32),
+               "tp": acc[:, 0], "fp": acc[:, 1], "fn": acc[:, 2], "tn": acc[:, 3]}
+        yield pd.DataFrame({**out, **{c: np.full(len(trees), np.nan) for c in ("__y", *xcols, "__margin")}})
+    return run
 
 
 def staged_f1(spark, model, df: DataFrame, features: list[str], label: str) -> DataFrame:
@@ -221,38 +298,46 @@ def staged_f1(spark, model, df: DataFrame, features: list[str], label: str) -> D
 def staged_scores(spark, model, df: DataFrame, features: list[str], keep: list[str],
                   rounds: list[int] | None = None) -> DataFrame:
     """Per-row P(1) after the given rounds: (keep..., round, score) - for custom metrics."""
-    forest = forest_arrays(spark, model)
-    bc = spark.sparkContext.broadcast(forest)
-    n_rounds = len(forest["trees"])
-    rounds = sorted(set(rounds or range(1, n_rounds + 1)))
+    from tabforge.session import written
+    xcols = [f"__x{i}" for i in range(len(features))]
     src = spread(df.select(*[col(k) for k in keep],
                            *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
-    xcols = [f"__x{i}" for i in range(len(features))]
-    fields = [f for f in src.schema.fields if f.name in keep]
-    schema = T.StructType(fields + [T.StructField("round", T.IntegerType()),
-                                    T.StructField("score", T.DoubleType())])
-
+    src = src.withColumn("__margin", F.lit(0.0))
+    kept = [f for f in src.schema.fields if f.name in keep]
+    tail = [T.StructField("round", T.IntegerType()), T.StructField("score", T.DoubleType())]
+    want = set(rounds) if rounds else None
+    parts, done = [], 0
+    for trees, last in list_ahead(forest_blocks(spark, model)):
+        out = src.mapInPandas(_scores_of(spark.sparkContext.broadcast(trees), xcols, keep, want, done, last), T.StructType(
+            kept + [T.StructField(c, T.DoubleType()) for c in (*xcols, "__margin")] + tail))
+        if not last:
+            out = written(out, "margins")
+            src = out.where("round IS NULL").select(*[col(k) for k in keep], *xcols, "__margin")
+        parts.append(out.where("round IS NOT NULL").select(*[col(k) for k in keep], "round", "score"))
+        done += len(trees)
+    every = parts[0]
+    for x in parts[1:]:
+        every = every.unionByName(x)
+    return every
+
+
+def _scores_of(bc, xcols: list[str], keep: list[str], want: set | None, done: int, last: bool):
     def run(batches):
         import numpy as np
-        import pandas as pd
-        trees = bc.value["trees"]
-        want = set(rounds)
+        trees = bc.value
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[xcols].to_numpy(dtype=float)
-            margin = np.zeros(len(pdf))
-            outs = []
-            for r, t in enumerate(trees, start=1):
+            margin = pdf["__margin"].to_numpy(dtype=float).copy()
+            blank = pdf[[*keep, *xcols]].copy()
+            for r, t in enumerate(trees, start=done + 1):
                 margin += t["weight"] * tree_predict(X, t)
-                if r in want:
-                    o = pdf[keep].copy()
-                    o["round"] = np.int32(r)
-                    o["score"] = 1.0 / (1.0 + np.exp(-2.0 * margin))
-                    outs.append(o)
-            yield pd.concat(outs, ignore_index=True)
-
-    return src.mapInPandas(run, schema)
+                if want is None or r in want:
+                    yield blank.assign(__margin=np.nan, round=np.int32(r), score=1.0 / (1.0 + np.exp(-2.0 * margin)))
+            if not last:
+                yield blank.assign(__margin=margin, round=None, score=np.nan)
+    return run
 
 
 def early_stop_cut(curve: list[float], patience: int | None) -> int:
@@ -267,25 +352,61 @@ def early_stop_cut(curve: list[float], patience: int | None) -> int:
 
 
 def fold_table(df: DataFrame, features: list[str], label: str, k: int = 5, order: list | None = None) -> DataFrame:
-    """Features, label and stratified ``fold``, written once."""
-    from tabforge.operators.folds import assign_folds
+    """Features, label and stratified ``fold``, written once (in ``order``, if one is given)."""
+    from tabforge.operators.folds import assign_folds, deal_folds
     from tabforge.session import written
-    return written(assign_folds(df.select(*[col(f) for f in features], col(label)), label, k,
-                                order or [col(f).asc() for f in features]), "folds")
+    rows = df.select(*[col(f) for f in features], col(label))
+    if order:
+        return written(assign_folds(rows, label, k, order), "folds")
+    return deal_folds(spread(rows), label, k)
+
+
+def in_threads(jobs: list, parallel: int) -> list:
+    """Results of ``jobs`` (functions), at most ``parallel`` at a time, each in a thread and scheduler pool of its own.
+
+    Pools take effect where the session runs with ``spark.scheduler.mode=FAIR``.
+    """
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    out, errors, todo = [None] * len(jobs), [], list(enumerate(jobs))[::-1]
+
+    def work(pool: str):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
+        while todo and not errors:
+            try:
+                i, job = todo.pop()
+            except IndexError:
+                return
+            try:
+                out[i] = job()
+            except Exception as e:  # noqa: BLE001 - raised again below
+                errors.append(e)
+    threads = [InheritableThread(work, args=(f"trial-{t}",), session=spark) for t in range(max(1, min(parallel, len(jobs))))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if errors:
+        raise errors[0]
+    return out
 
 
 def cross_validate(df: DataFrame, features: list[str], label: str, params: dict | None = None,
                    k: int = 5, rounds: int = 100, early_stopping: int | None = 10,
                    order: list | None = None, metric=None, class_weight: bool = False,
-                   parallel: int = 2, folds: str | None = None) -> tuple[dict, DataFrame]:
+                   parallel: int = 4, folds: str | None = None) -> tuple[dict, DataFrame]:
     """Stratified k-fold CV; per-round mean and sd of the test metric over folds.
 
     Summary: best round by mean test F1 (within the early-stopping window),
-    loss = 1 - best, n_estimators = best round, variance = min(sd)^2, seconds.
-    ``metric``: optional ``fn(label_col, score_col) -> aggregate Column``, evaluated
-    per round on per-row staged scores (costlier than the built-in F1 counts).
-    ``folds``: a column of ``df`` that holds the fold already (0 to k - 1), so that a
-    search deals its rows out once.  ``class_weight``: class 1 weighs n0/n1.
+    loss = 1 - best, n_estimators = best round, variance = min(sd)^2, seconds, and
+    fold_rounds (trees that each fold fitted).  With ``early_stopping``, a fold's
+    training ends at the first round that does not lower the log loss on the fold
+    (``train_boosted``); its last score stands for later rounds.  Without it, all
+    rounds are trained.  ``metric``: optional ``fn(label_col, score_col) -> aggregate
+    Column``, evaluated per round on per-row staged scores (costlier than the built-in
+    F1 counts).  ``folds``: a column of ``df`` that holds the fold already (0 to k - 1),
+    so that a search deals its rows out once.  ``class_weight``: class 1 weighs n0/n1.
+    Folds run in ``parallel`` threads.
     """
     spark = df.sparkSession
     t0 = time.time()
@@ -296,38 +417,42 @@ def cross_validate(df: DataFrame, features: list[str], label: str, params: dict
     data = df.withColumn("fold", col(folds)) if folds else fold_table(df, features, label, k, order)
 
     def one(f):
-        train = data.where(F.col("fold") != f)
-        test = data.where(F.col("fold") == f)
-        m = train_boosted(train, features, label, p, class_weight=class_weight)
+        held = F.col("fold") == f
+        test = data.where(held)
+        if early_stopping:
+            m = train_boosted(data, features, label, p, class_weight=class_weight, validation=held)
+        else:
+            m = train_boosted(data.where(~held), features, label, p, class_weight=class_weight)
         if metric is None:
-            c = staged_f1(spark, m, test, features, label)
-            return c.withColumn("fold", F.lit(f)).withColumnRenamed("f1", "value")
-        s = staged_scores(spark, m, test.withColumn("__lab", col(label)), features, ["__lab"])
-        return (s.groupBy("round").agg(metric(F.col("__lab"), F.col("score")).alias("value"))
-                .withColumn("fold", F.lit(f)))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        parts = list(pool.map(one, range(k)))
-    per = parts[0]
-    for q in parts[1:]:
-        per = per.unionByName(q)
-    curve = (per.groupBy("round").agg(F.avg("value").alias("test_mean"),
-                                      F.stddev_pop("value").alias("test_std"))
-             .orderBy("round"))
-    rows = curve.collect()                   # one row per round
-    means = [r["test_mean"] for r in rows]
-    cut = early_stop_cut(means, early_stopping)
+            per = staged_f1(spark, m, test, features, label).withColumnRenamed("f1", "value")
+        else:
+            s = staged_scores(spark, m, test.withColumn("__lab", col(label)), features, ["__lab"])
+            per = s.groupBy("round").agg(metric(F.col("__lab"), F.col("score")).alias("value"))
+        return [r["value"] for r in per.orderBy("round").collect()]           # a number for each round
+
+    curves = in_threads([lambda f=f: one(f) for f in range(k)], parallel)
+    rows = mean_curve(curves)
+    cut = early_stop_cut([mean for mean, _ in rows], early_stopping)
     kept = rows[:cut + 1] if early_stopping else rows
-    best = rows[cut]
-    summary = {"loss": 1.0 - best["test_mean"], "n_estimators": best["round"],
-               "variance": min((r["test_std"] or 0.0) for r in kept) ** 2,
-               "test_mean": best["test_mean"], "test_std": best["test_std"],
-               "train_time": time.time() - t0}
-    out = spark.createDataFrame([(r["round"], r["test_mean"], r["test_std"]) for r in rows],
+    summary = {"loss": 1.0 - rows[cut][0], "n_estimators": cut + 1,
+               "variance": min(sd for _, sd in kept) ** 2,
+               "test_mean": rows[cut][0], "test_std": rows[cut][1],
+               "train_time": time.time() - t0, "fold_rounds": [len(c) for c in curves]}
+    out = spark.createDataFrame([(i, mean, sd) for i, (mean, sd) in enumerate(rows, 1)],
                                 "round INT, test_mean DOUBLE, test_std DOUBLE")
     return summary, out
 
 
+def mean_curve(curves: list[list[float]]) -> list[tuple[float, float]]:
+    """(mean, sd) over folds for each round; a fold that stopped keeps its last value."""
+    out = []
+    for r in range(max(map(len, curves))):
+        v = [c[min(r, len(c) - 1)] for c in curves if c and c[min(r, len(c) - 1)] is not None]
+        mean = sum(v) / len(v) if v else 0.0
+        out.append((mean, math.sqrt(sum((x - mean) ** 2 for x in v) / len(v)) if v else 0.0))
+    return out
+
+
 def fit_best(df: DataFrame, features: list[str], label: str, best: dict,
              final_rate: float = 0.05, class_weight: bool = False):
     """Refit with the best trial's parameters and rounds, learning rate 0.05."""

@@ -3,24 +3,34 @@
 X1 reads a fitted tree ensemble's own node table: the model is written to the
 shared checkpoint folder and its ``data`` parquet read back with Spark, so
 importance is a plain ``groupBy(featureIndex)``.  SHAP (X4) runs path-dependent
-TreeSHAP per row in ``mapInPandas`` with the (small, size-checked) node table
-broadcast; rows are partitioned by Spark, never gathered.
+TreeSHAP per row in ``mapInPandas`` with the node table
+broadcast a block of trees at a time; rows are partitioned by Spark, never gathered.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.functions.partitioning import spread
 from tabforge.session import scratch_path
 
-MAX_BROADCAST_NODES = 5_000_000
+@contextmanager
+def dropped(spark: SparkSession):
+    """A scratch path that is deleted at the end."""
+    path = scratch_path(spark, "model")
+    try:
+        yield path
+    finally:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def tree_nodes(spark: SparkSession, model) -> DataFrame:
+def tree_nodes(spark: SparkSession, model, path: str | None = None) -> DataFrame:
     """(tree, node, feature, threshold, gain, count, prediction, left, right, weight)."""
-    path = scratch_path(spark, "model")
+    path = path or scratch_path(spark, "model")
     model.write().overwrite().save(path)
     data = spark.read.parquet(f"{path}/data")
     nodes = data.select(
@@ -52,8 +62,7 @@ def importance(nodes: DataFrame, features: list[str], kind: str = "weight") -> D
     kinds = {"weight": F.count(F.lit(1)), "gain": F.avg("gain"), "cover": F.avg("count"),
              "total_gain": F.sum("gain"), "total_cover": F.sum("count")}
     if kind not in kinds:
-        raise ValueError("Importance Type not supported. Must be among: "
-                         "'gain', 'weight', 'cover', 'total_gain', 'total_cover'")
+        raise ValueError(f"unknown importance {kind!r}; known: {', '.join(kinds)}")
     splits = nodes.where(F.col("left") >= 0).groupBy("feature").agg(
         kinds[kind].cast("double").alias("value"))
     names = nodes.sparkSession.createDataFrame(list(enumerate(features)),
@@ -206,44 +215,44 @@ def expected_value(tree: dict) -> float:
 def tree_shap(spark, model, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
     """Per row: keep columns, ``phi_<feature>``, ``expected_value``, ``margin``.
 
-    sum(phi) + expected_value = margin (Spark's raw score).  The node table is
-    broadcast (size-checked); rows stay in their partitions.
+    sum(phi) + expected_value = margin (Spark's raw score).  Trees come in blocks of at
+    most ``boost.TREE_BLOCK`` nodes; a block's leaf tables are built once and broadcast
+    with it, and the contributions of several blocks are carried in written rows.
     """
     from pyspark.sql import types as T
 
     from tabforge.functions.numeric import col
-    from tabforge.operators.boost import forest_arrays, tree_predict
-    forest = forest_arrays(spark, model)
-    base = sum(t["weight"] * expected_value(t) for t in forest["trees"])
-    bc = spark.sparkContext.broadcast(forest)
+    from tabforge.operators.boost import forest_blocks, list_ahead
+    from tabforge.session import written
+    xcols = [f"__x{i}" for i in range(len(features))]
+    phis = [f"phi_{f}" for f in features]
     src = spread(df.select(*[col(k) for k in keep],
                            *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
-    xcols = [f"__x{i}" for i in range(len(features))]
-    kf = [f for f in src.schema.fields if f.name in keep]
-    schema = T.StructType(kf + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features]
-                          + [T.StructField("expected_value", T.DoubleType()),
-                             T.StructField("margin", T.DoubleType())])
-
+    kept = [f for f in src.schema.fields if f.name in keep]
+    schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in (*xcols, *phis, "margin")])
+    base, out = 0.0, src.select("*", *[F.lit(0.0).alias(c) for c in (*phis, "margin")])
+    for trees, last in list_ahead(forest_blocks(spark, model)):
+        base += sum(t["weight"] * expected_value(t) for t in trees)
+        bc = spark.sparkContext.broadcast((trees, [leaf_tables(t) for t in trees]))
+        out = out.mapInPandas(_shap_of(bc, xcols, phis), schema)
+        if not last:
+            out = written(out, "shap")
+    return out.select(*[col(k) for k in keep], *[col(c) for c in phis], F.lit(base).alias("expected_value"), "margin")
+
+
+def _shap_of(bc, xcols: list[str], phis: list[str]):
+    """Adds a block's contributions and margin to each row's."""
     def run(batches):
-        import numpy as np
-        trees = bc.value["trees"]
-        tables = [leaf_tables(t) for t in trees]          # once per task
+        from tabforge.operators.boost import tree_predict
+        trees, tables = bc.value
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[xcols].to_numpy(dtype=float)
-            margin = np.zeros(len(pdf))
-            for t in trees:
-                margin += t["weight"] * tree_predict(X, t)
-            phi = shap_batch(X, trees, tables, len(features))
-            out = pdf[keep].copy()
-            for i, f in enumerate(features):
-                out[f"phi_{f}"] = phi[:, i]
-            out["expected_value"] = base
-            out["margin"] = margin
-            yield out
-
-    return src.mapInPandas(run, schema)
+            pdf["margin"] += sum(t["weight"] * tree_predict(X, t) for t in trees)
+            pdf[phis] += shap_batch(X, trees, tables, len(xcols))
+            yield pdf
+    return run
 
 
 def _mix(x):
@@ -269,30 +278,41 @@ def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[st
 
     The background set is ``background`` rows picked by a seeded hash order
     (bounded, broadcast); each row's estimate averages ``samples`` random
-    (permutation, background row) pairs, evaluated in numpy inside its task.
+    (permutation, background row) pairs, evaluated in numpy inside its task.  The draws
+    hang on the row's values alone and margins add up over trees, so trees can come
+    in blocks as for ``tree_shap``.
     """
     import numpy as np
     from pyspark.sql import types as T
 
     from tabforge.functions.numeric import col
-    from tabforge.operators.boost import forest_arrays, tree_predict
-    forest = forest_arrays(spark, model)
+    from tabforge.operators.boost import forest_blocks, list_ahead
+    from tabforge.session import written
     bg_rows = (df.select(*[col(f).cast("double").alias(f) for f in features])
                .withColumn("__h", F.xxhash64(*[col(f) for f in features], F.lit(seed)))
                .orderBy("__h").limit(background).drop("__h").collect())
     bg = np.array([[r[f] for f in features] for r in bg_rows], dtype=float)
-    bc = spark.sparkContext.broadcast({"forest": forest, "bg": bg})
+    xcols = [f"__x{i}" for i in range(len(features))]
+    phis = [f"phi_{f}" for f in features]
     src = spread(df.select(*[col(k) for k in keep],
                            *[col(f).cast("double").alias(f"__x{i}") for i, f in enumerate(features)]))
-    xcols = [f"__x{i}" for i in range(len(features))]
-    kf = [f for f in src.schema.fields if f.name in keep]
-    schema = T.StructType(kf + [T.StructField(f"phi_{f}", T.DoubleType()) for f in features])
-    d = len(features)
+    kept = [f for f in src.schema.fields if f.name in keep]
+    schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in (*xcols, *phis)])
+    out = src.select("*", *[F.lit(0.0).alias(c) for c in phis])
+    for trees, last in list_ahead(forest_blocks(spark, model)):
+        out = out.mapInPandas(_sampled_of(spark.sparkContext.broadcast((trees, bg)), xcols, phis, samples, seed), schema)
+        if not last:
+            out = written(out, "sampled")
+    return out.select(*[col(k) for k in keep], *[col(c) for c in phis])
 
+
+def _sampled_of(bc, xcols: list[str], phis: list[str], samples: int, seed: int):
     def run(batches):
         import numpy as np
-        b = bc.value
-        trees, B = b["forest"]["trees"], b["bg"]
+
+        from tabforge.operators.boost import tree_predict
+        trees, B = bc.value
+        d = len(xcols)
 
         def f(X):
             m = np.zeros(X.shape[0])
@@ -318,13 +338,9 @@ def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[st
                     now = f(cur)
                     phi[rows, j] += now - prev
                     prev = now
-            phi /= samples
-            out = pdf[keep].copy()
-            for i, name in enumerate(features):
-                out[f"phi_{name}"] = phi[:, i]
-            yield out
-
-    return src.mapInPandas(run, schema)
+            pdf[phis] += phi / samples
+            yield pdf
+    return run
 
 
 def shap_summary(contrib: DataFrame, features: list[str]) -> DataFrame:

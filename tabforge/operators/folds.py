@@ -8,11 +8,12 @@ on (class, order), exact).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.functions.numeric import col
 from tabforge.functions.prefix import running_sum
+from tabforge.session import written
 from tabforge.sources.io import first_k_flag
 
 
@@ -58,6 +59,43 @@ def assign_folds(df: DataFrame, label: str, k: int = 5, order: list[Column] | No
               .drop("__rid", "__one", "cum___one")
 
 
+def deal_folds(df: DataFrame, label: str, k: int = 5, out: str = "fold") -> DataFrame:
+    """L2 without an order: fold = (position within class - 1) mod k, rows in the order they are read.
+
+    The table is written once, each row with its task and its running number within the
+    class in that task; the classes' counts by task (a row for each) are the offsets.  No
+    sort and no shuffle of rows.  Folds of a class differ by one row at most; a NULL
+    label is a class of its own.
+    """
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+    staged = written(df.mapInArrow(_numbered(label), ", ".join([*fields, "__task long", "__at long"])), "dealt")
+    counts = staged.groupBy(col(label).alias("__class"), F.col("__task").alias("__of")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy("__class").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("__class", "__of", F.coalesce(before, F.lit(0)).alias("__before"))
+    placed = staged.join(F.broadcast(offsets), col(label).eqNullSafe(F.col("__class")) & (F.col("__task") == F.col("__of")))   # tasks x classes rows
+    return placed.withColumn(out, ((F.col("__before") + F.col("__at")) % k).cast("int")).select(*[col(c) for c in df.columns], out)
+
+
+def _numbered(label: str):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+        task, seen = TaskContext.get().partitionId(), {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            coded = b.column(b.schema.get_field_index(label)).dictionary_encode(null_encoding="encode")
+            codes, at = coded.indices.to_numpy(zero_copy_only=False), np.empty(b.num_rows, np.int64)
+            for i, value in enumerate(coded.dictionary.to_pylist()):
+                rows = np.flatnonzero(codes == i)
+                at[rows] = seen.get(value, 0) + np.arange(len(rows))
+                seen[value] = seen.get(value, 0) + len(rows)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, task)), pa.array(at)],
+                                             [*b.schema.names, "__task", "__at"])
+    return run
+
+
 def class_weight_value(df: DataFrame, label: str) -> float:
     r = df.agg(F.sum(F.when(col(label) == 0, 1).otherwise(0)).alias("n0"),
                F.sum(F.when(col(label) == 1, 1).otherwise(0)).alias("n1")).first()

@@ -157,7 +157,7 @@ def lump_rare(df: DataFrame, cols: list[str], threshold: int = 1,
               other: str = "Other") -> DataFrame:
     """M7: values seen at most ``threshold`` times (NULLs not counted) -> ``other``."""
     if not isinstance(threshold, int):
-        raise TypeError("Threshold value must be an integer")
+        raise TypeError(f"threshold is {threshold!r}, not a whole number")
     if not cols:
         return df
     return apply_lump(df, rare_from_counts(value_counts(df, cols), threshold), other)
@@ -170,14 +170,14 @@ def fit_missing(df: DataFrame, numeric: list[str], categorical: list[str] | None
                 category_threshold: int = 1, gate: bool = True) -> dict:
     """M8 fit: one profile aggregation + one category-count aggregation."""
     if method not in ("fill", "drop"):
-        raise ValueError("method must be one of: fill, drop")
+        raise ValueError(f"unknown handling of missing values {method!r}")
     if drop_threshold is not None:
         try:
             float(drop_threshold)
         except (TypeError, ValueError):
-            raise TypeError("Threshold value must be numeric or None") from None
+            raise TypeError(f"drop_threshold is {drop_threshold!r}, neither a number nor None") from None
     if not isinstance(category_threshold, int):
-        raise TypeError("Threshold value must be an integer")
+        raise TypeError(f"category_threshold is {category_threshold!r}, not a whole number")
     categorical = list(categorical or [])
     numeric = list(numeric)
     cols = df.columns

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabforge.functions.partitioning import spread
 from tabforge.functions.numeric import col
 from tabforge.functions.prefix import running_sum
 from tabforge.session import written
@@ -33,7 +34,7 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 20, by: str | None = N
     A constant column uses the range [x-0.5, x+0.5].
     """
     if not isinstance(bins, int):
-        raise TypeError("Bins value must be an integer")
+        raise TypeError(f"bins is {bins!r}, not a whole number")
     keys = ["column_name"] + ([by] if by else [])
     long = _long(df, cols, by)
     # written, so that its size in bytes is known and decides on a broadcast
@@ -71,7 +72,7 @@ def correlation(df: DataFrame, cols: list[str], method: str = "pearson") -> Data
     Output (feature_1, feature_2, r) with feature_1 at position i, feature_2 at j.
     """
     if method not in ("pearson", "kendall", "spearman"):
-        raise ValueError("method must be one of: pearson, kendall, spearman")
+        raise ValueError(f"unknown correlation {method!r}")
     if method == "spearman":
         # two passes read the ranks (profile, centred sums): rank once, keep them
         ranked = written(rank_columns(df.select(*[col(c) for c in cols]), cols), "ranks")
@@ -141,13 +142,116 @@ def _replace_by(df: DataFrame, cols: list[str], ranks: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else F.col("__rest").getField(c).alias(c) for c in df.columns])
 
 
-def _dense_ranks(df: DataFrame, cols: list[str]) -> tuple[DataFrame, dict[str, int]]:
-    """Each column replaced by the dense rank (0-based) of its value; {column: distinct}."""
-    vals = _long(df, cols).groupBy("column_name", "value").agg(F.lit(1).alias("one"))
-    cum = running_sum(vals, [F.col("value").asc()], ["one"], partition_by=["column_name"])
-    sizes = {r["column_name"]: r["d"] for r in cum.groupBy("column_name").agg(F.max("cum_one").alias("d")).collect()}
-    ranks = cum.select("column_name", "value", (F.col("cum_one") - 1).alias("rank"))
-    return _replace_by(df.select(*[col(c) for c in cols]), cols, ranks), sizes
+#: Cells of a block of the inversion count, and blocks at most: with more cells than both allow, blocks grow.
+KENDALL_BLOCK, KENDALL_BLOCKS = 1 << 20, 2048
+_CHUNK = 64
+
+
+def weighted_inversions(y, w) -> float:
+    """Sum of w_i * w_j over i < j with y_i > y_j, by bottom-up merging of sorted blocks."""
+    import numpy as np
+    n = len(y)
+    if n < 2:
+        return 0.0
+    y = np.unique(y, return_inverse=True)[1].astype(np.int64)
+    top = int(y.max()) + 1
+    blocks = -(-n // _CHUNK)
+    # pad to whole chunks with weightless cells above all others
+    y = np.concatenate([y, np.full(blocks * _CHUNK - n, top)])
+    w = np.concatenate([np.asarray(w, float), np.zeros(blocks * _CHUNK - n)])
+    later, total = np.triu(np.ones((_CHUNK, _CHUNK), bool), 1), 0.0
+    for lo in range(0, blocks, 512):
+        cy, cw = y.reshape(-1, _CHUNK)[lo:lo + 512], w.reshape(-1, _CHUNK)[lo:lo + 512]
+        total += float(np.einsum("bi,bij,bj->", cw, ((cy[:, :, None] > cy[:, None, :]) & later).astype(float), cw, optimize=True))
+    order = np.argsort(y.reshape(-1, _CHUNK), axis=1, kind="stable") + np.arange(blocks)[:, None] * _CHUNK
+    place, size = order.ravel(), _CHUNK               # places sorted by y within blocks of ``size`` places
+    while size < len(y):
+        parent = place // (2 * size)
+        order = np.argsort(parent * (top + 1) + y[place], kind="stable")     # left halves come first among equals
+        place, parent = place[order], parent[order]
+        right, pw = place // size % 2 == 1, w[place]
+        left = np.cumsum(np.where(right, 0.0, pw))
+        ends = np.searchsorted(parent, np.arange(parent[-1] + 1), side="right") - 1
+        total += float((pw * (left[ends][parent] - left))[right].sum())
+        size *= 2
+    return total
+
+
+def _pair_groups(batches):
+    """(pair, columns) of a task's rows; the pairs of a range are few and their cells bounded by its size."""
+    import numpy as np
+    import pyarrow as pa
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    t = pa.Table.from_batches(held)
+    pair = t["pair"].to_numpy()
+    cols = {c: t[c].to_numpy() for c in t.column_names}
+    for p in np.unique(pair):
+        at = pair == p
+        yield int(p), {c: v[at] for c, v in cols.items()}
+
+
+def _ties(key, w):
+    """Pairs tied in ``key`` (sorted) but for its first and last value, and those two's weights (may go on in other ranges)."""
+    import numpy as np
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    t = np.add.reduceat(w, at)
+    edges = [(float(key[at[i]]), float(t[i])) for i in ({0, len(at) - 1})]
+    return float((t[1:-1] * (t[1:-1] - 1) / 2).sum()), edges
+
+
+_CELL = "pair INT, x DOUBLE, y DOUBLE, c DOUBLE, xb INT, kind STRING, value DOUBLE"
+
+
+def _fact_rows(facts: list[tuple]):
+    """(pair, x, y, c, xb, kind, value) rows of a task as one batch."""
+    import pyarrow as pa
+    types = [pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.string(), pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*facts), types)], [f.split()[0] for f in _CELL.split(", ")])
+
+
+def _by_x(batches):
+    """Cells with their range of (x, y), and what a range knows by itself."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+    xb = TaskContext.get().partitionId()
+    for p, v in _pair_groups(batches):
+        order = np.lexsort((v["y"], v["x"]))
+        x, y, c = (v[k][order] for k in ("x", "y", "c"))
+        n = len(x)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, p, np.int32)), pa.array(x), pa.array(y), pa.array(c), pa.array(np.full(n, xb, np.int32)),
+                                          pa.nulls(n, pa.string()), pa.nulls(n, pa.float64())], [f.split()[0] for f in _CELL.split(", ")])
+        tied, edges = _ties(x, c)
+        yield _fact_rows([(p, None, None, None, None, "n", float(c.sum())), (p, None, None, None, None, "n3", float((c * (c - 1) / 2).sum())),
+                          (p, None, None, None, None, "nd", weighted_inversions(y, c)), (p, None, None, None, None, "n1", tied)]
+                         + [(p, k, None, t, None, "x", None) for k, t in edges])
+
+
+def _by_y(batches):
+    """What a range of (y, x) knows: discordant cells of different x-ranges, ties in y, weights by x-range."""
+    import numpy as np
+    from pyspark import TaskContext
+    yb = TaskContext.get().partitionId()
+    for p, v in _pair_groups(batches):
+        order = np.lexsort((v["y"], v["xb"]))
+        xb, y, c = (v[k][order] for k in ("xb", "y", "c"))
+        tied, edges = _ties(np.sort(y), c[np.argsort(y, kind="stable")])
+        at = np.flatnonzero(np.concatenate([[True], xb[1:] != xb[:-1]]))
+        nd = weighted_inversions(y, c) if len(at) > 1 else 0.0
+        yield _fact_rows([(p, None, None, None, None, "nd", nd), (p, None, None, None, None, "n2", tied)]
+                         + [(p, None, k, t, None, "y", None) for k, t in edges]
+                         + [(p, None, float(yb), t, int(b), "cross", None) for b, t in zip(xb[at], np.add.reduceat(c, at))])
+
+
+def _crossed(table):
+    """Discordant weights of one pair's (x-range, y-range) table, ranges differing in both."""
+    import numpy as np
+    import pyarrow as pa
+    xb, yb, c = (table[k].to_numpy() for k in ("xb", "y", "c"))
+    order = np.lexsort((yb, xb))
+    return pa.table({"pair": pa.array(table["pair"].to_numpy()[:1], pa.int32()), "value": [weighted_inversions(yb[order], c[order])]})
 
 
 def kendall(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -155,53 +259,44 @@ def kendall(df: DataFrame, cols: list[str]) -> DataFrame:
 
     tau_b = (n0 - n1 - n2 + n3 - 2 nd) / sqrt((n0 - n1)(n0 - n2)) over the rows
     where both values are present (n0 all pairs, n1/n2 pairs tied in x/y, n3
-    tied in both).  nd = discordant pairs = sum over cells j of
-    c_j * #{i : rx_i < rx_j, ry_i > ry_j}: a 2D dominance count.  [0, rx_j) is
-    split into dyadic blocks (one per set bit of rx_j); every cell is a record in
-    its block at each level and a query against its left sibling block, and one
-    running sum over ry (descending, queries before records on ties),
-    partitioned by (pair, level, block), answers all queries.  Work is
-    O(K log K) over the distinct (x, y) cells, spread by range partitions.
+    tied in both).  nd, the discordant pairs, is a weighted inversion count over the
+    distinct (x, y) cells: cells are range-partitioned by (x, y), where each range
+    counts its own inversions by merging, then by (y, x), where each range counts those
+    between different x-ranges; what differs in both ranges follows from the weights by
+    x-range and y-range, one small table for each pair.  Cutting equal values into
+    several ranges is harmless: the other coordinate then ascends.  A column with
+    itself has 1 (NULL if constant) and needs no cells.
     """
-    ranked, sizes = _dense_ranks(df, cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
-    stack = ", ".join(f"{p}, `{cols[i]}`, `{cols[j]}`" for p, (i, j) in enumerate(pairs))
-    cells = written(ranked.selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, rx, ry)")
-             .where(F.col("rx").isNotNull() & F.col("ry").isNotNull())
-             .groupBy("pair", "rx", "ry").agg(F.count(F.lit(1)).alias("c")), "cells")
-    # tie terms per pair
-    c2 = lambda t: t * (t - 1) / 2.0
-    n_all = cells.groupBy("pair").agg(F.sum("c").alias("n"), F.sum(c2(F.col("c"))).alias("n3"))
-    n_x = cells.groupBy("pair", "rx").agg(F.sum("c").alias("t")).groupBy("pair") \
-        .agg(F.sum(c2(F.col("t"))).alias("n1"))
-    n_y = cells.groupBy("pair", "ry").agg(F.sum("c").alias("t")).groupBy("pair") \
-        .agg(F.sum(c2(F.col("t"))).alias("n2"))
-    # dominance count
-    kx = max([sizes.get(cols[i], 1) for i, _ in pairs] + [1])
-    levels = max(1, (kx - 1).bit_length())
-    lv = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
-    rec = cells.select("pair", "rx", "ry", "c", lv).select(
-        "pair", "level", F.expr("shiftright(rx, level)").alias("block"), "ry",
-        F.lit(1).alias("kind"), F.col("c").alias("w"), F.lit(0).cast("long").alias("qc"))
-    qry = cells.select("pair", "rx", "ry", "c", lv).where(
-        F.expr("shiftright(rx, level) & 1") == 1).select(
-        "pair", "level", F.expr("shiftright(rx, level) - 1").alias("block"),
-        "ry", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("w"),
-        F.col("c").alias("qc"))
-    both = rec.unionByName(qry)
-    cum = running_sum(both, [F.col("ry").desc(), F.col("kind").asc()], ["w"],
-                      partition_by=["pair", "level", "block"])
-    nd = cum.where(F.col("kind") == 0).groupBy("pair").agg(
-        F.sum(F.col("qc") * F.col("cum_w")).cast("double").alias("nd"))
-    t = (n_all.join(n_x, "pair").join(n_y, "pair").join(nd, "pair", "left")
-         .withColumn("nd", F.coalesce(F.col("nd"), F.lit(0.0)))
-         .withColumn("n0", c2(F.col("n"))))
-    tau = F.try_divide(F.col("n0") - F.col("n1") - F.col("n2") + F.col("n3") - 2 * F.col("nd"),
-                       F.sqrt((F.col("n0") - F.col("n1")) * (F.col("n0") - F.col("n2"))))
-    names = df.sparkSession.createDataFrame(
-        [(p, cols[i], cols[j]) for p, (i, j) in enumerate(pairs)],
-        "pair INT, feature_1 STRING, feature_2 STRING")
-    return names.join(t.select("pair", tau.alias("r")), "pair", "left").drop("pair")
+    clean = df.select(*[F.when(~F.isnan(col(c).cast("double")), col(c).cast("double") + F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(cols)])
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i)]
+    varied = clean.agg(*[F.min(f"v{i}").alias(f"lo{i}") for i in range(len(cols))], *[F.max(f"v{i}").alias(f"hi{i}") for i in range(len(cols))]).first()
+    out = [(c, c, 1.0 if varied[f"lo{i}"] is not None and varied[f"lo{i}"] < varied[f"hi{i}"] else None) for i, c in enumerate(cols)]
+    schema = "feature_1 STRING, feature_2 STRING, r DOUBLE"
+    if not pairs:
+        return df.sparkSession.createDataFrame(out, schema)
+    stack = ", ".join(f"{p}, v{i}, v{j}" for p, (i, j) in enumerate(pairs))
+    cells = written(spread(clean).selectExpr(f"stack({len(pairs)}, {stack}) AS (pair, x, y)").where("x IS NOT NULL AND y IS NOT NULL")
+                    .groupBy("pair", "x", "y").agg(F.count(F.lit(1)).cast("double").alias("c")), "cells")
+    spark = df.sparkSession
+    ranges = min(KENDALL_BLOCKS, max(-(-cells.count() // KENDALL_BLOCK), min(spark.sparkContext.defaultParallelism, 16)))
+    placed = written(cells.repartitionByRange(ranges, "pair", "x", "y").mapInArrow(_by_x, _CELL), "cells-x")
+    facts = written(placed.where("kind IS NULL").select("pair", "x", "y", "c", "xb").repartitionByRange(ranges, "pair", "y", "x")
+                    .mapInArrow(_by_y, _CELL), "cells-y").unionByName(placed.where("kind IS NOT NULL"))
+    half = F.col("c") * (F.col("c") - 1) / 2.0
+    totals = (facts.where("kind IN ('n', 'n1', 'n2', 'n3', 'nd')").select("pair", "kind", "value")
+              .unionByName(facts.where("kind = 'x'").groupBy("pair", "x").agg(F.sum("c").alias("c")).select("pair", F.lit("n1").alias("kind"), half.alias("value")))
+              .unionByName(facts.where("kind = 'y'").groupBy("pair", "y").agg(F.sum("c").alias("c")).select("pair", F.lit("n2").alias("kind"), half.alias("value")))
+              .unionByName(facts.where("kind = 'cross'").groupBy("pair", "xb", "y").agg(F.sum("c").alias("c")).groupBy("pair")
+                           .applyInArrow(_crossed, "pair INT, value DOUBLE").withColumn("kind", F.lit("nd"))))
+    found = {}
+    for r in totals.groupBy("pair", "kind").agg(F.sum("value").alias("value")).collect():        # five numbers for each pair
+        found.setdefault(r["pair"], {})[r["kind"]] = r["value"]
+    for p, (i, j) in enumerate(pairs):
+        t = {"n": 0.0, "n1": 0.0, "n2": 0.0, "n3": 0.0, "nd": 0.0, **found.get(p, {})}
+        n0 = t["n"] * (t["n"] - 1) / 2
+        under = (n0 - t["n1"]) * (n0 - t["n2"])
+        out.append((cols[i], cols[j], (n0 - t["n1"] - t["n2"] + t["n3"] - 2 * t["nd"]) / under ** 0.5 if under > 0 else None))
+    return spark.createDataFrame(out, schema)
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:

@@ -42,7 +42,7 @@ def above_mean(scores: DataFrame, k: int) -> DataFrame:
 
 def _check_k(k) -> None:
     if not isinstance(k, int):
-        raise TypeError("number of features must be an integer")
+        raise TypeError(f"the number of features is {k!r}, not a whole number")
 
 
 def select_pearson(df: DataFrame, label: str, k: int, features: list[str]) -> DataFrame:

@@ -108,11 +108,11 @@ def feature_definitions(df: DataFrame, trans: list[str] | None = None, max_depth
                         latlong: list[tuple[str, str]] | None = None) -> list[Feature]:
     """The feature list (names, expressions) for ``df`` - no job runs."""
     if not isinstance(max_depth, int):
-        raise TypeError("Max depth value must be an integer")
+        raise TypeError(f"max_depth is {max_depth!r}, not a whole number")
     trans = ["multiply_numeric"] if trans is None else list(trans)
     for t in trans:
         if not isinstance(t, str) or t not in TRANSFORMS:
-            raise TypeError("list of transformation primitives must be a list of strings"
+            raise TypeError(f"a primitive is named by a string, not by {t!r}"
                             if not isinstance(t, str) else f"unknown primitive {t!r}")
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = list(df.columns) if columns is None else list(columns)
@@ -194,9 +194,9 @@ def drop_correlated(df: DataFrame, threshold: float = 0.8, cols: list[str] | Non
     pass runs over the d x d numbers on the driver.
     """
     if not isinstance(threshold, float):
-        raise TypeError("threshold value must be a float")
+        raise TypeError(f"threshold is {threshold!r}, not a float")
     if threshold < 0 or threshold > 1:
-        raise ValueError("Threshold integers must be in range of (0,1)")
+        raise ValueError(f"threshold {threshold} is not between 0 and 1")
     from tabforge.operators.profile import correlation_matrix
     keep = list(keep or [])
     types = {f.name: f.dataType for f in df.schema.fields}

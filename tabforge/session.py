@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TABFORGE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,8 +40,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    When unset: tests (``allow_local=True``) get a fresh scratch folder; library
-    code raises, since a machine-local folder is wrong on a cluster.
+    When unset: tests (``allow_local=True``) get a fresh scratch folder, kept for the
+    session as its checkpoint folder; library code raises, since a machine-local folder
+    is wrong on a cluster.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -48,8 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) so lineage can be cut safely")
-        d = tempfile.mkdtemp(prefix="tabforge-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tabforge-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -93,7 +93,7 @@ def test_sig_model_quality(spark):
 
 
 def test_model_queries_run_the_whole_budget(monkeypatch):
-    """Searches and cross-validation take the xgb budget of the spaces, sampled SHAP the library's draws."""
+    """Searches take the reference's space and its test budget, cross-validation the xgb budget, sampled SHAP the library's draws."""
     import pytest
     from tabforge.operators import boost, explain, search, spaces
     from tabforge.plans import experiment, q_model
@@ -120,13 +120,14 @@ def test_model_queries_run_the_whole_budget(monkeypatch):
             query(None, "")
         return e.value.args
 
-    budget = spaces.BUDGETS["xgb"]
+    budget = spaces.TEST_BUDGET
     cv = {k: budget[k] for k in ("k", "rounds", "early_stopping")}
-    for query in (q_model.q_search_random, q_model.q_search_adaptive, q_model.q_fit_best):
-        kw = asked(query)[1]
-        assert kw["n_trials"] == budget["n_trials"] and kw["cv"] == cv
+    for query, optim in ((q_model.q_search_random, "random"), (q_model.q_search_adaptive, "hyperopt"), (q_model.q_fit_best, "random")):
+        args, kw = asked(query)
+        assert kw["n_trials"] == budget["n_trials"] and kw["cv"] == cv and args[3] is spaces.SPACES["xgb", optim]
     conf = asked(q_model.q_run_experiment)[0][2]
-    assert conf["n_trials"] == budget["n_trials"] and conf["cv"] == cv
+    assert conf["n_trials"] == budget["n_trials"] and conf["cv"] == cv and "space" not in conf
+    budget = spaces.BUDGETS["xgb"]
     for query in (q_model.q_cross_validate, q_model.q_cv_custom_metric):
         kw = asked(query)[1]
         assert (kw["k"], kw["rounds"]) == (budget["k"], budget["rounds"])
