@@ -12,10 +12,12 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -39,19 +41,26 @@ class WordEncoder:
 
     Right for tokenizers that drop white space, split letters from punctuation, ignore
     case and never join words across white space.  A word of letters with one mark
-    behind it is looked up as its letters and the mark.  Words are remembered in two
-    generations of bounded size, so frequent ones stay.
+    behind it is looked up as its letters and the mark.  Words of letters end with an
+    end-of-word id, so many of them are encoded as one text and cut behind those ids.
+    Words are remembered in two generations of bounded size, so frequent ones stay.
     """
 
+    END = "</w>"
+
     MARKS = ".,;:!?"
 
-    def __init__(self, path: str, remembered: int = 400_000) -> None:
+    def __init__(self, path: str, remembered: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), remembered
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.marks = {m: x for m, x in zip(self.MARKS, self._encode(list(self.MARKS)))} | {"": b""}
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for entry, i in vocab.items() if entry.endswith(self.END)]] = True
+        self.marks = self._encode(list(self.MARKS)) + [b""]
+        self.mark_set = pa.array(list(self.MARKS), pa.large_string())
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word as unsigned 32-bit integers."""
@@ -61,34 +70,60 @@ class WordEncoder:
                     for e in self.tokenizer.encode_batch_fast(words[lo:lo + 10_000], add_special_tokens=False)]
         return out
 
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """``_encode`` of words of letters only: many in one text, cut behind end-of-word ids."""
+        out: list[bytes] = []
+        for lo in range(0, len(words), 2000):
+            some = words[lo:lo + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some) or cuts[-1] != len(ids):
+                out += self._encode(some)                # a letter that the tokenizer does not take for one
+                continue
+            raw, marks = ids.tobytes(), [0, *(4 * cuts).tolist()]
+            out += [raw[i:j] for i, j in zip(marks, marks[1:])]
+        return out
+
     def _learn(self, words: list[str]) -> None:
-        """Make ``known`` hold all of ``words``."""
+        """Make ``known`` hold all of ``words`` (distinct)."""
         if len(self.known) > self.limit // 2:
             self.known, self.older = {}, self.known
-        new = []
-        for w in dict.fromkeys(words):
-            if w not in self.known:
-                ids = self.older.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    self.known[w] = ids
-        self.known.update(zip(new, self._encode(new)))
-
-    def _parts(self, word: str) -> tuple[str, str]:
-        """(what is looked up, the mark behind it)."""
-        base, mark = (word[:-1], word[-1]) if word[-1] in self.MARKS else (word, "")
-        if base.isascii():
-            return (base.lower(), mark) if base.isalpha() else (word, "")
-        return (base, mark) if base.isalpha() and base.lower().isalpha() else (word, "")
+        new = [w for w in words if w not in self.known]
+        if self.older:
+            self.known.update([(w, self.older[w]) for w in new if w in self.older])
+            new = [w for w in new if w not in self.known]
+        letters = [w.isalpha() and w.lower().isalpha() for w in new]
+        some = [w for w, ok in zip(new, letters) if ok]
+        self.known.update(zip(some, self._encode_letters(some)))
+        some = [w for w, ok in zip(new, letters) if not ok]
+        self.known.update(zip(some, self._encode(some)))
+
+    def _parts(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(what is looked up for each word, number of the mark behind it)."""
+        last = pc.utf8_slice_codeunits(words, -1)
+        mark = pc.index_in(last, self.mark_set)
+        base = pc.if_else(pc.is_valid(mark), pc.utf8_slice_codeunits(words, 0, -1), words)
+        plain = pc.string_is_ascii(base)
+        letters = pc.and_(pc.utf8_is_alpha(base), pc.or_(plain, pc.utf8_is_alpha(pc.utf8_lower(base))))
+        key = pc.if_else(letters, pc.if_else(plain, pc.ascii_lower(base), base), words)
+        number = pc.fill_null(pc.if_else(letters, mark, None), len(self.MARKS))
+        return key, number.to_numpy(zero_copy_only=False).astype(np.int64)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets by text)."""
         codes, words, offsets = ascii_words(texts, lower=False)
-        parts = [self._parts(w) for w in words.to_pylist()]
-        self._learn([base for base, _ in parts])
-        pieces = [self.known[base] + self.marks[mark] for base, mark in parts]
-        return spread(codes, np.frombuffer(b"".join(pieces), "<u4"), np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4, offsets)
+        if not len(codes):
+            return np.empty(0, "<u4"), np.zeros(len(offsets), np.int64)
+        keys, mark = self._parts(words)
+        coded = keys.dictionary_encode()
+        known = coded.dictionary.to_pylist()
+        self._learn(known)
+        pieces = [self.known[w] for w in known] + self.marks
+        flat, sizes = np.frombuffer(b"".join(pieces), "<u4"), np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        # each distinct word: its key's ids, then its mark's
+        both = np.stack([coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(known) + mark], 1).ravel()
+        ids, ends = spread(both, flat, sizes, np.arange(0, len(both) + 1, 2))
+        return spread(codes, ids, np.diff(ends), offsets)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -117,7 +152,8 @@ class FrameWriter:
 
     def __init__(self, sink, level: int = 3) -> None:
         self.sink, self.zstd = sink, zstandard.ZstdCompressor(level=level, write_checksum=True)
-        self.table, self.ids, self.nulls, self.frames = [], [], [], []
+        self.table, self.ids = array("I"), array("q")
+        self.nulls, self.frames = array("B"), array("I")
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         raw = ids.astype("<u4", copy=False).tobytes()
@@ -126,7 +162,7 @@ class FrameWriter:
             piece = raw[lo:lo + FRAME_BYTES]
             frame = self.zstd.compress(piece)
             self.sink.write(frame)
-            self.table.append((len(frame), len(piece), xxhash.xxh64_intdigest(piece) & 0xFFFFFFFF))
+            self.table.extend((len(frame), len(piece), xxhash.xxh64_intdigest(piece) & 0xFFFFFFFF))
         self.ids.append(doc_id or 0)
         self.nulls.append(doc_id is None)
         self.frames.append(len(parts))
@@ -135,7 +171,7 @@ class FrameWriter:
         index = (struct.pack("<Q", len(self.ids)) + np.array(self.ids, "<i8").tobytes() + np.array(self.nulls, "u1").tobytes()
                  + np.array(self.frames, "<u4").tobytes())
         self.sink.write(struct.pack("<II", INDEX_MAGIC, len(index)) + index)
-        table = np.array(self.table, "<u4").tobytes() + struct.pack("<IBI", len(self.table), CHECKSUM_FLAG, FOOT_MAGIC)
+        table = np.array(self.table, "<u4").tobytes() + struct.pack("<IBI", len(self.table) // 3, CHECKSUM_FLAG, FOOT_MAGIC)
         self.sink.write(struct.pack("<II", SEEK_MAGIC, len(table)) + table)
 
 
@@ -200,7 +236,7 @@ def _writer(folder: str, tokenizer_path: str, end_id: int | None):
         store, path = _store(name)
         own = f"{path}.{part.taskAttemptId()}.tmp"
         encode, docs, tokens = encoder(tokenizer_path), 0, 0
-        batches = iter(small_batches(batches, rows=4096))
+        batches = iter(small_batches(batches, rows=1 << 14, bytes_=16 << 20))
         first = next(batches, None)
         if first is None:
             return
