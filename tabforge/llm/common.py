@@ -18,11 +18,26 @@ _MUL = np.uint64(0xD6E8FEB86659FD93)
 _S32 = np.uint64(32)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lineage is cut, the copy is shared."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lineage is cut, the copy is shared.
+
+    ``rows``: rows of an Arrow batch while it is written, where rows can be long (a batch
+    is held outside of the heap, once in the JVM and once in the worker).  Row groups
+    are small, so that a task's writer holds little.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_ROWS)
+    if rows:
+        spark.conf.set(_ROWS, str(rows))
+    try:
+        df.write.option("parquet.block.size", 16 << 20).parquet(path)
+    finally:
+        spark.conf.set(_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +87,48 @@ def hash_strings(values: pa.Array) -> np.ndarray:
     return mix64(pd.util.hash_array(values.to_numpy(zero_copy_only=False), categorize=False))
 
 
+LONG = 2 << 20           # bytes of a text that is hashed in runs
+_BLANKS = b" \t\n\x0b\x0c\r"
+
+
+def text_runs(text: bytes, size: int = LONG):
+    """A text in parts of about ``size`` bytes, cut at ASCII white space (a longer word stays whole)."""
+    lo = 0
+    while len(text) - lo > size:
+        cut = max(text.rfind(bytes([c]), lo + 1, lo + size) for c in _BLANKS)
+        if cut < 0:
+            ends = [e for e in (text.find(bytes([c]), lo + size) for c in _BLANKS) if e >= 0]
+            if not ends:
+                break
+            cut = min(ends)
+        yield text[lo:cut]
+        lo = cut
+    yield text[lo:]
+
+
+def shingle_sets(texts: pa.Array, width: int):
+    """The set of shingle hashes (sorted) of each text; a long text is hashed in runs of bounded length."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    if not (size > LONG).any():
+        h, off = word_hashes(texts)
+        for i in range(len(texts)):
+            yield np.unique(shingle_hashes(h[off[i]:off[i + 1]], width))
+        return
+    for i in range(len(texts)):
+        if size[i] <= LONG:
+            yield from shingle_sets(texts.slice(i, 1), width)
+            continue
+        parts, carried = [], np.empty(0, np.uint64)
+        for run in text_runs(texts[i].as_buffer().to_pybytes()):
+            h = np.concatenate([carried, word_hashes(pa.array([run.decode("utf-8", "replace")]))[0]])
+            if len(h) >= width:
+                parts.append(np.unique(shingle_hashes(h, width)))
+                carried = h[len(h) - width + 1:] if width > 1 else h[:0]
+            else:
+                carried = h
+        yield np.unique(np.concatenate(parts)) if parts else np.unique(shingle_hashes(carried, width))
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, offsets by text)."""
     codes, words, offsets = ascii_words(texts)
