@@ -31,12 +31,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import column, materialize, mix64, small_batches
+from tabforge.llm.common import Bits, bits_of, column, materialize, mix64, small_batches
 
 BUDGET = 1 << 20           # suffixes of a group, about 40 MB while its subtree is built
 HEAVY = 32                 # a prefix with a 32nd of the budget is split, so that groups dealt by hash fill evenly
 BLOCK_BYTES = 8 << 20      # text merged before it is sent to groups
-MAX_BITS = 27              # bits of a bit table: 16 MB
 NO_LANG = "und"
 
 _MARKS = b".,;:!?\n\x0b\x0c\r"
@@ -121,28 +120,6 @@ def extend(prefix: np.ndarray, nxt: np.ndarray) -> np.ndarray:
         return mix64(prefix * np.uint64(0x9E3779B97F4A7C15) + nxt)
 
 
-class Bits:
-    """A set of 64-bit hashes as a table of bits (members are always found, a stray one may be)."""
-
-    def __init__(self, size: int, words: np.ndarray) -> None:
-        self.size, self.words = size, words
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        at = h >> np.uint64(64 - self.size)
-        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-
-
-def bits_of(members: DataFrame, col: str, count: int) -> Bits:
-    """Bits of the hashes in ``col`` (bigint), set in tasks; at most 16 MB reach the driver."""
-    size = int(np.clip(np.ceil(np.log2(max(1, count) * 32)), 16, MAX_BITS))
-    at = F.shiftrightunsigned(F.col(col), 64 - size)
-    got = (members.groupBy(F.shiftright(at, 6).alias("w"))
-           .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({col}, {64 - size}) & 63 as int))")).alias("m")).toArrow())
-    words = np.zeros(1 << (size - 6), np.int64)
-    words[got["w"].to_numpy()] = got["m"].to_numpy()
-    return Bits(size, words.view(np.uint64))
-
-
 def _count_words(key: int):
     def run(batches):
         for lang, raw in _by_lang(batches):

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.common import ascii_words, column, materialize, small_batches
+from tabforge.llm.common import ascii_words, bits_of, column, materialize, small_batches
 
 EXAMPLES = 8192        # labelled texts in the index at most (those of the least hash)
 MAX_TERMS = 1 << 15    # terms at most (those of the greatest likelihood ratio)
@@ -172,6 +172,13 @@ def calibrate(share: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return max(0.0, float(a)), float(b)
 
 
+def _maybe_labelled(bits):
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(bits.value.has(column(b, "_b").to_numpy().view(np.uint64)))).select(["_id", "_text"])
+    return run
+
+
 def _label_counts(batches):
     """Per block of texts: term, texts of label 1 and of label 0 that hold it; term null: all texts."""
     for b in small_batches(batches, rows=4096, bytes_=8 << 20):
@@ -232,8 +239,13 @@ def train(learn: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str = "d
     """
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     marks = labels.select(F.col(id_col).alias("_lid"), F.col(label_col).cast("int").alias("_y")).where("_y IN (0, 1)").groupBy("_lid").agg(F.max("_y").alias("_y"))
-    rows = (learn.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text IS NOT NULL")
-            .join(marks, F.col("_id") == F.col("_lid")))
+    marks = materialize(marks.where("_lid IS NOT NULL").withColumn("_b", F.xxhash64(F.col("_lid").cast("string"))), "tx-marks")
+    # only texts whose id may be labelled are shuffled: a bit table of 16 MB at most leaves the others out
+    wanted = sc.broadcast(bits_of(marks, "_b", marks.count()))
+    src = learn.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.xxhash64(F.col(id_col).cast("string")).alias("_b"))
+    kind = src.schema["_id"].dataType.simpleString()
+    rows = (src.where("_text IS NOT NULL").mapInArrow(_maybe_labelled(wanted), f"_id {kind}, _text string")
+            .join(marks.select("_lid", "_y").hint("merge"), F.col("_id") == F.col("_lid")))
     texts = materialize(rows.groupBy(F.xxhash64("_text").alias("_h"), F.length("_text").alias("_n")).agg(
         F.min("_id").alias("_id"), F.first("_text").alias("_text"), F.expr("cast(avg(_y) >= 0.5 AS int)").alias("_y")), "tx-texts")
     counts = materialize(texts.select("_text", "_y").mapInArrow(_label_counts, "term string, n1 bigint, n0 bigint")
