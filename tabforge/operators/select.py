@@ -127,8 +127,8 @@ def select_forest(df: DataFrame, label: str, k: int, features: list[str],
 
 def select_boosted(df: DataFrame, label: str, k: int, features: list[str],
                    rounds: int = 500, seed: int = 1) -> DataFrame:
-    """boosted trees (lr .05, depth 5, 20 % features per node, min gain .01,
-    40 rows per leaf); split-count importance read from the node table."""
+    """boosted trees (lr .05, depth 5, 20 % features per node, 40 rows per leaf, a gain of
+    .01 at least, summed over the rows); split-count importance read from the node table."""
     from pyspark.ml.classification import GBTClassifier
 
     from tabforge.operators.explain import importance, tree_nodes
@@ -136,25 +136,61 @@ def select_boosted(df: DataFrame, label: str, k: int, features: list[str],
     v = _vector(df, features, label, scaled=False)
     m = GBTClassifier(featuresCol="__features", labelCol="__label", maxIter=rounds,
                       stepSize=0.05, maxDepth=5, featureSubsetStrategy="0.2",
-                      minInfoGain=0.01, minInstancesPerNode=40, seed=seed).fit(v)
+                      minInfoGain=0.01 / max(1, v.count()), minInstancesPerNode=40, seed=seed).fit(v)
     v.unpersist()
     imp = importance(tree_nodes(df.sparkSession, m), features, "weight")
     return above_mean(imp.select("feature", "position", F.col("weight").alias("score")), k)
 
 
-def select_extra(df: DataFrame, label: str, k: int, features: list[str],
-                 num_trees: int = 100, seed: int = 1) -> DataFrame:
-    """F6 (approximation, named so): forest without bootstrap, sqrt features per node,
-    coarse bins - Spark has no randomised-threshold trees."""
+#: Random cut points of a feature in a tree of ``select_extra``.
+EXTRA_CUTS = 16
+
+
+def random_cuts(grid: list[float], n: int, seed: int) -> list[float]:
+    """``n`` cut points at random quantile levels, between the values of an ascending ``grid`` of quantiles."""
+    import numpy as np
+    at = np.random.default_rng(seed).uniform(0, len(grid) - 1, n)
+    return sorted({float(x) for x in np.interp(at, np.arange(len(grid)), grid)})
+
+
+def extra_tree(data: DataFrame, features: list[str], grids: list[list[float]], depth: int, seed: int):
+    """One extremely randomised tree: all rows, its own random cut points, a random feature subset at each node.
+
+    Returns (cut points of each feature, model).
+    """
     from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import Bucketizer, VectorAssembler
+    inf, d = float("inf"), len(features)
+    cuts = [random_cuts(g, EXTRA_CUTS, seed * d + i) for i, g in enumerate(grids)]
+    cut = Bucketizer(splitsArray=[[-inf, *c, inf] for c in cuts], inputCols=[f"__v{i}" for i in range(d)],
+                     outputCols=[f"__b{i}" for i in range(d)], handleInvalid="keep")
+    rows = VectorAssembler(inputCols=[f"__b{i}" for i in range(d)], outputCol="__features").transform(cut.transform(data))
+    forest = RandomForestClassifier(featuresCol="__features", labelCol="__label", numTrees=1, bootstrap=False, maxDepth=depth,
+                                    featureSubsetStrategy="sqrt", maxBins=EXTRA_CUTS + 2, seed=seed)
+    return cuts, forest.fit(rows.select("__features", "__label"))
+
+
+def select_extra(df: DataFrame, label: str, k: int, features: list[str],
+                 num_trees: int = 100, seed: int = 1, depth: int = 5, parallel: int = 8) -> DataFrame:
+    """extremely randomised trees: mean impurity importance of trees that each choose among cut points of their own.
+
+    A tree sees all rows through cut points at ``EXTRA_CUTS`` random quantile levels of
+    each feature and tries a random subset of features at each node.  Trees are
+    independent fits, ``parallel`` at a time; equal seeds give equal scores.
+    """
+    from tabforge.functions.partitioning import spread
+    from tabforge.operators.boost import in_threads
     _check_k(k)
-    v = _vector(df, features, label, scaled=False)
-    m = RandomForestClassifier(featuresCol="__features", labelCol="__label", numTrees=num_trees,
-                               bootstrap=False, featureSubsetStrategy="sqrt", maxBins=8,
-                               seed=seed).fit(v)
-    v.unpersist()
-    return above_mean(_importance_table(df.sparkSession, features,
-                                        m.featureImportances.toArray()), k)
+    names = [f"__v{i}" for i in range(len(features))]
+    data = spread(df.select(*[col(f).cast("double").alias(n) for f, n in zip(features, names)],
+                            col(label).cast("double").alias("__label"))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        grids = data.approxQuantile(names, [i / 100 for i in range(101)], 0.001)
+        fits = in_threads([lambda t=t: extra_tree(data, features, grids, depth, seed * 1_000_003 + t)[1].featureImportances.toArray()
+                           for t in range(num_trees)], parallel)
+    finally:
+        data.unpersist()
+    return above_mean(_importance_table(df.sparkSession, features, sum(fits) / num_trees), k)
 
 
 SELECTORS = {"Pearson": select_pearson, "Chi-2": select_chi2, "Logistics": select_logistic,
@@ -165,16 +201,18 @@ SELECTORS = {"Pearson": select_pearson, "Chi-2": select_chi2, "Logistics": selec
 def vote(df: DataFrame, label: str, k: int, features: list[str],
          methods: list[str] | None = None, **opts) -> DataFrame:
     """one row per feature, a boolean per method, Total; sorted by Total desc,
-    Feature desc; rank from 1; first k rows."""
+    Feature desc; rank from 1; first k rows.  The methods run side by side."""
+    from tabforge.operators.boost import in_threads
     _check_k(k)
     methods = methods or VOTE_COLUMNS
-    table = None
-    for name in methods:
-        fn = SELECTORS[name]
-        kw = opts.get(name, {})
-        t = fn(df, label, k, features, **kw).select(F.col("feature").alias("Feature"),
-                                                   F.col("selected").alias(name))
-        table = t if table is None else table.join(t, "Feature")
+
+    def one(name):
+        return SELECTORS[name](df, label, k, features, **opts.get(name, {})).select(
+            F.col("feature").alias("Feature"), F.col("selected").alias(name))
+    tables = in_threads([lambda name=name: one(name) for name in methods], 3)
+    table = tables[0]
+    for t in tables[1:]:
+        table = table.join(t, "Feature")
     total = sum((F.col(f"`{m}`").cast("int") for m in methods), F.lit(0))
     table = table.withColumn("Total", total)
     w = Window.orderBy(F.col("Total").desc(), F.col("Feature").desc())

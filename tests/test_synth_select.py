@@ -136,3 +136,18 @@ def test_selection_queries_do_the_whole_job(monkeypatch):
     q_select.q_select_boosted(None, ""), q_select.q_vote(None, ""), q_select.q_select_features(None, "")
     assert set(seen) == {"select_boosted", "vote", "select_features"}
     assert all(len(a) == 3 and not kw for a, kw in seen.values())
+
+
+def test_extremely_randomised_trees(spark):
+    """Cut points differ between trees, equal seeds give equal scores, the telling features win."""
+    from tabforge.operators import select as S
+    rows = [(float(i % 17), float(i * 7 % 101), float(i % 3), 5.0, int(i % 17 > 8)) for i in range(400)]
+    df = spark.createDataFrame(rows, ["a", "b", "c", "same", "y"])
+    names = ["a", "b", "c", "same"]
+    scores = [{r["feature"]: (r["score"], r["selected"]) for r in S.select_extra(df, "y", 2, names, num_trees=6, seed=s).collect()} for s in (1, 1, 2)]
+    assert scores[0] == scores[1] != scores[2]
+    assert max(scores[0], key=lambda f: scores[0][f][0]) == "a" and scores[0]["same"][0] == 0
+    data = df.selectExpr("a AS __v0", "b AS __v1", "c AS __v2", "same AS __v3", "double(y) AS __label").cache()
+    grids = data.approxQuantile(["__v0", "__v1", "__v2", "__v3"], [i / 100 for i in range(101)], 0.001)
+    cuts = [S.extra_tree(data, names, grids, 3, t)[0] for t in (1, 2)]
+    assert cuts[0][0] != cuts[1][0] and cuts[0][1] != cuts[1][1] and cuts[0][3] == [5.0]
