@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +57,40 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
     return d
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path below the shared checkpoint folder for written tables."""
     import uuid
     base = ensure_checkpoint_dir(spark, allow_local=_is_local(spark))
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch tables that this process has made (from the ``since``-th on).
+
+    Results that are not written yet can no longer be computed afterwards.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    while len(_made) > since:
+        p = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        p.getFileSystem(conf).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """The scratch tables of what runs inside are deleted at the end: write the result within.
+
+    Not for queries that run side by side: use one block around them.
+    """
+    since = len(_made)
+    try:
+        yield
+    finally:
+        release_scratch(spark, since)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

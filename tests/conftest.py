@@ -11,7 +11,8 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tabforge.session import local_session
+    from tabforge.session import local_session, release_scratch
     s = local_session("*", shuffle_partitions=8)
     yield s
+    release_scratch(s)
     s.stop()
