@@ -20,6 +20,12 @@ _SHUFFLING = re.compile(r"\b(Aggregate|Join|Repartition\w*|Sort|Window|Deduplica
                         r"Expand|Union|Generate|MapInPandas|Python\w*)\b")
 
 
+def computed_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written, if several passes over it would each repeat a shuffle; a plain scan stays as it is."""
+    from tabforge.session import written
+    return written(df, name) if _SHUFFLING.search(df._jdf.queryExecution().optimizedPlan().toString()) else df
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     if _SHUFFLING.search(plan):

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.session import scratch_path
 from tabforge.functions.numeric import col
+from tabforge.functions.partitioning import computed_once
+from tabforge.session import scratch_path, written
 
 
 def _long_counts(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:
@@ -203,7 +204,7 @@ def fit_missing(df: DataFrame, numeric: list[str], categorical: list[str] | None
     if any(miss[c] for c in numeric):
         state["means"] = {c: prof[f"__a{mean_idx[c]}"] for c in numeric}
     if categorical:
-        counts = value_counts(df, categorical)
+        counts = written(value_counts(df, categorical), "counts")      # read for the modes and for the rare values
         if any(miss[c] for c in categorical):
             state["modes"] = modes_from_counts(counts)
         bump = {c: (state["modes"][c], miss[c]) for c in categorical
@@ -232,7 +233,12 @@ def apply_missing(df: DataFrame, state: dict, other: str = "Other") -> DataFrame
 def handle_missing(df: DataFrame, numeric: list[str], categorical: list[str] | None = None,
                    method: str = "fill", drop_threshold: float | None = 50,
                    category_threshold: int = 1, gate: bool = True) -> DataFrame:
-    """M8: any missing? -> drop rows, or (sparse columns -> mean -> mode -> lump)."""
+    """M8: any missing? -> drop rows, or (sparse columns -> mean -> mode -> lump).
+
+    The input is read by the profile, the counts and the result, so an input behind a
+    shuffle (such as a de-duplication) is written first.
+    """
+    df = computed_once(df, "missing")
     state = fit_missing(df, numeric, categorical, method, drop_threshold,
                         category_threshold, gate)
     return apply_missing(df, state)
@@ -260,6 +266,7 @@ def apply_label_encoder(df: DataFrame, target: str, labels: DataFrame) -> DataFr
 
 def encode_target(df: DataFrame, target: str) -> DataFrame:
     """M9: sorted distinct labels -> 0..k-1."""
+    df = computed_once(df, "encode")
     return apply_label_encoder(df, target, fit_label_encoder(df, target))
 
 
