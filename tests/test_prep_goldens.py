@@ -78,9 +78,9 @@ def test_robust_exact_quantiles(spark):
 
 def test_bad_arguments(spark):
     df = _df(spark)
-    with pytest.raises(ValueError, match="method must be one of: fill, drop"):
+    with pytest.raises(ValueError, match="unknown handling of missing values"):
         missing.fit_missing(df, NUM, ["feat4"], method="mean")
-    with pytest.raises(TypeError, match="Threshold value must be an integer"):
+    with pytest.raises(TypeError, match="category_threshold is 1.5"):
         missing.fit_missing(df, NUM, ["feat4"], category_threshold=1.5)
     with pytest.raises(ValueError, match="must ascend"):
         scale.fit_scale(df, [], "minmax", (1, 0))
