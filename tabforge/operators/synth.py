@@ -190,27 +190,19 @@ def drop_correlated(df: DataFrame, threshold: float = 0.8, cols: list[str] | Non
                     keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
     """In column order i, for j < i: |r_ij| >= threshold and j not dropped -> drop i.
 
-    A NULL/NaN r (constant column) never drops.  One correlation job; the greedy
-    pass runs over the d x d numbers on the driver.
+    A NULL/NaN r (constant column) never drops.  The columns are compared in tiles
+    (``wide.keep_uncorrelated``), so neither a task nor the driver holds d x d numbers.
     """
     if not isinstance(threshold, float):
         raise TypeError(f"threshold is {threshold!r}, not a float")
     if threshold < 0 or threshold > 1:
         raise ValueError(f"threshold {threshold} is not between 0 and 1")
-    from tabforge.operators.profile import correlation_matrix
+    from tabforge.operators import wide
     keep = list(keep or [])
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = [c for c in (cols or df.columns) if c not in keep and is_numeric_type(types[c])]
-    r = correlation_matrix(df, cols)
-    dropped: list[str] = []
-    dset: set[str] = set()
-    for i, ci in enumerate(cols):
-        for cj in cols[:i]:
-            v = r.get((ci, cj))
-            if v is not None and v == v and abs(v) >= threshold and cj not in dset:
-                if ci not in dset:
-                    dset.add(ci)
-                    dropped.append(ci)
+    stay = set(wide.keep_uncorrelated(df, wide.plain(cols), threshold)) if cols else set()
+    dropped = [c for i, c in enumerate(cols) if i not in stay]
     return df.drop(*dropped) if dropped else df, dropped
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabforge.operators import synth
+from tabforge.operators import synth, wide
 from tabforge.plans import views as V
 from tabforge.plans.registry import register
 
@@ -133,6 +133,32 @@ def q_build_features(spark, sf_dir):
     return synth.build_features(d, "y", None, ["add_numeric"], 1, 0.8)
 
 
+def _wide_sql(base: list[str]) -> str:
+    sel, names = _dfs_sql(base, True, True)
+    ranges = " UNION ALL ".join(f"""SELECT '{n}' AS feature, COUNT("{n}") AS n, MIN("{n}") AS smallest, MAX("{n}") AS largest FROM m""" for n in names)
+    return V.with_ctes(V.CLF_SQL, f"m AS (SELECT {sel} FROM clf)") + ranges
+
+
+@register("dfs_wide", _wide_sql(V.FEATURES))
+def q_dfs_wide(spark, sf_dir):
+    """D3: the range of every feature of the depth-2 matrix, read from its array column."""
+    r = wide.recipe(V.FEATURES, ["add_numeric", "multiply_numeric"], 2)
+    m = wide.matrix(V.clf(spark, sf_dir), r)
+    names = F.array(*[F.lit(n) for n in r.names])
+    return (m.select(F.posexplode("features").alias("place", "v")).where(~F.isnan("v"))
+            .groupBy("place").agg(F.count("v").alias("n"), F.min("v").alias("smallest"), F.max("v").alias("largest"))
+            .select(F.get(names, F.col("place")).alias("feature"), "n", "smallest", "largest"))
+
+
+@register("build_wide_features", V.with_ctes(V.CLF_SQL) + """
+SELECT f1 AS f1, f2 AS f2, f3 AS f3, y AS target FROM clf""")
+def q_build_wide_features(spark, sf_dir):
+    """D11 over the array form: each kept feature is a column of the result."""
+    d = V.clf(spark, sf_dir).select("f1", "f2", "f3", "y")
+    out, kept = wide.build_wide_features(d, "y", None, ["add_numeric"], 1, 0.8)
+    return out.select(*[F.get("features", F.lit(i)).alias(n) for i, n in enumerate(kept)], "target")
+
+
 # ------------------------------------------------------------------ aggregation primitives
 _AGG_COLS = ["l_quantity", "l_extendedprice"]
 _AGG_SQL = {
