@@ -31,7 +31,7 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every query module so its registrations run."""
     from tabforge.plans import (q_prep, q_metrics, q_profile, q_synth, q_select,  # noqa: F401
-                                q_model)
+                                q_model, q_facts)
 
 
 def queries() -> dict[str, QueryFn]:
