@@ -9,17 +9,27 @@ inside a window of 15 shares a band with probability 1 - (1 - s/15)^40, which is
 shingles hold no piece and are left out beforehand.  A retrieved template is
 verified by exact containment: the part of its shingles found in the words around
 the window, as many on either side as the template has.
+
+The library's shingles and band keys are written tables of any size, joined without a hint.
+Before the joins, a table of bits (1 MB at most) tells which shingles and keys may be in
+them; what it lets through by chance, more with a very large library, the joins remove.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabforge.llm.common import materialize
+
 WINDOW = 16
 STRIDE = 8
 PIECE = WINDOW - STRIDE + 1
 BANDS = 40
+MAX_BITS = 23            # bits of a table of bits: 1 MB
 
 # Public licence notices.
 TEMPLATES: dict[str, list[str]] = {
@@ -88,6 +98,24 @@ def template_table(spark: SparkSession, templates: dict[str, list[str]]) -> Data
     return t.where(F.size("w") > 0).select("template", "licence", "w", F.array_distinct(shingles("w")).alias("wanted"), shingles("w").alias("sh"))
 
 
+def _member(values: DataFrame, name: str) -> Callable[[Column], Column]:
+    """A test that holds for every hash in the column ``name``, and by chance for a few others."""
+    size = min(MAX_BITS, max(10, (32 * values.count()).bit_length()))
+    at = F.shiftrightunsigned(F.col(name), 64 - size)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
+    bits = [0] * (1 << (size - 6))
+    for r in values.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
+        bits[r["at"]] = r["bits"]
+    table = F.from_json(F.lit(json.dumps(bits)), "array<bigint>")        # folded to a literal
+
+    def test(x: Column) -> Column:
+        p = F.shiftrightunsigned(x, 64 - size)
+        own = F.call_function("shiftleft", F.lit(1).cast("bigint"), p.bitwiseAND(F.lit(63)).cast("int"))
+        return F.get(table, F.shiftright(p, 6).cast("int")).bitwiseAND(own) != 0
+
+    return test
+
+
 def _windows() -> Column:
     """Starts of the windows that hold two neighbouring ``hits`` (places of template shingles in ascending order)."""
     def of(i, k):
@@ -106,40 +134,38 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     a retrieved window (at least ``threshold``), first_word the first window's place
     in words, n_windows the windows that verified.  Null, empty and word-free texts
     find nothing; repeated rows are found each by itself; other columns are ignored.
-    ``templates`` maps a licence to its notices (2,000 pieces at most, which bounds
-    what is broadcast); a one-word template must occur as a lone text.
+    ``templates`` maps a licence to its notices, any number of them; a one-word template
+    must occur as a lone text.  A retrieved window carries the template shingles of as many
+    words around it as the longest template has.
     """
     spark = docs.sparkSession
-    known = template_table(spark, templates or TEMPLATES)
+    known = materialize(template_table(spark, templates or TEMPLATES), "licence-templates")
     pieces = known.select("template", F.explode(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("sh") - (PIECE - 2), F.lit(1)), F.lit(PIECE // 2)),
         lambda s: F.slice("sh", s, PIECE - 1))).alias("piece"))
     last = known.select("template", F.slice("sh", F.greatest(F.size("sh") - (PIECE - 2), F.lit(1)), PIECE - 1).alias("piece"))
     retrieve = pieces.unionAll(last).distinct()
-    bound = retrieve.count()
-    if bound > 2000:
-        raise ValueError(f"{bound} template pieces; 2000 are the bound of what is broadcast")
-    keys = retrieve.select("template", F.explode(band_keys(F.col("piece"))).alias("key")).distinct()
-    single = [r["x"] for r in known.select(F.explode("wanted").alias("x")).distinct().collect()]
-    key_values = [r["key"] for r in keys.select("key").distinct().collect()]
+    keys = materialize(retrieve.select("template", F.explode(band_keys(F.col("piece"))).alias("key")).distinct(), "licence-keys")
+    of_template = _member(known.select(F.explode("wanted").alias("x")).distinct(), "x")
+    of_piece = _member(keys.select("key").distinct(), "key")
     longest = known.agg(F.max(F.size("w"))).first()[0] or 0
 
     reach = longest + WINDOW
     # arrays that a lambda reads are columns used twice, so that they are computed once for a text
     text = docs.select(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
     hashed = text.select("n", "id", shingles("w").alias("sh"))
-    marked = hashed.select("n", "id", "sh", F.filter(F.transform("sh", lambda x, i: F.when(x.isin(single), i)), lambda i: i.isNotNull()).alias("hits"))
+    marked = hashed.select("n", "id", "sh", F.filter(F.transform("sh", lambda x, i: F.when(of_template(x), i)), lambda i: i.isNotNull()).alias("hits"))
     starts = marked.select("n", "id", "sh", F.when(F.size("sh") == 1, F.array(F.lit(0))).otherwise(_windows()).alias("starts"))
     retrieved = starts.select("n", "id", "sh", F.filter(F.transform("starts", lambda s: F.struct(
-        s.alias("at"), F.filter(band_keys(F.slice("sh", s + 1, WINDOW - 1)), lambda k: k.isin(key_values)).alias("hit"))),
+        s.alias("at"), F.filter(band_keys(F.slice("sh", s + 1, WINDOW - 1)), of_piece).alias("hit"))),
         lambda x: F.size(x["hit"]) > 0).alias("found"))
     rows = retrieved.select("n", "id", F.explode(F.transform("found", lambda x: F.struct(
         x["at"].alias("at"), F.array_distinct(x["hit"]).alias("hit"),
         # of the words around a window, only template shingles matter
-        F.filter(F.slice("sh", F.greatest(x["at"] + 1 - reach, F.lit(1)), 2 * reach + WINDOW), lambda y: y.isin(single)).alias("around")))).alias("x"))
-    found = rows.select("n", "id", "x.at", "x.around", F.explode("x.hit").alias("key")).join(F.broadcast(keys), "key")
+        F.filter(F.slice("sh", F.greatest(x["at"] + 1 - reach, F.lit(1)), 2 * reach + WINDOW), of_template).alias("around")))).alias("x"))
+    found = rows.select("n", "id", "x.at", "x.around", F.explode("x.hit").alias("key")).join(keys, "key")
     share = F.size(F.array_intersect("wanted", "around")) / F.size("wanted")
-    sure = found.join(F.broadcast(known.select("template", "licence", "wanted")), "template").withColumn("share", share)
+    sure = found.join(known.select("template", "licence", "wanted"), "template").withColumn("share", share)
     return (sure.where(F.col("share") >= threshold).groupBy("n", "id", "licence")
             .agg(F.max("share").alias("containment"), F.min("at").cast("bigint").alias("first_word"), F.countDistinct("at").alias("n_windows"))
             .select(F.col("id").alias(id_col), "licence", "containment", "first_word", "n_windows"))

@@ -63,6 +63,35 @@ def test_licences_of_the_table(spark):
     assert got == want and want
 
 
+def test_altered_notices_against_brute_force(spark):
+    """Words replaced, dropped and put in: every copy that holds four fifths of a notice's shingles is found, and no other."""
+    rng = random.Random(11)
+    rows, want = [], set()
+    for i, (name, text) in enumerate([(n, t) for n, ts in L.TEMPLATES.items() for t in ts] * 12):
+        w = text.split()
+        for _ in range(rng.randrange(1, 2 + len(w) // 12)):
+            at = rng.randrange(len(w))
+            w[at:at + 1] = rng.choice([["other"], [], [w[at], "put", "in"]])
+        around = " ".join(f"z{rng.randrange(50)}" for _ in range(rng.randrange(40)))
+        rows.append((i, f"{around} {' '.join(w)} {around}"))
+        want |= {(i, n) for n, ts in L.TEMPLATES.items() for t in ts if len(pairs(t) & pairs(rows[-1][1])) >= 0.8 * len(pairs(t))}
+    got = {(r["doc_id"], r["licence"]) for r in L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want and len(want) > 40 and len({d for d, _ in want}) < len(rows)
+
+
+def test_a_library_of_thousands_of_pieces(spark, monkeypatch):
+    """Forty licences of 500 words, more than 5,000 pieces; also with a table of bits that is nearly full."""
+    rng = random.Random(12)
+    library = {f"licence {i}": [" ".join(f"w{rng.randrange(3000)}" for _ in range(510))] for i in range(41)}
+    rows = [(i, f"before it {t[0]} after it") for i, t in enumerate(library.values())]
+    rows += [(100 + i, " ".join(t[0].split()[:200])) for i, t in enumerate(library.values())]      # less than half of one
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {(i, n) for i, n in enumerate(library)}
+    assert {(r["doc_id"], r["licence"]) for r in L.scan(docs, templates=library).collect()} == want
+    monkeypatch.setattr(L, "MAX_BITS", 14)
+    assert {(r["doc_id"], r["licence"]) for r in L.scan(docs.where("doc_id % 10 = 0"), templates=library).collect()} == {x for x in want if x[0] % 10 == 0}
+
+
 # ---------------------------------------------------------------- decontamination
 
 def words(t):
