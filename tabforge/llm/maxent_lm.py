@@ -1,19 +1,27 @@
 """Language-model scores: exact unigram counts and a hashed maximum-entropy model.
 
 Counts of all training tokens are exact and stay a table; the most frequent words
-(2^17 at most) are broadcast, the others are joined.  The model factors a token
-into its class given the context and, in word classes, its slot in the class given
-context and class; in the remaining classes the unigram decides.  Both are
-softmaxes over hashed features of the context: the previous word, the two
-previous, and the words two and three back (skips).  With zero weights the model
-is the unigram exactly.  Weights are trained in rounds: every round takes another
-part of the training documents, each task makes gradient updates (Adagrad) from the
-shared weights over its documents, and the tasks' weights are averaged.  Scores
-come from whole texts in numpy batches.
+(2^17 at most) are broadcast, the others are joined.  The model factors a token into
+nested classes.  The frequent words are put into 64 classes by what stands before them
+in the whole training text; the classes, the words of each class, and one more class
+for all rare words are Huffman trees over counts, and the rare words are split further
+by bits of their hash into up to 2^16 classes.  Each split is a softmax over its two
+sides given the context, so every frequent word gets its whole probability from the
+context, a rare one its class, and inside it its unigram share.  A split's logit is its
+exact unigram log-odds plus one weight for each context feature: the previous word, the
+two previous, the word two back, and the nearest earlier word of the text among the 256
+most frequent ones, whatever it skips.  Weights are hashed by (feature, split) into a
+vector, a quarter of it for each kind of feature, that grows with the training tokens
+up to 2^23 entries; with zero weights the model is the unigram exactly.  They are
+trained in rounds: every round takes another part of the training documents, each task
+makes gradient updates (Adagrad) from the shared weights over its documents, and a
+weight moves by the mean of the tasks' moves, weighted by the squared gradients each
+task saw there.  Scores come from whole texts in numpy batches of the splits that occur.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass
 
@@ -26,26 +34,35 @@ from tabforge.llm.common import column, materialize, mix64, small_batches, word_
 
 END = np.uint64(0x5E4D0F7E4D0F7E4D)      # the hash of the end token
 HEAD = 1 << 17                           # words that are broadcast
-CLASSES = 24                             # word classes; their words have slots
-SLOTS = 24                               # words of a word class
-BANDS = 8                                # classes of the other frequent words, by frequency
-BITS = 13                                # hashed feature rows
+RARE_BITS = 16                           # at most so many bits of a rare word's hash name its class
+RARE_WORDS = 4                           # rare words of a class, on average, below that bound
+MIN_BITS, MAX_BITS = 16, 23              # size of the weight vector
 FEATURES = 4
-BLOCK = 8192                             # tokens of a gradient update
+ANCHORS = 256                            # most frequent words, of which the nearest is a feature
+CLASSES = 64                             # classes of the frequent words, by what stands before them
+DIMS = 16                                # numbers of a word's profile
+LEAST = 0.05                             # a split that errs by less is not moved
+BLOCK = 1024                             # tokens of a gradient update
+CHUNK = 4096                             # weights of a row that travels
+TASK_TOKENS = 16_000_000                 # tokens a training task sees in a round
 
 
 @dataclass
 class Counts:
-    """Totals of the training tokens and their most frequent words (sorted by hash)."""
+    """Totals of the training tokens, their most frequent words (sorted by hash) and the splits of the classes."""
 
     tokens: int                          # N
     distinct: int                        # V
     words: np.ndarray                    # uint64 hashes
     counts: np.ndarray
-    kind: np.ndarray                     # class of each word
-    slot: np.ndarray                     # slot in a word class, else -1
-    mass: np.ndarray                     # sum of (c + 0.5) by class; the last is the tail with the unknown word
-    prior: np.ndarray                    # CLASSES x SLOTS: log10 of (c + 0.5) / mass of the class, -inf where empty
+    rare: float                          # sum of (c + 0.5) of the other words and of the unknown one
+    rare_bits: int                       # bits of the hash that name a rare word's class
+    rare_mass: np.ndarray                # sum of (c + 0.5) by class of rare words
+    split: np.ndarray                    # splits on the way to each leaf, one leaf after the other
+    right: np.ndarray                    # which side the way takes there
+    start: np.ndarray                    # where a leaf's way starts; leaves: words, all rare ones, classes of rare ones
+    bias: np.ndarray                     # log-odds of the right side of each split
+    anchor: np.ndarray                   # is a broadcast word one of the most frequent?
 
     @property
     def total(self) -> float:
@@ -88,26 +105,148 @@ def _token_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], ["h", "c"])
 
 
+def huffman(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(splits and sides on the ways to the leaves, starts of the ways, log-odds of the splits); at least one leaf."""
+    n = len(mass)
+    parent, side, bias = np.full(2 * n - 1, -1), np.zeros(2 * n - 1, bool), np.zeros(n - 1)
+    heap = [(m, i) for i, m in enumerate(mass.tolist())]
+    heapq.heapify(heap)
+    for new in range(n, 2 * n - 1):
+        (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+        parent[i] = parent[j] = new
+        side[j] = True
+        bias[new - n] = math.log(b) - math.log(a)
+        heapq.heappush(heap, (a + b, new))
+    ways, at, steps = np.arange(n), np.arange(n), []
+    while len(at):
+        up = parent[at] >= 0
+        ways, at = ways[up], at[up]
+        steps.append((ways, parent[at] - n, side[at]))
+        at = parent[at]
+    leaf, split, right = (np.concatenate(x) for x in zip(*steps))
+    order = leaf.argsort(kind="stable")
+    return split[order], right[order], np.concatenate([[0], np.bincount(leaf, minlength=n).cumsum()]), bias
+
+
+def group(profile: np.ndarray, mass: np.ndarray, k: int) -> np.ndarray:
+    """Group of each word: the widest group is cut in two along its main direction, until there are ``k``.
+
+    ``profile``: one row for each word, sums over its occurrences of what stands before it; ``mass``: their number.
+    """
+    x = profile / np.maximum(mass, 1)[:, None]
+    out = np.zeros(len(x), np.int64)
+
+    def cut(rows):
+        """(spread that the cut removes, its right side)."""
+        m, v = mass[rows], x[rows]
+        mean = m @ v / max(m.sum(), 1e-9)
+        v = v - mean
+        along = v @ np.linalg.eigh((v * m[:, None]).T @ v)[1][:, -1]
+        along *= 1 if along[m.argmax()] >= 0 else -1           # the direction's sign does not hang on the library
+        side, spread = along > 0, 0.0
+        for _ in range(8):
+            left, right = m[~side].sum(), m[side].sum()
+            if min(left, right) <= 0:
+                return 0.0, side
+            a, b = (m * along)[~side].sum() / left, (m * along)[side].sum() / right
+            side, spread = along > (a + b) / 2, left * right / (left + right) * (b - a) ** 2
+        return spread, side
+
+    cuts = {0: cut(np.arange(len(x)))} if len(x) else {}
+    for new in range(1, k):
+        widest = max(cuts, key=lambda g: cuts[g][0], default=None)
+        if widest is None or cuts[widest][0] <= 0:
+            break
+        rows = np.flatnonzero(out == widest)
+        out[rows[cuts[widest][1]]] = new
+        for g in (widest, new):
+            cuts[g] = cut(np.flatnonzero(out == g))
+    return out
+
+
+def nested(mass: np.ndarray, of: np.ndarray, rare: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ways as of ``huffman`` to the words and, last, to all rare ones: first to a word's class ``of``, then to the word."""
+    names, of = np.unique(of, return_inverse=True)
+    s, r, at, bias = huffman(np.concatenate([np.bincount(of, mass, minlength=len(names)), [rare]]))
+    n = len(mass)
+    leaves = [(np.full(at[-1] - at[-2], n), s[at[-2]:], r[at[-2]:])]
+    splits = len(bias)
+    biases = [bias]
+    for g in range(len(names)):
+        members = np.flatnonzero(of == g)
+        si, ri, ai, bi = huffman(mass[members])
+        top = slice(at[g], at[g + 1])
+        t = at[g + 1] - at[g]
+        leaves.append((np.repeat(members, t), np.tile(s[top], len(members)), np.tile(r[top], len(members))))
+        leaves.append((np.repeat(members, np.diff(ai)), si + splits, ri))
+        biases.append(bi)
+        splits += len(bi)
+    leaf, split, right = (np.concatenate(x) for x in zip(*leaves))
+    order = leaf.argsort(kind="stable")
+    return split[order], right[order], np.concatenate([[0], np.bincount(leaf, minlength=n + 1).cumsum()]), np.concatenate(biases)
+
+
+def halvings(mass: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same for 2^bits leaves that are split by the bits of their number."""
+    leaf = np.arange(1 << bits)
+    split = [(1 << d) - 1 + (leaf >> (bits - d)) for d in range(bits)]
+    right = [(leaf >> (bits - 1 - d) & 1).astype(bool) for d in range(bits)]
+    bias = []
+    for d in range(bits):
+        halves = mass.reshape(2 << d, -1).sum(1)
+        bias.append(np.log(np.maximum(halves[1::2], 1e-9)) - np.log(np.maximum(halves[::2], 1e-9)))
+    flat = lambda x, t: np.stack(x, 1).ravel() if bits else np.zeros(0, t)
+    return flat(split, np.int64), flat(right, bool), np.arange(len(leaf) + 1) * bits, np.concatenate([*bias, np.zeros(0)])
+
+
+def classes(h: np.ndarray, bits: int) -> np.ndarray:
+    """Class of rare words: the first bits of their hash."""
+    return (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+
+
+def build(tokens: int, distinct: int, h: np.ndarray, c: np.ndarray, bits: int, rare_mass: np.ndarray,
+          of: np.ndarray | None = None) -> Counts:
+    """Splits over the frequent words ``h`` (sorted) with counts ``c``, in classes ``of``, and the classes of the rare ones."""
+    rare = (tokens - int(c.sum())) + 0.5 * (distinct - len(h) + 1)
+    anchor = np.zeros(len(h), bool)
+    anchor[np.argsort(-c, kind="stable")[:ANCHORS]] = True
+    s1, r1, at1, b1 = nested(c + 0.5, np.zeros(len(c), np.int64) if of is None else of, rare)
+    s2, r2, at2, b2 = halvings(rare_mass, bits)
+    return Counts(tokens, distinct, h, c, rare, bits, rare_mass, np.concatenate([s1, s2 + len(b1)]).astype(np.int32),
+                  np.concatenate([r1, r2]), np.concatenate([at1, at2[1:] + at1[-1]]).astype(np.int64),
+                  np.concatenate([b1, b2]).astype(np.float32), anchor)
+
+
 def summarise(table: DataFrame) -> Counts:
-    """Totals and broadcast part of the table of counts (h, c)."""
+    """Totals, broadcast words and classes of the table of counts (h, c)."""
     t = table.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     top = table.orderBy(F.desc("c"), "h").limit(HEAD).toArrow()
     h = top["h"].to_numpy().view(np.uint64)
     c = top["c"].to_numpy().astype(np.int64)
-    slots = CLASSES * SLOTS
-    rank = np.arange(len(h))
-    share = np.cumsum(c[slots:]) / max(1, c[slots:].sum())
-    kind = np.where(rank < slots, rank % CLASSES, 0)
-    kind[slots:] = CLASSES + np.minimum((share * BANDS).astype(np.int64), BANDS - 1)
-    slot = np.where(rank < slots, rank // CLASSES, -1)
-    mass = np.bincount(kind, c + 0.5, minlength=CLASSES + BANDS + 1).astype(np.float64)
-    n, v = int(t["n"] or 0), t["v"]
-    mass[-1] = (n - c.sum()) + 0.5 * (v - len(h) + 1)
-    prior = np.full((CLASSES, SLOTS), -np.inf)
-    own = rank < slots
-    prior[kind[own], slot[own]] = np.log10((c[own] + 0.5) / mass[kind[own]])
+    others = t["v"] - len(h)
+    bits = int(np.clip(math.ceil(math.log2(max(1, others / RARE_WORDS))), 0, RARE_BITS))
+    mass = np.zeros(1 << bits)
+    if others:
+        cls = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0)
+        for r in table.groupBy(cls.alias("k")).agg((F.sum("c") + F.count("*") * F.lit(0.5)).alias("m")).collect():   # 2^16 rows at most
+            mass[r["k"]] = r["m"]
+        mass = np.maximum(mass - np.bincount(classes(h, bits), c + 0.5, minlength=1 << bits), 0)
     order = h.argsort()
-    return Counts(n, v, h[order], c[order], kind[order], slot[order], mass, prior)
+    return build(int(t["n"] or 0), t["v"], h[order], c[order], bits, mass)
+
+
+def classify(counts: Counts, texts: DataFrame) -> Counts:
+    """The same counts with the broadcast words in classes, by profiles of all ``texts`` (_text)."""
+    if not len(counts.words):
+        return counts
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+    got = (texts.select("_text").mapInArrow(_profiler(shared), "chunk bigint, x array<double>")
+           .repartition("chunk").mapInArrow(_adder, "chunk bigint, x array<double>").toArrow())              # 16 numbers a broadcast word
+    x = np.zeros((len(counts.words), DIMS))
+    for i, v in zip(got["chunk"].to_pylist(), got["x"].to_numpy()):
+        x[i * CHUNK:(i + 1) * CHUNK] = v.reshape(-1, DIMS)
+    of = group(x, counts.counts.astype(np.float64), CLASSES)
+    return build(counts.tokens, counts.distinct, counts.words, counts.counts, counts.rare_bits, counts.rare_mass, of)
 
 
 def lookup(counts: Counts, h: np.ndarray) -> np.ndarray:
@@ -118,137 +257,182 @@ def lookup(counts: Counts, h: np.ndarray) -> np.ndarray:
     return np.where(counts.words[at] == h, at, -1)
 
 
+def weight_bits(tokens: int) -> int:
+    """Four weights for each training token, within bounds."""
+    return int(np.clip(math.ceil(math.log2(max(1, 4 * tokens))), MIN_BITS, MAX_BITS))
+
+
+def nearest_before(word: np.ndarray, anchor: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Place of the nearest earlier word of the text that is an anchor, -1 without one."""
+    at = np.maximum.accumulate(np.where((word >= 0) & np.append(anchor, False)[word], np.arange(len(word)), -1))
+    at = np.concatenate([[-1], at])[:len(word)]
+    return np.where(at >= first, at, -1)
+
+
+def profile(counts: Counts, h: np.ndarray, first: np.ndarray, sums: np.ndarray) -> None:
+    """Add to each broadcast word's row a fixed random vector of the nearest anchor before each occurrence."""
+    word = lookup(counts, h)
+    near = nearest_before(word, counts.anchor, first)
+    ok = (word >= 0) & (near >= 0)
+    place = np.zeros(len(counts.words), np.int64)
+    anchors = np.flatnonzero(counts.anchor)
+    place[anchors] = np.arange(len(anchors))
+    pair, n = np.unique(word[ok] * ANCHORS + place[word[near[ok]]], return_counts=True)
+    signs = np.random.default_rng(5).choice(np.array([-1.0, 1.0], np.float32), (ANCHORS, DIMS))
+    mark = signs[pair % ANCHORS] * n[:, None].astype(np.float32)
+    for d in range(DIMS):
+        sums[:, d] += np.bincount(pair // ANCHORS, mark[:, d], minlength=len(sums))
+
+
 class MaxEnt:
-    """Weights of classes (rows: class) and of slots (rows: slot), by hashed feature."""
+    """The splits' logits for tokens in context; ``weights``: one for each hashed (feature, split)."""
 
     def __init__(self, counts: Counts, weights: np.ndarray) -> None:
         self.counts = counts
-        self.classes = CLASSES + BANDS + 1
-        self.w = weights[:self.classes]
-        self.u = weights[self.classes:]
-        with np.errstate(divide="ignore"):
-            self.bias = np.log(np.where(counts.mass > 0, counts.mass, 0) / max(counts.total, 1e-300)).astype(np.float32)[:, None]
-        self.slots = (counts.prior * math.log(10)).astype(np.float32)
-
-    @staticmethod
-    def blank() -> np.ndarray:
-        return np.zeros((CLASSES + BANDS + 1 + SLOTS, 1 << BITS), np.float32)
-
-    def features(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        self.w = weights
+        self.shift = np.uint32(34 - int(math.log2(len(weights))))
+        self.part = (np.arange(FEATURES) * (len(weights) // FEATURES))[:, None]
+        self.mark = (mix64(np.arange(len(counts.bias), dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+    def features(self, h: np.ndarray, first: np.ndarray, word: np.ndarray) -> np.ndarray:
         """FEATURES x n hashed context features; ``first``: place of each token's text start in ``h``."""
         at = np.arange(len(h))
+        near = nearest_before(word, self.counts.anchor, first)
 
         def back(k):
             return np.where(at - k >= first, h[np.maximum(at - k, 0)], np.uint64(k))
 
-        p, q, r = back(1), back(2), back(3)
+        p, q = back(1), back(2)
+        r = np.where(near >= 0, h[near], np.uint64(3))
         raw = (p * np.uint64(3), mix64(p * np.uint64(5) + mix64(q)), q * np.uint64(7) + np.uint64(11), r * np.uint64(13) + np.uint64(17))
-        return np.stack([(mix64(x) >> np.uint64(64 - BITS)).astype(np.int64) for x in raw])
+        return np.stack([(mix64(x) >> np.uint64(32)).astype(np.uint32) for x in raw])
 
-    def targets(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place among the broadcast words, class, slot) of tokens."""
+    def blocks(self, h: np.ndarray, first: np.ndarray, size: int):
+        """(first token, place among the broadcast words, features) of ``size`` tokens at a time."""
         at = lookup(self.counts, h)
-        known = at >= 0
-        if not len(self.counts.words):
-            return at, np.full(len(h), self.classes - 1), at
-        return at, np.where(known, self.counts.kind[at], self.classes - 1), np.where(known, self.counts.slot[at], -1)
-
-    def log_probs(self, table: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-        """Log softmax, rows: outcome, columns: token."""
-        x = table[:, f[0]] + bias
-        for g in f[1:]:
-            x += table[:, g]
-        x -= x.max(0)
-        return x - np.log(np.exp(x).sum(0))
-
-    def inner(self, f: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """Features of the slot model: the context's, mixed with the class."""
-        return (f * 31 + kind * 2654435761) & ((1 << BITS) - 1)
-
-    def score(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place among broadcast words, natural log of all but the tail's own share) of each token."""
-        at, kind, slot = self.targets(h)
-        out = np.zeros(len(h))
-        for lo in range(0, len(h), BLOCK):
-            s = slice(lo, lo + BLOCK)
-            f = self.features(h[max(0, lo - 3):lo + BLOCK], first[max(0, lo - 3):lo + BLOCK] - max(0, lo - 3))[:, min(lo, 3):]
-            k = kind[s]
-            lp = self.log_probs(self.w, self.bias, f)[k, np.arange(len(k))].astype(np.float64)
-            inside = slot[s] >= 0
-            if inside.any():
-                g, c = self.inner(f[:, inside], k[inside]), slot[s][inside]
-                lp[inside] += self.log_probs(self.u, self.slots[k[inside]].T, g)[c, np.arange(len(c))]
-            plain = ~inside & (at[s] >= 0)
-            lp[plain] += np.log((self.counts.counts[at[s][plain]] + 0.5) / self.counts.mass[k[plain]])
-            out[s] = lp
-        return at, out
+        f = self.features(h, first, at)
+        for lo in range(0, len(h), size):
+            yield lo, at[lo:lo + size], f[:, lo:lo + size]
+
+    def visits(self, at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(token, leaf) of the ways that tokens take: to the word or all rare ones, then to the class of a rare one."""
+        n = len(self.counts.words)
+        rare = np.flatnonzero(at < 0)
+        return (np.concatenate([np.arange(len(at)), rare]),
+                np.concatenate([np.where(at >= 0, at, n), n + 1 + classes(h[rare], self.counts.rare_bits)]))
+
+    def logits(self, token: np.ndarray, leaf: np.ndarray, f: np.ndarray):
+        """(visit, right side taken, weights' places, logit of the right side) of every split on the ways."""
+        lo = self.counts.start[leaf]
+        n = self.counts.start[leaf + 1] - lo
+        visit = np.repeat(np.arange(len(leaf)), n)
+        way = np.arange(len(visit)) + np.repeat(lo - (n.cumsum() - n), n)
+        split = self.counts.split[way]
+        key = f[:, token[visit]] ^ self.mark[split]
+        key *= np.uint32(2654435761)
+        key ^= key >> np.uint32(15)
+        key *= np.uint32(2246822519)
+        places = (key >> self.shift) + self.part
+        return visit, self.counts.right[way], places, self.counts.bias[split] + self.w[places].sum(0)
+
+    def score(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place among the broadcast words, natural log of the leaf, for a rare word also that of its class) of each token."""
+        word, out, inner = np.full(len(h), -1), np.zeros(len(h)), np.zeros(len(h))
+        for lo, at, f in self.blocks(h, first, BLOCK):
+            token, leaf = self.visits(at, h[lo:lo + BLOCK])
+            visit, right, _, x = self.logits(token, leaf, f)
+            z = np.clip(np.where(right, x, -x), -60, 60)
+            lp = -np.bincount(visit, np.log1p(np.exp(-z)), minlength=len(leaf))
+            word[lo:lo + len(at)] = at
+            out[lo:lo + len(at)] = lp[:len(at)]
+            inner[lo + token[len(at):]] = lp[len(at):]
+        return word, out, inner
 
     def train(self, h: np.ndarray, first: np.ndarray, state: np.ndarray, rate: float) -> None:
         """Gradient updates over tokens, one per block; ``state``: sums of squared gradients."""
-        _, kind, slot = self.targets(h)
-        rows = 1 << BITS
-        for lo in range(0, len(h), BLOCK):
-            s = slice(lo, lo + BLOCK)
-            f = self.features(h[max(0, lo - 3):lo + BLOCK], first[max(0, lo - 3):lo + BLOCK] - max(0, lo - 3))[:, min(lo, 3):]
-            k, inside = kind[s], slot[s] >= 0
-            jobs = [(self.w, self.bias, f, k, 0)]
-            if inside.any():
-                jobs.append((self.u, self.slots[k[inside]].T, self.inner(f[:, inside], k[inside]), slot[s][inside], self.classes))
-            for table, bias, g, y, at in jobs:
-                p = np.exp(self.log_probs(table, bias, g))
-                p[y, np.arange(len(y))] -= 1
-                for i in range(len(table)):
-                    grad = np.bincount(g[0], p[i], minlength=rows)
-                    for x in g[1:]:
-                        grad += np.bincount(x, p[i], minlength=rows)
-                    acc = state[at + i]
-                    acc += (grad * grad).astype(np.float32)
-                    table[i] -= (rate * grad / np.sqrt(acc + 1.0)).astype(np.float32)
+        for lo, at, f in self.blocks(h, first, BLOCK):
+            _, right, places, x = self.logits(*self.visits(at, h[lo:lo + BLOCK]), f)
+            grad = (1 / (1 + np.exp(-np.clip(x, -60, 60))) - right).astype(np.float32)
+            wrong = np.flatnonzero(np.abs(grad) > LEAST)
+            flat, grad = places[:, wrong].ravel(), np.tile(grad[wrong], FEATURES)
+            np.add.at(state, flat, grad * grad)
+            np.add.at(self.w, flat, np.float32(-rate) * grad / np.sqrt(state[flat] + np.float32(1)))
 
 
 def _starts(off: np.ndarray) -> np.ndarray:
     return np.repeat(off[:-1], np.diff(off))
 
 
+def _profiler(counts):
+    def run(batches):
+        sums = np.zeros((len(counts.value.words), DIMS))
+        for b in small_batches(batches, rows=256, bytes_=1 << 20):
+            h, off = stream(column(b, "_text"))
+            profile(counts.value, h, _starts(off), sums)
+        for i in range(0, len(sums), CHUNK):
+            x = sums[i:i + CHUNK]
+            if x.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // CHUNK]), pa.array([x.ravel()], pa.list_(pa.float64()))], ["chunk", "x"])
+    return run
+
+
+def _adder(batches):
+    """Sums of the tasks' rows; a chunk's rows lie together."""
+    sums = {}
+    for b in batches:
+        for i, x in zip(column(b, "chunk").to_pylist(), column(b, "x").to_numpy(zero_copy_only=False)):
+            sums[i] = sums.get(i, 0) + np.asarray(x)
+    for i, x in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([x], pa.list_(pa.float64()))], ["chunk", "x"])
+
+
 def _trainer(counts, weights, rate: float):
     def run(batches):
         start = weights.value
-        w = start.copy()
-        model, state, seen = MaxEnt(counts.value, w), np.zeros_like(start), 0
+        pairs = np.zeros((len(start), 2), np.float32)             # a weight and its squared gradients lie together
+        pairs[:, 0] = start
+        model, state, seen = MaxEnt(counts.value, pairs[:, 0]), pairs[:, 1], False
         for b in small_batches(batches, rows=256, bytes_=1 << 20):
             h, off = stream(column(b, "_text"))
             model.train(h, _starts(off), state, rate)
-            seen += len(h)
-        if seen:
-            for i, row in enumerate(w):
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([float(seen)]), pa.array([row], pa.list_(pa.float32()))],
-                                                 ["row", "seen", "w"])
+            seen = True
+        if not seen:
+            return
+        for i in range(0, len(start), CHUNK):
+            s = slice(i, i + CHUNK)
+            if state[s].any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i // CHUNK]), pa.array([state[s]], pa.list_(pa.float32())), pa.array([model.w[s] - start[s]], pa.list_(pa.float32()))],
+                    ["chunk", "state", "move"])
     return run
 
 
 def _averager(batches):
-    """Mean of the tasks' rows, weighted by the tokens they saw; the rows of one weight row lie together."""
+    """Mean move of each weight, weighted by the squared gradients that the tasks saw there; a chunk's rows lie together."""
     sums, seen = {}, {}
     for b in batches:
-        for i, n, w in zip(column(b, "row").to_pylist(), column(b, "seen").to_pylist(), column(b, "w").to_numpy(zero_copy_only=False)):
-            sums[i] = sums.get(i, 0) + np.asarray(w, np.float64) * n
-            seen[i] = seen.get(i, 0.0) + n
+        for i, g, m in zip(column(b, "chunk").to_pylist(), *(column(b, c).to_numpy(zero_copy_only=False) for c in ("state", "move"))):
+            sums[i] = sums.get(i, 0) + np.asarray(m, np.float64) * g
+            seen[i] = seen.get(i, 0) + np.asarray(g, np.float64)
     for i, x in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([(x / seen[i]).astype(np.float32)], pa.list_(pa.float32()))], ["row", "w"])
+        move = (x / np.maximum(seen[i], 1e-30)).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([move], pa.list_(pa.float32()))], ["chunk", "move"])
 
 
 def train(texts: DataFrame, counts, rounds: int, rate: float) -> np.ndarray:
-    """Weights after ``rounds`` passes, each over another part of ``texts`` (_text, _part)."""
+    """Weights after ``rounds`` passes, each over another part of ``texts`` (_text, _part); tasks grow with the tokens."""
     sc = texts.sparkSession.sparkContext
-    weights = MaxEnt.blank()
-    tasks = max(2, sc.defaultParallelism)       # the weights are of fixed size: as many copies travel as there are cores
+    weights = np.zeros(1 << weight_bits(counts.value.tokens), np.float32)
+    tasks = max(sc.defaultParallelism, math.ceil(counts.value.tokens / rounds / TASK_TOKENS))
     for r in range(rounds):
         part = texts.where(F.col("_part") == r).select("_text").coalesce(tasks)
-        rows = (part.mapInArrow(_trainer(counts, sc.broadcast(weights), rate), "row bigint, seen double, w array<float>")
-                .repartition("row").mapInArrow(_averager, "row bigint, w array<float>").toArrow())
+        shared = sc.broadcast(weights)
+        rows = (part.mapInArrow(_trainer(counts, shared, rate), "chunk bigint, state array<float>, move array<float>")
+                .repartition("chunk").mapInArrow(_averager, "chunk bigint, move array<float>").toArrow())    # 2^23 weights at most
         weights = weights.copy()
-        for i, w in zip(rows["row"].to_pylist(), rows["w"].to_numpy()):
-            weights[i] = w
+        for i, m in zip(rows["chunk"].to_pylist(), rows["move"].to_numpy()):
+            weights[i * CHUNK:(i + 1) * CHUNK] += m
+        shared.unpersist()
     return weights
 
 
@@ -259,20 +443,22 @@ def _scorer(counts, weights):
         per = math.log10(c.total) if c.total else 0.0
         for b in small_batches(batches, rows=256, bytes_=1 << 20):
             h, off = stream(column(b, "_text"))
-            at, lp = model.score(h, _starts(off))
+            at, lp, inner = model.score(h, _starts(off))
             known = at >= 0
             base = np.where(known, np.log10((c.counts[at] if len(c.counts) else 0) + 0.5), 0.0) - per
             sums = [np.add.reduceat(x, off[:-1]) if len(h) else x for x in (base, lp / math.log(10), known.astype(np.int64))]
-            tails, times = [], []
+            tails, times, ways = [], [], []
             for i in range(b.num_rows):
-                own = h[off[i]:off[i + 1]][~known[off[i]:off[i + 1]]]
-                t, n = np.unique(own, return_counts=True)
+                rare = ~known[off[i]:off[i + 1]]
+                t, inv, n = np.unique(h[off[i]:off[i + 1]][rare], return_inverse=True, return_counts=True)
                 tails.append(t.view(np.int64))
                 times.append(n)
+                ways.append(np.bincount(inv, inner[off[i]:off[i + 1]][rare], minlength=len(t)) / math.log(10))
             yield pa.RecordBatch.from_arrays(
                 [column(b, "n"), column(b, "id"), column(b, "held_out"), pa.array(np.diff(off)), pa.array(sums[2]), pa.array(sums[0]),
-                 pa.array(sums[1]), pa.array(tails, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64()))],
-                ["n", "id", "held_out", "n_tokens", "known", "base", "score", "tail", "times"])
+                 pa.array(sums[1]), pa.array(tails, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int64())),
+                 pa.array(ways, pa.list_(pa.float64()))],
+                ["n", "id", "held_out", "n_tokens", "known", "base", "score", "tail", "times", "ways"])
     return run
 
 
@@ -294,20 +480,32 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     learn = rows.where("NOT held_out")
     table = materialize(learn.select("_text").mapInArrow(_token_counts, "h bigint, c bigint")
                         .groupBy("h").agg(F.sum("c").alias("c")), "lm-counts")
-    summary = summarise(table)
+    summary = classify(summarise(table), learn)
     counts = sc.broadcast(summary)
-    parts = learn.select("_text", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(rounds)).alias("_part"))
-    weights = sc.broadcast(train(parts, counts, rounds, rate) if summary.tokens else MaxEnt.blank())
-    scored = materialize(rows.mapInArrow(_scorer(counts, weights), f"n bigint, id {id_type}, held_out boolean, n_tokens bigint, "
-                                         "known bigint, base double, score double, tail array<bigint>, times array<bigint>"), "lm-scored")
-    tail = (scored.select("n", F.explode(F.arrays_zip("tail", "times")).alias("t")).select("n", F.col("t.tail").alias("h"), "t.times")
-            .join(table, "h", "left").groupBy("n").agg(
-                F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("tail_log"),
-                F.sum("times").alias("tail_n"), F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known")))
-    mass = float(summary.mass[-1]) or 1.0
-    out = scored.drop("tail", "times").join(tail, "n", "left")
-    add = F.coalesce("tail_log", F.lit(0.0))
+    parts = learn.select("_text", F.pmod(F.xxhash64("id", "_text", F.lit(3)), F.lit(rounds)).alias("_part"))
+    weights = sc.broadcast(train(parts, counts, rounds, rate))
+    scored = materialize(rows.mapInArrow(_scorer(counts, weights), f"n bigint, id {id_type}, held_out boolean, n_tokens bigint, known bigint, "
+                                         "base double, score double, tail array<bigint>, times array<bigint>, ways array<double>"), "lm-scored")
+    rare = F.coalesce("mass", F.lit(1.0))
+    share = F.when(F.col("c").isNull(), F.lit(_log10(0.5) - _log10(summary.rare)) * F.col("times")).otherwise(
+        F.col("ways") + F.col("times") * (F.log10(F.col("c") + 0.5) - F.log10(rare) + F.lit(_log10(summary.rare - 0.5) - _log10(summary.rare))))
+    bits = summary.rare_bits
+    cls = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("bigint")
+    masses = docs.sparkSession.createDataFrame(
+        pa.table({"k": pa.array(np.arange(1 << bits)), "mass": pa.array(summary.rare_mass)}))          # 2^16 rows at most
+    words = table.join(F.broadcast(masses), cls == F.col("k"), "left").select("h", "c", "mass")
+    tail = (scored.select("n", F.explode(F.arrays_zip("tail", "times", "ways")).alias("t"))
+            .select("n", F.col("t.tail").alias("h"), "t.times", "t.ways")
+            .join(words, "h", "left").groupBy("n").agg(
+                F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("tail_log"), F.sum(share).alias("tail_score"),
+                F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known")))
+    out = scored.drop("tail", "times", "ways").join(tail, "n", "left")
     return out.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(summary.tokens).cast("bigint").alias("train_tokens"), (F.col("base") + add).alias("base_score"),
-        (F.col("score") + add - F.coalesce("tail_n", F.lit(0)) * F.lit(math.log10(mass))).alias("score"))
+        F.lit(summary.tokens).cast("bigint").alias("train_tokens"),
+        (F.col("base") + F.coalesce("tail_log", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("tail_score", F.lit(0.0))).alias("score"))
+
+
+def _log10(x: float) -> float:
+    return math.log10(x) if x > 0 else 0.0
