@@ -44,7 +44,7 @@ DIMS = 16                                # numbers of a word's profile
 LEAST = 0.05                             # a split that errs by less is not moved
 BLOCK = 1024                             # tokens of a gradient update
 CHUNK = 4096                             # weights of a row that travels
-TASK_TOKENS = 16_000_000                 # tokens a training task sees in a round
+TASK_TOKENS = 4_000_000                  # tokens a training task sees in a round
 
 
 @dataclass
@@ -242,6 +242,7 @@ def classify(counts: Counts, texts: DataFrame) -> Counts:
     shared = texts.sparkSession.sparkContext.broadcast(counts)
     got = (texts.select("_text").mapInArrow(_profiler(shared), "chunk bigint, x array<double>")
            .repartition("chunk").mapInArrow(_adder, "chunk bigint, x array<double>").toArrow())              # 16 numbers a broadcast word
+    shared.destroy()
     x = np.zeros((len(counts.words), DIMS))
     for i, v in zip(got["chunk"].to_pylist(), got["x"].to_numpy()):
         x[i * CHUNK:(i + 1) * CHUNK] = v.reshape(-1, DIMS)
@@ -290,12 +291,11 @@ class MaxEnt:
     def __init__(self, counts: Counts, weights: np.ndarray) -> None:
         self.counts = counts
         self.w = weights
-        self.shift = np.uint32(34 - int(math.log2(len(weights))))
-        self.part = (np.arange(FEATURES) * (len(weights) // FEATURES))[:, None]
-        self.mark = (mix64(np.arange(len(counts.bias), dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+        self.shift = np.uint64(64 - int(math.log2(len(weights) // FEATURES)))
+        self.mark = (mix64(np.arange(len(counts.bias), dtype=np.uint64)) >> self.shift).astype(np.int64)
 
     def features(self, h: np.ndarray, first: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """FEATURES x n hashed context features; ``first``: place of each token's text start in ``h``."""
+        """FEATURES x n hashed context features, each in its part of the weights; ``first``: place of each token's text start in ``h``."""
         at = np.arange(len(h))
         near = nearest_before(word, self.counts.anchor, first)
 
@@ -305,7 +305,8 @@ class MaxEnt:
         p, q = back(1), back(2)
         r = np.where(near >= 0, h[near], np.uint64(3))
         raw = (p * np.uint64(3), mix64(p * np.uint64(5) + mix64(q)), q * np.uint64(7) + np.uint64(11), r * np.uint64(13) + np.uint64(17))
-        return np.stack([(mix64(x) >> np.uint64(32)).astype(np.uint32) for x in raw])
+        part = len(self.w) // FEATURES
+        return np.stack([(mix64(x) >> self.shift).astype(np.int64) + i * part for i, x in enumerate(raw)])
 
     def blocks(self, h: np.ndarray, first: np.ndarray, size: int):
         """(first token, place among the broadcast words, features) of ``size`` tokens at a time."""
@@ -328,11 +329,8 @@ class MaxEnt:
         visit = np.repeat(np.arange(len(leaf)), n)
         way = np.arange(len(visit)) + np.repeat(lo - (n.cumsum() - n), n)
         split = self.counts.split[way]
-        key = f[:, token[visit]] ^ self.mark[split]
-        key *= np.uint32(2654435761)
-        key ^= key >> np.uint32(15)
-        key *= np.uint32(2246822519)
-        places = (key >> self.shift) + self.part
+        places = f.take(token[visit], axis=1)
+        places ^= self.mark[split]
         return visit, self.counts.right[way], places, self.counts.bias[split] + self.w[places].sum(0)
 
     def score(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -388,7 +386,7 @@ def _adder(batches):
 
 def _trainer(counts, weights, rate: float):
     def run(batches):
-        start = weights.value
+        start = weights.value.astype(np.float32)
         pairs = np.zeros((len(start), 2), np.float32)             # a weight and its squared gradients lie together
         pairs[:, 0] = start
         model, state, seen = MaxEnt(counts.value, pairs[:, 0]), pairs[:, 1], False
@@ -402,8 +400,8 @@ def _trainer(counts, weights, rate: float):
             s = slice(i, i + CHUNK)
             if state[s].any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([i // CHUNK]), pa.array([state[s]], pa.list_(pa.float32())), pa.array([model.w[s] - start[s]], pa.list_(pa.float32()))],
-                    ["chunk", "state", "move"])
+                    [pa.array([i // CHUNK]), *(pa.array([x.astype(np.float16).tobytes()]) for x in (np.sqrt(state[s]), model.w[s] - start[s]))],
+                    ["chunk", "seen", "move"])
     return run
 
 
@@ -411,35 +409,39 @@ def _averager(batches):
     """Mean move of each weight, weighted by the squared gradients that the tasks saw there; a chunk's rows lie together."""
     sums, seen = {}, {}
     for b in batches:
-        for i, g, m in zip(column(b, "chunk").to_pylist(), *(column(b, c).to_numpy(zero_copy_only=False) for c in ("state", "move"))):
-            sums[i] = sums.get(i, 0) + np.asarray(m, np.float64) * g
-            seen[i] = seen.get(i, 0) + np.asarray(g, np.float64)
+        for i, *halves in zip(*(column(b, c).to_pylist() for c in ("chunk", "seen", "move"))):
+            g, m = (np.frombuffer(x, np.float16).astype(np.float64) for x in halves)
+            sums[i] = sums.get(i, 0) + m * g * g
+            seen[i] = seen.get(i, 0) + g * g
     for i, x in sums.items():
         move = (x / np.maximum(seen[i], 1e-30)).astype(np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([move], pa.list_(pa.float32()))], ["chunk", "move"])
 
 
 def train(texts: DataFrame, counts, rounds: int, rate: float) -> np.ndarray:
-    """Weights after ``rounds`` passes, each over another part of ``texts`` (_text, _part); tasks grow with the tokens."""
+    """Weights after ``rounds`` passes, each over another part of ``texts`` (_text, _part).
+
+    Tasks grow with the tokens; each sends at most 32 MB, its moves and the squared gradients as half floats.
+    """
     sc = texts.sparkSession.sparkContext
     weights = np.zeros(1 << weight_bits(counts.value.tokens), np.float32)
-    tasks = max(sc.defaultParallelism, math.ceil(counts.value.tokens / rounds / TASK_TOKENS))
+    tasks = math.ceil(counts.value.tokens / rounds / TASK_TOKENS) or 1
     for r in range(rounds):
         part = texts.where(F.col("_part") == r).select("_text").coalesce(tasks)
-        shared = sc.broadcast(weights)
-        rows = (part.mapInArrow(_trainer(counts, shared, rate), "chunk bigint, state array<float>, move array<float>")
+        shared = sc.broadcast(weights.astype(np.float16))
+        rows = (part.mapInArrow(_trainer(counts, shared, rate), "chunk bigint, seen binary, move binary")
                 .repartition("chunk").mapInArrow(_averager, "chunk bigint, move array<float>").toArrow())    # 2^23 weights at most
         weights = weights.copy()
         for i, m in zip(rows["chunk"].to_pylist(), rows["move"].to_numpy()):
             weights[i * CHUNK:(i + 1) * CHUNK] += m
-        shared.unpersist()
+        shared.destroy()
     return weights
 
 
 def _scorer(counts, weights):
     def run(batches):
         c = counts.value
-        model = MaxEnt(c, weights.value)
+        model = MaxEnt(c, weights.value.astype(np.float32))
         per = math.log10(c.total) if c.total else 0.0
         for b in small_batches(batches, rows=256, bytes_=1 << 20):
             h, off = stream(column(b, "_text"))
@@ -483,7 +485,7 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     summary = classify(summarise(table), learn)
     counts = sc.broadcast(summary)
     parts = learn.select("_text", F.pmod(F.xxhash64("id", "_text", F.lit(3)), F.lit(rounds)).alias("_part"))
-    weights = sc.broadcast(train(parts, counts, rounds, rate))
+    weights = sc.broadcast(train(parts, counts, rounds, rate).astype(np.float16))
     scored = materialize(rows.mapInArrow(_scorer(counts, weights), f"n bigint, id {id_type}, held_out boolean, n_tokens bigint, known bigint, "
                                          "base double, score double, tail array<bigint>, times array<bigint>, ways array<double>"), "lm-scored")
     rare = F.coalesce("mass", F.lit(1.0))
