@@ -475,7 +475,8 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     Without training rows N and V are 0 and both scores give every token probability 1.
     Repeated rows are scored, and learned from, each by itself; other columns are ignored.
     A very long text is scored whole, in blocks of 1,024 tokens; a few numbers for each of its tokens are held at a time.
-    Equal counts are ordered by hash, so ties among words do not hang on the partitions; the trained weights may, in the last digits.
+    Equal counts are ordered by hash, so ties among words do not hang on the partitions; the trained
+    weights do, as each task trains on its own documents.
     """
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.monotonically_increasing_id().alias("n"), F.col(id_col).alias("id"),
