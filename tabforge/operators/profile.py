@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tabforge.functions.numeric import col
 from tabforge.functions.partitioning import spread
 from tabforge.functions.prefix import running_sum
-from tabforge.session import written
+from tabforge.session import scratch_path, written
 
 
 def _long(df: DataFrame, cols: list[str], by: str | None = None, cast: str = "DOUBLE") -> DataFrame:
@@ -128,18 +128,20 @@ def _masked_pearson(df: DataFrame, cols: list[str], pairs: list[tuple[int, int]]
 def _replace_by(df: DataFrame, cols: list[str], ranks: DataFrame) -> DataFrame:
     """Each column's values replaced by their ``rank`` (column_name, value, rank); other columns stay.
 
-    One join of the long form with the ranks and one regroup by row, for any
-    number of columns.  Rows are told apart by a running number given before both.
+    The ranks are written in a folder for each column, so that Catalyst knows each one's
+    size: those of a column with few values, however often they repeat, are broadcast, and only
+    columns with many values are joined by a shuffle of the rows.
     """
-    others = [c for c in df.columns if c not in cols]
-    keyed = df.select(F.monotonically_increasing_id().alias("__row"), F.struct(F.lit(0).alias("__"), *[col(c) for c in others]).alias("__rest"),
-                      *[col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', __v{i}" for i, c in enumerate(cols))
-    long = keyed.selectExpr("__row", "__rest", f"stack({len(cols)}, {stack}) AS (column_name, value)")
-    placed = long.join(ranks, ["column_name", "value"], "left")
-    rows = placed.groupBy("__row").agg(F.first("__rest").alias("__rest"), *[
-        F.max(F.when(F.col("column_name") == c, F.col("rank"))).alias(f"__r{i}") for i, c in enumerate(cols)])
-    return rows.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else F.col("__rest").getField(c).alias(c) for c in df.columns])
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranks")
+    place = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (c, i)])[F.col("column_name")]
+    ranks.select("value", "rank", place.alias("__column")).write.partitionBy("__column").parquet(path)
+    table = spark.read.schema("value DOUBLE, rank DOUBLE, __column INT").parquet(path)
+    out = df.select(*[col(c) for c in df.columns if c not in cols], *[col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    for i in range(len(cols)):
+        of = table.where(F.col("__column") == i).select(F.col("value").alias("__value"), F.col("rank").alias(f"__r{i}"))
+        out = out.join(of, F.col(f"__v{i}") == F.col("__value"), "left").drop("__value", f"__v{i}")
+    return out.select(*[F.col(f"__r{cols.index(c)}").alias(c) if c in cols else col(c) for c in df.columns])
 
 
 #: Cells of a block of the inversion count, and blocks at most: with more cells than both allow, blocks grow.
@@ -177,6 +179,43 @@ def weighted_inversions(y, w) -> float:
     return total
 
 
+#: Different values up to which inversions are counted bit by bit.
+_FEW = 1 << 12
+
+
+def discordant(x, y, w) -> float:
+    """Sum of w_i * w_j over pairs with x_i < x_j and y_i > y_j.
+
+    The coordinate with fewer values is counted along the other one: bit by bit where they
+    are few (``_few_inversions``), by merging otherwise.
+    """
+    import numpy as np
+    if len(y) < 2:
+        return 0.0
+    (ux, cx), (uy, cy) = (np.unique(v, return_inverse=True) for v in (x, y))
+    if len(ux) < len(uy):
+        (ux, cx), (uy, cy) = (uy, cy), (ux, cx)
+    if len(uy) < 2:
+        return 0.0
+    order = np.lexsort((cy, cx))
+    return _few_inversions(cy[order], w[order], len(uy)) if len(uy) <= _FEW else weighted_inversions(cy[order], w[order])
+
+
+def _few_inversions(y, w, k: int) -> float:
+    """Sum of w_i * w_j over i < j with y_i > y_j for codes below ``k``: at the highest bit where two codes differ, i has 1 and j has 0."""
+    import numpy as np
+    y, w, total = y.astype(np.uint16), np.asarray(w, float), 0.0
+    for bit in range((k - 1).bit_length()):
+        above = y >> np.uint16(bit + 1)
+        order = np.argsort(above, kind="stable")                   # a radix sort of 16 bits
+        one, sw = (y[order] >> np.uint16(bit)) & np.uint16(1) == 1, w[order]
+        ones = np.cumsum(np.where(one, sw, 0.0))
+        at = np.flatnonzero(np.concatenate([[True], above[order][1:] != above[order][:-1]]))
+        before = np.repeat(np.concatenate([[0.0], ones])[at], np.diff(np.append(at, len(y))))
+        total += float((sw * (ones - before))[~one].sum())
+    return total
+
+
 def _pair_groups(batches):
     """(pair, columns) of a task's rows; the pairs of a range are few and their cells bounded by its size."""
     import numpy as np
@@ -225,7 +264,7 @@ def _by_x(batches):
                                           pa.nulls(n, pa.string()), pa.nulls(n, pa.float64())], [f.split()[0] for f in _CELL.split(", ")])
         tied, edges = _ties(x, c)
         yield _fact_rows([(p, None, None, None, None, "n", float(c.sum())), (p, None, None, None, None, "n3", float((c * (c - 1) / 2).sum())),
-                          (p, None, None, None, None, "nd", weighted_inversions(y, c)), (p, None, None, None, None, "n1", tied)]
+                          (p, None, None, None, None, "nd", discordant(x, y, c)), (p, None, None, None, None, "n1", tied)]
                          + [(p, k, None, t, None, "x", None) for k, t in edges])
 
 
@@ -239,7 +278,7 @@ def _by_y(batches):
         xb, y, c = (v[k][order] for k in ("xb", "y", "c"))
         tied, edges = _ties(np.sort(y), c[np.argsort(y, kind="stable")])
         at = np.flatnonzero(np.concatenate([[True], xb[1:] != xb[:-1]]))
-        nd = weighted_inversions(y, c) if len(at) > 1 else 0.0
+        nd = discordant(xb, y, c) if len(at) > 1 else 0.0
         yield _fact_rows([(p, None, None, None, None, "nd", nd), (p, None, None, None, None, "n2", tied)]
                          + [(p, None, k, t, None, "y", None) for k, t in edges]
                          + [(p, None, float(yb), t, int(b), "cross", None) for b, t in zip(xb[at], np.add.reduceat(c, at))])
