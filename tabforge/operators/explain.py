@@ -280,7 +280,8 @@ def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[st
     (bounded, broadcast); each row's estimate averages ``samples`` random
     (permutation, background row) pairs, evaluated in numpy inside its task.  The draws
     hang on the row's values alone and margins add up over trees, so trees can come
-    in blocks as for ``tree_shap``.
+    in blocks as for ``tree_shap``.  A block with few thresholds is looked up in its
+    ``margin_table``; the values are the same.
     """
     import numpy as np
     from pyspark.sql import types as T
@@ -300,18 +301,44 @@ def sampled_shap(spark, model, df: DataFrame, features: list[str], keep: list[st
     schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in (*xcols, *phis)])
     out = src.select("*", *[F.lit(0.0).alias(c) for c in phis])
     for trees, last in list_ahead(forest_blocks(spark, model)):
-        out = out.mapInPandas(_sampled_of(spark.sparkContext.broadcast((trees, bg)), xcols, phis, samples, seed), schema)
+        out = out.mapInPandas(_sampled_of(spark.sparkContext.broadcast((trees, bg, margin_table(trees, len(features)))), xcols, phis, samples, seed), schema)
         if not last:
             out = written(out, "sampled")
     return out.select(*[col(k) for k in keep], *[col(c) for c in phis])
 
 
+#: Margins of a table over the cells between a block's thresholds, at most; a block with more cells walks its trees.
+MARGIN_CELLS = 1 << 20
+
+
+def margin_table(trees: list[dict], d: int, limit: int | None = None):
+    """(thresholds and stride of each feature, margin of each cell), or None beyond ``limit`` cells.
+
+    Trees split at thresholds only, so the margin is the same between two neighbouring thresholds
+    of each feature; a cell's margin is summed over the trees in their order, as for a row.
+    """
+    import numpy as np
+    from tabforge.operators.boost import tree_predict
+    cuts = [np.unique(np.concatenate([t["threshold"][(t["left"] >= 0) & (t["feature"] == i)] for t in trees])) for i in range(d)]
+    sizes = [len(c) + 1 for c in cuts]
+    if np.prod([float(s) for s in sizes]) > (limit or MARGIN_CELLS):
+        return None
+    strides = np.concatenate([np.cumprod(sizes[::-1])[::-1][1:], [1]]).astype(np.int64)
+    at = np.indices(sizes).reshape(d, -1)
+    # a value of each interval: its upper threshold (x <= threshold goes left), or beyond the last
+    X = np.stack([np.append(c, np.inf)[a] for c, a in zip(cuts, at)], 1)
+    margin = np.zeros(len(X))
+    for t in trees:
+        margin += t["weight"] * tree_predict(X, t)
+    return cuts, strides, margin
+
+
 def _sampled_of(bc, xcols: list[str], phis: list[str], samples: int, seed: int):
     def run(batches):
         import numpy as np
 
         from tabforge.operators.boost import tree_predict
-        trees, B = bc.value
+        trees, B, table = bc.value
         d = len(xcols)
 
         def f(X):
@@ -320,6 +347,12 @@ def _sampled_of(bc, xcols: list[str], phis: list[str], samples: int, seed: int):
                 m += t["weight"] * tree_predict(X, t)
             return m
 
+        def places(X):
+            """Each value's part of its row's place in the table."""
+            cuts, strides, _ = table
+            return np.stack([np.searchsorted(c, X[:, i]) * strides[i] for i, c in enumerate(cuts)], 1)
+
+        from_b = places(B) if table else None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -328,10 +361,22 @@ def _sampled_of(bc, xcols: list[str], phis: list[str], samples: int, seed: int):
             rows = np.arange(n)
             own = _row_hash(X, seed)            # the draw hangs on the row's values, not on its task or batch
             phi = np.zeros((n, d))
+            from_x = places(X) if table else None
             for k in range(samples):
                 draw = _mix(own[:, None] + np.arange(1 + d, dtype=np.uint64) + np.uint64((k + 1) * 1009))
                 perm = draw[:, 1:].argsort(axis=1)
-                cur = B[(draw[:, 0] % np.uint64(len(B))).astype(np.int64)].copy()
+                pick = (draw[:, 0] % np.uint64(len(B))).astype(np.int64)
+                if table:                       # the same steps by places
+                    cur = from_b[pick]
+                    at = cur.sum(axis=1)
+                    prev = table[2][at]
+                    for j in perm.T:
+                        at += from_x[rows, j] - cur[rows, j]
+                        now = table[2][at]
+                        phi[rows, j] += now - prev
+                        prev = now
+                    continue
+                cur = B[pick].copy()
                 prev = f(cur)
                 for j in perm.T:                # add features one by one, each row in its own order
                     cur[rows, j] = X[rows, j]
