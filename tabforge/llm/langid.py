@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,10 +80,10 @@ def _counts(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(f, return_counts=True)
 
 
-def _text_batches(batches):
-    """Lists of whole texts of about a million characters (one text at least)."""
+def _text_batches(batches, text=lambda b: column(b, "_text")):
+    """Lists of whole texts of about a million characters (one text at least); ``text``: their column of a batch."""
     for b in small_batches(batches, rows=256, bytes_=1 << 20):
-        yield b, column(b, "_text").to_pylist()
+        yield b, text(b).to_pylist()
 
 
 def _document_frequencies(batches):
@@ -245,10 +246,10 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
         return LanguageModel(list(fitted[0]["langs"]), fitted[0]["temperature"], a["w"], a["b"])
 
 
-def _scorer(shared):
+def _scorer(shared, text_col):
     def run(batches):
         model, grams = shared.value, Grams()
-        for b, texts in _text_batches(batches):
+        for b, texts in _text_batches(batches, lambda b: pc.struct_field(column(b, "row"), text_col)):
             orders, total, has = grams(texts)
             logits = np.zeros((len(model.langs), len(texts)))
             for f, d in orders:
@@ -262,9 +263,8 @@ def _scorer(shared):
                 p = softmax((logits / np.maximum(total, 1)).T + model.bias)
                 langs[ok] = np.array(model.langs, object)[p.argmax(1)][ok]
                 score[ok] = p.max(1)[ok]
-            cols = [c for c, name in zip(b.columns, b.schema.names) if name != "_text"]
-            names = [name for name in b.schema.names if name != "_text"]
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(langs, pa.string()), pa.array(score)], names + ["lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([column(b, "row"), pa.array(langs, pa.string()), pa.array(score)], ["row", "lang_pred", "score"])
+        pa.default_memory_pool().release_unused()          # the worker lives on between tasks
     return run
 
 
@@ -275,11 +275,11 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
     model knows no language.  Only the text is read for the prediction.
     """
     from pyspark.sql import types as T
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))           # holds the text, which travels once
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(_scorer(shared), schema)
+    return rows.mapInArrow(_scorer(shared, text_col), schema)
 
 
 def held_out(id_col: Column, buckets: int = 4, bucket: int = 2) -> Column:

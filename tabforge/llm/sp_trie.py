@@ -30,6 +30,7 @@ from tabforge.llm.token_frames import spread
 
 MARK = "▁"
 _BPE = 2
+BLOCK_ROWS, BLOCK_BYTES = 2048, 2 << 20     # texts encoded at a time; Python holds some tens of bytes for each of their words
 
 
 def _one_by_one(error: UnicodeDecodeError):
@@ -235,7 +236,7 @@ def model(path: str) -> PieceModel:
 def _coder(path: str, back: bool):
     def run(batches):
         m = model(path)
-        for b in small_batches(batches, rows=8192, bytes_=12 << 20):
+        for b in small_batches(batches, rows=BLOCK_ROWS, bytes_=BLOCK_BYTES):
             texts = column(b, "_text").to_pylist()
             ids, off = m.encode(texts)
             cols = [column(b, "row"), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))]
@@ -244,17 +245,21 @@ def _coder(path: str, back: bool):
                 cols += [pa.array([zlib.crc32(x.encode()) for x in decoded], pa.int64()),
                          pa.array([x == (t or "") for x, t in zip(decoded, texts)])]
             yield pa.RecordBatch.from_arrays(cols, ["row", "ids", "decoded_crc32", "round_trip"][:len(cols)])
+        pa.default_memory_pool().release_unused()          # the worker lives on between tasks
     return run
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool = False) -> DataFrame:
-    """(row, ids): ``row`` is a struct of all columns, ``ids`` the piece ids of the whole text.
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", check: bool = False,
+           keep: list[str] | None = None) -> DataFrame:
+    """(row, ids): ``row`` is a struct of all columns (or those in ``keep``), ``ids`` the piece ids of the whole text.
+
+    The text travels to the worker once more inside ``row``, and back, unless ``keep`` leaves it out.
 
     With ``check``, also decoded_crc32 (of the UTF-8 of the text decoded from ids) and
     round_trip (whether it equals the text; a text that holds the space mark itself,
     or that the model normalises, differs).  Null and empty texts have no ids.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.struct(*(docs.columns if keep is None else keep)).alias("row"), F.col(text_col).alias("_text"))
     fields = [T.StructField("row", rows.schema["row"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     if check:
         fields += [T.StructField("decoded_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())]

@@ -59,6 +59,13 @@ def test_prediction_reads_the_text_only(spark, edge):
     assert pick(edge) == pick(edge.withColumn("lang", F.lit("en")).withColumn("source", F.lit("q")).repartition(1))
 
 
+def test_the_text_travels_once(edge):
+    rows = langid.predict(edge, langid.train(edge))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    sent = plan.split("MapInArrow")[1].split("\n")[1]
+    assert "struct(" in sent and " AS _text#" not in sent.split("AS row#")[1]
+
+
 def test_grams_against_plain_python():
     g = langid.Grams()
     texts = ["Ab, c", None, "", "é1é", "\U00010400x", "  "]

@@ -155,3 +155,29 @@ def test_encode_query_on_edges(spark, edge, no_docs, pieces):
     back = decode(out.select("row.doc_id", "row.text", "ids", F.lit(1).alias("row")), PIECES).collect()
     assert all(b["text"] == pieces.decode(b["row"]["ids"]) for b in back)
     assert encode(no_docs, PIECES, check=True).count() == 0
+
+
+def test_a_task_holds_a_few_megabytes_of_text(monkeypatch):
+    """The words of a block are Python objects many times as large as their text, and the worker lives on."""
+    from tabforge.llm import sp_trie
+    import pyarrow as pa
+    seen = []
+
+    class Recorder:
+        def encode(self, texts):
+            seen.append(sum(map(len, texts)))
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+
+    monkeypatch.setitem(sp_trie._MODELS, "recorder", Recorder())
+    texts = ["word " * 600] * 4000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(texts)], ["row", "_text"])
+    assert sum(b.num_rows for b in sp_trie._coder("recorder", False)([batch])) == 4000
+    assert sum(seen) == 4000 * 3000 and max(seen) < 3 << 20
+
+
+def test_encode_leaves_out_columns(edge):
+    from tabforge.llm import sp_trie
+    whole, thin = sp_trie.encode(edge, PIECES), sp_trie.encode(edge, PIECES, keep=["doc_id"])
+    assert thin.select("row.*").columns == ["doc_id"]
+    key = lambda r: (r["row"]["doc_id"] is not None, r["row"]["doc_id"] or 0, list(r["ids"]))
+    assert sorted(map(key, thin.collect())) == sorted(map(key, whole.collect()))
