@@ -24,6 +24,7 @@ from __future__ import annotations
 import heapq
 import math
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ CLASSES = 64                             # classes of the frequent words, by wha
 DIMS = 16                                # numbers of a word's profile
 LEAST = 0.05                             # a split that errs by less is not moved
 BLOCK = 1024                             # tokens of a gradient update
+SCORED = 64                              # blocks that are scored together
+MARK = np.int32(2**31 - 1)               # of a split on a way; the sign bit is its side
 CHUNK = 4096                             # weights of a row that travels
 TASK_TOKENS = 4_000_000                  # tokens a training task sees in a round
 
@@ -63,6 +66,7 @@ class Counts:
     start: np.ndarray                    # where a leaf's way starts; leaves: words, all rare ones, classes of rare ones
     bias: np.ndarray                     # log-odds of the right side of each split
     anchor: np.ndarray                   # is a broadcast word one of the most frequent?
+    first: np.ndarray                    # first word whose hash has at least these leading bits
 
     @property
     def total(self) -> float:
@@ -212,9 +216,11 @@ def build(tokens: int, distinct: int, h: np.ndarray, c: np.ndarray, bits: int, r
     anchor[np.argsort(-c, kind="stable")[:ANCHORS]] = True
     s1, r1, at1, b1 = nested(c + 0.5, np.zeros(len(c), np.int64) if of is None else of, rare)
     s2, r2, at2, b2 = halvings(rare_mass, bits)
+    lead = len(h).bit_length() + 1
+    first = np.searchsorted(h, np.arange(1 << lead, dtype=np.uint64) << np.uint64(64 - lead)).astype(np.int32)
     return Counts(tokens, distinct, h, c, rare, bits, rare_mass, np.concatenate([s1, s2 + len(b1)]).astype(np.int32),
                   np.concatenate([r1, r2]), np.concatenate([at1, at2[1:] + at1[-1]]).astype(np.int64),
-                  np.concatenate([b1, b2]).astype(np.float32), anchor)
+                  np.concatenate([b1, b2]).astype(np.float32), anchor, first)
 
 
 def summarise(table: DataFrame) -> Counts:
@@ -252,10 +258,15 @@ def classify(counts: Counts, texts: DataFrame) -> Counts:
 
 def lookup(counts: Counts, h: np.ndarray) -> np.ndarray:
     """Place of each hash among the broadcast words, -1 for others."""
-    if not len(counts.words):
+    words = counts.words
+    if not len(words):
         return np.full(len(h), -1)
-    at = np.minimum(np.searchsorted(counts.words, h), len(counts.words) - 1)
-    return np.where(counts.words[at] == h, at, -1)
+    at = counts.first.take((h >> np.uint64(65 - len(counts.first).bit_length())).astype(np.int64)).astype(np.int64)
+    behind = np.flatnonzero(words.take(at, mode="clip") < h)
+    while len(behind):                                             # as often as words share their leading bits
+        at[behind] += 1
+        behind = behind[(at[behind] < len(words)) & (words.take(at[behind], mode="clip") < h[behind])]
+    return np.where(words.take(at, mode="clip") == h, at, -1)
 
 
 def weight_bits(tokens: int) -> int:
@@ -285,6 +296,17 @@ def profile(counts: Counts, h: np.ndarray, first: np.ndarray, sums: np.ndarray)
         sums[:, d] += np.bincount(pair // ANCHORS, mark[:, d], minlength=len(sums))
 
 
+def wide(x: np.ndarray) -> np.ndarray:
+    """Finite half floats as floats, by their bits (several times faster than a cast); others as they are."""
+    if x.dtype != np.float16:
+        return x
+    bits = x.view(np.int16).astype(np.int32) << np.int32(13)
+    bits &= np.int32(-0x70002000)                                  # the sign, 15 bits of exponent and fraction
+    out = bits.view(np.float32)
+    out *= np.float32(2.0**112)                                    # the exponents' bias
+    return out
+
+
 class MaxEnt:
     """The splits' logits for tokens in context; ``weights``: one for each hashed (feature, split)."""
 
@@ -292,7 +314,12 @@ class MaxEnt:
         self.counts = counts
         self.w = weights
         self.shift = np.uint64(64 - int(math.log2(len(weights) // FEATURES)))
-        self.mark = (mix64(np.arange(len(counts.bias), dtype=np.uint64)) >> self.shift).astype(np.int64)
+        mark = (mix64(np.arange(len(counts.bias), dtype=np.uint64)) >> self.shift).astype(np.int32)
+        way = np.empty((len(counts.split), 2), np.int32)           # what the splits on the ways need, read at once
+        way[:, 0] = mark[counts.split]
+        way[:, 0] |= counts.right * ~MARK
+        way[:, 1] = counts.bias[counts.split].view(np.int32)
+        self.way = way.view(np.int64).ravel()
 
     def features(self, h: np.ndarray, first: np.ndarray, word: np.ndarray) -> np.ndarray:
         """FEATURES x n hashed context features, each in its part of the weights; ``first``: place of each token's text start in ``h``."""
@@ -322,39 +349,56 @@ class MaxEnt:
         return (np.concatenate([np.arange(len(at)), rare]),
                 np.concatenate([np.where(at >= 0, at, n), n + 1 + classes(h[rare], self.counts.rare_bits)]))
 
-    def logits(self, token: np.ndarray, leaf: np.ndarray, f: np.ndarray):
-        """(visit, right side taken, weights' places, logit of the right side) of every split on the ways."""
-        lo = self.counts.start[leaf]
-        n = self.counts.start[leaf + 1] - lo
-        visit = np.repeat(np.arange(len(leaf)), n)
-        way = np.arange(len(visit)) + np.repeat(lo - (n.cumsum() - n), n)
-        split = self.counts.split[way]
-        places = f.take(token[visit], axis=1)
-        places ^= self.mark[split]
-        return visit, self.counts.right[way], places, self.counts.bias[split] + self.w[places].sum(0)
+    def ways(self, token: np.ndarray, leaf: np.ndarray, f: np.ndarray):
+        """(splits on each visit's way, sign bit where the right side is taken, weights' places, log-odds) of the splits, way after way."""
+        lo = self.counts.start.take(leaf)
+        n = self.counts.start.take(leaf + 1) - lo
+        at = np.repeat(lo - (n.cumsum() - n), n)
+        at += np.arange(len(at))
+        way = self.way.take(at).view(np.int32)
+        places = np.repeat(f.take(token, axis=1), n, axis=1)
+        places ^= (way[::2] & MARK).astype(np.int64)
+        return n, way[::2] & ~MARK, places, way[1::2].view(np.float32)
 
     def score(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place among the broadcast words, natural log of the leaf, for a rare word also that of its class) of each token."""
+        """(place among the broadcast words, natural log of the leaf, for a rare word also that of its class) of each token.
+
+        Some blocks are scored together, one kind of feature after the other: its quarter of the weights stays in the cache.
+        """
         word, out, inner = np.full(len(h), -1), np.zeros(len(h)), np.zeros(len(h))
-        for lo, at, f in self.blocks(h, first, BLOCK):
-            token, leaf = self.visits(at, h[lo:lo + BLOCK])
-            visit, right, _, x = self.logits(token, leaf, f)
-            z = np.clip(np.where(right, x, -x), -60, 60)
-            lp = -np.bincount(visit, np.log1p(np.exp(-z)), minlength=len(leaf))
-            word[lo:lo + len(at)] = at
-            out[lo:lo + len(at)] = lp[:len(at)]
-            inner[lo + token[len(at):]] = lp[len(at):]
+        blocks = self.blocks(h, first, BLOCK)
+        while some := list(islice(blocks, SCORED)):
+            visits = [self.visits(at, h[lo:lo + BLOCK]) for lo, at, _ in some]
+            ways = [self.ways(token, leaf, f) for (token, leaf), (_, _, f) in zip(visits, some)]
+            logits = [wide(self.w.take(places[0])) for _, _, places, _ in ways]
+            for i in range(1, FEATURES):
+                for x, (_, _, places, _) in zip(logits, ways):
+                    x += wide(self.w.take(places[i]))
+            for (lo, at, _), (token, _), (n, side, _, bias), x in zip(some, visits, ways, logits):
+                x += bias
+                x.view(np.int32)[:] ^= side                        # the logit of the other side
+                e = np.exp(np.clip(x, -60, 60, out=x), out=x).astype(np.float64)
+                lp = -np.bincount(np.repeat(np.arange(len(n)), n), np.log(1 + e), minlength=len(n))
+                word[lo:lo + len(at)] = at
+                out[lo:lo + len(at)] = lp[:len(at)]
+                inner[lo + token[len(at):]] = lp[len(at):]
         return word, out, inner
 
     def train(self, h: np.ndarray, first: np.ndarray, state: np.ndarray, rate: float) -> None:
         """Gradient updates over tokens, one per block; ``state``: sums of squared gradients."""
         for lo, at, f in self.blocks(h, first, BLOCK):
-            _, right, places, x = self.logits(*self.visits(at, h[lo:lo + BLOCK]), f)
-            grad = (1 / (1 + np.exp(-np.clip(x, -60, 60))) - right).astype(np.float32)
+            _, side, places, bias = self.ways(*self.visits(at, h[lo:lo + BLOCK]), f)
+            x = self.w[places[0]]
+            for p in places[1:]:
+                x += self.w[p]
+            x += bias
+            grad = 1 / (1 + np.exp(-np.clip(x, -60, 60))) - (side < 0)
             wrong = np.flatnonzero(np.abs(grad) > LEAST)
-            flat, grad = places[:, wrong].ravel(), np.tile(grad[wrong], FEATURES)
-            np.add.at(state, flat, grad * grad)
-            np.add.at(self.w, flat, np.float32(-rate) * grad / np.sqrt(state[flat] + np.float32(1)))
+            grad = grad[wrong]
+            square, step = grad * grad, np.float32(-rate) * grad
+            for p in places.take(wrong, axis=1)[::-1]:             # each kind of feature has weights of its own; the last read are in the cache
+                np.add.at(state, p, square)
+                np.add.at(self.w, p, step / np.sqrt(state[p] + np.float32(1)))
 
 
 def _starts(off: np.ndarray) -> np.ndarray:
@@ -363,7 +407,7 @@ def _starts(off: np.ndarray) -> np.ndarray:
 
 def _profiler(counts):
     def run(batches):
-        sums = np.zeros((len(counts.value.words), DIMS))
+        sums = np.zeros((len(counts.value.words), DIMS), order="F")
         for b in small_batches(batches, rows=256, bytes_=1 << 20):
             h, off = stream(column(b, "_text"))
             profile(counts.value, h, _starts(off), sums)
@@ -386,7 +430,7 @@ def _adder(batches):
 
 def _trainer(counts, weights, rate: float):
     def run(batches):
-        start = weights.value.astype(np.float32)
+        start = weights.value
         pairs = np.zeros((len(start), 2), np.float32)             # a weight and its squared gradients lie together
         pairs[:, 0] = start
         model, state, seen = MaxEnt(counts.value, pairs[:, 0]), pairs[:, 1], False
@@ -441,7 +485,7 @@ def train(texts: DataFrame, counts, rounds: int, rate: float) -> np.ndarray:
 def _scorer(counts, weights):
     def run(batches):
         c = counts.value
-        model = MaxEnt(c, weights.value.astype(np.float32))
+        model = MaxEnt(c, weights.value.copy())
         per = math.log10(c.total) if c.total else 0.0
         for b in small_batches(batches, rows=256, bytes_=1 << 20):
             h, off = stream(column(b, "_text"))

@@ -265,6 +265,42 @@ def test_training_and_scores_against_a_direct_model():
     assert (word < 0).sum() == sum(w in set(h[rare].tolist()) or w == 7 for w in flat.tolist())
 
 
+def test_half_floats_as_floats():
+    every = np.arange(1 << 16).astype(np.uint16).view(np.float16)
+    every = every[np.isfinite(every)]
+    got = maxent_lm.wide(every)
+    assert got.dtype == np.float32 and (got == every.astype(np.float32)).all()
+
+
+def test_scores_from_half_floats_equal_those_from_floats(monkeypatch):
+    """Weights are read as half floats, some blocks together; the logits are sums of floats."""
+    monkeypatch.setattr(maxent_lm, "BLOCK", 16)
+    monkeypatch.setattr(maxent_lm, "SCORED", 3)
+    counts, h, _, _ = sample_counts(n=300)
+    rng = np.random.default_rng(6)
+    texts = [rng.choice(np.concatenate([h, np.array([7], np.uint64)]), m).tolist() for m in (50, 0, 1, 70)]
+    flat = np.array([w for t in texts for w in t], np.uint64)
+    first = maxent_lm._starts(np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    half = rng.normal(0, 0.3, 1 << 16).astype(np.float16)
+    got, same = (maxent_lm.MaxEnt(counts, w).score(flat, first) for w in (half, half.astype(np.float32)))
+    assert all((a == b).all() for a, b in zip(got, same))
+    direct = Direct(counts, half)
+    want = np.array([direct.score(t, i) for t in texts for i in range(len(t))])
+    assert np.allclose(got[1], want[:, 0], atol=1e-5) and np.allclose(got[2], want[:, 1], atol=1e-5)
+
+
+def test_lookup_of_words_that_share_leading_bits():
+    rng = np.random.default_rng(8)
+    top = np.uint64(2**64 - 1)
+    words = np.unique(np.concatenate([rng.integers(0, 2**64 - 1, 500, dtype=np.uint64), np.arange(9, dtype=np.uint64), top - np.arange(7, dtype=np.uint64)]))
+    counts = maxent_lm.build(len(words), len(words), words, np.ones(len(words), np.int64), 0, np.zeros(1))
+    asked = np.concatenate([words, words + np.uint64(1), words - np.uint64(1), rng.integers(0, 2**64 - 1, 500, dtype=np.uint64)])
+    place = {int(w): i for i, w in enumerate(words)}
+    assert maxent_lm.lookup(counts, asked).tolist() == [place.get(int(w), -1) for w in asked]
+    below = maxent_lm.build(3, 3, words[:3], np.ones(3, np.int64), 0, np.zeros(1))
+    assert maxent_lm.lookup(below, asked).tolist() == [-1 if place.get(int(w), 9) > 2 else place[int(w)] for w in asked]
+
+
 @pytest.mark.parametrize("head", [1 << 17, 20])
 def test_scores_of_a_table_against_a_direct_model(edge, monkeypatch, head):
     """Whole score_texts with given weights: rare words are joined, unknown ones share half a count."""
