@@ -316,9 +316,11 @@ class MaxEnt:
         self.shift = np.uint64(64 - int(math.log2(len(weights) // FEATURES)))
         mark = (mix64(np.arange(len(counts.bias), dtype=np.uint64)) >> self.shift).astype(np.int32)
         way = np.empty((len(counts.split), 2), np.int32)           # what the splits on the ways need, read at once
-        way[:, 0] = mark[counts.split]
-        way[:, 0] |= counts.right * ~MARK
-        way[:, 1] = counts.bias[counts.split].view(np.int32)
+        for i in range(0, len(way), 1 << 18):                      # in parts, for the memory of a worker
+            s = slice(i, i + (1 << 18))
+            split = counts.split[s]
+            way[s, 0] = mark[split] | counts.right[s] * ~MARK
+            way[s, 1] = counts.bias[split].view(np.int32)
         self.way = way.view(np.int64).ravel()
 
     def features(self, h: np.ndarray, first: np.ndarray, word: np.ndarray) -> np.ndarray:
