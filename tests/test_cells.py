@@ -98,3 +98,85 @@ def test_discordant_pairs(kx, ky, monkeypatch):
     assert profile.discordant(x, y, w) == want
     monkeypatch.setattr(profile, "_FEW", 1)
     assert profile.discordant(x, y, w) == want
+
+
+@pytest.mark.parametrize("gain,share", [(0.0, 0.0), (0.002, 0.01)])
+def test_grown_tree_equals_sparks(spark, gain, share):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from tabforge.operators import grow
+    rng = np.random.default_rng(8)
+    X = np.unique(np.stack([2 * rng.integers(0, 20, 1500), rng.integers(0, 9, 1500), rng.integers(0, 4, 1500)], 1), axis=0)
+    y, w = np.where(X[:, 0] * (X[:, 2] + 1) > 40, 1.0, -1.0) + rng.normal(size=len(X)).round(2), rng.integers(1, 9, len(X)).astype(float)
+    tree = grow.grow(X, y, w, w, max_depth=6, min_gain=gain, min_share=share, take=3, rng=rng)
+    data = spark.createDataFrame([(*map(float, x), float(t), float(n)) for x, t, n in zip(X, y, w)], "a double, b double, c double, y double, w double")
+    data = VectorAssembler(inputCols=["a", "b", "c"], outputCol="f").transform(data).coalesce(1)
+    m = RandomForestRegressor(featuresCol="f", labelCol="y", weightCol="w", numTrees=1, bootstrap=False, subsamplingRate=1.0, maxDepth=6, maxBins=64,
+                              minInfoGain=gain, minWeightFractionPerNode=share, featureSubsetStrategy="all", seed=1).fit(data)
+    want = [r["prediction"] for r in m.transform(data).select("prediction").collect()]
+    assert np.allclose(grow.walk(X, tree), want, atol=1e-9)
+    assert m.trees[0].numNodes == len(tree["value"]) and tree["cover"][0] == w.sum()
+    few, grow_few = grow.HISTOGRAM, lambda: grow.grow(X, y, w, w, max_depth=6, min_gain=gain, min_share=share, take=3, rng=rng)
+    try:
+        grow.HISTOGRAM = 50                                # nodes in groups
+        assert all(np.array_equal(v, tree[k]) for k, v in grow_few().items())
+    finally:
+        grow.HISTOGRAM = few
+
+
+def test_drawn_trials_need_no_job_for_each_level(spark, rows, collapsed, monkeypatch):
+    """Trees of drawn rows are fitted by one job, equal for equal seeds, and score like those of Spark's jobs by level."""
+    from tabforge.operators import grow
+    collapsed()
+    found = C.FoldCells(rows, FEATS, "label").of(0, 32)
+    params = {"n_estimators": 6, "learning_rate": 0.3, "max_depth": 7, "subsample": 0.8, "gamma": 0.5, "min_child_weight": 2, "seed": 4}
+
+    def f1(validate):
+        model = boost.train_cells(found, 3, params, validate)
+        return model, [r["f1"] for r in boost.staged_f1(spark, model, found["table"].where("__held"), C.code_names(3), "__label", "__n").orderBy("round").collect()]
+    spark.sparkContext.setJobGroup("few", "few")
+    first = f1(True)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert isinstance(first[0], grow.CellTrees) and jobs < 20
+    assert f1(True)[1] == first[1]
+    whole = f1(False)[1]
+    monkeypatch.setattr(grow, "TASK_BYTES", 0)
+    slow = f1(False)
+    assert not isinstance(slow[0], grow.CellTrees) and len(slow[1]) == len(whole) == 6
+    assert np.allclose(slow[1], whole, atol=0.05)
+
+
+def test_best_trial_refitted_on_cells(spark, rows, collapsed, monkeypatch):
+    """The model that is refitted to cells reads values, not codes, and scores like the one of the rows."""
+    from tabforge.operators import explain, metrics
+    d = rows.drop("fold")
+    best = {"params": {"max_depth": 6, "subsample": 0.7, "gamma": 0.5, "colsample_bytree": 0.8, "seed": 3}, "n_estimators": 5}
+    auc = lambda m: metrics.roc_auc(boost.score(m, d, FEATS, ["label"])).first()[0]
+    want = auc(boost.fit_best(d, FEATS, "label", best, class_weight=True))
+    collapsed()
+    monkeypatch.setattr(boost, "train_boosted", None)
+    model = boost.fit_best(d, FEATS, "label", best, class_weight=True)
+    assert model.getNumTrees == 5 and list(model.treeWeights) == [1.0] + [0.05] * 4
+    assert abs(auc(model) - want) < 0.02
+    root = explain.tree_nodes(spark, model).where("node = 0").agg(F.min("count"), F.max("count"), F.min("gain")).first()
+    assert 2600 < root[0] <= root[1] < 3000 and root[2] > 0
+    held = C.FoldCells(rows, FEATS, "label").of(0, 32)
+    trees = boost.train_cells(held, 3, {"n_estimators": 5, "max_depth": 6, "subsample": 0.7, "seed": 3}, True)
+    of_rows, of_cells = [sorted(tuple(r) for r in boost.staged_confusion(spark, m, t, f, y, n).collect()) for m, t, f, y, n in (
+        (trees.model(held["cuts"]), rows, FEATS, "label", None), (trees, held["table"], C.code_names(3), "__label", "__n"))]
+    assert of_rows == of_cells
+
+
+def test_experiment_scores_its_rows_once(spark, tmp_path, monkeypatch):
+    from tabforge.plans import experiment
+    rng = np.random.default_rng(5)
+    made = spark.createDataFrame([(float(a), float(b), int((a > 5) ^ (b < 2)), i) for i, (a, b) in enumerate(zip(rng.integers(0, 11, 300), rng.normal(size=300)))],
+                                 "a double, b double, label int, id int")
+    read, evaluate = [], experiment.metrics.evaluate
+    monkeypatch.setattr(experiment.metrics, "evaluate", lambda d, *a: read.append(d._jdf.queryExecution().optimizedPlan().toString()) or evaluate(d, *a))
+    out = experiment.run_experiment(spark, made, {"label": "label", "features": ["a", "b"], "split_key": "id", "n_trials": 1,
+                                                  "cv": {"k": 2, "rounds": 2, "early_stopping": 2}}).collect()
+    assert len(out) == 2 and len(read) == 2
+    assert not any(x in p for p in read for x in ("Aggregate", "UDF"))           # neither cleaned nor scored again
